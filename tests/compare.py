@@ -41,7 +41,7 @@ def as_rows(table) -> tuple[list[tuple], dict[str, str]]:
 def differences(frame, connection, sql: str) -> str | None:
     """None when equal, else what differs."""
     got, got_types = as_rows(frame.toArrow())
-    want, want_types = as_rows(connection.execute(sql).to_arrow_table())
+    want, want_types = as_rows(connection.sql(sql).to_arrow_table())
     if list(got_types) != list(want_types):
         return f"columns {list(got_types)} and {list(want_types)}"
     if len(got) != len(want):

@@ -6,7 +6,7 @@ is NULL does not fail; ``required`` is the rule that rejects NULL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,36 +20,45 @@ from tidemark.operators.sequences import KeySequence
 
 @dataclass(frozen=True)
 class Rule:
+    """A code and a condition; the condition is built on use, so rules need no session."""
+
     code: str
-    holds: Column
+    condition: Callable[[], Column]
+
+    @property
+    def holds(self) -> Column:
+        return self.condition()
 
     def violated(self) -> Column:
         return F.coalesce(~self.holds, F.lit(False))
 
 
 def required(column: str) -> Rule:
-    return Rule(f"missing:{column}", F.col(column).isNotNull())
+    return Rule(f"missing:{column}", lambda: F.col(column).isNotNull())
 
 
 def in_range(column: str, low=None, high=None) -> Rule:
-    holds = F.lit(True)
-    if low is not None:
-        holds = holds & (F.col(column) >= F.lit(low))
-    if high is not None:
-        holds = holds & (F.col(column) <= F.lit(high))
-    return Rule(f"range:{column}", holds)
+    def condition() -> Column:
+        holds = F.lit(True)
+        if low is not None:
+            holds = holds & (F.col(column) >= F.lit(low))
+        if high is not None:
+            holds = holds & (F.col(column) <= F.lit(high))
+        return holds
+
+    return Rule(f"range:{column}", condition)
 
 
 def matches(column: str, pattern: str) -> Rule:
-    return Rule(f"pattern:{column}", F.col(column).rlike(pattern))
+    return Rule(f"pattern:{column}", lambda: F.col(column).rlike(pattern))
 
 
 def one_of(column: str, values: Sequence) -> Rule:
-    return Rule(f"domain:{column}", F.col(column).isin(*values))
+    return Rule(f"domain:{column}", lambda: F.col(column).isin(*values))
 
 
 def typed(column: str, kind: str) -> Rule:
-    return Rule(f"type:{column}", ~misfit(F.col(column), convert(F.col(column), kind)))
+    return Rule(f"type:{column}", lambda: ~misfit(F.col(column), convert(F.col(column), kind)))
 
 
 def error_codes(rules: Sequence[Rule]) -> Column:

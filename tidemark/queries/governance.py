@@ -1 +1,55 @@
-"""Pending."""
+"""Masking and access policies."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.masking import EMAIL, SSN, mask_for_role, mask_pii, tokenize
+from tidemark.operators.access import columns_for_role, rows_for_role
+from tidemark.queries import query
+from tidemark.session import table
+
+
+@query(
+    "mask_pii",
+    f"""select doc_id, regexp_replace(regexp_replace(text, '{EMAIL}', '***@***.com', 'g'), '{SSN}', '***-**-***', 'g') as masked
+       from documents""",
+)
+def mask_pii_query(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", mask_pii(F.col("text")).alias("masked"))
+
+
+@query("tokenize", "select c_custkey, sha256('pepper' || c_name) as name_token from customer")
+def tokenize_query(spark, folder):
+    return table(spark, folder, "customer").select("c_custkey", tokenize(F.col("c_name"), "pepper").alias("name_token"))
+
+
+@query(
+    "mask_by_role",
+    """select conv_id, turn, case when role = 'assistant' then text else '***' end as text_shown from conversations""",
+)
+def mask_by_role(spark, folder):
+    shown = mask_for_role(F.col("text"), F.col("role"), ["assistant"], F.lit("***"))
+    return table(spark, folder, "conversations").select("conv_id", "turn", shown.alias("text_shown"))
+
+
+@query(
+    "rls_filtered",
+    """select c_custkey, c_nationkey, c_acctbal from customer
+       where c_nationkey in (select n_nationkey from nation join region on n_regionkey = r_regionkey where r_name = 'ASIA')""",
+)
+def rls_filtered(spark, folder):
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    policy = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"]).select(
+        F.col("r_name").alias("role"), F.col("n_nationkey").alias("attribute")
+    )
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return rows_for_role(customer, policy, "ASIA", "c_nationkey")
+
+
+@query("column_security", "select c_custkey, c_nationkey, c_mktsegment from customer")
+def column_security(spark, folder):
+    granted = [("analyst", c) for c in ("c_custkey", "c_nationkey", "c_mktsegment")]
+    granted += [("owner", c) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
+    policy = spark.createDataFrame(granted, "role string, column_name string")
+    return columns_for_role(table(spark, folder, "customer"), policy, "analyst")
