@@ -89,19 +89,19 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], errors: str = "_errors") ->
 def write_checked(df: DataFrame, rules: Sequence[Rule], path: str, mode: str = "overwrite") -> None:
     """Write valid and quarantined rows in one pass over the input.
 
-    Both sets land in one write, split by the partition column ``valid``; read
+    Both sets land in one write, split by the partition column ``checked``; read
     either with ``read_valid`` or ``read_quarantined``.
     """
-    tagged = tag(df, rules).withColumn("valid", F.size("_errors") == 0)
-    tagged.write.mode(mode).partitionBy("valid").parquet(path)
+    state = F.when(F.size("_errors") == 0, F.lit("valid")).otherwise(F.lit("quarantined"))
+    tag(df, rules).withColumn("checked", state).write.mode(mode).partitionBy("checked").parquet(path)
 
 
 def read_valid(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where("valid").drop("valid", "_errors")
+    return spark.read.parquet(path).where("checked = 'valid'").drop("checked", "_errors")
 
 
 def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where("not valid").drop("valid")
+    return spark.read.parquet(path).where("checked = 'quarantined'").drop("checked")
 
 
 # --- metrics -----------------------------------------------------------------
