@@ -72,7 +72,7 @@ def main() -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     connection = duck(folder)
     sql = entry_points.oracle_sql()
     bad = 0
@@ -89,7 +89,7 @@ def main() -> int:
                 problem, note = None, f"{frame.count()} rows, no SQL"
         except Exception as error:  # report and go on with the next query
             problem = str(error)
-            note = f"FAILED {type(error).__name__}: {problem[:1500]}"
+            note = f"FAILED {type(error).__name__}: {problem[:700]}"
         bad += problem is not None
         print(f"{name:32s} {time.time() - started:6.2f}s  {note}", flush=True)
     print(f"{bad} of {len(entry_points.queries())} with problems")
