@@ -36,7 +36,7 @@ ADD = dict(
 def test_sliced_equals_plain(skewed, order, keys):
     plain = KeySequence(skewed, keys, order, plain_bytes=1 << 60).add(**ADD)
     cut = KeySequence(skewed, keys, order, plain_bytes=0, rows_per_task=100, fan=4)
-    assert cut.hot_keys().count() >= 1
+    assert cut.sliced and cut.cuts.count() >= 1
     assert _rows(cut.add(**ADD)) == _rows(plain)
 
 
@@ -49,6 +49,7 @@ def test_ranks_with_ties(skewed):
 
 def test_no_hot_key_falls_back_to_plain_window(skewed):
     cut = KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=0, rows_per_task=10**6)
+    assert not cut.sliced
     assert _rows(cut.add(row_number="rn")) == _rows(
         KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=1 << 60).add(row_number="rn")
     )
@@ -56,7 +57,7 @@ def test_no_hot_key_falls_back_to_plain_window(skewed):
 
 def test_hot_key_gets_several_slices(skewed):
     cut = KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=0, rows_per_task=100, fan=4)
-    placed = cut.with_slices(cut.hot_keys())
+    placed = cut.with_slices()
     hot = placed.where(F.col("k") == "hot").groupBy("_slice").count().collect()
     assert len(hot) > 5
     assert placed.where("k = 'k1' and _slice is not null").isEmpty()

@@ -73,12 +73,11 @@ def scd2(
     placed = changes.select(key, effective, sequence, *attributes).dropna(subset=[key, effective])
     last = latest_changes(placed, [key, effective], [sequence])
     last = last.withColumn("_attributes", F.struct(*attributes)).drop(sequence)
-    marked = KeySequence(last, [key], [effective], **slicing).add(
-        lag={"_before": "_attributes", "_previous": effective}
-    )
+    sequence_of_changes = KeySequence(last, [key], [effective], **slicing)
+    marked = sequence_of_changes.add(lag={"_before": "_attributes", "_previous": effective})
     first = F.col("_previous").isNull()
     changed = marked.where(first | ~F.col("_attributes").eqNullSafe(F.col("_before")))
-    ended = KeySequence(changed, [key], [effective], **slicing).add(lead={"valid_to": effective})
+    ended = KeySequence(changed, [key], [effective], like=sequence_of_changes).add(lead={"valid_to": effective})
     return ended.select(
         key,
         *attributes,

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import with_group_values
+from tidemark.operators.keyed import join_groups, with_group_values
 from tidemark.operators.percentiles import exact_percentiles
-from tidemark.operators.sizing import small_side
+from tidemark.operators.sizing import settled
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -30,19 +30,14 @@ def impute(df: DataFrame, value: str, keys: Sequence[str], method: str = "mean",
     """Replace NULL by the group's mean or median, or by the overall one if the group has none."""
     if method == "mean":
         grouped = with_group_values(df, keys, _group=F.avg(value))
-        filled = with_group_values(grouped, [], _all=F.avg(value))
+        overall = df.agg(F.avg(value)).scalar()
     elif method == "median":
         medians = exact_percentiles(df, keys, value, {"_group": 0.5}, **percentile_args)
-        right = medians.withColumnsRenamed({k: f"_g_{k}" for k in keys})
-        same = F.lit(True)
-        for k in keys:
-            same = same & df[k].eqNullSafe(right[f"_g_{k}"])
-        grouped = df.join(small_side(right), same, "left").drop(*[f"_g_{k}" for k in keys])
-        overall = exact_percentiles(df, [], value, {"_all": 0.5}, **percentile_args)
-        filled = grouped.crossJoin(F.broadcast(overall))  # exactly one row
+        grouped = join_groups(df, settled(medians, "medians"), list(keys))
+        overall = exact_percentiles(df, [], value, {"_all": 0.5}, **percentile_args).scalar()
     else:
         raise ValueError(f"method must be mean or median, not {method}")
-    return filled.withColumn(value, F.coalesce(value, "_group", "_all")).drop("_group", "_all")
+    return grouped.withColumn(value, F.coalesce(F.col(value), F.col("_group"), overall)).drop("_group")
 
 
 def zscore_outliers(df: DataFrame, value: str, keys: Sequence[str] = (), limit: float = 3.0) -> DataFrame:
@@ -62,14 +57,11 @@ def iqr_outliers(
     """Add ``is_outlier`` for values beyond ``reach`` quartile ranges outside the quartiles."""
     keys = list(keys)
     fences = exact_percentiles(df, keys, value, {"_q1": 0.25, "_q3": 0.75}, **percentile_args)
-    right = fences.withColumnsRenamed({k: f"_g_{k}" for k in keys})
     if keys:
-        same = F.lit(True)
-        for k in keys:
-            same = same & df[k].eqNullSafe(right[f"_g_{k}"])
-        joined = df.join(small_side(right), same, "left")
+        joined = join_groups(df, settled(fences, "fences"), keys)
     else:
-        joined = df.crossJoin(F.broadcast(right))  # exactly one row
+        whole = fences.select(F.struct("_q1", "_q3")).scalar()
+        joined = df.withColumn("_whole", whole).select(*df.columns, "_whole._q1", "_whole._q3")
     span = (F.col("_q3") - F.col("_q1")) * reach
     outside = (F.col(value) < F.col("_q1") - span) | (F.col(value) > F.col("_q3") + span)
     return joined.withColumn("is_outlier", F.coalesce(outside, F.lit(False))).select(*df.columns, "is_outlier")

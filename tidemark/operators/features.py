@@ -45,13 +45,15 @@ def ratio_to_total(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
 
 
 def growth_alert(
-    df: DataFrame, keys: Sequence[str], period: str, volume: str, threshold: float = 0.10, **slicing
+    df: DataFrame, keys: Sequence[str], period: str, volume: str, threshold: float = 0.10
 ) -> DataFrame:
     """Growth over the previous period of the key, flagged above ``threshold``.
 
-    ``df`` holds one row per key and period.
+    ``df`` holds one row per key and period, so no key has more rows than there
+    are periods and a plain window will do.
     """
-    previous = KeySequence(df, keys, [period], **slicing).add(lag={"previous_volume": volume})
+    w = Window.partitionBy(*keys).orderBy(period)
+    previous = df.withColumn("previous_volume", F.lag(volume).over(w))
     growth = F.try_divide(
         F.col(volume).cast("double") - F.col("previous_volume"), F.col("previous_volume").cast("double")
     )

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.keyed import join_groups
 from tidemark.operators.sequences import PLAIN_BYTES, KeySequence
-from tidemark.operators.sizing import estimated_bytes
+from tidemark.operators.sizing import estimated_bytes, settled
 
 
 def exact_percentiles(
@@ -45,26 +46,23 @@ def exact_percentiles(
     )
     placed = placed.withColumn("_before", F.coalesce("_before", F.lit(0)))
     totals = df.groupBy(*keys).agg(F.count(value).alias("_total"))
-    totals = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same = same & totals[f"_t_{k}"].eqNullSafe(placed[k])
-    joined = totals.join(placed, same, "left")
 
     def value_at(rank):
         inside = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
         return F.max(F.when(inside, F.col("_v")))
 
-    picks = []
-    for name, p in percentiles.items():
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        picks.append(value_at(F.floor(position)).alias(f"_lo_{name}"))
-        picks.append(value_at(F.ceil(position)).alias(f"_hi_{name}"))
-    picked = joined.groupBy(*[f"_t_{k}" for k in keys], "_total").agg(*picks)
-    out = []
+    picks, out = [], []
     for name, p in percentiles.items():
         position = F.lit(float(p)) * (F.col("_total") - 1)
         share = position - F.floor(position)
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        picks.append(value_at(F.floor(position)).alias(f"_lo_{name}"))
+        picks.append(value_at(F.ceil(position)).alias(f"_hi_{name}"))
         out.append(F.when(share == 0, lo).otherwise(lo * (1 - share) + hi * share).alias(name))
-    return picked.select(*[F.col(f"_t_{k}").alias(k) for k in keys], *out)
+    if not keys:
+        picked = placed.withColumn("_total", totals.scalar()).agg(F.max("_total").alias("_total"), *picks)
+        return picked.select(*out)
+    totals = settled(totals, "group-sizes")
+    picked = join_groups(placed, totals, keys).groupBy(*keys).agg(*picks)
+    # from the totals outwards, so that groups of nothing but NULL stay
+    return join_groups(totals, picked, keys).select(*keys, *out)

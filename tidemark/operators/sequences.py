@@ -6,7 +6,9 @@ the whole input is small enough for any one task. Beyond that, it cuts the rows
 of every key above ``rows_per_task`` into slices along the leading order column,
 runs the window per (key, slice), and carries counts, sums and edge rows between
 slices in a table with one row per slice. Slices are a monotone function of the
-order column, so results equal those of the plain window exactly.
+order column, so results equal those of the plain window exactly. The pieces,
+the cut points and the carried table are written to the shared folder: later
+steps read them instead of computing the input again.
 """
 
 from __future__ import annotations
@@ -17,8 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.sizing import estimated_bytes
-from tidemark.session import scratch
+from tidemark.operators.sizing import estimated_bytes, small_side, stored
 
 PLAIN_BYTES = 256 * 1024 * 1024
 ROWS_PER_TASK = 20_000_000
@@ -63,7 +64,11 @@ def _prefixed(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 class KeySequence:
-    """Rows of each key of ``df`` in one total order."""
+    """Rows of each key of ``df`` in one total order.
+
+    ``like`` reuses the cut points of another sequence with the same keys and
+    leading order column, for a subset of its rows.
+    """
 
     def __init__(
         self,
@@ -73,13 +78,21 @@ class KeySequence:
         plain_bytes: int = PLAIN_BYTES,
         rows_per_task: int = ROWS_PER_TASK,
         fan: int = FAN,
+        like: KeySequence | None = None,
     ):
         self.df = df
         self.keys = list(keys)
         self.order = list(order)
         self.rows_per_task = rows_per_task
         self.fan = fan
-        self.sliced = estimated_bytes(df) > plain_bytes
+        self.cuts = like.cuts if like else None
+        if like:
+            self.sliced = like.sliced
+        else:
+            self.sliced = estimated_bytes(df) > plain_bytes
+            if self.sliced:
+                self.cuts = self.hot_keys()
+                self.sliced = self.cuts is not None
 
     def add(
         self,
@@ -110,10 +123,7 @@ class KeySequence:
         )
         if not self.sliced:
             return self.df.withColumns(self._windowed(self.df, self.keys, wanted))
-        bounds = self.hot_keys()
-        if bounds.isEmpty():
-            return self.df.withColumns(self._windowed(self.df, self.keys, wanted))
-        return self._add_sliced(self.with_slices(bounds), wanted)
+        return self._add_sliced(stored(self.with_slices(), "slices"), wanted)
 
     def _windowed(self, df: DataFrame, keys: Sequence[str], wanted: dict) -> dict[str, Column]:
         w = Window.partitionBy(*keys).orderBy(*ascending(df, self.order))
@@ -130,46 +140,42 @@ class KeySequence:
         out |= {new: F.last(old, ignorenulls=True).over(so_far) for new, old in wanted["last_known"].items()}
         return out
 
-    def hot_keys(self) -> DataFrame:
-        """Cut points of every key above ``rows_per_task``, written and read back.
+    def hot_keys(self) -> DataFrame | None:
+        """Cut points of every key above ``rows_per_task``; None if there is no such key.
 
-        Approximate quantiles may differ between two runs of one plan, and the
-        cuts are used twice, so they are fixed in the shared folder first. There
-        are at most rows / rows_per_task hot keys: a size that can be broadcast.
+        They are kept in the shared folder, since approximate quantiles may differ
+        from one run of a plan to the next. There are at most rows / rows_per_task
+        hot keys, and a key has about its rows / rows_per_task cuts.
         """
         sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-        sizes = _prefixed(sizes.where(F.col("_n") > self.rows_per_task), self.keys)
+        sizes = stored(_prefixed(sizes.where(F.col("_n") > self.rows_per_task), self.keys), "hot-keys")
+        if sizes.isEmpty():
+            return None
         position = _as_number(self.df, ascending(self.df, self.order)[0])
         cells = self.fan * self.fan
-        cuts = [i / cells for i in range(1, cells)]
-        hot_rows = self.df.select(*self.keys, position.alias("_p"))
-        hot_rows = hot_rows.join(F.broadcast(sizes), _same_key(hot_rows, sizes, self.keys), "inner")
-        bounds = (
-            hot_rows.groupBy(*[f"_r_{k}" for k in self.keys], "_n")
-            .agg(F.percentile_approx("_p", cuts, 10 * cells).alias("_bounds"))
-            .select(
-                *[f"_r_{k}" for k in self.keys],
-                "_bounds",
-                F.transform(F.sequence(F.lit(1), F.lit(self.fan - 1)), lambda i: F.get("_bounds", i * self.fan - 1)).alias("_coarse"),
-                F.greatest(F.lit(1), F.floor(F.lit(float(cells) * self.rows_per_task) / F.col("_n"))).alias("_step"),
-            )
-        )
-        spark = self.df.sparkSession
-        folder = scratch(spark, "hot-keys")
-        bounds.write.parquet(folder)
-        return spark.read.schema(bounds.schema).parquet(folder)
-
-    def with_slices(self, bounds: DataFrame) -> DataFrame:
+        grid = [i / cells for i in range(1, cells)]
+        rows = self.df.select(*self.keys, position.alias("_p"))
+        rows = rows.join(small_side(sizes), _same_key(rows, sizes, self.keys), "inner")
+        keys = [f"_r_{k}" for k in self.keys]
+        measured = rows.groupBy(*keys, "_n").agg(F.percentile_approx("_p", grid, 10 * cells).alias("_grid"))
+        step = F.greatest(F.lit(1), F.floor(F.lit(float(cells) * self.rows_per_task) / F.col("_n"))).cast("int")
+        cuts = measured.select(*keys, F.filter("_grid", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
+        # a lookup first finds a block of cuts, then the place inside the block
+        block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_cuts")))).cast("int")
+        ends = F.filter("_cuts", lambda _, i: i % F.col("_block") == F.col("_block") - 1)
+        return stored(cuts.withColumn("_block", block).withColumn("_ends", ends), "cuts")
+
+    def with_slices(self) -> DataFrame:
         """``df`` plus ``_slice``: NULL for ordinary keys, a number for hot ones."""
         position = _as_number(self.df, ascending(self.df, self.order)[0])
         placed = self.df.withColumn("_p", position)
-        placed = placed.join(F.broadcast(bounds), _same_key(placed, bounds, self.keys), "left")
-        coarse = F.size(F.filter("_coarse", lambda b: b < F.col("_p")))
-        fine = F.size(F.filter(F.slice("_bounds", coarse * self.fan + 1, self.fan), lambda b: b < F.col("_p")))
-        cell = F.when(F.col("_p").isNull(), F.lit(0)).otherwise(coarse * self.fan + fine)
-        # ordinary keys have no bounds and stay in one piece
-        piece = F.when(F.col("_step").isNotNull(), F.floor(cell / F.col("_step")).cast("bigint"))
-        return placed.select(*self.df.columns, piece.alias("_slice"))
+        placed = placed.join(small_side(self.cuts), _same_key(placed, self.cuts, self.keys), "left")
+        below = lambda cuts: F.size(F.filter(cuts, lambda cut: cut < F.col("_p")))
+        blocks = below(F.col("_ends"))
+        inside = below(F.slice("_cuts", blocks * F.col("_block") + 1, F.col("_block")))
+        place = F.when(F.col("_p").isNull(), F.lit(0)).otherwise(blocks * F.col("_block") + inside)
+        # ordinary keys have no cuts and stay in one piece
+        return placed.select(*self.df.columns, F.when(F.col("_cuts").isNotNull(), place).alias("_slice"))
 
     def _add_sliced(self, pieces: DataFrame, wanted: dict) -> DataFrame:
         keys = [*self.keys, "_slice"]
@@ -211,7 +217,9 @@ class KeySequence:
             summary.withColumns(carried).select(*keys, F.col("_n").alias("_size"), *carried), keys
         )
 
-        joined = local.join(F.broadcast(carry), _same_key(local, carry, keys), "left")
+        # one row per slice of a hot key
+        carry = stored(carry, "carry")
+        joined = local.join(small_side(carry), _same_key(local, carry, keys), "left")
         offset = F.coalesce(F.col("_o_n"), F.lit(0))
         out: dict[str, Column] = {}
         if wanted["row_number"]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -25,3 +27,23 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     measured size, and splits hot keys of a sort-merge join.
     """
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+def settled(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, written to the shared folder first if its size is not known to be small.
+
+    Meant for aggregates of large inputs: the optimizer can only over-estimate
+    them, and once written, their true size decides how they are joined. The copy
+    also survives the loss of executors and is not computed again.
+    """
+    if estimated_bytes(df) <= limit:
+        return df
+    return stored(df, name)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A copy of ``df`` in the shared folder."""
+    spark = df.sparkSession
+    folder = scratch(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans.medallion import LINE_KEY, LINE_ORDER, monthly_revenue_pipeline
+from tidemark.operators.sizing import small_side
 from tidemark.queries import query
 from tidemark.queries.relational import LINE_AMOUNT_SQL
 from tidemark.session import scratch, table, unique_name
@@ -185,7 +186,7 @@ def preagg_refresh(spark, folder):
 
     batch.replace_partitions(aggregate(orders.where(~late)), path, ["month_key"])
     touched = orders.where(late).select("month").distinct()
-    batch.replace_partitions(aggregate(orders.join(F.broadcast(touched), "month", "left_semi")), path, ["month_key"])
+    batch.replace_partitions(aggregate(orders.join(small_side(touched), "month", "left_semi")), path, ["month_key"])
     return spark.read.parquet(path).select(
         "o_orderstatus",
         F.col("month").cast("timestamp_ntz").alias("month"),

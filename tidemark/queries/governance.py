@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.masking import EMAIL, SSN, mask_for_role, mask_pii, tokenize
 from tidemark.operators.access import columns_for_role, rows_for_role
+from tidemark.operators.sizing import small_side
 from tidemark.queries import query
 from tidemark.session import table
 
@@ -40,7 +41,7 @@ def mask_by_role(spark, folder):
 )
 def rls_filtered(spark, folder):
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    policy = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"]).select(
+    policy = nation.join(small_side(region), nation["n_regionkey"] == region["r_regionkey"]).select(
         F.col("r_name").alias("role"), F.col("n_nationkey").alias("attribute")
     )
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")

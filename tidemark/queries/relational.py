@@ -9,6 +9,7 @@ from tidemark.operators.joins import Dimension, enrich, star_join
 from tidemark.operators.marts import monthly_revenue
 from tidemark.operators.percentiles import exact_percentiles
 from tidemark.operators.quality import column_profile
+from tidemark.operators.sizing import small_side
 from tidemark.queries import query
 from tidemark.session import table
 
@@ -126,7 +127,7 @@ def star_join_sales(spark, folder):
 )
 def reference_enrich(spark, folder):
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region").where("r_name <> 'ASIA'")
-    geography = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
+    geography = nation.join(small_side(region), nation["n_regionkey"] == region["r_regionkey"])
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return enrich(supplier, geography, {"s_nationkey": "n_nationkey"}, ["n_name", "r_name"]).drop("s_nationkey")
 

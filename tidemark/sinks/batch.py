@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.change_data import upsert
 from tidemark.operators.quality import schema_findings
-from tidemark.operators.sizing import estimated_bytes, small_side
+from tidemark.operators.sizing import estimated_bytes, small_side, stored
 from tidemark.sinks import paths
 
 
@@ -68,11 +68,11 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
 
     The partition column must be a function of the key, so that a row never moves
     between partitions. Partitions that are not touched are neither read nor
-    written: the semi join prunes them at planning or run time.
+    written. The values that are collected number at most the partitions.
     """
-    touched = source.select(partition_by).distinct()
+    touched = [row[0] for row in source.select(partition_by).distinct().collect()]
     target = spark.read.parquet(path)
-    affected = target.join(small_side(touched), partition_by, "left_semi")
+    affected = target.where(F.col(partition_by).isin(touched))
     replace_partitions(upsert(affected, source, keys), path, [partition_by])
 
 
@@ -187,12 +187,12 @@ def write_bucketed_pair(
     """
     buckets = buckets or bucket_count(left)
     hot = left.groupBy(F.col(left_key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot.where(F.col("_n") > hot_rows).select("_hot")
+    hot = stored(hot.where(F.col("_n") > hot_rows).select("_hot"), "hot-buckets")
     salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    salted = left.join(F.broadcast(hot), F.col(left_key) == F.col("_hot"), "left")
+    salted = left.join(small_side(hot), F.col(left_key) == F.col("_hot"), "left")
     salted = salted.select(*left.columns, F.coalesce(salt, F.lit(0)).alias("_salt"))
     every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = right.join(F.broadcast(hot), F.col(right_key) == F.col("_hot"), "left")
+    repeated = right.join(small_side(hot), F.col(right_key) == F.col("_hot"), "left")
     repeated = repeated.select(*right.columns, F.explode(F.coalesce(every, F.array(F.lit(0)))).alias("_salt"))
     for df, key, name, location in (
         (salted, left_key, names[0], locations[0]),
