@@ -42,16 +42,15 @@ def start_ride_kpis(
 ) -> list[StreamingQuery]:
     """Start one query per sink; each reads the log at its own pace from its own checkpoint."""
     when = {"trigger": trigger, "interval": interval}
-    rides = parse_rides(read_event_log(spark, log), keep_malformed=not quarantine)
+    raw = read_event_log(spark, log)
+    revenue = vendor_revenue(parse_rides(raw, not quarantine, only=("vendorID", "totalAmount")))
+    traffic = pickup_traffic(parse_rides(raw, not quarantine, only=("puLocationId",)))
     started = [
-        replace_snapshot(table_df, SnapshotTable(spark, path), sinks.checkpoint(path), **when)
-        for table_df, path in (
-            (vendor_revenue(rides), sinks.vendor_revenue),
-            (pickup_traffic(rides), sinks.pickup_traffic),
-        )
+        replace_snapshot(kpi, SnapshotTable(spark, path), sinks.checkpoint(path), **when)
+        for kpi, path in ((revenue, sinks.vendor_revenue), (traffic, sinks.pickup_traffic))
     ]
     if quarantine:
-        bad = malformed_rides(read_event_log(spark, log))
+        bad = malformed_rides(raw)
         started.append(append_to_path(bad, sinks.quarantine, sinks.checkpoint(sinks.quarantine), **when))
     return started
 
@@ -74,8 +73,8 @@ def run_ride_windows(
 
     from tidemark.streaming.windows import deduplicate, tumbling
 
-    rides = parse_rides(read_event_log(spark, log))
     business_key = ["vendorID", "tpepPickupDateTime", "tpepDropoffDateTime", "puLocationId", "doLocationId", "totalAmount"]
+    rides = parse_rides(read_event_log(spark, log), only=business_key)
     unique = deduplicate(rides, business_key, "event_time", delay)
     gold = unique.groupBy(F.window("event_time", size).alias("_w"), "vendorID").agg(
         F.sum("totalAmount").alias("totalAmount"), F.count(F.lit(1)).alias("trips")

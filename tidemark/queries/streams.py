@@ -98,7 +98,7 @@ def kpi_vendor_revenue(spark, folder):
     """select cast(user_id as varchar) as "puLocationId", count(*) as "count" from events group by user_id""",
 )
 def kpi_pickup_traffic(spark, folder):
-    rides = parse_rides(read_event_log(spark, ride_log(spark, folder)))
+    rides = parse_rides(read_event_log(spark, ride_log(spark, folder)), only=("puLocationId",))
     traffic = SnapshotTable(spark, scratch(spark, "traffic"))
     await_all([replace_snapshot(pickup_traffic(rides), traffic, f"{traffic.path}-checkpoint", trigger="availableNow")])
     return traffic.read()
@@ -147,7 +147,7 @@ def stream_sliding(spark, folder):
 
 @query(
     "stream_session",
-    f"""with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) < interval 30 minute then 0 else 1 end as starts
+    f"""with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 30 minute then 0 else 1 end as starts
                   from events),
             s as (select *, sum(starts) over (partition by user_id order by ts, event_id) as session from g),
             w as (select user_id, min(ts) as window_start, max(ts) + interval 30 minute as window_end, {MEASURES_SQL}

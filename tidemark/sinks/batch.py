@@ -221,11 +221,13 @@ def join_bucketed(spark: SparkSession, names: tuple[str, str], left_key: str, ri
 
 
 def export(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") -> None:
-    """Write as parquet, orc, json or csv with a header."""
+    """Write as parquet, orc, json or csv with a header.
+
+    CSV tells NULL from empty text, and doubles quotes inside quoted text.
+    """
     writer = df.write.mode(mode)
     if fmt == "csv":
-        # ISO text and quoted quotes read back unchanged
-        writer = writer.option("header", True).option("escape", '"').option("nullValue", "\\N").option("emptyValue", "")
+        writer = writer.option("header", True).option("escape", '"').option("nullValue", "\\N")
     if fmt == "parquet":
         writer = writer.option("compression", "snappy")
     writer.format(fmt).save(path)

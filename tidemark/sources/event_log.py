@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.avro.functions import from_avro
 
 
 @dataclass(frozen=True)
@@ -37,13 +38,8 @@ def read_event_log(spark: SparkSession, log: EventLog) -> DataFrame:
 
 
 def decode_avro(value: Column, schema: str, **options: str) -> Column:
-    """Avro bytes to a struct; needs the separate spark-avro package on the session."""
-    try:
-        from pyspark.sql.avro.functions import from_avro
-
-        return from_avro(value, schema, dict(options))
-    except (ImportError, TypeError) as error:
-        raise RuntimeError("start the session with the spark-avro package to read Avro") from error
+    """Avro bytes to a struct; the session needs the separate spark-avro package."""
+    return from_avro(value, schema, dict(options))
 
 
 def decode_text(value: Column) -> Column:

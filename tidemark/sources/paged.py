@@ -100,7 +100,9 @@ class PagedReader(DataSourceReader):
             return [Page(n) for n in pages.names()]
         return [Page(n) for n in pages.names() if self._may_match(pages.bounds(n))]
 
-    def read(self, page: Page) -> Iterator:
+    def read(self, page: Page | None) -> Iterator:
+        if page is None:  # no page can match
+            return
         yield from Pages(self.folder, self.key).rows(page.name, self.columns)
 
 

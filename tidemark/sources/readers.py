@@ -14,10 +14,14 @@ from tidemark.sinks import paths
 def read_files(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
-    """Read csv, json, parquet or orc; CSV files have a header and the export dialect."""
+    """Read csv, json, parquet or orc; CSV files have a header and the export dialect.
+
+    Text with line breaks inside a CSV field needs ``multiLine=True``, which gives
+    up splitting a file between tasks.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        dialect = {"header": True, "escape": '"', "nullValue": "\\N", "emptyValue": ""}
+        dialect = {"header": True, "escape": '"', "nullValue": "\\N"}
         options = dialect | options
     if schema is not None:
         reader = reader.schema(schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,25 +39,25 @@ def is_record(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def parse_rides(raw: DataFrame, keep_malformed: bool = False) -> DataFrame:
+def parse_rides(raw: DataFrame, keep_malformed: bool = False, only: Collection[str] | None = None) -> DataFrame:
     """``value`` to ride fields plus event, pickup and drop-off times.
 
     Records that are not JSON objects are left to ``malformed_rides``. With
-    ``keep_malformed`` they stay as rows of NULL and form a NULL group. The JSON
-    options stay empty, so Spark parses only the fields that are used later.
+    ``keep_malformed`` they stay as rows of NULL and form a NULL group. ``only``
+    names the ride fields that are needed; no other field is converted, and the
+    times come with the fields they are made from.
     """
+    schema = T.StructType([f for f in RIDE_SCHEMA.fields if only is None or f.name in only])
     text = raw.select(decode_text(F.col("value")).alias("text"))
     if not keep_malformed:
         text = text.where(is_record(F.col("text")))
-    rides = text.select(F.from_json("text", RIDE_SCHEMA).alias("ride")).select("ride.*")
-    pickup = epoch_ms_to_ts(F.col("tpepPickupDateTime"))
-    return rides.withColumns(
-        {
-            "event_time": pickup,
-            "pickup_time": pickup,
-            "dropoff_time": epoch_ms_to_ts(F.col("tpepDropoffDateTime")),
-        }
-    )
+    rides = text.select(F.from_json("text", schema).alias("ride")).select("ride.*")
+    times = {}
+    if "tpepPickupDateTime" in schema.names:
+        times["event_time"] = times["pickup_time"] = epoch_ms_to_ts(F.col("tpepPickupDateTime"))
+    if "tpepDropoffDateTime" in schema.names:
+        times["dropoff_time"] = epoch_ms_to_ts(F.col("tpepDropoffDateTime"))
+    return rides.withColumns(times) if times else rides
 
 
 def malformed_rides(raw: DataFrame) -> DataFrame:

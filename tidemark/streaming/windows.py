@@ -36,7 +36,7 @@ def sliding(
 def sessions(
     df: DataFrame, ts: str, gap: str, keys: Sequence[str], aggregates: Sequence[Column], delay: str = DELAY
 ) -> DataFrame:
-    """Aggregates per session: events of a key less than ``gap`` apart."""
+    """Aggregates per session: events of a key at most ``gap`` apart."""
     return _windowed(df, ts, delay, F.session_window(ts, gap), keys, aggregates)
 
 
