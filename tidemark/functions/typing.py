@@ -10,19 +10,24 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import parse_first
 
 
-# Text that may be a number; anything else is not worth an attempt.
+# Shapes of text that may be a number; nothing else is worth an attempt.
+WHOLE = r"^\s*[+-]?\d+\s*$"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+WHOLE_KINDS = ("tinyint", "smallint", "int", "bigint")
+NUMBER_KINDS = ("float", "double", "decimal")
 
 
 def convert(value: Column, kind: str, formats: Sequence[str] = ()) -> Column:
     """Text ``value`` as ``kind``, NULL where it does not fit.
 
-    A failed conversion to a decimal or double raises and drops an exception per
-    value, which is many times slower than looking at the text first.
+    A failed conversion to a number raises and drops an exception per value,
+    which is many times slower than looking at the text first.
     """
     if formats and kind in ("timestamp", "date"):
         return parse_first(value, formats).cast(kind)
-    if kind.startswith("decimal") or kind in ("double", "float"):
+    if kind in WHOLE_KINDS:
+        return F.when(value.rlike(WHOLE), value.try_cast(kind))
+    if kind.startswith(NUMBER_KINDS):
         return F.when(value.rlike(NUMBER), value.try_cast(kind))
     return value.try_cast(kind)
 
@@ -39,6 +44,11 @@ def standardise(
 ) -> DataFrame:
     """Convert the named columns; each misfit adds ``bad_type:<column>`` to ``errors``."""
     formats = formats or {}
-    converted = {c: convert(F.col(c), kind, formats.get(c, ())) for c, kind in types.items()}
-    codes = [F.when(misfit(F.col(c), new), F.lit(f"bad_type:{c}")) for c, new in converted.items()]
-    return df.withColumns({**converted, errors: F.array_compact(F.array(*codes))})
+    fresh = {f"_new_{c}": convert(F.col(c), kind, formats.get(c, ())) for c, kind in types.items()}
+    # in a step of its own, so that each value is converted once
+    converted = df.withColumns(fresh)
+    codes = [F.when(misfit(F.col(c), F.col(f"_new_{c}")), F.lit(f"bad_type:{c}")) for c in types]
+    return converted.select(
+        *[F.col(f"_new_{c}").alias(c) if c in types else F.col(c) for c in df.columns],
+        F.array_compact(F.array(*codes)).alias(errors),
+    )

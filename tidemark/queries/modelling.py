@@ -8,7 +8,7 @@ from tidemark.operators.calendar import date_spine, with_calendar, with_fiscal
 from tidemark.operators.change_data import as_of, cdc_apply, erase, scd1, scd2, surrogate_key, upsert
 from tidemark.operators.joins import point_in_time
 from tidemark.queries import query
-from tidemark.queries.relational import LINE_AMOUNT_SQL, line_amount
+from tidemark.queries.relational import LINE_AMOUNT_SQL, line_units
 from tidemark.session import table
 
 
@@ -40,7 +40,7 @@ history as (select o_custkey, o_orderpriority, o_orderdate as valid_from,
 )
 def fact_sales(spark, folder):
     lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", line_amount().alias("amount")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", line_units().alias("units")
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
@@ -49,7 +49,7 @@ def fact_sales(spark, folder):
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderdate").alias("order_date"),
-        F.col("amount").cast("double").alias("amount"),
+        (F.col("units").cast("double") / 10000).alias("amount"),
         F.col("l_quantity").alias("quantity"),
     )
 

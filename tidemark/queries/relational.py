@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import hundredths, summable, to_double
 from tidemark.operators.access import keyset_page
 from tidemark.operators.joins import Dimension, enrich, star_join
 from tidemark.operators.marts import monthly_revenue
@@ -13,19 +14,17 @@ from tidemark.operators.sizing import small_side
 from tidemark.queries import query
 from tidemark.session import table
 
-MONEY = "decimal(12,2)"
-
-
-def line_amount():
-    """Net line price as an exact decimal."""
-    return F.col("l_extendedprice").cast(MONEY) * (1 - F.col("l_discount").cast("decimal(4,2)"))
+def line_units():
+    """Net line price in units of 0.0001."""
+    price, discount = hundredths(F.col("l_extendedprice")), hundredths(F.col("l_discount"))
+    return summable(price * (100 - discount))
 
 
 LINE_AMOUNT_SQL = "(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2))))"
 
 
 def money_sum(column: str):
-    return F.sum(F.col(column).cast(MONEY)).cast("double")
+    return to_double(F.sum(summable(hundredths(F.col(column)))), 2)
 
 
 @query(
@@ -102,7 +101,7 @@ def join_left(spark, folder):
 )
 def star_join_sales(spark, folder):
     t = lambda name: table(spark, folder, name)
-    lines = t("lineitem").select("l_orderkey", "l_partkey", line_amount().alias("amount"))
+    lines = t("lineitem").select("l_orderkey", "l_partkey", line_units().alias("units"))
     orders = t("orders").select("o_orderkey", "o_custkey")
     sales = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
     star = star_join(
@@ -115,7 +114,7 @@ def star_join_sales(spark, folder):
         ],
     )
     return star.groupBy("r_name", "c_mktsegment", "p_type").agg(
-        F.count(F.lit(1)).alias("line_count"), F.sum("amount").cast("double").alias("revenue")
+        F.count(F.lit(1)).alias("line_count"), to_double(F.sum("units"), 4).alias("revenue")
     )
 
 
@@ -276,20 +275,20 @@ group by 1, 2
 @query("fact_revenue_monthly", MONTHLY_SQL)
 def fact_revenue_monthly(spark, folder):
     t = lambda name: table(spark, folder, name)
-    lines = t("lineitem").select("l_orderkey", line_amount().alias("amount"))
+    lines = t("lineitem").select("l_orderkey", line_units().alias("units"))
     customer = t("customer").select("c_custkey", "c_mktsegment")
     orders = star_join(
         t("orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         [Dimension(customer, "o_custkey", "c_custkey", "inner")],
     )
     sales = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    monthly = monthly_revenue(sales, "o_orderdate", "c_mktsegment", "amount", "o_orderkey")
+    monthly = monthly_revenue(sales, "o_orderdate", "c_mktsegment", "units", "o_orderkey")
     return monthly.select(
         F.col("month").cast("timestamp_ntz").alias("month"),
         "segment",
-        F.col("total_revenue").cast("double").alias("total_revenue"),
+        to_double(F.col("total_revenue"), 4).alias("total_revenue"),
         "order_count",
-        F.round("avg_order_value", 6).alias("avg_order_value"),
+        F.round(to_double(F.col("total_revenue"), 4) / F.col("order_count"), 6).alias("avg_order_value"),
     )
 
 

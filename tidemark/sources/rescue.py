@@ -57,19 +57,17 @@ def rescue_json(text: DataFrame, schema: T.StructType, value: str = "value") ->
 def rescue_strings(df: DataFrame, schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
     """All-text columns to the types of ``schema``; the rest goes to ``_rescued_data``."""
     have = [c for c in df.columns if c not in carry]
-    typed, kept = [], []
-    for field in schema.fields:
-        if field.name not in have:
-            typed.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
-        raw = F.col(f"`{field.name}`")
-        new = convert(raw, field.dataType.simpleString())
-        typed.append(new.alias(field.name))
-        kept += [F.lit(field.name), F.when(new.isNull(), raw)]
-    known = set(schema.names)
+    known = [f for f in schema.fields if f.name in have]
+    fresh = {f"_new_{f.name}": convert(F.col(f"`{f.name}`"), f.dataType.simpleString()) for f in known}
+    # in a step of its own, so that each value is converted once
+    converted = df.withColumns(fresh)
+    typed = [
+        (F.col(f"`_new_{f.name}`") if f in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields
+    ]
+    kept = []
     for name in have:
-        if name not in known:
-            kept += [F.lit(name), F.col(f"`{name}`")]
-    everything = F.map_filter(F.create_map(*kept), lambda _, v: v.isNotNull()) if kept else None
-    rescued = _rescued_json(everything) if kept else F.lit(None).cast("string")
-    return df.select(*typed, rescued.alias(RESCUED), *carry)
+        raw = F.col(f"`{name}`")
+        lost = F.when(F.col(f"`_new_{name}`").isNull(), raw) if name in schema.names else raw
+        kept += [F.lit(name), lost]
+    everything = F.map_filter(F.create_map(*kept), lambda _, v: v.isNotNull())
+    return converted.select(*typed, _rescued_json(everything).alias(RESCUED), *carry)
