@@ -178,3 +178,52 @@ def test_backfill_is_idempotent(spark, folder):
     for _ in range(2):
         backfill(spark, lake, "1997-03-01", "1997-06-01")
         assert read("fact_sales") == facts and read("fact_revenue_monthly") == mart
+
+
+def test_merge_statement_needs_a_capable_format(spark, folder):
+    name = unique_name("m")
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch.overwrite_table(df, name, f"{folder}/m")
+    with pytest.raises(Exception, match="(?i)merge"):
+        batch.merge_into(df, name, ["k"])
+
+
+def test_statistics_reach_the_catalog(spark, folder):
+    name = unique_name("a")
+    batch.overwrite_table(spark.range(7), name, f"{folder}/a")
+    batch.analyze(spark, name)
+    found = spark.sql(f"DESCRIBE EXTENDED {name} id").where("info_name = 'distinct_count'").first()
+    assert found["info_value"] == "7"
+
+
+def test_returns_by_store_and_reason(spark):
+    from tidemark.operators.calendar import with_calendar
+    from tidemark.operators.marts import returns_analysis
+
+    dates = with_calendar(spark.sql("select 1 as key, date'2025-01-04' as date union all select 2, date'2025-02-28'"))
+    dates = dates.drop("date_sk").withColumnRenamed("key", "date_sk")
+    stores = spark.createDataFrame([(1, "North"), (2, "South")], "store_sk int, region string")
+    products = spark.createDataFrame([(1, "Toys"), (2, "Food")], "product_sk int, department string")
+    returns = spark.createDataFrame(
+        [(1, 1, 1, 1, 2, "Damaged", 10.10), (2, 2, 1, 1, 1, "Damaged", 0.20), (3, 1, 2, 2, 1, "Defective", 5.0)],
+        "sales_id int, date_sk int, store_sk int, product_sk int, returned_qty int, return_reason string, refund_amount double",
+    )
+    by_region = returns_analysis(returns, dates, stores, products, ["region", "return_reason"])
+    assert rows(by_region) == [("North", "Damaged", 2, 3, 10.3), ("South", "Defective", 1, 1, 5.0)]
+    by_month = returns_analysis(returns, dates, stores, products, ["month_name", "department"])
+    assert rows(by_month) == [("February", "Toys", 1, 1, 0.2), ("January", "Food", 1, 1, 5.0), ("January", "Toys", 1, 2, 10.1)]
+
+
+def test_calendar(spark):
+    from tidemark.operators.calendar import date_spine, with_calendar
+
+    span = spark.sql("select date'2024-12-30' as d union all select date'2025-03-31'")
+    days = with_calendar(date_spine(span, "d"))
+    got = {str(r["date"]): r for r in days.collect()}
+    assert len(got) == 92
+    monday, end = got["2024-12-30"], got["2025-03-31"]
+    assert (monday["day_of_week"], monday["is_weekend"], monday["date_sk"]) == (1, False, 20241230)
+    assert end["is_month_end"] and end["is_quarter_end"] and not end["is_quarter_start"]
+    assert got["2025-01-01"]["is_quarter_start"] and got["2025-01-04"]["is_weekend"]
+    assert got["2024-12-31"]["is_quarter_end"] and got["2025-02-28"]["is_month_end"]
+    assert with_calendar(date_spine(span.where("false"), "d")).isEmpty()

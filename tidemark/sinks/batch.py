@@ -76,6 +76,22 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     replace_partitions(upsert(affected, source, keys), path, [partition_by])
 
 
+def merge_into(source: DataFrame, name: str, keys: Sequence[str]) -> None:
+    """Upsert into a catalog table whose format supports MERGE, such as Delta or Iceberg.
+
+    Plain parquet does not; use ``merge_partitions`` or a ``SnapshotTable`` there.
+    """
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(f"{name}.{key}") == F.col(f"source.{key}"))
+    source.alias("source").mergeInto(name, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
+def analyze(spark: SparkSession, name: str) -> None:
+    """Collect row count and column statistics of a catalog table for the optimizer."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
 def land(df: DataFrame, path: str, load_date: str, source_system: str) -> None:
     """Land raw rows by load date and source; landing the same day again replaces it."""
     stamped = df.withColumns({"load_date": F.lit(load_date), "source_system": F.lit(source_system)})
