@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.percentiles import exact_percentiles
-from tidemark.operators.sequences import KeySequence
+from tidemark.operators.sequences import KeySequence, position, ranks
 
 
 @pytest.fixture(scope="module")
@@ -20,12 +20,15 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, k string, at long, v long").cache()
 
 
+ADD_SMALL = dict(row_number="rn", lag={"pv": "v"}, lead={"nv": "v"}, prior_sum={"ps": "v"})
+
+
 def _rows(df):
     return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
 
 
 ADD = dict(
-    row_number="rn", rank="rk", dense_rank="dr",
+    row_number="rn",
     lag={"pv": "v", "pid": "id"}, lead={"nv": "v"},
     prior_sum={"ps": "v"}, prior_count={"pc": "v"}, last_known={"lk": "v"},
 )
@@ -36,17 +39,35 @@ ADD = dict(
 def test_sliced_equals_plain(skewed, order, keys):
     plain = KeySequence(skewed, keys, order, plain_bytes=1 << 60).add(**ADD)
     cut = KeySequence(skewed, keys, order, plain_bytes=0, rows_per_task=100, fan=4)
-    assert cut.sliced and cut.cuts.count() >= 1
+    assert cut.sliced
     assert _rows(cut.add(**ADD)) == _rows(plain)
 
 
-def test_ranks_with_ties(skewed):
-    add = dict(rank="rk", dense_rank="dr")
-    plain = KeySequence(skewed, ["k"], ["at"], plain_bytes=1 << 60).add(**add)
-    cut = KeySequence(skewed, ["k"], ["at"], plain_bytes=0, rows_per_task=50, fan=8).add(**add)
+@pytest.mark.parametrize("order", [["at"], ["-v"], ["v", "at"]])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_ranks_with_ties(skewed, order, keys):
+    plain = ranks(skewed, keys, order, "rk", "dr")
+    cut = ranks(skewed, keys, order, "rk", "dr", plain_bytes=0, rows_per_task=20, fan=4)
     assert _rows(cut) == _rows(plain)
 
 
+def test_ties_are_cut_along_the_next_column(spark):
+    rows = spark.createDataFrame([(0 if i % 3 else i % 5, f"{i * 7919 % 1000:04d}", i) for i in range(1000)], "a int, t string, v long")
+    cut = KeySequence(rows, [], ["a", "t"], plain_bytes=0, rows_per_task=40, fan=4)
+    assert cut.parts == ["_slice0", "_slice1"]
+    sizes = [r["count"] for r in cut.pieces.groupBy(*cut.parts).count().collect()]
+    assert max(sizes) < 250
+    plain = KeySequence(rows, [], ["a", "t"])
+    assert _rows(cut.add(**ADD_SMALL)) == _rows(plain.add(**ADD_SMALL))
+
+
+def test_positions_never_fall(spark):
+    texts = ["", "a", "a\x00", "ab", "abcdefg", "abcdefh", "b", "é", "中"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["p"] for r in df.orderBy("t").select(position(df, F.col("t")).alias("p")).collect()]
+    assert got == sorted(got) and got[0] == 0.0
+
+
 def test_no_hot_key_falls_back_to_plain_window(skewed):
     cut = KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=0, rows_per_task=10**6)
     assert not cut.sliced
@@ -57,10 +78,9 @@ def test_no_hot_key_falls_back_to_plain_window(skewed):
 
 def test_hot_key_gets_several_slices(skewed):
     cut = KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=0, rows_per_task=100, fan=4)
-    placed = cut.with_slices()
-    hot = placed.where(F.col("k") == "hot").groupBy("_slice").count().collect()
-    assert len(hot) > 5
-    assert placed.where("k = 'k1' and _slice is not null").isEmpty()
+    hot = cut.pieces.where(F.col("k") == "hot").groupBy("_slice0").count().collect()
+    assert len(hot) > 5 and cut.parts == ["_slice0"]
+    assert cut.pieces.where("k = 'k1' and _slice0 is not null").isEmpty()
 
 
 @pytest.mark.parametrize("keys", [["k"], []])

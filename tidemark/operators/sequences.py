@@ -3,12 +3,13 @@
 A window function sorts all rows of a key inside one task. That is fine until one
 key holds a third of a huge table. ``KeySequence`` keeps the plain window while
 the whole input is small enough for any one task. Beyond that, it cuts the rows
-of every key above ``rows_per_task`` into slices along the leading order column,
-runs the window per (key, slice), and carries counts, sums and edge rows between
-slices in a table with one row per slice. Slices are a monotone function of the
-order column, so results equal those of the plain window exactly. The pieces,
-the cut points and the carried table are written to the shared folder: later
-steps read them instead of computing the input again.
+of every key above ``rows_per_task`` into slices along the leading order column
+(and a slice of equal values along the next one), runs the window per slice, and
+carries counts, sums and edge rows between slices in a table with one row per
+slice. Slices are a monotone function of the order columns, so results equal
+those of the plain window exactly. Pieces, cut points and the carried table are
+written to the shared folder: later steps read them instead of computing the
+input again.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ from tidemark.operators.sizing import estimated_bytes, small_side, stored
 PLAIN_BYTES = 256 * 1024 * 1024
 ROWS_PER_TASK = 20_000_000
 FAN = 64
+# a slice may exceed its share by the error of the quantiles; only ties make it this large
+TIED = 4
+
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
 def ascending(df: DataFrame, order: Sequence[str]) -> list[Column]:
@@ -36,20 +41,26 @@ def ascending(df: DataFrame, order: Sequence[str]) -> list[Column]:
         kind = df.schema[name[1:]].dataType
         if isinstance(kind, T.NumericType):
             terms.append(-F.col(name[1:]))
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        elif isinstance(kind, _TIMES):
             terms.append(-F.unix_micros(F.col(name[1:]).cast("timestamp")))
         else:
             raise TypeError(f"cannot reverse the order of {name[1:]}: {kind.simpleString()}")
     return terms
 
 
-def _as_number(df: DataFrame, term: Column) -> Column:
+def position(df: DataFrame, term: Column) -> Column:
+    """A double that never falls as ``term`` rises; for text, its first six bytes."""
     kind = df.select(term.alias("t")).schema["t"].dataType
     if isinstance(kind, T.NumericType):
         return term.cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if isinstance(kind, T.BooleanType):
+        return term.cast("int").cast("double")
+    if isinstance(kind, _TIMES):
         return F.unix_micros(term.cast("timestamp")).cast("double")
-    raise TypeError(f"the leading order column must be a number or a time, not {kind.simpleString()}")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        start = F.hex(F.substring(term.cast("binary"), 1, 6))
+        return F.conv(F.rpad(start, 12, "0"), 16, 10).cast("double")
+    raise TypeError(f"cannot order by {kind.simpleString()}")
 
 
 def _same_key(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -67,7 +78,7 @@ class KeySequence:
     """Rows of each key of ``df`` in one total order.
 
     ``like`` reuses the cut points of another sequence with the same keys and
-    leading order column, for a subset of its rows.
+    order, for a subset of its rows.
     """
 
     def __init__(
@@ -85,20 +96,101 @@ class KeySequence:
         self.order = list(order)
         self.rows_per_task = rows_per_task
         self.fan = fan
-        self.cuts = like.cuts if like else None
-        if like:
-            self.sliced = like.sliced
-        else:
-            self.sliced = estimated_bytes(df) > plain_bytes
-            if self.sliced:
-                self.cuts = self.hot_keys()
-                self.sliced = self.cuts is not None
+        self.cuts: list[tuple[DataFrame, int]] = []
+        self.pieces = df
+        if like is not None:
+            for cuts, number in like.cuts:
+                self._place(cuts, number)
+        elif estimated_bytes(df) > plain_bytes:
+            self._cut()
+
+    @property
+    def sliced(self) -> bool:
+        return bool(self.cuts)
+
+    @property
+    def parts(self) -> list[str]:
+        """Names of the slice columns of ``pieces``; NULL where there was nothing to cut."""
+        return [f"_slice{i}" for i in range(len(self.cuts))]
+
+    def _cut(self) -> None:
+        """Cut hot keys along the first order column, twice if need be, then ties along the next."""
+        for number in range(len(self.order)):
+            for _ in range(2):
+                hot = self._hot_groups(number)
+                if hot.isEmpty():
+                    return
+                hot = hot.where("_cuttable")
+                if not hot.isEmpty():
+                    self._place(self._cut_points(hot, number), number)
+
+    def _hot_groups(self, number: int) -> DataFrame:
+        """Groups with too many rows for one task, and whether they can be cut along a column.
+
+        They can if the column varies and all columns before it do not. There are
+        at most rows / rows_per_task such groups.
+        """
+        keys = [*self.keys, *self.parts]
+        terms = ascending(self.df, self.order)
+        limit = self.rows_per_task * (TIED if self.cuts else 1)
+        rows = self.pieces.select(
+            *keys,
+            *[term.alias(f"_t{i}") for i, term in enumerate(terms[:number])],
+            position(self.df, terms[number]).alias("_p"),
+        )
+        tests = [F.min("_p") < F.max("_p")]
+        for i in range(number):
+            same = (F.count(f"_t{i}") == F.count(F.lit(1))) & (F.min(f"_t{i}") == F.max(f"_t{i}"))
+            tests.append((F.count(f"_t{i}") == 0) | same)
+        cuttable = tests[0]
+        for test in tests[1:]:
+            cuttable = cuttable & test
+        sizes = rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"), F.coalesce(cuttable, F.lit(False)).alias("_cuttable")
+        )
+        return stored(_prefixed(sizes.where(F.col("_n") > limit), keys), "hot-keys")
+
+    def _cut_points(self, hot: DataFrame, number: int) -> DataFrame:
+        """About rows / rows_per_task cut points of each hot group along an order column.
+
+        They are stored, since approximate quantiles may differ from one run of a
+        plan to the next.
+        """
+        keys = [*self.keys, *self.parts]
+        term = ascending(self.df, self.order)[number]
+        cells = self.fan * self.fan
+        grid = [i / cells for i in range(1, cells)]
+        rows = self.pieces.select(*keys, position(self.df, term).alias("_p"))
+        rows = rows.join(small_side(hot), _same_key(rows, hot, keys), "inner")
+        named = [f"_r_{k}" for k in keys]
+        measured = rows.groupBy(*named, "_n").agg(F.percentile_approx("_p", grid, 10 * cells).alias("_grid"))
+        step = F.greatest(F.lit(1), F.floor(F.lit(float(cells) * self.rows_per_task) / F.col("_n"))).cast("int")
+        cuts = measured.select(*named, F.filter("_grid", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
+        # a lookup first finds a block of cuts, then the place inside the block
+        block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_cuts")))).cast("int")
+        ends = F.filter("_cuts", lambda _, i: i % F.col("_block") == F.col("_block") - 1)
+        return stored(cuts.withColumn("_block", block).withColumn("_ends", ends), "cuts")
+
+    def _place(self, cuts: DataFrame, number: int) -> None:
+        """Add the next slice column: a number in groups that have cuts, NULL in all others."""
+        keys = [*self.keys, *self.parts]
+        term = ascending(self.df, self.order)[number]
+        placed = self.pieces.withColumn("_p", position(self.df, term))
+        placed = placed.join(small_side(cuts), _same_key(placed, cuts, keys), "left")
+
+        def below(points):
+            return F.size(F.filter(points, lambda point: point < F.col("_p")))
+
+        blocks = below(F.col("_ends"))
+        inside = below(F.slice("_cuts", blocks * F.col("_block") + 1, F.col("_block")))
+        place = F.when(F.col("_p").isNull(), F.lit(-1)).otherwise(blocks * F.col("_block") + inside)
+        slice_number = F.when(F.col("_cuts").isNotNull(), place).alias(f"_slice{len(self.cuts)}")
+        self.pieces = stored(placed.select(*self.pieces.columns, slice_number), "slices")
+        self.cuts.append((cuts, number))
 
     def add(
         self,
         row_number: str | None = None,
-        rank: str | None = None,
-        dense_rank: str | None = None,
         lag: Mapping[str, str] | None = None,
         lead: Mapping[str, str] | None = None,
         prior_sum: Mapping[str, str] | None = None,
@@ -111,28 +203,25 @@ class KeySequence:
         current one, as a frame that ends at ``1 PRECEDING`` does. ``last_known``
         is the newest non-NULL value up to and including the current row.
         """
-        wanted = dict(
-            row_number=row_number,
-            rank=rank,
-            dense_rank=dense_rank,
-            lag=dict(lag or {}),
-            lead=dict(lead or {}),
-            prior_sum=dict(prior_sum or {}),
-            prior_count=dict(prior_count or {}),
-            last_known=dict(last_known or {}),
-        )
+        wanted = {
+            "row_number": row_number,
+            "lag": dict(lag or {}),
+            "lead": dict(lead or {}),
+            "prior_sum": dict(prior_sum or {}),
+            "prior_count": dict(prior_count or {}),
+            "last_known": dict(last_known or {}),
+        }
         if not self.sliced:
-            return self.df.withColumns(self._windowed(self.df, self.keys, wanted))
-        return self._add_sliced(stored(self.with_slices(), "slices"), wanted)
+            return self.df.withColumns(self._windowed(self.keys, wanted))
+        return self._add_sliced(wanted)
 
-    def _windowed(self, df: DataFrame, keys: Sequence[str], wanted: dict) -> dict[str, Column]:
-        w = Window.partitionBy(*keys).orderBy(*ascending(df, self.order))
+    def _windowed(self, keys: Sequence[str], wanted: dict) -> dict[str, Column]:
+        w = Window.partitionBy(*keys).orderBy(*ascending(self.df, self.order))
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out: dict[str, Column] = {}
-        for kind, function in (("row_number", F.row_number), ("rank", F.rank), ("dense_rank", F.dense_rank)):
-            if wanted[kind]:
-                out[wanted[kind]] = function().over(w).cast("bigint")
+        if wanted["row_number"]:
+            out[wanted["row_number"]] = F.row_number().over(w).cast("bigint")
         out |= {new: F.lag(old).over(w) for new, old in wanted["lag"].items()}
         out |= {new: F.lead(old).over(w) for new, old in wanted["lead"].items()}
         out |= {new: F.sum(old).over(before) for new, old in wanted["prior_sum"].items()}
@@ -140,107 +229,82 @@ class KeySequence:
         out |= {new: F.last(old, ignorenulls=True).over(so_far) for new, old in wanted["last_known"].items()}
         return out
 
-    def hot_keys(self) -> DataFrame | None:
-        """Cut points of every key above ``rows_per_task``; None if there is no such key.
-
-        They are kept in the shared folder, since approximate quantiles may differ
-        from one run of a plan to the next. There are at most rows / rows_per_task
-        hot keys, and a key has about its rows / rows_per_task cuts.
-        """
-        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-        sizes = stored(_prefixed(sizes.where(F.col("_n") > self.rows_per_task), self.keys), "hot-keys")
-        if sizes.isEmpty():
-            return None
-        position = _as_number(self.df, ascending(self.df, self.order)[0])
-        cells = self.fan * self.fan
-        grid = [i / cells for i in range(1, cells)]
-        rows = self.df.select(*self.keys, position.alias("_p"))
-        rows = rows.join(small_side(sizes), _same_key(rows, sizes, self.keys), "inner")
-        keys = [f"_r_{k}" for k in self.keys]
-        measured = rows.groupBy(*keys, "_n").agg(F.percentile_approx("_p", grid, 10 * cells).alias("_grid"))
-        step = F.greatest(F.lit(1), F.floor(F.lit(float(cells) * self.rows_per_task) / F.col("_n"))).cast("int")
-        cuts = measured.select(*keys, F.filter("_grid", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
-        # a lookup first finds a block of cuts, then the place inside the block
-        block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_cuts")))).cast("int")
-        ends = F.filter("_cuts", lambda _, i: i % F.col("_block") == F.col("_block") - 1)
-        return stored(cuts.withColumn("_block", block).withColumn("_ends", ends), "cuts")
-
-    def with_slices(self) -> DataFrame:
-        """``df`` plus ``_slice``: NULL for ordinary keys, a number for hot ones."""
-        position = _as_number(self.df, ascending(self.df, self.order)[0])
-        placed = self.df.withColumn("_p", position)
-        placed = placed.join(small_side(self.cuts), _same_key(placed, self.cuts, self.keys), "left")
-        below = lambda cuts: F.size(F.filter(cuts, lambda cut: cut < F.col("_p")))
-        blocks = below(F.col("_ends"))
-        inside = below(F.slice("_cuts", blocks * F.col("_block") + 1, F.col("_block")))
-        place = F.when(F.col("_p").isNull(), F.lit(0)).otherwise(blocks * F.col("_block") + inside)
-        # ordinary keys have no cuts and stay in one piece
-        return placed.select(*self.df.columns, F.when(F.col("_cuts").isNotNull(), place).alias("_slice"))
-
-    def _add_sliced(self, pieces: DataFrame, wanted: dict) -> DataFrame:
-        keys = [*self.keys, "_slice"]
-        local_names = dict(wanted, row_number="_rn")
-        local = pieces.withColumns(self._windowed(pieces, keys, local_names))
-
-        order = ascending(self.df, self.order)
+    def _carry(self, wanted: dict) -> DataFrame:
+        """What each slice of a hot key takes over from the slices around it."""
+        keys = [*self.keys, *self.parts]
+        order = F.struct(*ascending(self.df, self.order))
         edges = sorted({*wanted["lag"].values(), *wanted["lead"].values()})
         edge = F.struct(*[F.col(c).alias(c) for c in edges], F.lit(0).alias("_pad"))
         measures = [F.count(F.lit(1)).alias("_n")]
         if edges:
-            measures += [
-                F.min_by(edge, F.struct(*order)).alias("_first"),
-                F.max_by(edge, F.struct(*order)).alias("_last"),
-            ]
-        if wanted["dense_rank"]:
-            measures.append(F.countDistinct(F.struct(*order)).alias("_distinct"))
+            measures += [F.min_by(edge, order).alias("_first"), F.max_by(edge, order).alias("_last")]
         measures += [F.sum(old).alias(f"_s_{new}") for new, old in wanted["prior_sum"].items()]
         measures += [F.count(old).alias(f"_c_{new}") for new, old in wanted["prior_count"].items()]
         for new, old in wanted["last_known"].items():
-            known = F.when(F.col(old).isNotNull(), F.struct(*order))
+            known = F.when(F.col(old).isNotNull(), order)
             measures.append(F.max_by(old, known).alias(f"_k_{new}"))
-        summary = pieces.where(F.col("_slice").isNotNull()).groupBy(*keys).agg(*measures)
+        summary = self.pieces.where(F.coalesce(*self.parts).isNotNull()).groupBy(*keys).agg(*measures)
 
-        w = Window.partitionBy(*self.keys).orderBy("_slice")
+        w = Window.partitionBy(*self.keys).orderBy(*self.parts)
         before = w.rowsBetween(Window.unboundedPreceding, -1)
-        carried = {"_o_n": F.sum("_n").over(before)}
+        carried = {"_size": F.col("_n"), "_o_n": F.sum("_n").over(before)}
         if edges:
             carried |= {"_o_prev": F.lag("_last").over(w), "_o_next": F.lead("_first").over(w)}
-        if wanted["dense_rank"]:
-            carried["_o_distinct"] = F.sum("_distinct").over(before)
-        for new in wanted["prior_sum"]:
-            carried[f"_o_s_{new}"] = F.sum(f"_s_{new}").over(before)
-        for new in wanted["prior_count"]:
-            carried[f"_o_c_{new}"] = F.sum(f"_c_{new}").over(before)
-        for new in wanted["last_known"]:
-            carried[f"_o_k_{new}"] = F.last(f"_k_{new}", ignorenulls=True).over(before)
-        carry = _prefixed(
-            summary.withColumns(carried).select(*keys, F.col("_n").alias("_size"), *carried), keys
-        )
+        carried |= {f"_o_s_{new}": F.sum(f"_s_{new}").over(before) for new in wanted["prior_sum"]}
+        carried |= {f"_o_c_{new}": F.sum(f"_c_{new}").over(before) for new in wanted["prior_count"]}
+        carried |= {f"_o_k_{new}": F.last(f"_k_{new}", ignorenulls=True).over(before) for new in wanted["last_known"]}
+        return stored(_prefixed(summary.withColumns(carried).select(*keys, *carried), keys), "carry")
 
-        # one row per slice of a hot key
-        carry = stored(carry, "carry")
+    def _add_sliced(self, wanted: dict) -> DataFrame:
+        keys = [*self.keys, *self.parts]
+        local = self.pieces.withColumns(self._windowed(keys, wanted | {"row_number": "_rn"}))
+        carry = self._carry(wanted)
         joined = local.join(small_side(carry), _same_key(local, carry, keys), "left")
-        offset = F.coalesce(F.col("_o_n"), F.lit(0))
         out: dict[str, Column] = {}
         if wanted["row_number"]:
-            out[wanted["row_number"]] = F.col("_rn") + offset
-        if wanted["rank"]:
-            out[wanted["rank"]] = F.col(wanted["rank"]) + offset
-        if wanted["dense_rank"]:
-            out[wanted["dense_rank"]] = F.col(wanted["dense_rank"]) + F.coalesce("_o_distinct", F.lit(0))
+            out[wanted["row_number"]] = F.col("_rn") + F.coalesce("_o_n", F.lit(0))
         for new, old in wanted["lag"].items():
             out[new] = F.when(F.col("_rn") == 1, F.col(f"_o_prev.{old}")).otherwise(F.col(new))
         for new, old in wanted["lead"].items():
             out[new] = F.when(F.col("_rn") == F.col("_size"), F.col(f"_o_next.{old}")).otherwise(F.col(new))
         for new in wanted["prior_sum"]:
-            parts = F.col(new), F.col(f"_o_s_{new}")
-            zero = F.lit(0)
-            out[new] = F.when(
-                parts[0].isNotNull() | parts[1].isNotNull(),
-                F.coalesce(parts[0], zero) + F.coalesce(parts[1], zero),
-            )
+            here, earlier = F.col(new), F.col(f"_o_s_{new}")
+            either = F.coalesce(here, F.lit(0)) + F.coalesce(earlier, F.lit(0))
+            out[new] = F.when(here.isNotNull() | earlier.isNotNull(), either)
         for new in wanted["prior_count"]:
             out[new] = F.col(new) + F.coalesce(f"_o_c_{new}", F.lit(0))
         for new in wanted["last_known"]:
             out[new] = F.coalesce(new, f"_o_k_{new}")
         return joined.withColumns(out).select(*self.df.columns, *out)
+
+
+def ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rank: str | None = None,
+    dense_rank: str | None = None,
+    plain_bytes: int = PLAIN_BYTES,
+    **slicing,
+) -> DataFrame:
+    """Add ``rank`` and ``dense_rank`` of each row within its key.
+
+    Rows that tie share a rank, so for large inputs the ranks are worked out on
+    the distinct order values, counted before the shuffle, and joined back: no
+    task has to hold the rows of one key or of one value.
+    """
+    keys = list(keys)
+    if estimated_bytes(df) <= plain_bytes:
+        w = Window.partitionBy(*keys).orderBy(*ascending(df, order))
+        functions = {rank: F.rank, dense_rank: F.dense_rank}
+        return df.withColumns({name: f().over(w).cast("bigint") for name, f in functions.items() if name})
+    columns = [name.removeprefix("-") for name in order]
+    values = df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_n"))
+    placed = KeySequence(values, keys, order, plain_bytes, **slicing).add(
+        row_number="_dense", prior_sum={"_before": "_n"}
+    )
+    groups = [*keys, *columns]
+    table = _prefixed(stored(placed, "ranks"), groups)
+    joined = df.join(small_side(table), _same_key(df, table, groups), "left")
+    found = {rank: F.coalesce("_before", F.lit(0)) + 1, dense_rank: F.col("_dense")}
+    return joined.select(*df.columns, *[c.cast("bigint").alias(name) for name, c in found.items() if name])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import bucket_by_edges, duration_regression, growth_alert, ntile, ratio_to_total
-from tidemark.operators.sequences import KeySequence
+from tidemark.operators.sequences import KeySequence, ranks
 from tidemark.queries import query
 from tidemark.session import table
 
@@ -44,9 +44,7 @@ def win_rank(spark, folder):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_shipdate"
     )
-    return KeySequence(lines, ["l_suppkey"], ["-l_quantity"]).add(
-        rank="quantity_rank", dense_rank="quantity_dense_rank"
-    )
+    return ranks(lines, ["l_suppkey"], ["-l_quantity"], "quantity_rank", "quantity_dense_rank")
 
 
 @query(
