@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         .appName("tidemark-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.default.parallelism", "2")  # tiny inputs: fewer tasks, faster tests
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "shared"))
         .getOrCreate()
