@@ -218,6 +218,7 @@ def test_rows_can_be_transformed_before_the_sink(spark, folder):
     big = again.read_stream().where("n > 15").select("id", "_rescued_data")
     again.write_to_table(big, name, trigger_type="availableNow").awaitTermination()
     assert rows(spark.table(name)) == [(2, None), (3, '{"new":"x"}')]
+    assert "new" in again.read_stream(refresh=True).columns
     evolving = make(spark, folder, "json")
     evolving.write_to_path(output_path=f"{folder}/out", trigger_type="availableNow", transform=lambda d: d.where("n > 15"))
     evolving.await_termination()

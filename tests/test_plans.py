@@ -9,7 +9,7 @@ from tidemark.operators.joins import Dimension, star_join
 from tidemark.operators.sizing import estimated_bytes, settled, small_side
 import __spark_entry__  # noqa: F401  registers the queries
 from tidemark.queries import QUERIES
-from tidemark.session import scratch, shared_folder, table
+from tidemark.session import scratch, shared_folder, shuffle_partitions, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,6 +75,12 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch(spark, "a") != scratch(spark, "a")
 
 
+def test_shuffle_partitions_follow_the_input():
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(10 * 2**30, 8) == 40
+    assert shuffle_partitions(100 * 2**40, 4000) == 100_000
+
+
 def test_rides_prune(spark):
     frame = table(spark, SF, "events").groupBy("event_type").agg(F.sum("value"))
     assert "ReadSchema: struct<event_type:string,value:double>" in plan(frame)

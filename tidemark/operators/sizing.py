@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+# of files or rows as estimated; the hash table of a broadcast is several times larger
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -7,6 +7,9 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import is_local, size_shuffles, tune
+from tidemark.sinks.paths import total_bytes
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,10 +22,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register ``function(spark, folder)`` under ``name``."""
 
     def register(function: Query) -> Query:
-        from tidemark.session import tune
-
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return function(tune(spark), folder)
+            tune(spark)
+            if not is_local(spark):
+                size_shuffles(spark, total_bytes(spark, folder))
+            return function(spark, folder)
 
         QUERIES[name] = run
         if sql:

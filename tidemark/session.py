@@ -49,6 +49,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions that keep a partition of the whole input near 256 MB."""
+    by_size = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    return max(cores, min(MOST_SHUFFLE_PARTITIONS, by_size))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Let shuffles of a large job start with enough partitions; AQE merges small ones.
+
+    The default of 200 would put 500 GB into each partition of a 100 TB shuffle,
+    and AQE cannot split the partitions of an aggregation or a window.
+    """
+    count = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: the cluster's ``spark.checkpoint.dir``.
 

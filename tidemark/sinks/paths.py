@@ -48,3 +48,9 @@ def read_small(spark: SparkSession, uri: str) -> str:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def total_bytes(spark: SparkSession, uri: str) -> int:
+    """Bytes of all files below ``uri``, from the file system's own summary."""
+    fs, path = _open(spark, uri)
+    return fs.getContentSummary(path).getLength()

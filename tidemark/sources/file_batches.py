@@ -67,6 +67,20 @@ class FileBatch:
         readers: dict[str, Callable[[list[str]], DataFrame]] = {"csv": self._csv, "json": self._json}
         return readers.get(self.fmt, self._by_name)(list(files))
 
+    def discover(self, path: str, recursive: bool = True) -> T.StructType:
+        """Log and return the schema of everything that is in a directory now."""
+        reader = self._reader().option("recursiveFileLookup", recursive)
+        if self.fmt in ("csv", "json"):
+            reader = reader.option("samplingRatio", self.sampling_ratio)
+        if self.fmt == "csv":
+            reader = reader.option("header", True).option("inferSchema", self.infer_schema)
+        elif self.fmt == "json":
+            reader = reader.option("primitivesAsString", not self.infer_schema)
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        else:
+            reader = reader.option("mergeSchema", True)
+        return self.log.evolve(reader.format(self.fmt).load(path).schema, self.fmt in ("csv", "json"))
+
     def _schema(self, infer: Callable[[], T.StructType], widen: bool = True) -> T.StructType:
         """The logged schema, grown by what ``infer`` finds if growing is allowed."""
         known = self.log.latest()
@@ -77,7 +91,7 @@ class FileBatch:
     def _as_text(self, names: Sequence[str]) -> T.StructType:
         return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
-    def _checked(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    def checked(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         """Apply the malformed-record policy to a frame that carries ``_corrupt_record``."""
         if self.mode == "DROPMALFORMED":
             return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -99,7 +113,7 @@ class FileBatch:
         schema = self._schema(infer)
         if not self.add_new_columns:
             rescued = rescue_json(self.spark.read.text(files), schema)
-            return self._checked(rescued, [*schema.names, RESCUED])
+            return self.checked(rescued, [*schema.names, RESCUED])
         return self._typed(self._reader(), schema).json(files)
 
     def _typed(self, reader, schema: T.StructType):
@@ -139,7 +153,7 @@ class FileBatch:
             text = T.StructType([*self._as_text(names).fields, T.StructField(CORRUPT, T.StringType())])
             strings = reader.schema(text).option("columnNameOfCorruptRecord", CORRUPT).csv(members)
             rescued = rescue_strings(strings, schema, carry=[CORRUPT])
-            return self._checked(rescued, [*schema.names, RESCUED])
+            return self.checked(rescued, [*schema.names, RESCUED])
         in_file = T.StructType([schema[n] for n in names])
         rows = self._typed(reader, in_file).csv(members)
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names]

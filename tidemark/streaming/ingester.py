@@ -93,28 +93,23 @@ class FileIngester:
         files = self.spark.readStream.format("binaryFile").schema(listing).options(**self._options())
         return files.load(self.config.source_path).select("path", "modificationTime", "length")
 
-    def _present_files(self) -> list[str]:
-        """Up to one micro-batch of the files that are there now."""
-        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", self.config.recursive)
-        found = listing.load(self.config.source_path).select("path").limit(self._files_per_batch())
-        return [r["path"] for r in found.collect()]
-
-    def read_stream(self) -> DataFrame:
-        """Typed rows with the schema logged so far, or inferred from the files present.
+    def read_stream(self, refresh: bool = False) -> DataFrame:
+        """Typed rows with the logged schema, or at first with that of the files present.
 
         Handed to a writer unchanged, it is ingested file by file and may gain
-        columns on the way. A DataFrame derived from it keeps this schema until
-        the next start; JSON fields that are new by then wait in ``_rescued_data``.
+        columns on the way; a writer that gets no DataFrame does the same and
+        saves the look at all files. A DataFrame derived from it keeps this schema,
+        and JSON fields that are new wait in ``_rescued_data``, until a start with
+        ``refresh``, which infers from the whole directory again.
         """
         schema = self.log.latest()
-        if schema is None:
-            self.batches.read(self._present_files())
-            schema = self.log.latest()
+        if schema is None or refresh:
+            schema = self.batches.discover(self.config.source_path, self.config.recursive)
         reader = self.spark.readStream.options(**self._options())
         fmt = self.config.file_format.lower()
         if fmt == "json":
             rows = rescue_json(reader.text(self.config.source_path), schema)
-            rows = self.batches._checked(rows, rows.columns[:-1])
+            rows = self.batches.checked(rows, rows.columns[:-1])
         elif fmt == "csv":
             # a header that differs from the schema is an error, not a mix-up of columns
             options = {"header": "true", "enforceSchema": "false", "mode": self.config.mode}
