@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +93,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def together(*jobs: Callable[[], object]) -> None:
+    """Run independent Spark jobs at the same time; the first error is raised after all have ended.
+
+    Small writes leave most of a cluster idle when they run one after the other.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        started = [pool.submit(job) for job in jobs]
+    for job in started:
+        job.result()
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
