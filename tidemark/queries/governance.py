@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.masking import EMAIL, SSN, mask_for_role, mask_pii, tokenize
-from tidemark.operators.access import columns_for_role, rows_for_role
+from tidemark.operators.access import columns_for_role, reachable, rows_for_role
 from tidemark.operators.sizing import small_side
 from tidemark.queries import query
 from tidemark.session import table
@@ -54,3 +54,21 @@ def column_security(spark, folder):
     granted += [("owner", c) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
     policy = spark.createDataFrame(granted, "role string, column_name string")
     return columns_for_role(table(spark, folder, "customer"), policy, "analyst")
+
+
+@query(
+    "lineage_impact",
+    """select n_name as "table", 1 as distance from nation join region on n_regionkey = r_regionkey where r_name = 'ASIA'
+       union all
+       select s_name, 2 from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+       where r_name = 'ASIA'""",
+)
+def lineage_impact(spark, folder):
+    """Everything upstream of one region, over edges supplier -> nation -> region."""
+    nation, region, supplier = (table(spark, folder, n) for n in ("nation", "region", "supplier"))
+    to_region = nation.join(small_side(region), nation["n_regionkey"] == region["r_regionkey"])
+    to_nation = supplier.join(small_side(nation), supplier["s_nationkey"] == nation["n_nationkey"])
+    edges = to_region.select(F.col("n_name").alias("source"), F.col("r_name").alias("target")).unionByName(
+        to_nation.select(F.col("s_name").alias("source"), F.col("n_name").alias("target"))
+    )
+    return reachable(edges, "ASIA", upstream=True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.calendar import date_spine, with_calendar, with_fiscal
-from tidemark.operators.change_data import as_of, cdc_apply, erase, scd1, scd2, surrogate_key, upsert
+from tidemark.operators.change_data import as_of, cdc_apply, erase, scd1, scd2, scd2_apply, surrogate_key, upsert
 from tidemark.operators.joins import point_in_time
+from tidemark.operators.sizing import small_side
 from tidemark.queries import query
 from tidemark.queries.relational import LINE_AMOUNT_SQL, line_units
 from tidemark.session import table
@@ -211,3 +212,19 @@ def dim_date(spark, folder):
 def dim_date_fiscal(spark, folder):
     days = with_fiscal(date_spine(table(spark, folder, "orders"), "o_orderdate"))
     return days.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
+@query(
+    "scd2_incremental",
+    f"""with {HISTORY_SQL}
+       select o_custkey, o_orderpriority, valid_from, valid_to, valid_to is null as is_current from history""",
+)
+def scd2_incremental(spark, folder):
+    """A dimension built from the orders before 1999, then brought up to date for customers that ordered later."""
+    changes = order_changes(spark, folder)
+    late = F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    shape = ("o_custkey", "o_orderdate", "o_orderkey", ["o_orderpriority"])
+    dimension = scd2(changes.where(~late), *shape)
+    touched = changes.where(late).select("o_custkey").distinct()
+    log = changes.join(small_side(touched), "o_custkey", "left_semi")
+    return scd2_apply(dimension, scd2(log, *shape), "o_custkey")

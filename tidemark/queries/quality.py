@@ -239,3 +239,11 @@ def dq_scorecard(spark, folder):
         "meets_target",
         *[F.round(c, 9).alias(c) for c in ("score", "previous_score", "trend")],
     )
+
+
+@query("dq_file_integrity", "select count(*) as row_count, cast(0 as bigint) as empty_files from lineitem")
+def dq_file_integrity(spark, folder):
+    files = dq.file_integrity(table(spark, folder, "lineitem"))
+    return files.agg(
+        F.sum("row_count").alias("row_count"), F.count_if(F.col("file_size") <= 0).alias("empty_files")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.ride_kpis import KpiSinks, start_ride_kpis
+from tidemark.plans.ride_kpis import KpiSinks, run_ride_windows, start_ride_kpis
 from tidemark.queries import query
 from tidemark.session import scratch, table
 from tidemark.sinks.snapshot import SnapshotTable
@@ -190,3 +190,22 @@ def stream_update_upsert(spark, folder):
     target = SnapshotTable(spark, scratch(spark, "user-totals"))
     await_all([upsert_snapshot(totals, target, ["user_id"], f"{target.path}-checkpoint", trigger="availableNow")])
     return plain_times(target.read()).withColumn("amount", F.col("amount").cast("double"))
+
+
+@query(
+    "stream_ride_windows",
+    """with rides as (select distinct event_type, user_id, value, epoch_us(ts) // 1000 as ms, date_trunc('second', ts)::timestamp as began from events),
+            w as (select time_bucket(interval 1 hour, began) as window_start, event_type as "vendorID",
+                         round(cast(sum(cast(value as decimal(12,2))) as double), 2) as "totalAmount", count(*) as trips
+                  from rides group by 1, 2)
+       select window_start, window_start + interval 1 hour as window_end, "vendorID", "totalAmount", trips from w
+       where window_start + interval 1 hour <= (select max(began) - interval 10 minute from rides)""",
+)
+def stream_ride_windows(spark, folder):
+    """The ride log, in which every record occurs twice, straight to hourly gold rows."""
+    records = ride_records(spark, folder)
+    log = scratch(spark, "ride-log")
+    records.unionByName(records).write.text(log)
+    path = scratch(spark, "ride-windows")
+    await_all([run_ride_windows(spark, EventLog("text", log), path)])
+    return plain_times(spark.read.parquet(path)).withColumn("totalAmount", F.round("totalAmount", 2))
