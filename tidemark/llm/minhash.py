@@ -30,7 +30,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -216,53 +215,87 @@ def _across(buckets: DataFrame, similar: int, least: float) -> DataFrame:
     sizes = buckets.groupBy("band").agg(F.count("*").alias("rows"))
     cut = buckets.join(sizes, "band").withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
     cut = cut.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    one = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j")))
-    rows = cut.withColumn("pair", F.explode(one)).select("band", "pair.i", "pair.j", "block", "cid", "label", "bits", "bands", "shingles")
-
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        band, i, j = key
-        frame = frame.sort_values("cid", ignore_index=True)
-        cid, label, block = (frame[c].to_numpy() for c in ("cid", "label", "block"))
-        bits = np.frombuffer(b"".join(frame["bits"]), np.uint64).reshape(len(frame), -1)
-        bands = np.stack(frame["bands"].to_numpy())
-        sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
-        lengths = np.array([len(x) for x in sets])
-        group = {x: x for x in label.tolist()}
-
-        def find(x: int) -> int:
-            while group[x] != x:
-                group[x] = x = group[group[x]]
-            return x
-
-        todo = []
-        for x in range(len(frame)):
-            others = np.flatnonzero((label != label[x]) & (np.arange(len(frame)) > x))
-            if i != j:
-                others = others[block[others] != block[x]]
-            near = 100 * np.minimum(lengths[others], lengths[x]) >= similar * np.maximum(lengths[others], lengths[x])
-            others = others[near]
-            if not len(others):
-                continue
-            guess = estimates(bits[others], bits[x])
-            others, guess = others[guess >= least], guess[guess >= least]
-            if not len(others):
-                continue
-            # a pair belongs to one of the bands that it shares
-            shared = bands[others] == bands[x]
-            turn = (cid[others] ^ cid[x]).astype(np.uint64) % np.uint64(bands.shape[1])
-            order = (np.arange(bands.shape[1])[None, :] - turn[:, None].astype(np.int64)) % bands.shape[1]
-            mine = np.where(shared, order, bands.shape[1]).argmin(1)
-            own = bands[x][mine] == band
-            todo += [(-g, x, int(y)) for g, y in zip(guess[own], others[own])]
-        found = []
-        for _, x, y in sorted(todo):
+    other = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda n: F.struct(F.least("block", n).alias("i"), F.greatest("block", n).alias("j")),
+    )
+    rows = cut.withColumn("pair", F.explode(other)).select("band", "pair.i", "pair.j", *IN_BUCKET)
+    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def run(batches):
+        # most buckets hold two or three classes: they are told apart here, a group call each would cost more than its work
+        task, held = None, []
+        for batch in batches:
+            found = []
+            for band, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, i, j) != task:
+                    if held:
+                        found += links_across(*task, held, similar, least)
+                    task, held = (band, i, j), []
+                held.append(row)
+            if found:
+                yield dict(zip("ab", map(list, zip(*found))))
+        if held and (found := links_across(*task, held, similar, least)):
+            yield dict(zip("ab", map(list, zip(*found))))
+
+    return scan(rows, "a long, b long", run)
+
+
+IN_BUCKET = ("block", "cid", "label", "bits", "bands", "shingles")
+
+
+def links_across(band: int, i: int, j: int, rows: list, similar: int, least: float) -> list[tuple[int, int]]:
+    """Links between labels among ``rows`` (columns IN_BUCKET) that join labels not joined yet."""
+    if len({r[2] for r in rows}) < 2:
+        return []
+    rows = sorted(rows, key=lambda r: r[1])
+    block, cid, label = (np.array([r[c] for r in rows]) for c in range(3))
+    bits = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(len(rows), -1)
+    bands = np.array([r[4] for r in rows])
+    sets = [np.frombuffer(r[5], np.uint64) for r in rows]
+    short = [(x >> np.uint64(48)).astype(np.uint16) for x in sets]
+    lengths = np.array([len(x) for x in sets])
+    every = np.arange(len(rows))
+    seen = np.zeros(1 << 16, bool)
+    group = {x: x for x in label.tolist()}
+
+    def find(x: int) -> int:
+        while group[x] != x:
+            group[x] = x = group[group[x]]
+        return x
+
+    found = []
+    for x in range(len(rows) - 1):
+        # in a pair of different blocks, pairs within one block belong to another task
+        open_ = (every > x) & (label != label[x]) & ((i == j) | (block != block[x]))
+        open_ &= 100 * np.minimum(lengths, lengths[x]) >= similar * np.maximum(lengths, lengths[x])
+        others = np.flatnonzero(open_)
+        if not len(others):
+            continue
+        guess = estimates(bits[others], bits[x])
+        others, guess = others[guess >= least], guess[guess >= least]
+        if not len(others):
+            continue
+        # a pair belongs to one of the bands that it shares
+        n = bands.shape[1]
+        turn = ((cid[others] ^ cid[x]).astype(np.uint64) % np.uint64(n)).astype(np.int64)
+        order = np.where(bands[others] == bands[x], (np.arange(n) - turn[:, None]) % n, n)
+        own = bands[x][order.argmin(1)] == band
+        others, guess = others[own], guess[own]
+        if not len(others):
+            continue
+        # short hashes in common are at least as many as shingles in common
+        seen[short[x]] = True
+        starts = lengths[others].cumsum() - lengths[others]
+        most = np.add.reduceat(seen[np.concatenate([short[y] for y in others])].astype(np.int64), starts)
+        seen[short[x]] = False
+        near = 100 * most >= similar * (lengths[others] + lengths[x] - most)
+        for y in others[near][np.argsort(-guess[near], kind="stable")].tolist():
             a, b = find(int(label[x])), find(int(label[y]))
             if a != b and similar_sets(sets[x], sets[y], similar):
                 group[max(a, b)] = min(a, b)
                 found.append((int(cid[x]), int(cid[y])))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("band", "i", "j").applyInPandas(run, "a long, b long")
+    return found
 
 
 def near_duplicates(
