@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded, scan, stored
@@ -124,8 +124,6 @@ def usable(rows: DataFrame, vector: str, key: str) -> DataFrame:
 
 def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     """Each different vector once, with its ``most`` smallest ids, sorted."""
-    from pyspark.sql import Window
-
     ranked = rows.withColumn("nth", F.dense_rank().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("nth") <= most)
     return ranked.groupBy("vector").agg(F.sort_array(F.collect_set("id")).alias("ids"))
 
@@ -163,41 +161,45 @@ def nearest(
 
     def ask(batches):
         for batch in batches:
-            for q in batch.column(0).to_pylist():
+            for first, q in zip(*(c.to_pylist() for c in batch.columns)):
                 pairs = search(shared.value, np.array(q), wanted)
-                yield {"tree": [p[0] for p in pairs], "leaf": [p[1] for p in pairs], "q": [q] * len(pairs)}
+                trees, leaves_ = map(list, zip(*pairs))
+                yield {"tree": trees, "leaf": leaves_, "q": [q] * len(pairs), "first": [first] * len(pairs)}
 
     filed = scan(entries.select("vector", "ids"), "tree int, leaf long, vector array<double>, ids array<long>", file)
     asked = points.where(is_query if isinstance(is_query, Column) else F.expr(is_query))
     queries = asked.select("id", "vector").distinct()
-    leaves = scan(queries.select("vector").distinct(), "tree int, leaf long, q array<double>", ask)
+    # equal queries are asked once, known by their first id
+    queries = stored(queries, "queries")
+    vectors = queries.groupBy("vector").agg(F.min("id").alias("first"))
+    vectors = stored(vectors, "query-vectors")
+    leaves = scan(vectors.select("first", "vector"), "tree int, leaf long, q array<double>, first long", ask)
 
     def meet(key_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"q": [], "ids": [], "score": []}
+        out = {"first": [], "ids": [], "score": []}
         if len(left) and len(right):
             c, ids = np.stack(left["vector"].to_numpy()), left["ids"].to_numpy()
-            for q in right["q"]:
+            for first, q in zip(right["first"], right["q"]):
                 distance = np.sqrt(((c - q) ** 2).sum(1))
                 for at in range(0, len(c), BLOCK):
                     part = distance[at : at + BLOCK]
                     best = np.argpartition(part, k)[: k + 1] if len(part) > k + 1 else np.arange(len(part))
                     # all that tie with the last must stay: their ids decide
                     best = np.flatnonzero(part <= part[best].max()) + at
-                    out["q"] += [q] * len(best)
+                    out["first"] += [first] * len(best)
                     out["ids"] += list(ids[best])
                     out["score"] += distance[best].tolist()
         # an empty column would otherwise be taken as numbers
-        return pd.DataFrame({"q": pd.Series(out["q"], dtype=object), "ids": pd.Series(out["ids"], dtype=object), "score": pd.Series(out["score"], dtype=float)})
+        kinds = {"first": "int64", "ids": object, "score": float}
+        return pd.DataFrame({name: pd.Series(out[name], dtype=kind) for name, kind in kinds.items()})
 
     found = filed.groupBy("tree", "leaf").cogroup(leaves.groupBy("tree", "leaf"))
-    found = found.applyInPandas(meet, "q array<double>, ids array<long>, score double")
+    found = found.applyInPandas(meet, "first long, ids array<long>, score double")
     # an entry found in several trees counts once
-    from pyspark.sql import Window
-
-    each = found.select("q", "score", F.explode("ids").alias("vec_id"))
-    each = each.groupBy("q", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("q").orderBy("score", "vec_id")
+    each = found.select("first", "score", F.explode("ids").alias("vec_id"))
+    each = each.groupBy("first", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("first").orderBy("score", "vec_id")
     top = each.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
-    pairs = queries.join(top, queries["vector"] == top["q"]).where(F.col("id") != F.col("vec_id"))
+    pairs = queries.join(vectors, "vector").join(top, "first").where(F.col("id") != F.col("vec_id"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select(F.col("id").alias("query_id"), "rank", "vec_id", "score")
