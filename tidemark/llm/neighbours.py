@@ -175,7 +175,7 @@ def nearest(
     vectors = stored(vectors, "query-vectors")
     leaves = scan(vectors.select("first", "vector"), "tree int, leaf long, q array<double>, first long", ask)
 
-    def meet(key_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def meet(key_: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"first": [], "ids": [], "score": []}
         if len(left) and len(right):
             c, ids = np.stack(left["vector"].to_numpy()), left["ids"].to_numpy()

@@ -191,10 +191,12 @@ def main_text(page: str | None, importance: dict[int, float]) -> str:
         item = stack.pop()
         if isinstance(item, str):
             pieces.append(item)
-        elif not item.never and (item.content or importance.get(item.path, 1.0) >= LEAST):
+            continue
+        if item.tag in BLOCK:  # it parts what stands around it, even where it goes
+            pieces.append(" ")
+        if not item.never and (item.content or importance.get(item.path, 1.0) >= LEAST):
             if item.tag in BLOCK:
                 stack.append(" ")
-                pieces.append(" ")
             stack.extend(reversed(item.children))
     # references are decoded last, so that none of them can end a tag
     return _SPACES.sub(" ", html.unescape("".join(pieces))).strip()
@@ -275,7 +277,7 @@ def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
         joined = joined.withColumn(name, F.col(name) * (1 - few) + F.col(f"{name}_all") * few)
     nodes = joined.select("host", "node", "parent", "pages", "presentation", "content")
 
-    def one_host(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def one_host(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = tree_importance(frame)
         low = {n: x for n, x in out.items() if x < LEAST}  # the others need no entry
         return pd.DataFrame({"host": [key[0]], "nodes": [np.array(list(low), np.int64)], "importance": [np.array(list(low.values()), float)]})
