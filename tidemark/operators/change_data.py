@@ -12,13 +12,23 @@ from tidemark.operators.sequences import KeySequence
 from tidemark.operators.sizing import small_side
 
 
+def without_keys(target: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key is not in ``other``; a NULL key matches a NULL key."""
+    named = other.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"_key{i}"))
+    return target.join(small_side(named), same, "left_anti")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` replaced by ``source`` rows of equal key, plus the new ones.
 
-    ``source`` must be unique by key. Applying it twice equals applying it once.
-    Columns found on one side only are NULL for rows of the other.
+    ``source`` must be unique by key; NULL keys are equal to each other. Applying
+    it twice equals applying it once. Columns found on one side only are NULL for
+    rows of the other.
     """
-    untouched = target.join(small_side(source.select(*keys)), list(keys), "left_anti")
+    untouched = without_keys(target, source, keys)
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
@@ -35,13 +45,22 @@ def cdc_apply(
     op: str = "op",
     delete: str = "D",
 ) -> DataFrame:
-    """Apply inserts, updates and deletes; only the last change of a key counts."""
-    last = latest_changes(changes, keys, order)
-    kept = target.join(small_side(last.select(*keys)), list(keys), "left_anti")
+    """Apply inserts, updates and deletes; only the last change of a key counts.
+
+    A change without a code says nothing: it is passed over, and ``uncoded`` has
+    it for quarantine.
+    """
+    last = latest_changes(changes.where(F.col(op).isNotNull()), keys, order)
+    kept = without_keys(target, last, keys)
     alive = last.where(F.col(op) != delete).select(*target.columns)
     return kept.unionByName(alive)
 
 
+def uncoded(changes: DataFrame, op: str = "op") -> DataFrame:
+    """Changes that do not say what they do."""
+    return changes.where(F.col(op).isNull())
+
+
 def scd1(dimension: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Type 1: the newest attributes overwrite the old ones."""
     newest = latest_changes(changes, [key], order).select(*dimension.columns)

@@ -76,7 +76,8 @@ def point_in_time(
     """
     version = F.struct(F.col(valid_to).alias("_to"), *[F.col(c) for c in add])
     left = facts.select(*facts.columns, F.col(at).alias("_at"), F.lit(1).alias("_side"))
-    right = versions.select(
+    # a version that never begins holds at no time
+    right = versions.where(F.col(valid_from).isNotNull()).select(
         key, F.col(valid_from).alias("_at"), F.lit(0).alias("_side"), version.alias("_version")
     )
     rows = left.unionByName(right, allowMissingColumns=True)

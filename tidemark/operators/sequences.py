@@ -14,6 +14,7 @@ input again.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,7 +50,7 @@ def ascending(df: DataFrame, order: Sequence[str]) -> list[Column]:
 
 
 def position(df: DataFrame, term: Column) -> Column:
-    """A double that never falls as ``term`` rises; for text, its first six bytes."""
+    """A double that never falls as ``term`` rises; for text, six bytes after the start that all rows share."""
     kind = df.select(term.alias("t")).schema["t"].dataType
     if isinstance(kind, T.NumericType):
         return term.cast("double")
@@ -58,7 +59,11 @@ def position(df: DataFrame, term: Column) -> Column:
     if isinstance(kind, _TIMES):
         return F.unix_micros(term.cast("timestamp")).cast("double")
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        start = F.hex(F.substring(term.cast("binary"), 1, 6))
+        raw = term.cast("binary")
+        ends = df.agg(F.min(raw).alias("low"), F.max(raw).alias("high")).first()
+        # whatever lies between two values shares their common start
+        same = len(os.path.commonprefix([bytes(ends.low or b""), bytes(ends.high or b"")]))
+        start = F.hex(F.substring(raw, same + 1, 6))
         return F.conv(F.rpad(start, 12, "0"), 16, 10).cast("double")
     raise TypeError(f"cannot order by {kind.simpleString()}")
 

@@ -52,19 +52,24 @@ def to_bronze(raw: dict[str, DataFrame], lake: Lake, load_date: str, source_syst
 
 
 def _landed(spark: SparkSession, lake: Lake, name: str, load_date: str) -> DataFrame:
-    rows = spark.read.parquet(lake.bronze(name)).where(F.col("load_date") == load_date)
-    return rows.drop("load_date", "source_system")
+    """Rows of all loads up to this one; ``newness`` falls with the load date, so the newest load sorts first."""
+    rows = spark.read.parquet(lake.bronze(name)).where(F.col("load_date") <= load_date)
+    return rows.withColumn("newness", -F.unix_date(F.col("load_date").cast("date"))).drop("load_date", "source_system")
 
 
 def to_silver(spark: SparkSession, lake: Lake, load_date: str) -> None:
-    """Deduplicate, fill and check one load; bad rows go to quarantine in the same write."""
+    """Deduplicate, fill and check all loads up to this one; bad rows go to quarantine in the same write.
+
+    A key keeps the row of its newest load. Silver is derived from retained
+    bronze as a whole, so a load may be repeated or come late.
+    """
     orders = first_per_key(
         _landed(spark, lake, "orders", load_date), ["o_orderkey"],
-        ["o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
-    )
-    lines = first_per_key(_landed(spark, lake, "lineitem", load_date), LINE_KEY, LINE_ORDER)
+        ["newness", "o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+    ).drop("newness")
+    lines = first_per_key(_landed(spark, lake, "lineitem", load_date), LINE_KEY, ["newness", *LINE_ORDER]).drop("newness")
     lines = fill_defaults(lines, {"l_discount": 0.0, "l_tax": 0.0})
-    customers = first_per_key(_landed(spark, lake, "customer", load_date), ["c_custkey"], ["c_name"])
+    customers = first_per_key(_landed(spark, lake, "customer", load_date), ["c_custkey"], ["newness", "c_name"]).drop("newness")
     together(
         partial(dq.write_checked, orders, ORDER_RULES, lake.silver("orders")),
         partial(dq.write_checked, lines, LINE_RULES, lake.silver("lineitem")),
@@ -96,13 +101,34 @@ def sales_lines(spark: SparkSession, lake: Lake, first: str | None = None, last:
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
 
 
+def whole_months(first: str | None, last: str | None) -> tuple[str | None, str | None]:
+    """``[first, last)`` widened to months: from the first day of one to the first day of another."""
+    if first:
+        first = f"{first[:7]}-01"
+    if last and last[8:10] not in ("", "01"):
+        month = int(last[:4]) * 12 + int(last[5:7])
+        last = f"{month // 12:04d}-{month % 12 + 1:02d}-01"
+    return first, last
+
+
 def to_gold(spark: SparkSession, lake: Lake, first: str | None = None, last: str | None = None) -> None:
     """Write sales facts by month, then the monthly mart from the facts just written.
 
     With a date range only its months are replaced, so a backfill can be repeated.
-    Give whole months: a partition is replaced as a whole. The mart has a few rows
+    The range is widened to whole months, since a partition is replaced as a whole,
+    and months of it that have no rows left are removed. The mart has a few rows
     a month and is partitioned by year; the years of the range are rebuilt.
     """
+    first, last = whole_months(first, last)
+    number = F.col("year") * 12 + F.col("month") - 1
+    covers, years = F.lit(True), F.lit(True)
+    if first:
+        covers &= number >= int(first[:4]) * 12 + int(first[5:7]) - 1
+        years &= F.col("year") >= int(first[:4])
+    if last:
+        end = int(last[:4]) * 12 + int(last[5:7]) - 1
+        covers &= number < end
+        years &= F.col("year") <= (end - 1) // 12
     facts = by_month(sales_lines(spark, lake, first, last), "o_orderdate").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -114,16 +140,11 @@ def to_gold(spark: SparkSession, lake: Lake, first: str | None = None, last: str
         F.col("l_quantity").alias("quantity"),
         *PARTITION,
     )
-    replace_partitions(facts, lake.gold("fact_sales"), PARTITION)
+    replace_partitions(facts, lake.gold("fact_sales"), PARTITION, covers=covers)
     stored = spark.read.parquet(lake.gold("fact_sales"))
-    if first:
-        stored = stored.where(F.col("year") >= F.lit(first[:4]).cast("int"))
-    if last:
-        last_year = F.year(F.date_sub(F.lit(last).cast("date"), 1))
-        stored = stored.where(F.col("year") <= last_year)
-    monthly = monthly_revenue(stored, "order_date", "customer_segment", "amount", "order_id")
+    monthly = monthly_revenue(stored.where(years), "order_date", "customer_segment", "amount", "order_id")
     mart = monthly.withColumn("year", F.year("month"))
-    replace_partitions(mart, lake.gold("fact_revenue_monthly"), ["year"])
+    replace_partitions(mart, lake.gold("fact_revenue_monthly"), ["year"], covers=years)
 
 
 def run_medallion(
@@ -145,6 +166,11 @@ def monthly_revenue_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     lake = Lake(scratch(spark, "lake"))
     raw = {name: table(spark, folder, name) for name in ("orders", "lineitem", "customer")}
     run_medallion(spark, raw, lake, "2024-04-01")
+    return read_monthly(spark, lake)
+
+
+def read_monthly(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The monthly mart in plain types."""
     return spark.read.parquet(lake.gold("fact_revenue_monthly")).select(
         F.col("month").cast("timestamp_ntz").alias("month"),
         "segment",

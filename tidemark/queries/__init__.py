@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-MODULES = ("relational", "windows", "quality", "staging", "modelling", "governance", "files", "streams", "ingest")
+MODULES = ("relational", "windows", "quality", "staging", "modelling", "governance", "files", "streams", "ingest", "reloads")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

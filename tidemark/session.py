@@ -29,7 +29,8 @@ def build_session(app: str = "tidemark") -> SparkSession:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -46,10 +46,15 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None, partition
     writer.saveAsTable(name)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True, covers: Column | None = None
+) -> None:
     """Write ``df`` over exactly the partitions it has rows for; others stay.
 
-    Repeating it gives the same table, which makes replays and backfills safe.
+    ``covers`` is a condition on the partition columns that says what ``df`` is
+    all of: partitions there that got no rows are removed. With it, repeating a
+    write gives the same table even if rows are gone since, which makes replays
+    and backfills safe.
     Rebalancing gathers the rows of each partition so that few files are written,
     and AQE splits a partition that is too large for one task.
     """
@@ -61,6 +66,23 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], re
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if covers is not None:
+        _remove_emptied(df, path, partition_by, covers)
+
+
+def _remove_emptied(df: DataFrame, path: str, partition_by: Sequence[str], covers: Column) -> None:
+    """Delete the partitions that ``covers`` holds for and ``df`` has no rows of; collects partition values only."""
+    spark = df.sparkSession
+    if not any("=" in name for name in paths.children(spark, path)):
+        return
+    there = spark.read.parquet(path)
+    wanted = df.select(*[F.col(c).cast(there.schema[c].dataType).alias(c) for c in partition_by]).distinct()
+    full = {tuple(row) for row in wanted.collect()}
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for row in there.where(covers).select(*partition_by).distinct().collect():
+        if tuple(row) not in full:
+            parts = [named(c, None if v is None else str(v)) for c, v in zip(partition_by, row)]
+            paths.delete(spark, "/".join([path, *parts]))
 
 
 def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str) -> None:
@@ -72,7 +94,8 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     """
     touched = [row[0] for row in source.select(partition_by).distinct().collect()]
     target = spark.read.parquet(path)
-    affected = target.where(F.col(partition_by).isin(touched))
+    column = F.col(partition_by)
+    affected = target.where(column.isin([v for v in touched if v is not None]) | (F.lit(None in touched) & column.isNull()))
     replace_partitions(upsert(affected, source, keys), path, [partition_by])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +68,11 @@ def since(df: DataFrame, column: str, mark: Column | None) -> DataFrame:
     return df if mark is None else df.where(F.col(column) > mark)
 
 
+def undated(df: DataFrame, column: str) -> DataFrame:
+    """Rows that no high-water mark can place."""
+    return df.where(F.col(column).isNull())
+
+
 class HighWaterMark:
     """The newest value loaded so far, one small file per run under ``path``."""
 
@@ -82,11 +87,27 @@ class HighWaterMark:
         runs = self._runs()
         return paths.read_small(self.spark, f"{self.path}/{runs[-1]}.txt") if runs else None
 
-    def read(self, df: DataFrame, column: str) -> DataFrame:
-        """Rows of ``df`` that no committed run has covered."""
+    def read(
+        self, df: DataFrame, column: str, loaded: DataFrame | None = None, keys: Sequence[str] = ()
+    ) -> DataFrame:
+        """Rows of ``df`` that no committed run has covered.
+
+        Rows may still arrive with the very value of the mark. Give what is
+        ``loaded`` and its ``keys``: the mark's value is then read again, less the
+        keys that are there. Rows without a value have no place in the order;
+        ``undated`` has them for quarantine.
+        """
         text = self.value()
-        kind = df.schema[column].dataType
-        return since(df, column, None if text is None else F.lit(text).cast(kind))
+        if text is None:
+            return df.where(F.col(column).isNotNull()) if loaded is not None else df
+        mark = F.lit(text).cast(df.schema[column].dataType)
+        if loaded is None:
+            return since(df, column, mark)
+        there = loaded.where(F.col(column) == mark).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+        same = F.col(column) == mark
+        for i, key in enumerate(keys):
+            same = same & F.col(key).eqNullSafe(F.col(f"_key{i}"))
+        return df.where(F.col(column) >= mark).join(there, same, "left_anti")
 
     def commit(self, batch: DataFrame, column: str) -> str | None:
         """Record the newest value of ``batch``; call it after the batch is safely written."""
