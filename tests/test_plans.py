@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.access import keyset_page
 from tidemark.operators.cleanse import first_per_key
 from tidemark.operators.joins import Dimension, star_join
-from tidemark.operators.sizing import estimated_bytes, settled, small_side
+from tidemark.operators.sizing import estimated_bytes, measured_bytes, settled, small_side
 import __spark_entry__  # noqa: F401  registers the queries
 from tidemark.queries import QUERIES
 from tidemark.session import scratch, shared_folder, shuffle_partitions, table
@@ -42,6 +42,16 @@ def test_large_sides_are_not_hinted(spark):
     assert copy is not orders and copy.count() == orders.count()
 
 
+def test_sizes_that_only_look_small_are_not_hinted(spark, folder):
+    hinted = lambda df: "broadcast" in small_side(df, limit=2**20)._jdf.queryExecution().logical().toString()
+    generated = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(500_000))).alias("n"))
+    assert estimated_bytes(generated) < 100 and not hinted(generated)
+    spark.range(20_000).select(F.repeat(F.lit("same text "), 20).alias("t")).write.parquet(f"{folder}/same")
+    same = spark.read.parquet(f"{folder}/same")
+    assert estimated_bytes(same) < 2**20 < measured_bytes(same) and not hinted(same)
+    assert hinted(table(spark, SF, "nation"))
+
+
 def test_dedup_limits_groups_before_the_shuffle(spark):
     text = plan(first_per_key(table(spark, SF, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"]))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text

@@ -196,3 +196,14 @@ def test_missing_connectors_say_so(spark):
     with pytest.raises(Exception, match="(?i)avro"):
         df = spark.createDataFrame([(bytearray(b"x"),)], "v binary")
         df.select(decode_avro(F.col("v"), '{"type":"string"}')).collect()
+
+
+def test_progress_history_is_complete(spark, folder):
+    log = progress.ProgressLog(spark, rows_per_file=1000, path=f"{folder}/progress")
+    row = ("q", None, 1, "2024-01-01T00:00:00Z", 1, 1.0, 1.0, 0)
+    for _ in range(3):
+        log._rows += [row] * 7
+        log.flush()
+    log._rows.append(row)
+    assert log.history().count() == 22
+    assert progress.throughput(log.history()).first()["input_rows"] == 22

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import scratch
 
@@ -14,20 +17,55 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; unknown inputs count as enormous.
 
-    Costs no job. File scans report the bytes of the files, joins and unknown
-    sources report an over-estimate, so a small answer can be trusted.
+    Costs no job, and is a rough figure only: file scans report the bytes of the
+    files, which may be far below what they hold, and rows that a generator makes
+    are not counted. Only a large answer means something; see ``known_small``.
     """
     plan = df._jdf.queryExecution().optimizedPlan()
     return int(str(plan.stats().sizeInBytes()))
 
 
+# Fixed-width rows from plain files below this size are taken as small without a look at them.
+TRUSTED_BYTES = 1024 * 1024
+_UNCOUNTED = re.compile(r"\b(Generate|LogicalRDD|ExternalRDD|MapInPandas|MapInArrow|FlatMapGroups\w*|Window|Expand)\b")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as they are in memory, by one aggregation over them."""
+    fixed, parts = 16, []
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)))
+        fixed += 16
+    total = F.sum(sum(parts, F.lit(fixed)).cast("long"))
+    return df.agg(F.coalesce(total, F.lit(0)).alias("n")).first()["n"]
+
+
+def known_small(df: DataFrame, limit: int) -> bool:
+    """Whether ``df`` fits ``limit``; what the estimate cannot tell is measured.
+
+    Above the limit nothing is measured. Text and nested columns, generated rows
+    and unknown sources are, since their estimate may be thousands of times too low.
+    """
+    estimate = estimated_bytes(df)
+    if estimate > limit or df.isStreaming:
+        return False
+    wide = any(not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for f in df.schema.fields)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not wide and estimate <= TRUSTED_BYTES and not _UNCOUNTED.search(plan):
+        return True
+    return measured_bytes(df) <= limit
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``df`` if it is known to be small, else leave the join to shuffle.
 
     Without the hint the join is still adaptive: AQE may broadcast at run time by
     measured size, and splits hot keys of a sort-merge join.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    return F.broadcast(df) if known_small(df, limit) else df
 
 
 def settled(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -37,7 +75,7 @@ def settled(df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame
     them, and once written, their true size decides how they are joined. The copy
     also survives the loss of executors and is not computed again.
     """
-    if estimated_bytes(df) <= limit:
+    if known_small(df, limit):
         return df
     return stored(df, name)
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from tidemark.session import scratch
+
 PROGRESS = (
     "query_id string, name string, batch_id bigint, at string, input_rows bigint, "
     "input_rows_per_second double, processed_rows_per_second double, late_rows_dropped bigint"
@@ -61,14 +63,20 @@ def await_all(queries: list[StreamingQuery], timeout: float | None = None) -> bo
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps one small row per micro-batch of the last ``limit`` batches."""
+    """Keeps one small row per micro-batch, of all batches.
 
-    def __init__(self, spark: SparkSession, limit: int = 10_000):
-        from collections import deque
+    Rows gather in memory and are appended to a table in the shared folder
+    whenever there are ``rows_per_file``, so the history is complete however long
+    a query runs, and what is written survives the driver.
+    """
 
+    def __init__(self, spark: SparkSession, rows_per_file: int = 1000, path: str | None = None):
         self.spark = spark
-        self._rows: deque = deque(maxlen=limit)
-        self._lock = threading.Lock()
+        self.path = path or scratch(spark, "progress")
+        self._rows_per_file = rows_per_file
+        self._rows: list[tuple] = []
+        self._written = False
+        self._lock = threading.RLock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -82,6 +90,16 @@ class ProgressLog(StreamingQueryListener):
         )
         with self._lock:
             self._rows.append(row)
+            full = len(self._rows) >= self._rows_per_file
+        if full:  # not in the listener's own thread, which must stay free for events
+            threading.Thread(target=self.flush, daemon=True).start()
+
+    def flush(self) -> None:
+        """Append what is in memory to the table."""
+        with self._lock:
+            if self._rows:
+                self.spark.createDataFrame(self._rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+                self._rows, self._written = [], True
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -91,7 +109,8 @@ class ProgressLog(StreamingQueryListener):
 
     def history(self) -> DataFrame:
         with self._lock:
-            return self.spark.createDataFrame(list(self._rows), PROGRESS)
+            recent = self.spark.createDataFrame(list(self._rows), PROGRESS)
+            return self.spark.read.schema(PROGRESS).parquet(self.path).union(recent) if self._written else recent
 
 
 def throughput(history: DataFrame) -> DataFrame:
