@@ -39,11 +39,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and whether they decode to the text."""
     prepare(spark, sf_dir)
     path, pattern = rank_file()
-    rows = docs.select("doc_id", "source", "text")
-    encoded = bpe.encode(rows, path, pattern, ["doc_id", "source", "text"])
-    decoded = bpe.decode(encoded, path, pattern, ["doc_id", "source", "text", "ids"])
-    intact = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("raw")
-    return decoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", intact.alias("intact"))
+    encoded = bpe.encode(docs, path, pattern, ["doc_id", "source"])
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

@@ -195,6 +195,13 @@ def test_bpe_of_odd_rows(odd, reference):
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
 
 
+def test_encode_and_decode_as_tables(odd):
+    encoded = bpe.encode(odd, *rank_file(), ["doc_id", "text"])
+    assert encoded.where("not intact").count() == 0
+    decoded = bpe.decode(encoded, *rank_file(), ["doc_id", "text"])
+    assert all(bytes(r.raw) == (r.text or "").encode() for r in decoded.collect())
+
+
 # mixing
 
 

@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import scan
 
 LONGEST = 256
-CACHED = 150_000
+CACHED = 50_000
+ROWS = 500
 NO_PAIR = np.iinfo(np.int32).max
 _WIDE_SPACE = re.compile(r"\s | \s")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -266,19 +267,31 @@ def ship(spark: SparkSession, path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+def _small(batches):
+    """Cut batches, so that a worker holds the ids of few texts as Python numbers."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, columns: list[str], text: str = "text") -> DataFrame:
-    """``columns`` of ``docs`` and ``ids`` (array) of every whole text."""
+    """``columns`` of ``docs``, the ``ids`` (array) of every whole text, and whether they decode to it (``intact``).
+
+    The check is made by the worker that encodes: a second one would hold another vocabulary.
+    """
     name = ship(docs.sparkSession, path)
     kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns]
 
     def run(batches):
         vocabulary = _vocabulary(name, pattern)
-        for batch in batches:
-            rest = {c: batch.column(c) for c in columns}
-            yield rest | {"ids": vocabulary.encode_batch(batch.column(batch.num_columns - 1).to_pylist())}
+        for batch in _small(batches):
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            ids = vocabulary.encode_batch(texts)
+            intact = [vocabulary.decode(x) == (t or "").encode() for x, t in zip(ids, texts)]
+            yield {c: batch.column(c) for c in columns} | {"ids": ids, "intact": intact}
 
     rows = docs.select(*columns, F.col(text).alias("__text"))
-    return scan(rows, ", ".join([*kinds, "ids array<int>"]), run)
+    return scan(rows, ", ".join([*kinds, "ids array<int>, intact boolean"]), run)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, columns: list[str], ids: str = "ids") -> DataFrame:
@@ -303,7 +316,7 @@ def digest(docs: DataFrame, path: str, pattern: str, columns: list[str], text: s
     def run(batches):
         vocabulary = _vocabulary(name, pattern)
         decimal = vocabulary.decimal.__getitem__
-        for batch in batches:
+        for batch in _small(batches):
             out = {c: batch.column(c) for c in columns} | {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             for ids in vocabulary.encode_batch(batch.column(batch.num_columns - 1).to_pylist()):
                 out["n_tokens"].append(len(ids))
