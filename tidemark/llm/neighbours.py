@@ -34,7 +34,7 @@ from tidemark.llm.common import bounded, scan, stored
 FIT_ROWS = 20_000
 LEAF_ROWS = 32
 TREES = 12
-SEARCHED = 0.12
+SEARCHED = 0.27
 LEAST_SEARCHED = 400
 BLOCK = 4096
 
