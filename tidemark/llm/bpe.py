@@ -22,8 +22,8 @@ import base64
 import gc
 import heapq
 import re
-from collections.abc import Iterable
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 from itertools import chain
 
@@ -255,10 +255,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-@lru_cache(maxsize=2)
-def _vocabulary(name: str, pattern: str) -> Vocabulary:
+@contextmanager
+def _vocabulary(name: str, pattern: str) -> Iterator[Vocabulary]:
+    """The vocabulary for one task: a worker that Spark keeps for other work holds nothing of it."""
+    collected = gc.isenabled()
     gc.disable()  # tuples by the million and no cycles: the collector only costs time
-    return Vocabulary(read_ranks(SparkFiles.get(name)), pattern)
+    try:
+        yield Vocabulary(read_ranks(SparkFiles.get(name)), pattern)
+    finally:
+        if collected:
+            gc.enable()
 
 
 def ship(spark: SparkSession, path: str) -> str:
@@ -283,12 +289,12 @@ def encode(docs: DataFrame, path: str, pattern: str, columns: list[str], text: s
     kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns]
 
     def run(batches):
-        vocabulary = _vocabulary(name, pattern)
-        for batch in _small(batches):
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            ids = vocabulary.encode_batch(texts)
-            intact = [vocabulary.decode(x) == (t or "").encode() for x, t in zip(ids, texts)]
-            yield {c: batch.column(c) for c in columns} | {"ids": ids, "intact": intact}
+        with _vocabulary(name, pattern) as vocabulary:
+            for batch in _small(batches):
+                texts = batch.column(batch.num_columns - 1).to_pylist()
+                ids = vocabulary.encode_batch(texts)
+                intact = [vocabulary.decode(x) == (t or "").encode() for x, t in zip(ids, texts)]
+                yield {c: batch.column(c) for c in columns} | {"ids": ids, "intact": intact}
 
     rows = docs.select(*columns, F.col(text).alias("__text"))
     return scan(rows, ", ".join([*kinds, "ids array<int>, intact boolean"]), run)
@@ -300,10 +306,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, columns: list[str], ids:
     kinds = [f"{c} {encoded.schema[c].dataType.simpleString()}" for c in columns]
 
     def run(batches):
-        vocabulary = _vocabulary(name, pattern)
-        for batch in batches:
-            rest = {c: batch.column(c) for c in columns}
-            yield rest | {"raw": [vocabulary.decode(x or []) for x in batch.column(batch.num_columns - 1).to_pylist()]}
+        with _vocabulary(name, pattern) as vocabulary:
+            for batch in batches:
+                rest = {c: batch.column(c) for c in columns}
+                yield rest | {"raw": [vocabulary.decode(x or []) for x in batch.column(batch.num_columns - 1).to_pylist()]}
 
     return scan(encoded.select(*columns, F.col(ids).alias("__ids")), ", ".join([*kinds, "raw binary"]), run)
 
@@ -314,15 +320,15 @@ def digest(docs: DataFrame, path: str, pattern: str, columns: list[str], text: s
     kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns]
 
     def run(batches):
-        vocabulary = _vocabulary(name, pattern)
-        decimal = vocabulary.decimal.__getitem__
-        for batch in _small(batches):
-            out = {c: batch.column(c) for c in columns} | {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            for ids in vocabulary.encode_batch(batch.column(batch.num_columns - 1).to_pylist()):
-                out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(sha256(",".join(map(decimal, ids)).encode()).hexdigest())
-                out["decoded_sha256"].append(sha256(vocabulary.decode(ids)).hexdigest())
-            yield out
+        with _vocabulary(name, pattern) as vocabulary:
+            decimal = vocabulary.decimal.__getitem__
+            for batch in _small(batches):
+                out = {c: batch.column(c) for c in columns} | {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+                for ids in vocabulary.encode_batch(batch.column(batch.num_columns - 1).to_pylist()):
+                    out["n_tokens"].append(len(ids))
+                    out["ids_sha256"].append(sha256(",".join(map(decimal, ids)).encode()).hexdigest())
+                    out["decoded_sha256"].append(sha256(vocabulary.decode(ids)).hexdigest())
+                yield out
 
     rows = docs.select(*columns, F.col(text).alias("__text"))
     return scan(rows, ", ".join([*kinds, "n_tokens long, ids_sha256 string, decoded_sha256 string"]), run)

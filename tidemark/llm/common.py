@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -22,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Rows and bytes of an Arrow batch: a Python worker holds a few of these at a time.
 BATCH_ROWS = 2000
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 # Bytes of input that one shuffle partition may stand for.
 SHUFFLE_BYTES = 128 * 1024 * 1024
 
@@ -76,10 +77,20 @@ def scan(df: DataFrame, ddl: str, function: Callable[[Iterator[pa.RecordBatch]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
+            columns = None  # not to be held while the next batch is worked on
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the machine: Spark keeps the worker, and others need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """A copy of ``df`` in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession

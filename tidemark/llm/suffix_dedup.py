@@ -312,18 +312,17 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ba
     columns = docs.columns
     rows = _with_uid(docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns))), f"c{columns.index(key)}", f"c{columns.index(text)}")
     runs = find_runs(rows.select("uid", "raw"), batches)
-    joined = _join_lists(rows, runs, "left")
+    joined = _join_lists(rows.drop("raw"), runs, "left")
     at = columns.index(text)
 
     def run(batches_):
         for batch in batches_:
-            out = {name: batch.column(name) for name in batch.schema.names if name not in ("raw", "runs")}
-            texts = batch.column(f"c{at}").to_pylist()
-            pairs = zip(texts, batch.column("raw").to_pylist(), batch.column("runs").to_pylist())
-            out[f"c{at}"] = [b"".join(_kept(raw, gone)).decode("utf-8", "ignore") if gone else t for t, raw, gone in pairs]
+            out = {name: batch.column(name) for name in batch.schema.names if name != "runs"}
+            pairs = zip(batch.column(f"c{at}").to_pylist(), batch.column("runs").to_pylist())
+            out[f"c{at}"] = [b"".join(_kept(t.encode(), gone)).decode("utf-8", "ignore") if gone else t for t, gone in pairs]
             yield out
 
     wanted = [f"c{i}" for i in range(len(columns))]
     ddl = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in wanted)
-    out = scan(joined.select(*wanted, "raw", "runs"), ddl, run)
+    out = scan(joined.select(*wanted, "runs"), ddl, run)
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
