@@ -24,6 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows and bytes of an Arrow batch: a Python worker holds a few of these at a time.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 * 1024 * 1024
+# Workers give freed blocks back to the machine at once instead of keeping them for later.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1024 * 1024)}
 # Bytes of input that one shuffle partition may stand for.
 SHUFFLE_BYTES = 128 * 1024 * 1024
 
@@ -48,6 +50,7 @@ def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
     """Session settings that the operators rely on; raises the shuffle partitions for a large input."""
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
+    spark.sparkContext.environment.update(WORKER_MEMORY)
     # Python workers import this package: from here, where the path is shared, else as installed there
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
