@@ -67,6 +67,17 @@ def test_malformed_records_go_to_quarantine(spark):
     assert kept == {"v1": 2.5, None: None}
 
 
+def test_a_field_that_does_not_fit_sends_the_ride_to_quarantine(spark):
+    from tidemark.streaming.rides import malformed_rides
+
+    bad = ['{"vendorID": "v1", "totalAmount": "abc"}', '{"vendorID": "v1", "totalAmount": 9, "passengerCount": "two"}']
+    good = ['{"vendorID": "v1", "totalAmount": 4, "passengerCount": null}', '{"vendorID": 7, "unknown": {"a": 1}}']
+    raw = spark.createDataFrame([(t,) for t in bad + good], "value string")
+    assert sorted(tuple(r) for r in malformed_rides(raw).collect()) == sorted((t, "bad_field") for t in bad)
+    assert as_map(vendor_revenue(parse_rides(raw, only=("vendorID", "totalAmount")))) == {"v1": 4.0, "7": None}
+    assert as_map(vendor_revenue(parse_rides(raw, keep_malformed=True))) == {"v1": 13.0, "7": None}
+
+
 def test_malformed_count(spark):
     from tidemark.streaming.rides import malformed_rides
 

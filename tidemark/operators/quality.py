@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.typing import convert, misfit
 from tidemark.operators.joins import orphans
+from tidemark.sinks import paths
 
 
 @dataclass(frozen=True)
@@ -299,6 +300,20 @@ def file_integrity(df: DataFrame) -> DataFrame:
     )
 
 
+def folder_integrity(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Rows and bytes of every file below ``path``, which ``df`` reads; files without rows count 0.
+
+    Sizes come from the listing, no file is read for them. Spark's own listing leaves
+    out files without bytes; their names are added, and only they pass through the driver.
+    """
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    every = every.select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size"))
+    empty = [(name, 0) for name in paths.empty_files(spark, path)]
+    every = every.unionByName(spark.createDataFrame(empty, "file_path string, file_size bigint"))
+    counted = file_integrity(df).select("file_path", "row_count")
+    return every.join(counted, "file_path", "left").fillna(0, ["row_count"])
+
+
 class QualityError(ValueError):
     """A hard quality gate failed."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans.medallion import LINE_KEY, LINE_ORDER, monthly_revenue_pipeline
-from tidemark.operators.sizing import small_side
+from tidemark.operators.sizing import small_side, stored
 from tidemark.queries import query
 from tidemark.queries.relational import LINE_AMOUNT_SQL
 from tidemark.session import scratch, table, unique_name
@@ -84,9 +84,10 @@ def silver_orders(spark, folder):
     clean = first_per_key(raw, ["o_orderkey"], ["order_date", "o_custkey", "amount"])
     clean = fill_defaults(clean, {"amount": 0.0})
     clean = clean.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+    staged = stored(clean, "silver-orders-staged")
+    assert_quality(staged, [required("order_date"), in_range("amount", 0)])  # a failing gate leaves the table as it was
     name = unique_name("silver_orders")
-    batch.overwrite_table(clean, name, scratch(spark, "silver-orders"))
-    assert_quality(spark.table(name), [required("order_date"), in_range("amount", 0)])
+    batch.overwrite_table(staged, name, scratch(spark, "silver-orders"))
     return spark.table(name)
 
 
@@ -148,6 +149,17 @@ def compact_preserves_rows(spark, folder):
     return spark.read.parquet(f"{root}/large")
 
 
+@query("compact_partitioned", f"select {LINES}, l_returnflag as stored_under from lineitem")
+def compact_partitioned(spark, folder):
+    """A partitioned table stays one, here clustered along a text column as well."""
+    root = scratch(spark, "compaction-parts")
+    lines = table(spark, folder, "lineitem").select(*LINES.split(", "), "l_returnflag", F.col("l_linestatus").alias("status"))
+    lines.repartition(8).write.partitionBy("l_returnflag").parquet(f"{root}/small")
+    batch.compact(spark, f"{root}/small", f"{root}/large", ["status", "l_partkey"], z_order=True)
+    folder_of = F.regexp_extract("_metadata.file_path", "/l_returnflag=([^/]*)/", 1)
+    return spark.read.parquet(f"{root}/large").select(*LINES.split(", "), folder_of.alias("stored_under"))
+
+
 @query(
     "bucketed_join",
     """select o_orderpriority, count(*) as line_count, cast(sum(cast(l_extendedprice as decimal(12,2))) as double) as gross

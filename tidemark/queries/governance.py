@@ -27,11 +27,17 @@ def tokenize_query(spark, folder):
 
 @query(
     "mask_by_role",
-    """select conv_id, turn, case when role = 'assistant' then text else '***' end as text_shown from conversations""",
+    """select conv_id, turn, caller, case when caller in ('steward', 'auditor') then text else '***' end as text_shown
+       from conversations, (values ('steward'), ('analyst')) as callers(caller)""",
 )
 def mask_by_role(spark, folder):
-    shown = mask_for_role(F.col("text"), F.col("role"), ["assistant"], F.lit("***"))
-    return table(spark, folder, "conversations").select("conv_id", "turn", shown.alias("text_shown"))
+    """What two callers see, each with their own role."""
+
+    def seen_by(caller):
+        shown = mask_for_role(F.col("text"), caller, ["steward", "auditor"], F.lit("***"))
+        return table(spark, folder, "conversations").select("conv_id", "turn", F.lit(caller).alias("caller"), shown.alias("text_shown"))
+
+    return seen_by("steward").unionByName(seen_by("analyst"))
 
 
 @query(

@@ -8,6 +8,7 @@ from tidemark.operators import quality as dq
 from tidemark.operators.cleanse import first_per_key
 from tidemark.queries import query
 from tidemark.session import scratch, table
+from tidemark.sinks import paths
 
 # A workable set of faults: the tables have no NULL, so long props, errors and
 # expensive orders are declared bad here and in the SQL alike.
@@ -241,9 +242,26 @@ def dq_scorecard(spark, folder):
     )
 
 
-@query("dq_file_integrity", "select count(*) as row_count, cast(0 as bigint) as empty_files from lineitem")
+@query(
+    "dq_file_integrity",
+    """select cast(year(l_shipdate) as integer) as year, count(*) as expected_rows,
+              count(case when year(l_shipdate) <> 1997 or l_linenumber <> 1 then 1 end) as row_count,
+              cast(case when year(l_shipdate) = 1996 then 1 else 0 end as bigint) as empty_files,
+              year(l_shipdate) not in (1996, 1997) as sound
+       from lineitem group by year(l_shipdate)""",
+)
 def dq_file_integrity(spark, folder):
-    files = dq.file_integrity(table(spark, folder, "lineitem"))
-    return files.agg(
-        F.sum("row_count").alias("row_count"), F.count_if(F.col("file_size") <= 0).alias("empty_files")
+    """Files of a delivery against its manifest: one year has an empty file, another lacks rows."""
+    path = scratch(spark, "delivery")
+    lines = table(spark, folder, "lineitem").select("l_linenumber", F.year("l_shipdate").alias("year"))
+    manifest = lines.groupBy("year").agg(F.count(F.lit(1)).alias("expected_rows"))
+    lines.where("year <> 1997 or l_linenumber <> 1").write.partitionBy("year").parquet(path)
+    paths.write_once(spark, f"{path}/year=1996/part-empty.parquet", "")
+    delivered = spark.read.schema("l_linenumber bigint, year int").parquet(path)
+    files = dq.folder_integrity(spark, path, delivered)
+    files = files.withColumn("year", F.regexp_extract("file_path", "/year=([0-9]+)/", 1).cast("int"))
+    found = files.groupBy("year").agg(
+        F.sum("row_count").alias("row_count"), F.count_if(F.col("file_size") == 0).alias("empty_files")
     )
+    checked = manifest.join(found, "year", "left").fillna(0, ["row_count", "empty_files"])
+    return checked.withColumn("sound", (F.col("row_count") == F.col("expected_rows")) & (F.col("empty_files") == 0))

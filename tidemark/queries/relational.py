@@ -103,14 +103,20 @@ def star_join_sales(spark, folder):
     t = lambda name: table(spark, folder, name)
     lines = t("lineitem").select("l_orderkey", "l_partkey", line_units().alias("units"))
     orders = t("orders").select("o_orderkey", "o_custkey")
-    sales = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    star = star_join(
-        sales,
+    # the orders get their customers first: the lines are shuffled for orders and parts only
+    sold = star_join(
+        orders,
         [
             Dimension(t("customer").select("c_custkey", "c_nationkey", "c_mktsegment"), "o_custkey", "c_custkey", "inner"),
-            Dimension(t("part").select("p_partkey", "p_type"), "l_partkey", "p_partkey", "inner"),
             Dimension(t("nation").select("n_nationkey", "n_regionkey"), "c_nationkey", "n_nationkey", "inner"),
-            Dimension(t("region"), "n_regionkey", "r_regionkey", "inner"),
+            Dimension(t("region").select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey", "inner"),
+        ],
+    ).select("o_orderkey", "r_name", "c_mktsegment")
+    star = star_join(
+        lines,
+        [
+            Dimension(sold, "l_orderkey", "o_orderkey", "inner"),
+            Dimension(t("part").select("p_partkey", "p_type"), "l_partkey", "p_partkey", "inner"),
         ],
     )
     return star.groupBy("r_name", "c_mktsegment", "p_type").agg(

@@ -104,6 +104,28 @@ def kpi_pickup_traffic(spark, folder):
     return traffic.read()
 
 
+@query(
+    "kpi_field_misfit",
+    """select event_type as vendor, 'kpi' as kept_in, count(*) as n from events where user_id % 5 <> 0 group by 1
+       union all select event_type, 'quarantine', count(*) from events where user_id % 5 = 0 group by 1""",
+)
+def kpi_field_misfit(spark, folder):
+    """Every fifth user's amount is no number: those rides are in the quarantine and in no KPI."""
+    amount = F.when(F.col("user_id") % 5 == 0, F.lit("abc")).otherwise(F.col("value").cast("string"))
+    ride = F.struct(F.col("event_type").alias("vendorID"), F.col("event_type").alias("puLocationId"), amount.alias("totalAmount"))
+    path = scratch(spark, "misfit-log")
+    records = table(spark, folder, "events").select(F.to_json(ride).alias("value"))
+    records.withColumn("value", F.regexp_replace("value", r'"totalAmount":"([-0-9.E]+)"', r'"totalAmount":$1')).write.text(path)
+    sinks = KpiSinks(scratch(spark, "misfit-kpis"))
+    await_all(start_ride_kpis(spark, EventLog("text", path), sinks))
+    kept = SnapshotTable(spark, sinks.pickup_traffic).read().select(
+        F.col("puLocationId").alias("vendor"), F.lit("kpi").alias("kept_in"), F.col("count").alias("n")
+    )
+    bad = spark.read.parquet(sinks.quarantine).where("error_code = 'bad_field'")
+    bad = bad.groupBy(F.get_json_object("value", "$.vendorID").alias("vendor")).agg(F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(bad.withColumn("kept_in", F.lit("quarantine")))
+
+
 MEASURES_SQL = "count(*) as n, cast(sum(cast(value as decimal(12,2))) as double) as amount"
 CLOSED_SQL = "(select max(ts) - interval 10 minute from events)"
 
@@ -174,9 +196,19 @@ def stream_min_max(spark, folder):
 
 @query("stream_dedup", "select event_id, ts, user_id, event_type, value from events")
 def stream_dedup(spark, folder):
-    events = event_stream(spark, folder).select("event_id", "ts", "user_id", "event_type", "value")
-    twice = events.unionByName(event_stream(spark, folder).select(*events.columns))
-    return plain_times(drained(spark, deduplicate(twice, ["event_id"], "ts"), "deduplicated"))
+    """Loads of a week of events, one per micro-batch, each with the load before it and the one before that again.
+
+    Copies of the last load are recognised by the state; the older ones come after the watermark.
+    """
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    week = F.floor(F.datediff("ts", F.lit("2024-01-01")) / 7)
+    loads = events.agg(F.min(week).alias("first"), F.max(week).alias("last")).first()
+    path = scratch(spark, "event-loads")
+    for load in range(loads["first"] or 0, (loads["last"] or 0) + 1):  # in turn: the source reads files by age
+        events.where(week.between(load - 2, load)).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    repeated = reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    return plain_times(drained(spark, deduplicate(repeated, ["event_id"], "ts", "8 days"), "deduplicated"))
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,9 +149,25 @@ def expire(spark: SparkSession, path: str, column: str, as_of: str, days: int) -
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 10) -> Column:
     """Interleaved bits of the columns' positions between their minimum and maximum.
 
-    Rows close in all columns get close values. Needs one aggregate for the ranges.
+    Rows close in all columns get close values. Needs one aggregate for the ranges,
+    and another before it for text, whose position begins where its least and its
+    greatest value differ.
     """
-    number = {c: F.unix_micros(F.col(c).cast("timestamp")) if _is_time(df, c) else F.col(c) for c in columns}
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    shared = dict.fromkeys(texts, 0)
+    if texts:
+        ends = df.agg(*[f(c).alias(f"{n}_{c}") for c in texts for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        for c in texts:
+            pair = [(ends[f"{n}_{c}"] or "").encode() for n in ("lo", "hi")]
+            shared[c] = len(os.path.commonprefix(pair))
+
+    def position(c: str) -> Column:
+        if c in shared:  # six bytes as a number, after what all values have in common
+            part = F.substring(F.col(c).cast("binary"), shared[c] + 1, 6)
+            return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10)
+        return F.unix_micros(F.col(c).cast("timestamp")) if _is_time(df, c) else F.col(c)
+
+    number = {c: position(c) for c in columns}
     ranges = df.agg(
         *[F.min(n.cast("double")).alias(f"lo_{c}") for c, n in number.items()],
         *[F.max(n.cast("double")).alias(f"hi_{c}") for c, n in number.items()],
@@ -173,8 +190,10 @@ def _is_time(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
-def clustered(df: DataFrame, columns: Sequence[str], files: int, z_order: bool = False) -> DataFrame:
-    """Rows range-partitioned and sorted by ``columns``, or along a Z-curve through them.
+def clustered(
+    df: DataFrame, columns: Sequence[str], files: int, z_order: bool = False, within: Sequence[str] = ()
+) -> DataFrame:
+    """Rows range-partitioned and sorted by ``columns``, or along a Z-curve through them, inside ``within``.
 
     A digest of the whole row comes last in the range, so a value that fills a
     third of the table is still split over many files.
@@ -182,10 +201,17 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int, z_order: bool =
     spread = F.xxhash64(*df.columns)
     if z_order:
         keyed = df.withColumn("_z", z_value(df, columns))
-        return (
-            keyed.repartitionByRange(files, "_z", spread).sortWithinPartitions("_z").drop("_z")
-        )
-    return df.repartitionByRange(files, *columns, spread).sortWithinPartitions(*columns)
+        return keyed.repartitionByRange(files, *within, "_z", spread).sortWithinPartitions(*within, "_z").drop("_z")
+    return df.repartitionByRange(files, *within, *columns, spread).sortWithinPartitions(*within, *columns)
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition columns of a table folder, from its directories."""
+    found = []
+    while below := [name for name in paths.children(spark, path) if "=" in name and name[0] not in "_."]:
+        found.append(below[0].split("=", 1)[0])
+        path = f"{path}/{below[0]}"
+    return found
 
 
 def compact(
@@ -196,14 +222,16 @@ def compact(
     file_bytes: int = 512 * 1024 * 1024,
     z_order: bool = False,
 ) -> None:
-    """Rewrite small files as few large ones, clustered for the common filters."""
+    """Rewrite small files as few large ones, clustered for the common filters; partitions stay as they are."""
     df = spark.read.parquet(source)
+    parts = partition_columns(spark, source)
     files = max(1, math.ceil(estimated_bytes(df) / file_bytes))
-    clustered(df, columns, files, z_order).write.mode("overwrite").parquet(target)
+    rows = clustered(df, columns, files, z_order, parts)
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(target)
 
 
 def bucket_count(df: DataFrame, bucket_bytes: int = 512 * 1024 * 1024, least: int = 8) -> int:
-    return max(least, min(20_000, math.ceil(estimated_bytes(df) / bucket_bytes)))
+    return max(least, math.ceil(estimated_bytes(df) / bucket_bytes))
 
 
 def write_bucketed_pair(
@@ -215,22 +243,24 @@ def write_bucketed_pair(
     locations: tuple[str, str],
     buckets: int | None = None,
     hot_rows: int = 20_000_000,
-    salts: int = 64,
 ) -> None:
     """Bucket a fact and the table it joins to by key, so the join needs no shuffle.
 
     A key with more than ``hot_rows`` rows in ``left`` would fill one bucket. Its
-    rows get one of ``salts`` salts by a digest of the row, and the ``right`` rows
-    of that key are repeated once per salt. All other keys have salt 0 and are
-    stored once. Hot keys number at most rows / hot_rows, a size to broadcast.
+    rows get as many salts as keep each near ``hot_rows``, by a digest of the row,
+    and the ``right`` rows of that key are repeated once per salt. All other keys
+    have salt 0 and are stored once. Hot keys number at most rows / hot_rows.
     """
     buckets = buckets or bucket_count(left)
+    most = "spark.sql.sources.bucketing.maxBuckets"
+    left.sparkSession.conf.set(most, str(max(buckets, int(left.sparkSession.conf.get(most)))))
     hot = left.groupBy(F.col(left_key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = stored(hot.where(F.col("_n") > hot_rows).select("_hot"), "hot-buckets")
-    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    hot = hot.where(F.col("_n") > hot_rows).select("_hot", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    hot = stored(hot, "hot-buckets")
+    salt = F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int")
     salted = left.join(small_side(hot), F.col(left_key) == F.col("_hot"), "left")
     salted = salted.select(*left.columns, F.coalesce(salt, F.lit(0)).alias("_salt"))
-    every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
+    every = F.sequence(F.lit(0), F.col("_salts") - 1)
     repeated = right.join(small_side(hot), F.col(right_key) == F.col("_hot"), "left")
     repeated = repeated.select(*right.columns, F.explode(F.coalesce(every, F.array(F.lit(0)))).alias("_salt"))
     for df, key, name, location in (

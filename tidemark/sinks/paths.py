@@ -24,6 +24,17 @@ def children(spark: SparkSession, uri: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
+def empty_files(spark: SparkSession, uri: str) -> list[str]:
+    """Data files without a byte anywhere below ``uri``; markers and hidden files do not count."""
+    fs, path = _open(spark, uri)
+    found, every = [], fs.listFiles(path, True)
+    while every.hasNext():
+        status = every.next()
+        if status.getLen() == 0 and status.getPath().getName()[0] not in "_.":
+            found.append(status.getPath().toUri().toString())
+    return found
+
+
 def delete(spark: SparkSession, uri: str) -> None:
     fs, path = _open(spark, uri)
     fs.delete(path, True)

@@ -39,19 +39,30 @@ def is_record(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
+MISFIT = "_misfit"
+
+
+def _typed(text: Column) -> Column:
+    """The ride fields, and the whole text in ``_misfit`` if any field does not fit its type."""
+    schema = T.StructType([*RIDE_SCHEMA.fields, T.StructField(MISFIT, T.StringType())])
+    return F.from_json(text, schema, {"columnNameOfCorruptRecord": MISFIT})
+
+
 def parse_rides(raw: DataFrame, keep_malformed: bool = False, only: Collection[str] | None = None) -> DataFrame:
     """``value`` to ride fields plus event, pickup and drop-off times.
 
-    Records that are not JSON objects are left to ``malformed_rides``. With
-    ``keep_malformed`` they stay as rows of NULL and form a NULL group. ``only``
-    names the ride fields that are needed; no other field is converted, and the
-    times come with the fields they are made from.
+    Records that are not JSON objects, or have a field that does not fit its type,
+    are left to ``malformed_rides``. With ``keep_malformed`` they stay, with NULL for
+    what cannot be read, and the former form a NULL group. ``only`` names the ride
+    fields that are returned; the times come with the fields they are made from.
     """
     schema = T.StructType([f for f in RIDE_SCHEMA.fields if only is None or f.name in only])
     text = raw.select(decode_text(F.col("value")).alias("text"))
-    if not keep_malformed:
-        text = text.where(is_record(F.col("text")))
-    rides = text.select(F.from_json("text", schema).alias("ride")).select("ride.*")
+    if keep_malformed:
+        rides = text.select(F.from_json("text", schema).alias("ride")).select("ride.*")
+    else:
+        typed = text.where(is_record(F.col("text"))).select(_typed(F.col("text")).alias("ride"))
+        rides = typed.where(F.col("ride").getField(MISFIT).isNull()).select(*[f"ride.{name}" for name in schema.names])
     times = {}
     if "tpepPickupDateTime" in schema.names:
         times["event_time"] = times["pickup_time"] = epoch_ms_to_ts(F.col("tpepPickupDateTime"))
@@ -61,9 +72,15 @@ def parse_rides(raw: DataFrame, keep_malformed: bool = False, only: Collection[s
 
 
 def malformed_rides(raw: DataFrame) -> DataFrame:
-    """The raw text of records that cannot be parsed, for the quarantine sink."""
-    text = raw.select(decode_text(F.col("value")).alias("value"))
-    return text.where(~is_record(F.col("value"))).withColumn("error_code", F.lit("bad_json"))
+    """The raw text of records that cannot be parsed, for the quarantine sink.
+
+    ``bad_json``: not a JSON object; ``bad_field``: a field does not fit its type.
+    """
+    value = F.col("value")
+    misfit = _typed(value).getField(MISFIT).isNotNull()
+    code = F.when(~is_record(value), F.lit("bad_json")).when(misfit, F.lit("bad_field"))
+    text = raw.select(decode_text(value).alias("value"))
+    return text.withColumn("error_code", code).where(F.col("error_code").isNotNull())
 
 
 def vendor_revenue(rides: DataFrame) -> DataFrame:
