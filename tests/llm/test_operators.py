@@ -148,6 +148,33 @@ def test_one_of_each_group_stays(odd):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, [1, 2, 3, 4, 6, 7, 9, None, 10]))
 
 
+def test_rows_are_told_apart_by_key_and_text(session):
+    random = np.random.default_rng(6)
+    one, two, three, four = (" ".join(f"{c}{x}" for x in random.integers(0, 500, 150)) for c in "abcd")
+    near = f"{four} end"
+    rows = [
+        (1, one), (None, one), (None, "no other row has this text"),  # a copy without key beside a row of its own
+        (2, two), (3, two), (3, three), (5, three), (3, three),  # one key with two texts, the first a copy of another key
+        (None, four), (None, near), (7, f"{one} end"),
+    ]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_components(rows, 5, 80)
+    left = Counter(texts(minhash.keep_one(docs)))
+    assert sum(left[None, x] for x in (four, near)) == 1  # one of two near copies without key
+    assert left - Counter({(None, four): 1, (None, near): 1}) == Counter([rows[0], rows[2], rows[3], rows[5]])
+
+
+def test_two_classes_of_one_key_keep_their_own_links(session):
+    random = np.random.default_rng(7)
+    one, two = (" ".join(f"{c}{x}" for x in random.integers(0, 500, 150)) for c in "ab")
+    rows = [(1, one), (1, two), (8, f"{one} end"), (9, f"{two} end"), (None, f"{two} close"), (4, "alone here")]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_components(rows, 5, 80)
+    assert Counter(texts(minhash.keep_one(docs))) == Counter([rows[0], rows[1], rows[5]])
+
+
 def test_estimates_are_near_the_similarity():
     random = np.random.default_rng(4)
     common = random.integers(0, 2**63, 800, dtype=np.uint64)

@@ -20,9 +20,12 @@ Sets are only built again for the classes that are candidates.
 
 Defined results: a text that is NULL or has no word has an empty set and is
 linked with nothing; fewer words than a shingle make one shingle of them all;
-repeated rows are linked; rows without a key are linked with equal sets only, and
-their key is never the smallest unless there is no other; an empty table gives an
-empty result.
+repeated rows are linked; a missing key is never the smallest unless there is no
+other; rows of one key may have different texts, and each text is linked by itself;
+an empty table gives an empty result.
+
+A row is known by its key and a hash of its text, since neither a key nor its
+absence tells one text from another. A class has a number of its own.
 """
 
 from __future__ import annotations
@@ -127,6 +130,10 @@ def similar_sets(a: np.ndarray, b: np.ndarray, similar: int) -> bool:
     return 100 * common >= similar * (len(both) - common)
 
 
+def hash_of(text: str):
+    return F.xxhash64(F.col(text).cast("binary"))
+
+
 def _words(column) -> np.ndarray:
     """Fixed-width binary values as rows of 64-bit words."""
     values = column.to_pylist()
@@ -134,8 +141,8 @@ def _words(column) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, key: str, text: str, size: int, bands: int) -> DataFrame:
-    """``key, n`` and, unless the set is empty, ``f1, f2`` (its fingerprint), ``bits`` and ``bands``."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("raw"))
+    """``key, hash, n`` and, unless the set is empty, ``f1, f2`` (its fingerprint), ``bits`` and ``bands``."""
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("raw"), hash_of(text).alias("hash"))
 
     def run(batches):
         for batch in batches:
@@ -150,9 +157,9 @@ def sketches(docs: DataFrame, key: str, text: str, size: int, bands: int) -> Dat
                     values = (0, None, None, None, None)
                 for name, value in zip(out, values):
                     out[name].append(value)
-            yield {"key": batch.column(0), **out}
+            yield {"key": batch.column(0), "hash": batch.column(2), **out}
 
-    return scan(rows, "key long, n long, f1 long, f2 long, bits binary, bands array<long>", run)
+    return scan(rows, "key long, hash long, n long, f1 long, f2 long, bits binary, bands array<long>", run)
 
 
 def _fingerprint(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
@@ -187,17 +194,19 @@ def _promising(pairs: DataFrame, least: float) -> DataFrame:
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``cid`` and the set of each class in ``chosen`` (``cid, key, f1, f2``), from the text of one of its rows."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("raw"))
-    few = chosen.count() <= BROADCAST_IDS  # 16 bytes each
-    rows = rows.join(F.broadcast(chosen) if few else chosen, "key")
+    """``cid`` and the set of each class in ``chosen`` (``cid, least, f1, f2``), from the text of its row ``least``."""
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("raw"), hash_of(text).alias("hash"))
+    chosen = chosen.select("cid", F.col("least.key").alias("least_key"), F.col("least.hash").alias("least_hash"), "f1", "f2")
+    few = chosen.count() <= BROADCAST_IDS  # 40 bytes each
+    same = F.col("key").eqNullSafe(F.col("least_key")) & (F.col("hash") == F.col("least_hash"))
+    rows = rows.join(F.broadcast(chosen) if few else chosen, same)
 
     def run(batches):
         for batch in batches:
             out = {"cid": [], "shingles": []}
             for cid, raw, *want in zip(*(c.to_pylist() for c in batch.columns)):
                 shingles = shingle_set(raw or b"", size)
-                # rows of one key may differ: only those of the class count
+                # other texts may share the hash: only those of the class count
                 if len(shingles) and [int(x.view(np.int64)) for x in _fingerprint(shingles)] == want:
                     out["cid"].append(cid)
                     out["shingles"].append(shingles.tobytes())
@@ -302,14 +311,20 @@ def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similar: int = SIMILAR
 ) -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row; ``similar`` in percent."""
+    found = components(docs, key, text, size, similar)
+    kept = F.col("key").eqNullSafe(F.col("component_id"))
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+
+
+def components(docs: DataFrame, key: str, text: str, size: int, similar: int) -> DataFrame:
+    """``key, hash, n, component_id, component_hash`` of every row: what it is known by, and the row that stays for it."""
     bands = bands_for(similar)
     least = least_estimate(similar, bands)
     every = stored(sketches(docs, key, text, size, bands), "minhash")
     prints = ["n", "f1", "f2"]
-    # a class is known by its least key; one of rows without key by its fingerprint
-    cid = F.coalesce(F.min("key"), -F.abs(F.xxhash64(*prints)) - 2)
-    classes = every.where("n > 0").groupBy(*prints).agg(cid.alias("cid"), F.min("key").alias("least"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
-    classes = stored(classes, "minhash-classes")
+    row = F.struct(F.col("key").isNull().alias("unkeyed"), "key", "hash")  # the least of these has a key, if any has
+    classes = every.where("n > 0").groupBy(*prints).agg(F.min(row).alias("least"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "minhash-classes")
     banded = classes.select(F.explode("bands").alias("band"), "cid")
     leaders = banded.groupBy("band").agg(F.min("cid").alias("leader"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     leaders = stored(leaders, "minhash-buckets")
@@ -320,8 +335,7 @@ def near_duplicates(
     stars = stars.join(bits.select(F.col("cid").alias("a"), F.col("bits").alias("bits_a")), "a")
     stars = stored(_promising(stars, least), "minhash-stars")
     # sets of all that share a bucket: by one row of each class
-    keys = classes.select("cid", F.col("least").alias("key"), "f1", "f2").where("key is not null")
-    wanted = stored(members.select("cid").distinct().join(keys, "cid"), "minhash-wanted")
+    wanted = stored(members.select("cid").distinct().join(classes.select("cid", "least", "f1", "f2"), "cid"), "minhash-wanted")
     sets = _sets(docs, wanted, key, text, size)
     links = stored(_verify(stars, sets, similar), "minhash-links")
     labels = connected(links)
@@ -334,30 +348,32 @@ def near_duplicates(
     final = connected(links.union(more))
     found = classes.select("cid", "least", *prints).join(final.withColumnRenamed("node", "cid"), "cid", "left")
     found = found.select(*prints, "least", F.coalesce("label", "cid").alias("label"))
-    smallest = found.groupBy("label").agg(F.min("least").alias("component_id"))
+    smallest = found.groupBy("label").agg(F.min("least").alias("stays"))
     found = stored(found.select(*prints, "label").join(smallest, "label").drop("label"), "minhash-components")
-    out = every.select("key", *prints).join(found, prints, "left")
+    out = every.select("key", "hash", *prints).join(found, prints, "left")
     alone = F.col("n") == 0
-    component = F.when(alone, F.col("key")).otherwise(F.col("component_id"))
     result = out.select(
-        F.col("key").alias(key),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("key").eqNullSafe(component).alias("kept"),
+        "key",
+        "hash",
+        "n",
+        F.when(alone, F.col("key")).otherwise(F.col("stays.key")).alias("component_id"),
+        F.when(alone, F.col("hash")).otherwise(F.col("stays.hash")).alias("component_hash"),
     )
     discard(classes, leaders, members, stars, wanted, sets, links, more)
     return result
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
-    """The rows of ``docs``, with all their columns, without near-duplicates: the smallest key of each component stays."""
-    found = stored(near_duplicates(docs, key, text, size, similar), "minhash-found")
-    gone = found.where("not kept").select(F.col(key).alias("gone")).distinct()
+    """The rows of ``docs``, with all their columns, without near-duplicates: of each component one row with the smallest key stays."""
+    found = stored(components(docs, key, text, size, similar), "minhash-found")
+    stays = F.col("key").eqNullSafe(F.col("component_id")) & (F.col("hash") == F.col("component_hash"))
+    row = F.col("key").alias("gone"), F.col("hash").alias("gone_hash")
+    gone = found.where(~stays).select(*row).distinct()
     few = gone.count() <= BROADCAST_IDS
-    same = F.col(key).eqNullSafe(F.col("gone"))
+    same = F.col(key).eqNullSafe(F.col("gone")) & (hash_of(text) == F.col("gone_hash"))
     left = docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
-    # rows repeated as they are share their key with the one that stays
-    twice = found.where("kept and n_shingles > 0").groupBy(F.col(key).alias("gone")).count().where("count > 1").select("gone")
+    # rows repeated as they are cannot be told from the one that stays
+    twice = found.where(stays & (F.col("n") > 0)).groupBy(*row).count().where("count > 1").drop("count")
     twice = stored(twice, "minhash-repeated")
     n = twice.count()
     if not n:
