@@ -362,6 +362,29 @@ def test_named_boilerplate_goes():
     assert style_tree.main_text(page, {}) == "T a&b c d e"
 
 
+def extracted(session, rows):
+    docs = session.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in style_tree.extract(docs).collect()}
+
+
+@pytest.mark.parametrize("around", ["<div class=with-sidebar>", "<div class='layout no-comments'>", "<form id=f>", "<header>", "<div role=main><dialog>"])
+def test_names_around_an_article_do_not_decide(around):
+    assert style_tree.main_text(f"<body>{around}<nav>n</nav><div class=sidebar>x</div><article><p>Story</article>", {}) == "Story"
+    assert style_tree.main_text("<div hidden><article>not shown</article></div><p>shown", {}) == "shown"
+
+
+def test_figures_overrule_a_hint(session):
+    page = (
+        "<article><div class=article-header>Title {0}</div><p>Story {0}</p><section class=related-work>Work {0}</section>"
+        "<h2 class=social-impact>Impact {0}</h2><div class=share>Share this</div></article>"
+    )
+    rows = [(i, "http://h.example/a", page.format(i * 7919)) for i in range(30)]
+    rows += [(100 + i, "http://f.example/a", f"<form><h1>Title {i * 31}</h1><div class=sidebar>Same</div><p>Story {i * 77}</form>") for i in range(30)]
+    found = extracted(session, rows)
+    assert found[3] == "Title 23757 Story 23757 Work 23757 Impact 23757"
+    assert found[103] == "Title 93 Story 231"
+
+
 # chat
 
 

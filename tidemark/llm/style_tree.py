@@ -13,9 +13,12 @@ The importance of an inner node combines its own presentation with that of its
 children, weighed by how often they occur and by ``DECAY`` for their number.
 Branches with an importance below ``LEAST`` are removed from each page. Hosts
 with few pages borrow from the tree of all hosts, in proportion to ``BORROWED``
-pages. What HTML itself calls navigation, form, script and so on, or what class
-and id call so, has importance 0; text within article or main counts as content
-unless it is in such a branch, however many copies of it the site has.
+pages. What HTML itself calls navigation, script and so on has importance 0,
+unless it holds an article or main. A form, or what class, id or role call
+boilerplate, is a hint: such a branch goes unless it was seen on ``ENOUGH`` pages of
+the host with an importance of ``OVERRULES``. A hint decides alone only beside the
+article or main of a page, never above it. Text within article or main counts as
+content, however many copies of it the site has.
 
 Statistics are counted over all pages, first by (host, node, text) and then by
 (host, node), so no host is gathered in one task; the tree of a host is one row.
@@ -44,15 +47,18 @@ from tidemark.llm.common import scan, stored
 LEAST = 0.3
 DECAY = 0.9
 BORROWED = 5
+ENOUGH = 10
+OVERRULES = 0.6
 BROADCAST_NODES = 200_000
 
 # Elements of HTML by their meaning.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes template".split())
 NEVER = RAW | frozenset(
-    "head nav header footer aside form button select option input label fieldset dialog menu svg canvas object audio video map".split()
+    "head nav header footer aside button select option input label menu svg canvas object audio video map".split()
 )
 CONTENT = frozenset(["article", "main"])
+HINT_TAGS = frozenset("form fieldset dialog".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hr html li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
@@ -85,8 +91,11 @@ class Node:
     tag: str
     path: int
     never: bool
+    hinted: bool
     content: bool
     parent: Node | None
+    hidden: bool = False
+    holds: bool = False  # an article or main
     children: list = field(default_factory=list)  # elements, and texts as str
 
 
@@ -104,15 +113,27 @@ def _open(tag: str, attributes: dict[str, str], parent: Node) -> Node:
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
     inside = parent.content or tag in CONTENT
     # a header of the article itself holds its title
-    never = tag in NEVER and not (tag == "header" and parent.content) or hidden or hinted and tag not in ("html", "body", *CONTENT)
-    node = Node(tag, _hash(parent.path, tag, names), parent.never or never, inside, parent)
+    never = hidden or tag in NEVER and not (tag == "header" and parent.content)
+    hinted = (hinted or tag in HINT_TAGS) and tag not in ("html", "body", *CONTENT)
+    node = Node(tag, _hash(parent.path, tag, names), never, hinted, inside, parent, hidden=hidden)
     parent.children.append(node)
+    if tag in CONTENT:
+        above = parent
+        while above is not None and not above.holds:
+            # what is around an article is no boilerplate by its name
+            above.holds, above.hinted, above.never = True, False, above.never and above.hidden
+            above = above.parent
     return node
 
 
+def _decided(node: Node, root: Node) -> bool:
+    """Whether the branch goes by its names, whatever the figures of the host."""
+    return node.never or node.hinted and root.holds and not node.content
+
+
 def parse(page: str) -> Node:
     """The tree of a page; end tags close the nearest open element of their name."""
-    root = at = Node("", 0, False, False, None)
+    root = at = Node("", 0, False, False, False, None)
     end, raw = 0, None
     for m in _TOKEN.finditer(page):
         if raw is not None:  # inside script, style and the like until their own end tag
@@ -160,9 +181,12 @@ def _own_text(node: Node) -> str:
 
 
 def walk(root: Node):
+    """The elements but for branches that go by their names."""
     stack = [root]
     while stack:
         node = stack.pop()
+        if _decided(node, root):
+            continue
         yield node
         stack.extend(x for x in reversed(node.children) if not isinstance(x, str))
 
@@ -171,8 +195,6 @@ def observe(page: str) -> set[tuple[int, int, int, int]]:
     """``(node, parent, kind, feature)`` of a page: kind 0 the children shown, kind 1 a text."""
     seen = set()
     for node in walk(parse(page)):
-        if node.never:  # decided by its name alone
-            continue
         parent = node.parent.path if node.parent else 0
         shown = dict.fromkeys(x.path for x in node.children if not isinstance(x, str))
         seen.add((node.path, parent, 0, _hash(*shown)))
@@ -181,12 +203,22 @@ def observe(page: str) -> set[tuple[int, int, int, int]]:
     return seen
 
 
-def main_text(page: str | None, importance: dict[int, float]) -> str:
-    """Text of the branches that are left, blocks joined by a space."""
+def _stays(node: Node, root: Node, importance: dict[int, tuple[float, int]]) -> bool:
+    if _decided(node, root):
+        return False
+    known, pages = importance.get(node.path, (1.0, 0))
+    if node.hinted:
+        return pages >= ENOUGH and known >= OVERRULES
+    return node.content or known >= LEAST
+
+
+def main_text(page: str | None, importance: dict[int, tuple[float, int]]) -> str:
+    """Text of the branches that are left, blocks joined by a space; ``importance`` has pages as well."""
     if not page:
         return ""
     pieces: list[str] = []
-    stack: list = [parse(page)]
+    root = parse(page)
+    stack: list = [root]
     while stack:
         item = stack.pop()
         if isinstance(item, str):
@@ -194,7 +226,7 @@ def main_text(page: str | None, importance: dict[int, float]) -> str:
             continue
         if item.tag in BLOCK:  # it parts what stands around it, even where it goes
             pieces.append(" ")
-        if not item.never and (item.content or importance.get(item.path, 1.0) >= LEAST):
+        if _stays(item, root, importance):
             if item.tag in BLOCK:
                 stack.append(" ")
             stack.extend(reversed(item.children))
@@ -229,7 +261,7 @@ def tree_importance(nodes: pd.DataFrame) -> dict[int, float]:
 
 
 def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row for each host: ``host, nodes, importance`` (arrays side by side)."""
+    """One row for each host: ``host, nodes, importance, pages`` (arrays side by side)."""
     rows = pages.select(host_of(url).alias("host"), F.col(page).alias("html"))
 
     def run(batches):
@@ -279,10 +311,12 @@ def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
 
     def one_host(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = tree_importance(frame)
-        low = {n: x for n, x in out.items() if x < LEAST}  # the others need no entry
-        return pd.DataFrame({"host": [key[0]], "nodes": [np.array(list(low), np.int64)], "importance": [np.array(list(low.values()), float)]})
+        seen = dict(zip(frame["node"], frame["pages"].astype(np.int64)))
+        told = [n for n, x in out.items() if x < LEAST or seen[n] >= ENOUGH]  # the others need no entry
+        columns = {"nodes": np.array(told, np.int64), "importance": np.array([out[n] for n in told], float), "pages": np.array([seen[n] for n in told], np.int64)}
+        return pd.DataFrame({"host": [key[0]], **{name: [x] for name, x in columns.items()}})
 
-    return nodes.groupBy("host").applyInPandas(one_host, "host string, nodes array<long>, importance array<double>")
+    return nodes.groupBy("host").applyInPandas(one_host, "host string, nodes array<long>, importance array<double>, pages array<long>")
 
 
 def host_of(url: str):
@@ -295,13 +329,13 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     size = trees.agg(F.sum(F.size("nodes") + 10)).first()[0] or 0
     kind = pages.schema[key].dataType.simpleString()
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(page).alias("html"), host_of(url).alias("host"))
-    # 16 bytes a node; beyond the bound the pages are shuffled by host, and AQE splits hot hosts
+    # 24 bytes a node; beyond the bound the pages are shuffled by host, and AQE splits hot hosts
     joined = rows.join(F.broadcast(trees) if size <= BROADCAST_NODES else trees, "host", "left")
 
     def run(batches):
         for batch in batches:
-            c = {name: batch.column(name).to_pylist() for name in ("html", "nodes", "importance")}
-            texts = [main_text(h, dict(zip(n or (), i or ()))) for h, n, i in zip(*c.values())]
+            c = {name: batch.column(name).to_pylist() for name in ("html", "nodes", "importance", "pages")}
+            texts = [main_text(h, dict(zip(n or (), zip(i or (), m or ())))) for h, n, i, m in zip(*c.values())]
             yield {"key": batch.column("key"), "url": batch.column("url"), "text": texts, "n_chars": [len(t) for t in texts]}
 
     return scan(joined, f"key {kind}, url string, text string, n_chars long", run).withColumnRenamed("key", key)
