@@ -385,6 +385,19 @@ def test_figures_overrule_a_hint(session):
     assert found[103] == "Title 93 Story 231"
 
 
+def test_steady_branches_inside_an_article_go_but_copies_stay(session):
+    page = "<article><h1>Title {0}</h1><div class=aa>Read it in our app</div><p>Story {0}</p>{1}</article>"
+    rows = [(i, "http://h.example/a", page.format(i * 7919, "")) for i in range(30)]
+    rows += [(100 + i, "http://h.example/a", page.format("copied", "<h3>Only here</h3>")) for i in range(90)]
+    rows += [(200 + i, "http://few.example/a", page.format(i * 17, "")) for i in range(3)]
+    rows += [(300 + i, "http://copies.example/a", page.format("one", "")) for i in range(50)]
+    found = extracted(session, rows)
+    assert found[3] == "Title 23757 Story 23757"
+    assert found[103] == "Title copied Story copied Only here"
+    assert found[202] == "Title 34 Read it in our app Story 34"
+    assert found[307] == "Title one Read it in our app Story one"
+
+
 # chat
 
 

@@ -17,8 +17,9 @@ pages. What HTML itself calls navigation, script and so on has importance 0,
 unless it holds an article or main. A form, or what class, id or role call
 boilerplate, is a hint: such a branch goes unless it was seen on ``ENOUGH`` pages of
 the host with an importance of ``OVERRULES``. A hint decides alone only beside the
-article or main of a page, never above it. Text within article or main counts as
-content, however many copies of it the site has.
+article or main of a page, never above it. Within article or main a branch goes
+below ``LEAST_INSIDE`` on ``ENOUGH`` articles of the host; an article counts once
+there, however many copies of it the site has.
 
 Statistics are counted over all pages, first by (host, node, text) and then by
 (host, node), so no host is gathered in one task; the tree of a host is one row.
@@ -45,6 +46,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import scan, stored
 
 LEAST = 0.3
+LEAST_INSIDE = 0.1
 DECAY = 0.9
 BORROWED = 5
 ENOUGH = 10
@@ -191,16 +193,21 @@ def walk(root: Node):
         stack.extend(x for x in reversed(node.children) if not isinstance(x, str))
 
 
-def observe(page: str) -> set[tuple[int, int, int, int]]:
-    """``(node, parent, kind, feature)`` of a page: kind 0 the children shown, kind 1 a text."""
-    seen = set()
+def observe(page: str) -> set[tuple[int, int, int, int, int | None]]:
+    """``(node, parent, kind, feature, article)`` of a page: kind 0 the children shown, kind 1 a text.
+
+    ``article`` is the same for copies of all that stands inside article or main, and None outside.
+    """
+    outside, inside = set(), set()
     for node in walk(parse(page)):
+        seen = inside if node.content else outside
         parent = node.parent.path if node.parent else 0
         shown = dict.fromkeys(x.path for x in node.children if not isinstance(x, str))
         seen.add((node.path, parent, 0, _hash(*shown)))
         if text := _own_text(node):
             seen.add((node.path, parent, 1, _hash(text)))
-    return seen
+    article = _hash(*sorted(inside))
+    return {(*x, None) for x in outside} | {(*x, article) for x in inside}
 
 
 def _stays(node: Node, root: Node, importance: dict[int, tuple[float, int]]) -> bool:
@@ -209,7 +216,7 @@ def _stays(node: Node, root: Node, importance: dict[int, tuple[float, int]]) ->
     known, pages = importance.get(node.path, (1.0, 0))
     if node.hinted:
         return pages >= ENOUGH and known >= OVERRULES
-    return node.content or known >= LEAST
+    return known >= LEAST_INSIDE or pages < ENOUGH if node.content else known >= LEAST
 
 
 def main_text(page: str | None, importance: dict[int, tuple[float, int]]) -> str:
@@ -271,11 +278,14 @@ def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
                 if text:
                     seen.update((host, *x) for x in observe(text))
             if seen:
-                names = ("host", "node", "parent", "kind", "feature")
+                names = ("host", "node", "parent", "kind", "feature", "article")
                 yield {**dict(zip(names, map(list, zip(*seen)))), "n": list(seen.values())}
 
-    ddl = "host string, node long, parent long, kind long, feature long, n long"
-    features = scan(rows, ddl, run).groupBy("host", "node", "parent", "kind", "feature").agg(F.sum("n").alias("n"))
+    ddl = "host string, node long, parent long, kind long, feature long, article long, n long"
+    names = ["host", "node", "parent", "kind", "feature"]
+    features = scan(rows, ddl, run).groupBy(*names, "article").agg(F.sum("n").alias("n"))
+    once = F.when(F.col("article").isNull(), F.col("n")).otherwise(1)
+    features = features.groupBy(*names).agg(F.sum(once).alias("n"))
     features = stored(features, "style-features")
     everywhere = features.groupBy("node", "parent", "kind", "feature").agg(F.sum("n").alias("n"))
     # of each node: pages, and per kind the sum of n * log n over features and of n
