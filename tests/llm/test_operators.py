@@ -398,6 +398,20 @@ def test_steady_branches_inside_an_article_go_but_copies_stay(session):
     assert found[307] == "Title one Read it in our app Story one"
 
 
+def test_names_made_for_one_page_do_not_grow_the_tree(session):
+    letters = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    page = "<article><h2 id=title-{0}>Title {0}</h2><div class='post-{0}'><p>Story {0}</p></div><p id=share-{0}>Work {0}</p><div>Same</div></article>"
+    rows = [(i, "http://h.example/a", page.format(x)) for i, x in enumerate(letters)]
+    docs = session.createDataFrame(rows, "page_id long, url string, html string")
+    nodes = style_tree.without_single(style_tree.node_figures(docs, "url", "html"))
+    assert nodes.count() < 10
+    assert nodes.agg(F.max("single")).first()[0] == 60
+    assert extracted(session, rows)[3] == "Title da Story da Work da"
+    assert style_tree.main_text("<article><h2 id=social-impact>Impact</h2><div id=share>s</div></article>", {}) == "Impact"
+    parts = "<div id=sidebar>Same</div><div id=aa>Steady</div><div id=bb>Story {0}</div>"
+    assert extracted(session, [(i, "http://h.example/a", parts.format(x)) for i, x in enumerate(letters)])[3] == "Story da"
+
+
 # chat
 
 

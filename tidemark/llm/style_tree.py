@@ -1,7 +1,8 @@
 """Main text of web pages by site style trees.
 
 Pages of one host are merged into a tree of element nodes. A node is named by
-the tags and classes from the root to it; equal siblings merge. Two entropies
+the tags, classes and ids from the root to it; equal siblings merge. Inside article
+and main, where ids are mostly anchors made for one page, only hints of them count. Two entropies
 tell how much a node matters, both to the base of the number m of pages that
 have it, so that 1 means it differs on every page and 0 that it never changes:
 
@@ -22,7 +23,10 @@ below ``LEAST_INSIDE`` on ``ENOUGH`` articles of the host; an article counts onc
 there, however many copies of it the site has.
 
 Statistics are counted over all pages, first by (host, node, text) and then by
-(host, node), so no host is gathered in one task; the tree of a host is one row.
+(host, node). The nodes of a host that are on two pages or more, here or at another
+host, are gathered in one task, which combines them; the tree of a host is one row.
+Nodes on a single page, which names made for one post give without end, have
+importance 1 and only add to the weight of their parent.
 
 Defined results: NULL or empty html, or a page without text, gives an empty
 text; a NULL or odd url belongs to the host ``""``; unclosed, misnested and cut
@@ -60,6 +64,7 @@ NEVER = RAW | frozenset(
     "head nav header footer aside button select option input label menu svg canvas object audio video map".split()
 )
 CONTENT = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HINT_TAGS = frozenset("form fieldset dialog".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
@@ -110,10 +115,12 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _open(tag: str, attributes: dict[str, str], parent: Node) -> Node:
-    names = _DIGITS.sub("", f"{attributes.get('class', '')} {attributes.get('id', '')}".strip().lower())
+    inside, name = parent.content or tag in CONTENT, attributes.get("id", "").lower()
+    if inside:
+        name = "" if tag in HEADINGS else " ".join(sorted(HINTS.intersection(_WORDS.findall(name))))
+    names = _DIGITS.sub("", f"{attributes.get('class', '')} {name}".strip().lower())
     hinted = bool(HINTS.intersection(_WORDS.findall(names))) or attributes.get("role", "").lower() in HINT_ROLES
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
-    inside = parent.content or tag in CONTENT
     # a header of the article itself holds its title
     never = hidden or tag in NEVER and not (tag == "header" and parent.content)
     hinted = (hinted or tag in HINT_TAGS) and tag not in ("html", "body", *CONTENT)
@@ -242,7 +249,7 @@ def main_text(page: str | None, importance: dict[int, tuple[float, int]]) -> str
 
 
 def tree_importance(nodes: pd.DataFrame) -> dict[int, float]:
-    """Importance of each node of one tree from its own figures, children first."""
+    """Importance of each node of one tree from its own figures, children first; ``single`` counts children left out."""
     rows = {r.node: r for r in nodes.itertuples()}
     children: dict[int, list[int]] = {}
     for r in rows.values():
@@ -258,17 +265,17 @@ def tree_importance(nodes: pd.DataFrame) -> dict[int, float]:
         parts = [(rows[c].pages, out[c]) for c in below]
         if r.content == r.content:  # it has text of its own
             parts.append((r.pages, r.content))
-        weight = sum(w for w, _ in parts)
-        inner = sum(w * x for w, x in parts) / weight if weight else 0.0
-        own = DECAY ** len(parts)
-        shown = r.presentation if below else inner
+        weight = r.single + sum(w for w, _ in parts)  # those on a single page have importance 1
+        inner = (r.single + sum(w * x for w, x in parts)) / weight if weight else 0.0
+        own = DECAY ** (len(parts) + r.single)
+        shown = r.presentation if below or r.single else inner
         # a branch matters as much as its better half: steady layout may hold changing text
         out[n] = max((1 - own) * shown + own * inner, inner)
     return out
 
 
-def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row for each host: ``host, nodes, importance, pages`` (arrays side by side)."""
+def node_figures(pages: DataFrame, url: str, page: str) -> DataFrame:
+    """``host, node, parent, pages, pages_all, presentation, content`` of every node."""
     rows = pages.select(host_of(url).alias("host"), F.col(page).alias("html"))
 
     def run(batches):
@@ -317,7 +324,21 @@ def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
     few = F.lit(float(BORROWED)) / (F.col("pages") + BORROWED)
     for name in ("presentation", "content"):
         joined = joined.withColumn(name, F.col(name) * (1 - few) + F.col(f"{name}_all") * few)
-    nodes = joined.select("host", "node", "parent", "pages", "presentation", "content")
+    return joined.select("host", "node", "parent", "pages", "pages_all", "presentation", "content")
+
+
+def without_single(nodes: DataFrame) -> DataFrame:
+    """The nodes on two pages or more over all hosts, with the number of their other children in ``single``."""
+    alone = F.col("pages_all") <= 1
+    nodes = stored(nodes, "style-nodes")
+    single = nodes.where(alone).groupBy("host", F.col("parent").alias("node")).agg(F.count("*").alias("single"))
+    left = nodes.where(~alone).drop("pages_all").join(single, ["host", "node"], "left")
+    return left.withColumn("single", F.coalesce("single", F.lit(0)))
+
+
+def build_trees(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+    """One row for each host: ``host, nodes, importance, pages`` (arrays side by side)."""
+    nodes = without_single(node_figures(pages, url, page))
 
     def one_host(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = tree_importance(frame)
