@@ -9,11 +9,12 @@ suffixes that start at anchors are indexed (about one in 140). Windows in a row
 segment with two fingerprints: of the KEY bytes at the anchor, and of
 all bytes that its windows cover.
 
-Documents arrive in batches. A batch gets a sorted array of the fingerprints of its
-sampled suffixes (sorted by the fingerprint of their first bytes, which tells equal
-prefixes as well as text order does). The array is merge-scanned against every
+Documents are dealt into ``BATCHES`` batches. A batch gives the set of the fingerprints
+of its sampled suffixes. The set is joined by equality, with a shuffle, with every
 level of the index; what both hold is repeated. Then it becomes a level itself,
-and two levels of one size are merged into one of twice the size.
+and two levels of one size are united into one of twice the size. No suffix array
+in text order is built and nothing is merge-scanned: only equal prefixes are asked
+for, and these have equal fingerprints.
 
 Segments whose whole text is repeated go; segments whose anchor is not repeated
 stay; the few others are cut into pieces of ``PIECE`` windows and then into single
@@ -135,13 +136,13 @@ def find_segments(docs: DataFrame) -> DataFrame:
 
 
 class SuffixIndex:
-    """Levels of sorted fingerprint arrays; level i is None or holds 2**i batches."""
+    """Levels of fingerprint sets; level i is None or holds 2**i batches."""
 
     def __init__(self) -> None:
         self.levels: list[DataFrame | None] = []
 
     def add(self, batch: DataFrame) -> list[DataFrame]:
-        """Take in the array ``print`` of a batch; what it shares with each level."""
+        """Take in the set ``print`` of a batch; what it shares with each level."""
         shared = [stored(batch.join(level, "print", "inner"), "suffix-shared") for level in self.levels if level is not None]
         size = 0
         while size < len(self.levels) and self.levels[size] is not None:
