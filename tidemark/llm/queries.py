@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, language_ecoc, minhash, mixing, neighbours, quality_pu, rules_forest, style_tree, suffix_dedup
+from tidemark.llm import (
+    balltree,
+    bpe,
+    chat,
+    debruijn,
+    language_ecoc,
+    minhash,
+    mixing,
+    neighbours,
+    quality_pu,
+    rules_forest,
+    sharding,
+    style_tree,
+    suffix_dedup,
+)
 from tidemark.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +129,43 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_neighbours")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op11_shards")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.digest(table(spark, folder, "documents"))
+
+
+SEARCH_SQL = r"""
+    with words as (
+      select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+    lengths as (select doc_id, count(*) as n from words group by doc_id),
+    sums as (select count(*)::bigint as docs, sum(n)::bigint as all_terms from lengths),
+    asked as (
+      select item_id, term, count(*) as times from (
+        select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark) group by all),
+    counted as (select doc_id, term, count(*) as tf from words semi join asked using (term) group by all),
+    weights as (
+      select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w
+      from counted, sums group by term),
+    scored as (
+      select item_id, doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // all_terms))))::bigint as score
+      from counted join weights using (term) join lengths using (doc_id) join asked using (term), sums
+      group by all),
+    ranked as (
+      select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+    select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+@query("op12_search", SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return balltree.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_phrases")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn.collocations(table(spark, folder, "documents"))
