@@ -331,3 +331,18 @@ def assert_quality(df: DataFrame, rules: Sequence[Rule], min_rows: int = 1) -> d
     if failed:
         raise QualityError("violated rules: " + ", ".join(f"{code} ({n} rows)" for code, n in failed.items()))
     return {"rows": row["rows"]}
+
+
+def assert_share(checked: DataFrame, least_good: float, min_rows: int = 1, name: str = "input") -> float:
+    """Stop the job if too small a share of the rows that ``write_checked`` wrote is good; returns the share.
+
+    Counts come from the footers of the files, by the folder that a row is in.
+    """
+    counts = {state: n for state, n in checked.groupBy("checked").count().collect()}
+    rows = sum(counts.values())
+    if rows < min_rows:
+        raise QualityError(f"{name}: {rows} rows, at least {min_rows} required")
+    share = counts.get("valid", 0) / rows if rows else 1.0
+    if share < least_good:
+        raise QualityError(f"{name}: {counts.get('quarantined', 0)} of {rows} rows are bad, a share of {least_good} must be good")
+    return share

@@ -1,8 +1,18 @@
-"""Bronze, silver and gold tables from raw orders, lines and customers."""
+"""Bronze, silver and gold tables from raw orders, lines and customers.
+
+Loads land in bronze by date. A load is checked as it is: rows that break a rule, a
+missing key among them, go to its quarantine, and a load with too small a share of
+good rows stops before anything of it can be read. Good rows are merged into silver,
+which lies in parts by key hash: only the parts of a load's keys are rewritten, as a
+new version, and a pointer file moves readers of all silver tables to it at once. Gold
+is rebuilt for the months that differ between the two versions.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +22,10 @@ from tidemark.operators import quality as dq
 from tidemark.operators.cleanse import fill_defaults, first_per_key
 from tidemark.operators.joins import Dimension, star_join
 from tidemark.operators.marts import monthly_revenue
-from tidemark.session import scratch, table, together
+from tidemark.session import scratch, size_shuffles, table, together
+from tidemark.sinks import paths
 from tidemark.sinks.batch import by_month, land, replace_partitions
+from tidemark.sinks.parts import PartTable, Pointer
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = [
@@ -22,26 +34,57 @@ LINE_ORDER = [
 ]
 LINE_RULES = [
     dq.required("l_orderkey"),
+    dq.required("l_linenumber"),
     dq.required("l_partkey"),
     dq.in_range("l_quantity", 0),
     dq.in_range("l_extendedprice", 0),
     dq.in_range("l_discount", 0, 1),
 ]
 ORDER_RULES = [dq.required("o_orderkey"), dq.required("o_custkey"), dq.required("o_orderdate")]
+CUSTOMER_RULES = [dq.required("c_custkey")]
 PARTITION = ["year", "month"]
+# Share of good rows that a load must have.
+LEAST_GOOD = 0.99
+# Columns of silver: the load that a row is from, and the version that last changed it.
+LOAD, VERSION = "_load_date", "_version"
+
+
+@dataclass(frozen=True)
+class Silver:
+    """How a table is kept in silver: its key, what its parts hash, its rules, and which of equal keys in a load stays."""
+
+    keys: Sequence[str]
+    part_keys: Sequence[str]
+    rules: Sequence[dq.Rule]
+    order: Sequence[str]
+    defaults: Mapping[str, object] = field(default_factory=dict)
+
+
+SILVER = {
+    "orders": Silver(["o_orderkey"], ["o_orderkey"], ORDER_RULES, ["o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]),
+    "lineitem": Silver(LINE_KEY, ["l_orderkey"], LINE_RULES, LINE_ORDER, {"l_discount": 0.0, "l_tax": 0.0}),
+    "customer": Silver(["c_custkey"], ["c_custkey"], CUSTOMER_RULES, ["c_name"]),
+}
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where each layer lives."""
+    """Where each layer lives; ``parts`` fixes the number of silver parts, which else follows the first load."""
 
     root: str
+    parts: int | None = None
 
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
 
-    def silver(self, name: str) -> str:
-        return f"{self.root}/silver/{name}"
+    def checked(self, name: str, load_date: str) -> str:
+        return f"{self.root}/checked/{name}/load_date={load_date}"
+
+    def silver(self, spark: SparkSession, name: str) -> PartTable:
+        return PartTable(spark, f"{self.root}/silver/{name}", SILVER[name].part_keys, self.parts)
+
+    def pointer(self, spark: SparkSession) -> Pointer:
+        return Pointer(spark, f"{self.root}/silver/published.json")
 
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
@@ -51,51 +94,156 @@ def to_bronze(raw: dict[str, DataFrame], lake: Lake, load_date: str, source_syst
     together(*[partial(land, df, lake.bronze(name), load_date, source_system) for name, df in raw.items()])
 
 
-def _landed(spark: SparkSession, lake: Lake, name: str, load_date: str) -> DataFrame:
-    """Rows of all loads up to this one; ``newness`` falls with the load date, so the newest load sorts first."""
-    rows = spark.read.parquet(lake.bronze(name)).where(F.col("load_date") <= load_date)
-    return rows.withColumn("newness", -F.unix_date(F.col("load_date").cast("date"))).drop("load_date", "source_system")
+def _landed(spark: SparkSession, lake: Lake, name: str, loads: Sequence[str]) -> DataFrame:
+    rows = spark.read.parquet(lake.bronze(name)).where(F.col("load_date").cast("string").isin(list(loads)))
+    rows = rows.withColumn(LOAD, F.col("load_date").cast("string")).drop("load_date", "source_system")
+    return fill_defaults(rows, SILVER[name].defaults)
 
 
-def to_silver(spark: SparkSession, lake: Lake, load_date: str) -> None:
-    """Deduplicate, fill and check all loads up to this one; bad rows go to quarantine in the same write.
+def check_load(spark: SparkSession, lake: Lake, load_date: str, least_good: float = LEAST_GOOD, min_rows: int = 1) -> None:
+    """Write good and bad rows of a load apart, and stop if too few are good.
 
-    A key keeps the row of its newest load. Silver is derived from retained
-    bronze as a whole, so a load may be repeated or come late.
+    The score is the share of good rows among all rows that were checked, table by
+    table. A load that fails has changed nothing that readers of silver or gold
+    see; its bad rows and their codes stay in ``quarantined``.
     """
-    orders = first_per_key(
-        _landed(spark, lake, "orders", load_date), ["o_orderkey"],
-        ["newness", "o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
-    ).drop("newness")
-    lines = first_per_key(_landed(spark, lake, "lineitem", load_date), LINE_KEY, ["newness", *LINE_ORDER]).drop("newness")
-    lines = fill_defaults(lines, {"l_discount": 0.0, "l_tax": 0.0})
-    customers = first_per_key(_landed(spark, lake, "customer", load_date), ["c_custkey"], ["newness", "c_name"]).drop("newness")
+    for name in SILVER:
+        if min_rows and not paths.exists(spark, f"{lake.bronze(name)}/load_date={load_date}"):
+            raise dq.QualityError(f"{name}: 0 rows, at least {min_rows} required")
     together(
-        partial(dq.write_checked, orders, ORDER_RULES, lake.silver("orders")),
-        partial(dq.write_checked, lines, LINE_RULES, lake.silver("lineitem")),
-        partial(customers.write.mode("overwrite").parquet, lake.silver("customer")),
+        *[
+            partial(dq.write_checked, _landed(spark, lake, name, [load_date]), kept.rules, lake.checked(name, load_date))
+            for name, kept in SILVER.items()
+        ]
     )
+    for name in SILVER:
+        dq.assert_share(spark.read.parquet(lake.checked(name, load_date)), least_good, min_rows, name)
+
+
+def quarantined(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """Bad rows of all loads with the codes of the rules they break."""
+    rows = spark.read.option("basePath", f"{lake.root}/checked/{name}").parquet(f"{lake.root}/checked/{name}")
+    return rows.where("checked = 'quarantined'").drop("checked", "load_date")
+
+
+def _newest(old: DataFrame | None, new: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
+    """One row per key, that of the newest load, the new one at a tie; ``VERSION`` moves only where a value differs."""
+    values = [c for c in new.columns if c not in (*keys, LOAD)]
+    new = new.withColumns({VERSION: F.lit(version).cast("long"), "_new": F.lit(True)})
+    if old is None:
+        return new.drop("_new")
+    both = old.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+    row = F.struct(LOAD, "_new", VERSION, *values)
+    # the load date and the flag come first: the greatest struct is the newest row
+    last = both.groupBy(*keys).agg(F.max(row).alias("row"), F.max(F.when(~F.col("_new"), row)).alias("old"))
+    same = F.lit(True)
+    for value in values:
+        same &= F.col(f"row.{value}").eqNullSafe(F.col(f"old.{value}"))
+    moved = F.when(same & F.col("old").isNotNull(), F.col(f"old.{VERSION}")).otherwise(F.col(f"row.{VERSION}"))
+    return last.select(*keys, *[F.col(f"row.{v}").alias(v) for v in values], F.col(f"row.{LOAD}").alias(LOAD), moved.alias(VERSION))
+
+
+def to_silver(spark: SparkSession, lake: Lake, load_date: str) -> dict[str, int]:
+    """Merge the good rows of a checked load into silver; returns the versions written, which nobody reads yet.
+
+    A key keeps the row of its newest load. Loads may come late. One that was
+    merged before is taken back first: its rows leave the parts they are in, and what
+    retained bronze has of other merged loads for these parts takes their place.
+    """
+    published = lake.pointer(spark).get()
+    versions: dict[str, int] = {}
+
+    def merge(name: str) -> None:
+        kept, silver = SILVER[name], lake.silver(spark, name)
+        before = silver.manifest(published[name]) if name in published else None
+        version = before.version + 1 if before else 0
+        loads = list(before.notes["loads"]) if before else []
+        good = dq.read_valid(spark, lake.checked(name, load_date))
+        new = first_per_key(good, kept.keys, kept.order)
+        notes = {"loads": sorted({*loads, load_date})}
+        if before is None:
+            silver.write(_newest(None, new, kept.keys, version), version, notes)
+        elif load_date not in loads:
+            silver.merge(new, lambda old, rows: _newest(old, rows, kept.keys, version), version, notes)
+        else:
+            present = silver.read(before.version)
+            again = present.where(F.col(LOAD) == load_date)
+            parts = set(silver.touched(again, before.parts)) | set(silver.touched(good, before.parts))
+            others = _landed(spark, lake, name, [x for x in loads if x != load_date])
+            others = dq.remove_invalid(others, kept.rules).where(silver.part(before.parts).isin(sorted(parts)))
+            every = first_per_key(good.unionByName(others, allowMissingColumns=True), kept.keys, [F.desc(LOAD), *kept.order])
+
+            def rebuilt(old: DataFrame, rows: DataFrame) -> DataFrame:
+                left = old.where(F.col(LOAD) != load_date)
+                merged = _newest(left, rows, kept.keys, version)
+                # against the rows that were there: what is as before keeps its version
+                stood = old.select(*kept.keys, F.struct(*rows.columns).alias("_stood"), F.col(VERSION).alias("_was"))
+                as_before = F.struct(*rows.columns).eqNullSafe(F.col("_stood"))
+                joined = merged.join(stood, list(kept.keys), "left")
+                return joined.withColumn(VERSION, F.when(as_before, F.col("_was")).otherwise(F.col(VERSION))).drop("_stood", "_was")
+
+            silver.merge(every, rebuilt, version, notes, also=sorted(parts))
+        versions[name] = version
+
+    together(*[partial(merge, name) for name in SILVER])
+    return versions
+
+
+def publish(spark: SparkSession, lake: Lake, versions: Mapping[str, int]) -> None:
+    """Move readers of all silver tables to these versions at once."""
+    lake.pointer(spark).set(versions)
+
+
+def read_silver(spark: SparkSession, lake: Lake, name: str, versions: Mapping[str, int] | None = None) -> DataFrame:
+    """A silver table as published, or of the given versions."""
+    versions = versions if versions is not None else lake.pointer(spark).get()
+    return lake.silver(spark, name).read(versions[name]).drop(LOAD, VERSION)
+
+
+def changed_months(spark: SparkSession, lake: Lake, before: Mapping[str, int], after: Mapping[str, int]) -> list[int]:
+    """Months (year * 12 + month - 1) whose facts differ between two silver versions.
+
+    An order counts with its old and its new date when it, one of its lines, or
+    the segment of its customer is new, changed or gone.
+    """
 
-
-def check_silver(spark: SparkSession, lake: Lake) -> None:
-    """Stop before gold when silver is empty or still breaks a rule."""
-    together(
-        partial(dq.assert_quality, dq.read_valid(spark, lake.silver("orders")), ORDER_RULES),
-        partial(dq.assert_quality, dq.read_valid(spark, lake.silver("lineitem")), LINE_RULES),
+    def both(name: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        silver = lake.silver(spark, name)
+        old, new = silver.read(before[name]), silver.read(after[name])
+        changed = new.where(F.col(VERSION) == after[name]).select(*keys)
+        links = [silver.manifest(v) for v in (before[name], after[name])]
+        parts = [p for p in range(links[0].parts) if links[0].folders.get(p) != links[1].folders.get(p)]
+        if links[0].parts == links[1].parts:  # only parts that were rewritten can have lost a row
+            gone = silver.read(before[name], parts).join(silver.read(after[name], parts), list(keys), "left_anti")
+        else:
+            gone = old.join(new, list(keys), "left_anti")
+        return old, new, changed.union(gone.select(*keys)).distinct()
+
+    old_orders, new_orders, orders = both("orders", ["o_orderkey"])
+    _, _, lines = both("lineitem", ["l_orderkey", "l_linenumber"])
+    old_customers, new_customers, customers = both("customer", ["c_custkey"])
+    segments = [df.join(customers, "c_custkey", "left_semi").select("c_custkey", "c_mktsegment") for df in (old_customers, new_customers)]
+    moved = segments[0].exceptAll(segments[1]).union(segments[1].exceptAll(segments[0])).select("c_custkey").distinct()
+    every = old_orders.select("o_orderkey", "o_custkey", "o_orderdate").union(new_orders.select("o_orderkey", "o_custkey", "o_orderdate"))
+    touched = orders.union(lines.select("l_orderkey")).distinct()
+    dates = every.join(touched, "o_orderkey", "left_semi").union(
+        every.join(moved.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left_semi").select(every.columns)
     )
+    number = F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1
+    return sorted(r[0] for r in dates.select(number).distinct().collect())
 
 
 def sales_lines(spark: SparkSession, lake: Lake, first: str | None = None, last: str | None = None) -> DataFrame:
     """One row per order line with its net amount, for order dates in ``[first, last)``."""
-    orders = dq.read_valid(spark, lake.silver("orders")).select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = read_silver(spark, lake, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     if first:
         orders = orders.where(F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
     if last:
         orders = orders.where(F.col("o_orderdate") < F.lit(last).cast("timestamp_ntz"))
-    customers = spark.read.parquet(lake.silver("customer")).select("c_custkey", "c_mktsegment")
+    customers = read_silver(spark, lake, "customer").select("c_custkey", "c_mktsegment")
     orders = star_join(orders, [Dimension(customers, "o_custkey", "c_custkey")])
     price, discount = F.col("l_extendedprice").cast("decimal(12,2)"), F.col("l_discount").cast("decimal(4,2)")
-    lines = dq.read_valid(spark, lake.silver("lineitem")).select(
+    lines = read_silver(spark, lake, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", (price * (1 - discount)).alias("amount")
     )
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
@@ -111,14 +259,19 @@ def whole_months(first: str | None, last: str | None) -> tuple[str | None, str |
     return first, last
 
 
-def to_gold(spark: SparkSession, lake: Lake, first: str | None = None, last: str | None = None) -> None:
+def to_gold(spark: SparkSession, lake: Lake, first: str | None = None, last: str | None = None, months: Sequence[int] | None = None) -> None:
     """Write sales facts by month, then the monthly mart from the facts just written.
 
-    With a date range only its months are replaced, so a backfill can be repeated.
-    The range is widened to whole months, since a partition is replaced as a whole,
-    and months of it that have no rows left are removed. The mart has a few rows
-    a month and is partitioned by year; the years of the range are rebuilt.
+    With a date range, or ``months`` (year * 12 + month - 1), only these months are
+    replaced, so a backfill can be repeated. A range is widened to whole months,
+    since a partition is replaced as a whole, and months of it that have no rows
+    left are removed. The mart has a few rows a month and is partitioned by year;
+    the years of these months are rebuilt.
     """
+    if months is not None:
+        if not months:
+            return
+        first, last = (f"{m // 12:04d}-{m % 12 + 1:02d}-01" for m in (min(months), max(months) + 1))
     first, last = whole_months(first, last)
     number = F.col("year") * 12 + F.col("month") - 1
     covers, years = F.lit(True), F.lit(True)
@@ -129,7 +282,10 @@ def to_gold(spark: SparkSession, lake: Lake, first: str | None = None, last: str
         end = int(last[:4]) * 12 + int(last[5:7]) - 1
         covers &= number < end
         years &= F.col("year") <= (end - 1) // 12
-    facts = by_month(sales_lines(spark, lake, first, last), "o_orderdate").select(
+    if months is not None:
+        covers &= number.isin(list(months))
+        years &= F.col("year").isin(sorted({m // 12 for m in months}))
+    facts = by_month(sales_lines(spark, lake, first, last), "o_orderdate").where(covers).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("o_custkey").alias("customer_id"),
@@ -148,12 +304,35 @@ def to_gold(spark: SparkSession, lake: Lake, first: str | None = None, last: str
 
 
 def run_medallion(
-    spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, load_date: str, source_system: str = "erp"
-) -> None:
+    spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, load_date: str, source_system: str = "erp",
+    least_good: float = LEAST_GOOD,
+) -> list[int] | None:
+    """Land, check, merge and publish one load; returns the months of gold that it changed, None for all.
+
+    The months are written down before readers move to the new versions, so a run
+    that stops between silver and gold is finished by the next one.
+    """
     to_bronze(raw, lake, load_date, source_system)
-    to_silver(spark, lake, load_date)
-    check_silver(spark, lake)
-    to_gold(spark, lake)
+    check_load(spark, lake, load_date, least_good)
+    size_shuffles(spark, sum(paths.total_bytes(spark, f"{lake.bronze(n)}/load_date={load_date}") for n in SILVER))
+    before = lake.pointer(spark).get()
+    after = to_silver(spark, lake, load_date)
+    months = changed_months(spark, lake, before, after) if before else None
+    due = _due(spark, lake)
+    due = None if months is None or due is None else sorted({*months, *due})
+    paths.put(spark, f"{lake.root}/silver/due.json", json.dumps({"months": due}))
+    publish(spark, lake, after)
+    to_gold(spark, lake, months=due)
+    paths.put(spark, f"{lake.root}/silver/due.json", json.dumps({"months": []}))
+    for name in SILVER:
+        paths.delete(spark, f"{lake.checked(name, load_date)}/checked=valid")
+    return due
+
+
+def _due(spark: SparkSession, lake: Lake) -> list[int] | None:
+    """Months of gold that an earlier run has left to do; None for all."""
+    file = f"{lake.root}/silver/due.json"
+    return json.loads(paths.read_small(spark, file))["months"] if paths.exists(spark, file) else []
 
 
 def backfill(spark: SparkSession, lake: Lake, first: str, last: str) -> None:

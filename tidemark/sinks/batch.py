@@ -59,6 +59,8 @@ def replace_partitions(
     Rebalancing gathers the rows of each partition so that few files are written,
     and AQE splits a partition that is too large for one task.
     """
+    spark = df.sparkSession
+    before = _files(spark, path, covers) if covers is not None else {}
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     (
@@ -67,23 +69,19 @@ def replace_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    if covers is not None:
-        _remove_emptied(df, path, partition_by, covers)
+    if before:
+        # a partition that got rows has new files only; one that still has old ones got none
+        after = _files(spark, path, covers)
+        for folder in {f.rsplit("/", 1)[0] for f in after if f in before}:
+            paths.delete(spark, folder)
 
 
-def _remove_emptied(df: DataFrame, path: str, partition_by: Sequence[str], covers: Column) -> None:
-    """Delete the partitions that ``covers`` holds for and ``df`` has no rows of; collects partition values only."""
-    spark = df.sparkSession
-    if not any("=" in name for name in paths.children(spark, path)):
-        return
-    there = spark.read.parquet(path)
-    wanted = df.select(*[F.col(c).cast(there.schema[c].dataType).alias(c) for c in partition_by]).distinct()
-    full = {tuple(row) for row in wanted.collect()}
-    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    for row in there.where(covers).select(*partition_by).distinct().collect():
-        if tuple(row) not in full:
-            parts = [named(c, None if v is None else str(v)) for c, v in zip(partition_by, row)]
-            paths.delete(spark, "/".join([path, *parts]))
+def _files(spark: SparkSession, path: str, covers: Column) -> set[str]:
+    """Names of the files in the partitions that ``covers`` holds for; none is opened."""
+    if not any("=" in name and name[0] not in "_." for name in paths.children(spark, path)):
+        return set()
+    every = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return {r.path for r in every.where(covers).select("path").collect()}
 
 
 def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str) -> None:
@@ -119,7 +117,8 @@ def analyze(spark: SparkSession, name: str) -> None:
 def land(df: DataFrame, path: str, load_date: str, source_system: str) -> None:
     """Land raw rows by load date and source; landing the same day again replaces it."""
     stamped = df.withColumns({"load_date": F.lit(load_date), "source_system": F.lit(source_system)})
-    replace_partitions(stamped, path, ["load_date", "source_system"], rebalance=False)
+    covers = (F.col("load_date").cast("string") == load_date) & (F.col("source_system") == source_system)
+    replace_partitions(stamped, path, ["load_date", "source_system"], rebalance=False, covers=covers)
 
 
 def by_month(df: DataFrame, day: str) -> DataFrame:

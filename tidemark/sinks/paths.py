@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -65,3 +67,21 @@ def total_bytes(spark: SparkSession, uri: str) -> int:
     """Bytes of all files below ``uri``, from the file system's own summary."""
     fs, path = _open(spark, uri)
     return fs.getContentSummary(path).getLength()
+
+
+def put(spark: SparkSession, uri: str, text: str) -> None:
+    """Write a small text file beside ``uri`` and rename it there, so nobody reads half of it.
+
+    Replaces what is there where the file system can do that in one step, as HDFS
+    and local disks do; object stores show a file only once it is complete.
+    """
+    jvm = spark.sparkContext._jvm
+    draft = f"{uri}.{uuid.uuid4().hex[:12]}"
+    write_once(spark, draft, text)
+    _, target = _open(spark, uri)
+    _, source = _open(spark, draft)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context.rename(source, target, how)
