@@ -15,10 +15,11 @@ two overlapping nodes, weighted by how often they occur.
    on exactly one path, and ``edges_of`` reads them back.
 4. ``collocations``: cuts, scores and containment of the phrases read from the paths.
 
-A word that is rarer than ``least`` in its language cannot be part of a phrase, so a gram
-ends before it, as at the end of a piece. That only saves work, and is done where the frequent words are
-known to fit into ``WORDS_BYTES``; results are the same without it. Hot grams are summed in the workers and by
-partial aggregates before they are shuffled.
+Grams are counted as numbers of words. A word that is rarer than ``least`` in its language cannot be
+part of a phrase, so it has no number and a gram ends before it, as at the end of a piece. Workers know the
+numbers where the frequent words fit into ``WORDS_BYTES``. Beyond that a word's number is a
+64-bit digest, of rare words too; that no two words share one is checked over all words, and another
+key is taken if they do. Results are the same. Equal grams are summed in the workers before they are shuffled.
 
 Defined results: a NULL text is empty; a NULL language is ``und``; texts without words give
 nothing; repeated rows count each; an empty table gives an empty result; other columns are ignored. A piece
@@ -27,9 +28,11 @@ of any length is read whole.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +46,7 @@ MOST = 2000
 INSIDE = 80
 SCALE = 2_000_000
 # Entries that a worker counts before it hands them on, and bytes of frequent words it may know.
-HELD = 400_000
+HELD = 1_000_000
 WORDS_BYTES = 48 * 1024 * 1024
 
 # Bytes: A-Z in lower case, the ends of pieces as line ends, tabs as blanks.
@@ -61,103 +64,155 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
 
-def _rows(counts: dict[str, Counter]) -> dict:
-    flat = [(lang, gram, n) for lang, own in counts.items() for gram, n in own.items()]
-    return {"lang": [r[0] for r in flat], "gram": [r[1] for r in flat], "c": [r[2] for r in flat]}
-
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``lang, word, c``: occurrences of each word."""
 
-def _counted(docs: DataFrame, grams) -> DataFrame:
-    """Sums of ``grams(lang, words of a piece)`` in each worker, handed on whenever many are held."""
+    def rows(counts: dict[str, Counter]) -> dict:
+        flat = [(lang, word, n) for lang, own in counts.items() for word, n in own.items()]
+        return {"lang": [r[0] for r in flat], "word": [r[1] for r in flat], "c": [r[2] for r in flat]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         counts: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = counts[lang]
                 for words in pieces(text):
-                    own.update(grams(lang, words))
-                if len(own) > HELD:
-                    yield _rows({lang: own})
-                    del counts[lang]
-            if sum(map(len, counts.values())) > HELD:
-                yield _rows(counts)
+                    counts[lang].update(words)
+            if sum(map(len, counts.values())) > HELD // 4:
+                yield rows(counts)
                 counts.clear()
-        yield _rows(counts)
-
-    return scan(_plain(docs), "lang string, gram string, c long", run)
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``lang, gram, c``: occurrences of each word."""
-    counted = _counted(docs, lambda lang, words: words)
-    return counted.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-
-
-def longest_grams(docs: DataFrame, words: DataFrame, least: int = LEAST, longest: int = LONGEST, words_bytes: int = WORDS_BYTES) -> DataFrame:
-    """``lang, gram, c``: the longest gram from each word on, of two words or more."""
-    frequent = words.where(F.col("c") >= least).select("lang", "gram")
-    size = frequent.agg(F.sum(F.octet_length("gram") + 100)).first()[0] or 0
-    shared = None
-    if size <= words_bytes:
-        known = defaultdict(set)
-        for lang, gram in frequent.toLocalIterator():
-            known[lang].add(gram.encode())
-        shared = docs.sparkSession.sparkContext.broadcast(dict(known))
-
-    def runs(lang: str, words: list[bytes]) -> Iterator[list[bytes]]:
-        if shared is None:
-            yield words
-            return
-        known, low = shared.value.get(lang, ()), 0
-        for at, word in enumerate(words):
-            if word not in known:
-                yield words[low:at]
-                low = at + 1
-        yield words[low:]
-
-    def grams(lang: str, words: list[bytes]) -> list[bytes]:
-        return [b" ".join(run[i : i + longest]) for run in runs(lang, words) for i in range(len(run) - 1)]
-
-    return _counted(docs, grams)
+        yield rows(counts)
+
+    counted = scan(_plain(docs), "lang string, word string, c long", run)
+    return counted.groupBy("lang", "word").agg(F.sum("c").alias("c"))
+
+
+def _digest(lang: bytes, word: bytes, key: int) -> int:
+    raw = hashlib.blake2b(lang + b"\0" + word, digest_size=8, key=key.to_bytes(4, "little")).digest()
+    return int.from_bytes(raw, "little", signed=True) or 1
+
+
+class Numbers:
+    """Numbers of words: from a table that is sent to the workers, or digests of which none is shared."""
+
+    def __init__(self, words: DataFrame, least: int, words_bytes: int) -> None:
+        spark = words.sparkSession
+        frequent = words.where(F.col("c") >= least)
+        size = frequent.agg(F.sum(F.octet_length("word") + 100)).first()[0] or 0
+        self.table, self.key = None, 0
+        if size <= words_bytes:
+            rows = frequent.orderBy(F.desc("c"), "lang", "word").select("lang", "word").toPandas()
+            rows["id"] = np.arange(1, len(rows) + 1)
+            known: dict[str, dict[bytes, int]] = defaultdict(dict)
+            for lang, word, number in rows.itertuples(index=False):
+                known[lang][word.encode()] = number
+            self.table = spark.sparkContext.broadcast(dict(known))
+            self.words = spark.createDataFrame(rows, "lang string, word string, id long")
+        else:
+            while True:
+                key = self.key
+                numbered = scan(words.select("lang", "word", "c"), "lang string, word string, c long, id long", lambda it: _numbered(it, key))  # noqa: B023
+                if numbered.groupBy("id").count().where("count > 1").isEmpty():
+                    break
+                self.key += 1
+            self.words = stored(numbered.where(F.col("c") >= least).select("lang", "word", "id"), "phrase-numbers")
+
+    def of(self):
+        """A function from language and words to their numbers, for use in a worker; 0 for a word without one."""
+        if self.table is not None:
+            known = self.table.value
+            return lambda lang, words: [known.get(lang, {}).get(w, 0) for w in words] if lang in known else [0] * len(words)
+        seen: dict[tuple, int] = {}
+
+        def digests(lang: str, words: list[bytes]) -> list[int]:
+            if len(seen) > HELD:
+                seen.clear()
+            raw = lang.encode()
+            return [seen.get((raw, w)) or seen.setdefault((raw, w), _digest(raw, w, self.key)) for w in words]
+
+        return digests
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[dict]:
+    for batch in batches:
+        out = {name: batch.column(name).to_pylist() for name in ("lang", "word", "c")}
+        out["id"] = [_digest(lang.encode(), word.encode(), key) for lang, word in zip(out["lang"], out["word"], strict=True)]
+        yield out
+
+
+def _columns(longest: int) -> list[str]:
+    return [f"w{i + 1}" for i in range(longest)]
+
+
+def longest_grams(docs: DataFrame, numbers: Numbers, longest: int = LONGEST) -> DataFrame:
+    """``w1, w2, ..., c``: the longest gram from each word on, of two words or more, in numbers of words; 0 is none."""
+    names = _columns(longest)
+    table, key = numbers.table, numbers.key
+    numbered = Numbers.__new__(Numbers)  # without its DataFrame, which stays in the driver
+    numbered.table, numbered.key = table, key
+
+    def summed(held: list[int]) -> dict:
+        line = np.array([*held, *[0] * longest], np.int64)
+        columns = [line[: len(held)]]
+        for i in range(1, longest):
+            columns.append(np.where(columns[-1] != 0, line[i : len(held) + i], 0))
+        grams = np.stack(columns)[:, columns[1] != 0]
+        grams = grams[:, np.lexsort(grams[::-1])]
+        first = np.flatnonzero(np.concatenate([[True], (grams[:, 1:] != grams[:, :-1]).any(0)])) if grams.shape[1] else np.empty(0, np.int64)
+        counts = np.diff(np.append(first, grams.shape[1]))
+        return dict(zip(names, grams[:, first], strict=True)) | {"c": counts}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        number = numbered.of()
+        held: list[int] = []
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for words in pieces(text):
+                    held += number(lang, words)
+                    held.append(0)
+                if len(held) > 2 * HELD:
+                    yield summed(held)
+                    held = []
+        yield summed(held)
 
-def _head(gram: Column | str, words: int) -> Column:
-    return F.substring_index(gram, " ", words)
+    return scan(_plain(docs), ", ".join(f"{n} long" for n in [*names, "c"]), run)
 
 
 def _length(gram: Column | str) -> Column:
     return F.length(gram) - F.length(F.replace(gram, F.lit(" "))) + 1
 
 
-def node_flow(grams: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+def node_flow(grams: DataFrame, numbers: Numbers, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """``lang, node, c, edges``: runs of two words up to ``longest - 1`` that occur ``least`` times or more.
 
     ``edges`` are the frequent continuations of a node of ``longest - 1`` words (next word, weight).
     Grams meet once by the node that they begin with; what its edges and corrections
     carry is summed there, and again for the shorter runs that the node begins with.
     """
-    dealt = grams.select("lang", _head("gram", longest - 1).alias("node"), "gram", "c").repartition("lang", "node")
-    edges = dealt.groupBy("lang", "node", "gram").agg(F.sum("c").alias("c"))
-    flow = edges.groupBy("lang", "node").agg(F.sum("c").alias("c"))
-    no_gram = F.lit(None).cast("string")
-    found = [
-        edges.where((F.col("gram") != F.col("node")) & (F.col("c") >= least)).select("lang", "node", "gram", "c"),
-        flow.where((_length("node") == longest - 1) & (F.col("c") >= least)).select("lang", "node", no_gram.alias("gram"), "c"),
-    ]
-    for words in range(longest - 2, 1, -1):
-        # a run of this length occurs where a node begins with it, or where its piece ends
-        begun = flow.where(_length("node") >= words).select("lang", _head("node", words).alias("node"), "c")
-        level = begun.groupBy("lang", "node").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-        found.append(level.select("lang", "node", no_gram.alias("gram"), "c"))
-    together = found[0]
-    for one in found[1:]:
-        together = together.union(one)
-    together = stored(together, "phrase-flow")
-    word = F.struct(F.substring_index("gram", " ", -1).alias("word"), F.col("c").alias("c"))
-    out_edges = together.where("gram is not null").groupBy("lang", "node").agg(F.collect_list(word).alias("edges"))
-    nodes = together.where("gram is null").select("lang", "node", "c").join(out_edges, ["lang", "node"], "left")
+    names = _columns(longest)
+    edges = grams.repartition(*names[:-1]).groupBy(*names).agg(F.sum("c").alias("c"))
+    flow = edges.groupBy(*names[:-1]).agg(F.sum("c").alias("c"))
+    # A run occurs where a node begins with it, or where its piece ends. Nothing but the sums is filtered
+    # here: a filter on words would move below the exchange, which could then not be shared.
+    levels = [edges, flow, *[flow.groupBy(*names[:words]).agg(F.sum("c").alias("c")) for words in range(longest - 2, 1, -1)]]
+    found = None
+    for level in levels:
+        size = len(level.columns) - 1
+        rest = [F.lit(0).cast("long").alias(n) for n in names[size:]]
+        level = level.where(F.col("c") >= least).select(*names[:size], *rest, F.lit(size).alias("size"), "c")
+        found = level if found is None else found.union(level)
+    found = stored(found, "phrase-flow")
+    spelled = found
+    for i, name in enumerate(names):  # a run that is shorter than its level ended there, and counts below
+        spelled = spelled.where((F.col(name) != 0) | (F.col("size") <= i))
+        word = numbers.words.select(F.col("id").alias(name), F.col("word").alias(f"word{i}"), *(["lang"] if not i else []))
+        spelled = spelled.join(word, name, "inner" if not i else "left")
+    node = F.concat_ws(" ", *[f"word{i}" for i in range(longest - 1)])
+    spelled = stored(spelled.select("lang", node.alias("node"), F.col(f"word{longest - 1}").alias("word"), "c", "size"), "phrase-spelled")
+    to = F.struct("word", "c")
+    out_edges = spelled.where(F.col("size") == longest).groupBy("lang", "node").agg(F.collect_list(to).alias("edges"))
+    nodes = spelled.where(F.col("size") < longest).select("lang", "node", "c").join(out_edges, ["lang", "node"], "left")
     nodes = stored(nodes.withColumn("edges", F.coalesce("edges", F.array().cast("array<struct<word:string,c:bigint>>"))), "phrase-nodes")
-    discard(together)
+    discard(found, spelled)
     return nodes
 
 
@@ -250,10 +305,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, w
     """Frequent phrases of one to ``longest`` words with their counts, words of each language, and the compacted paths."""
     words = stored(word_counts(docs), "phrase-words")
     sums = words.groupBy("lang").agg(F.sum("c").alias("n"))
-    nodes = node_flow(longest_grams(docs, words, least, longest, words_bytes), least, longest)
+    numbers = Numbers(words, least, words_bytes)
+    nodes = node_flow(longest_grams(docs, numbers, longest), numbers, least, longest)
     paths = stored(compact(nodes, longest), "phrase-paths")
     shorter = nodes.where(_length("node") < longest - 1).select("lang", F.col("node").alias("gram"), "c")
-    single = words.where(F.col("c") >= least).select("lang", "gram", "c")
+    single = words.where(F.col("c") >= least).select("lang", F.col("word").alias("gram"), "c")
     return single.union(shorter).union(edges_of(paths, longest)), sums, paths
 
 
