@@ -1,5 +1,6 @@
 """File ingestion: evolution, rescue, malformed records, restarts, tables."""
 
+import gzip
 import os
 import time
 
@@ -9,10 +10,12 @@ from pyspark.sql import types as T
 
 from tidemark import cli
 from tidemark.plans.file_ingest import run_file_ingest, run_together
+from tidemark.sinks import paths
 from tidemark.sinks.batch import SchemaMismatch
 from tidemark.session import unique_name
 from tidemark.sources.rescue import rescue_json
-from tidemark.sources.schema_log import SchemaLog, merge
+from tidemark.sources.file_batches import header_groups
+from tidemark.sources.schema_log import SchemaLog, holds, merge, promote
 from tidemark.streaming.ingester import FileIngester, IngestConfig, create_ingester, object_store_uri
 
 
@@ -178,6 +181,96 @@ def test_schema_merge_keeps_known_types():
     assert merge(known, seen).simpleString() == "struct<a:bigint,s:struct<x:string,y:int>,b:double>"
 
 
+@pytest.mark.parametrize(
+    ("known", "seen", "least"),
+    [
+        ("bigint", "double", "double"), ("double", "bigint", "double"), ("bigint", "decimal(20,0)", "decimal(20,0)"),
+        ("decimal(10,2)", "bigint", "decimal(21,2)"), ("decimal(38,0)", "decimal(10,5)", "double"), ("int", "bigint", "bigint"),
+        ("date", "timestamp", "timestamp"), ("timestamp_ntz", "date", "timestamp_ntz"), ("bigint", "string", "bigint"),
+        ("string", "bigint", "string"), ("void", "date", "date"), ("array<int>", "array<double>", "array<double>"),
+        ("struct<a:int,b:date>", "struct<a:double,c:string>", "struct<a:double,b:date,c:string>"), ("boolean", "int", "boolean"),
+    ],
+)
+def test_types_are_promoted(known, seen, least):
+    kinds = [T._parse_datatype_string(k) for k in (known, seen)]
+    assert promote(*kinds).simpleString() == least
+    assert holds(promote(*kinds), kinds[0])
+
+
+def test_wider_numbers_lose_no_row(spark, folder):
+    for fmt, first, second in (("json", '{"id": 1}\n', '{"id": 1.5}\n{"id": 2}\n'), ("csv", "id\n1\n", "id\n1.5\n2\n")):
+        at = f"{folder}/{fmt}"
+        for number, text in enumerate((first, second, first)):
+            put(at, f"{number}.{fmt}", text)
+            out = drain(make(spark, at, fmt, mode="DROPMALFORMED"), at)
+        assert rows(out) == [(1.0,), (1.0,), (1.5,), (2.0,)]
+        assert rows(make(spark, at, fmt).log.history().where("version > 0")) == [(1, "id", "retyped", "bigint", "double")]
+
+
+def test_misfits_are_rescued_while_columns_are_added(spark, folder):
+    put(folder, "1.csv", "id,n\n1,5\n")
+    drain(make(spark, folder, mode="PERMISSIVE"), folder)
+    put(folder, "2.csv", 'n,id,more\n6,x,"a, b"\n7,2,c\n')
+    kept = drain(make(spark, folder, mode="PERMISSIVE"), folder)
+    assert rows(kept.select("id", "n", "more", "_rescued_data")) == [(1, 5, None, None), (2, 7, "c", None), (None, 6, "a, b", '{"id":"x"}')]
+    at = f"{folder}/j"
+    put(at, "1.json", '{"id": 1}\n')
+    drain(make(spark, at, "json", mode="PERMISSIVE"), at)
+    put(at, "2.json", '{"id": "x", "more": 3}\nbroken\n')
+    kept = drain(make(spark, at, "json", mode="PERMISSIVE"), at)
+    assert rows(kept.select("id", "more", "_rescued_data", "_corrupt_record")) == [
+        (1, None, None, None), (None, 3, '{"id":"x"}', '{"id": "x", "more": 3}'), (None, None, None, "broken"),
+    ]
+
+
+def test_parquet_files_of_several_types(spark, folder):
+    for number, (kind, value) in enumerate((("int", 1), ("double", 2.5), ("string", "7"), ("string", "x"), ("bigint", 2**40))):
+        spark.createDataFrame([(value,)], f"id {kind}").coalesce(1).write.parquet(f"{folder}/in/{number}")
+        if number in (0, 4):  # the last four come in one batch
+            out = drain(make(spark, folder, "parquet"), folder)
+    assert rows(out.select("id", "_rescued_data")) == [
+        (1.0, None), (2.0**40, None), (2.5, None), (7.0, None), (None, '{"id":"x"}'),
+    ]
+    fixed = f"{folder}/fixed"
+    for number, (kind, value) in enumerate((("bigint", 1), ("double", 2.0), ("double", 2.5))):
+        spark.createDataFrame([(value,)], f"id {kind}").coalesce(1).write.parquet(f"{fixed}/in/{number}")
+        out = drain(make(spark, fixed, "parquet", add_new_columns=False), fixed)
+    assert rows(out.select("id", "_rescued_data")) == [(1, None), (2, None), (None, '{"id":"2.5"}')]
+
+
+def test_tables_gain_wider_types(spark, folder):
+    name = unique_name("t")
+    for number, text in enumerate(("id,n\n1,5\n", "id,n,m\n2,5.5,x\n", "id,n\n3,7\n")):
+        put(folder, f"{number}.csv", text)
+        run_file_ingest(spark, make(spark, folder).config, name)
+    assert rows(spark.table(name).select("id", "n", "m")) == [(1, 5.0, None), (2, 5.5, "x"), (3, 7.0, None)]
+    assert spark.table(name).schema["n"].dataType == T.DoubleType()
+    # a crash after the old table went: the next batch finds what was copied
+    spark.sql(f"DROP TABLE {name}")
+    put(folder, "9.csv", "id,n,m\n9,9.5,y\n")
+    run_file_ingest(spark, make(spark, folder).config, name)
+    assert rows(spark.table(name).select("id", "n")) == [(1, 5.0), (2, 5.5), (3, 7.0), (9, 9.5)]
+
+
+def test_headers_cost_a_block_each(spark, folder):
+    long = "id,name\n" + "1,some name\n" * 400_000
+    put(folder, "1.csv", long)
+    put(folder, "2.csv", "name,id\nb,2\n")
+    put(folder, "3.csv", "")
+    with gzip.open(f"{folder}/in/4.csv.gz", "wt") as f:
+        f.write("id,name\n4,z\n")
+    files = [f"{folder}/in/{n}" for n in ("1.csv", "2.csv", "3.csv", "4.csv.gz")]
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getStatistics
+    read = lambda: statistics("file", spark._jvm.org.apache.hadoop.fs.LocalFileSystem._java_lang_class).getBytesRead()
+    before = read()
+    lines = [paths.first_line(spark, f) for f in files]
+    assert lines == ["id,name", "name,id", None, "id,name"] and read() - before < 4 * 64 * 1024
+    groups = header_groups(spark, files, {})
+    assert [(names, sorted(members)) for names, members in groups] == [
+        (["id", "name"], [files[0], files[3]]), (["name", "id"], [files[1]]),
+    ]
+
+
 def test_schema_log_versions(spark, folder):
     log = SchemaLog(spark, f"{folder}/log")
     assert log.latest() is None

@@ -179,3 +179,72 @@ def rescue_misfits(spark, folder):
         F.get_json_object("_rescued_data", "$.event_id").alias("rescued_id"),
         F.get_json_object("_rescued_data", "$.kind").alias("rescued_kind"),
     )
+
+
+def _widening(spark, folder, fmt):
+    """Whole numbers first, then fractions; nothing that is sound may be dropped for it."""
+    root = scratch(spark, f"ingest-widening-{fmt}")
+    events = table(spark, folder, "events")
+    fractions = F.col("event_type").isin("click", "error")
+    whole = events.where(~fractions).select("event_id", F.floor("value").alias("amount"))
+    export(whole, f"{root}/in/0", fmt)
+    drain(ingester(spark, root, fmt, mode="DROPMALFORMED"), root)
+    export(events.where(fractions).select("event_id", F.col("value").alias("amount")), f"{root}/in/1", fmt)
+    return drain(ingester(spark, root, fmt, mode="DROPMALFORMED"), root).select(
+        "event_id", F.col("amount").cast("double").alias("amount")
+    )
+
+
+WIDER_SQL = "select event_id, case when event_type in ('click', 'error') then value else floor(value) end as amount from events"
+
+
+@query("ingest_type_widening_json", WIDER_SQL)
+def ingest_type_widening_json(spark, folder):
+    return _widening(spark, folder, "json")
+
+
+@query("ingest_type_widening_csv", WIDER_SQL)
+def ingest_type_widening_csv(spark, folder):
+    return _widening(spark, folder, "csv")
+
+
+@query(
+    "ingest_type_widening_parquet",
+    """select event_id, case when event_type = 'click' then value when event_type <> 'error' then floor(value) end as amount,
+              case when event_type = 'error' then 'E' || event_id end as rescued from events""",
+)
+def ingest_type_widening_parquet(spark, folder):
+    """Whole numbers, fractions, and text where numbers are logged, which is rescued though columns may be added."""
+    root = scratch(spark, "ingest-widening-parquet")
+    events = table(spark, folder, "events")
+    kind = F.col("event_type")
+    values = [
+        (~kind.isin("click", "error"), F.floor("value")),
+        (kind == "click", F.col("value")),
+        (kind == "error", F.concat(F.lit("E"), F.col("event_id"))),
+    ]
+    for number, (chosen, amount) in enumerate(values):
+        events.where(chosen).select("event_id", amount.alias("amount")).write.parquet(f"{root}/in/{number}")
+        rows = drain(ingester(spark, root, "parquet"), root)
+    return rows.select("event_id", "amount", F.get_json_object("_rescued_data", "$.amount").alias("rescued"))
+
+
+@query(
+    "rescue_adding_columns",
+    """select case when event_type <> 'error' then event_id end as event_id, user_id,
+              case when event_type = 'view' then event_type end as kind,
+              case when event_type = 'error' then 'E' || event_id end as rescued_id from events""",
+)
+def rescue_adding_columns(spark, folder):
+    """A new field becomes a column, and ids that are no numbers are rescued, in one run."""
+    root = scratch(spark, "ingest-rescue-adding")
+    events = table(spark, folder, "events")
+    kind = F.col("event_type")
+    events.where(~kind.isin("error", "view")).select("event_id", "user_id").write.json(f"{root}/in/0")
+    drain(ingester(spark, root, "json", mode="PERMISSIVE"), root)
+    bad = F.to_json(F.struct(F.concat(F.lit("E"), F.col("event_id")).alias("event_id"), "user_id"))
+    extra = F.to_json(F.struct("event_id", "user_id", kind.alias("kind")))
+    late = F.when(kind == "error", bad).otherwise(extra)
+    events.where(kind.isin("error", "view")).select(late.alias("value")).write.text(f"{root}/in/1")
+    rows = drain(ingester(spark, root, "json", mode="PERMISSIVE"), root)
+    return rows.select("event_id", "user_id", "kind", F.get_json_object("_rescued_data", "$.event_id").alias("rescued_id"))

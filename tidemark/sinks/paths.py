@@ -85,3 +85,21 @@ def put(spark: SparkSession, uri: str, text: str) -> None:
     how = spark.sparkContext._gateway.new_array(rename, 1)
     how[0] = rename.OVERWRITE
     context.rename(source, target, how)
+
+
+# Bytes in which the first line of a file must end.
+FIRST_LINE_BYTES = 1024 * 1024
+
+
+def first_line(spark: SparkSession, uri: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a text file, packed or not; reads one buffer at a time up to its end. None if there is none."""
+    jvm = spark.sparkContext._jvm
+    fs, path = _open(spark, uri)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(path)
+    stream = fs.open(path)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(plain, FIRST_LINE_BYTES)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(bounded, encoding)).readLine()
+    finally:
+        stream.close()

@@ -3,36 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.rescue import rescue_json, rescue_strings
-from tidemark.sources.schema_log import CORRUPT, RESCUED, SchemaLog
+from tidemark.functions.typing import convert
+from tidemark.sinks import paths
+from tidemark.sources.rescue import rescue_corrupt, rescue_json, rescue_strings
+from tidemark.sources.schema_log import CORRUPT, RESCUED, SchemaLog, holds, merge, raise_to, widest
 
 MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
+HEADERS_AT_ONCE = 32
 
 
 def header_groups(spark: SparkSession, files: Sequence[str], options: Mapping[str, str]) -> list[tuple[list[str], list[str]]]:
     """(column names, files) for each distinct CSV header among ``files``.
 
-    Executors look at the first line of each file; only one row per header comes
-    back, with the names of the files, which the trigger's file limit bounds.
+    Of each file only the first block is read, up to its first line end; the files
+    of one trigger, which its file limit bounds, are opened side by side.
     """
-    lines = spark.read.text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("position"),
-        "value",
-    )
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "position").alias("header"))
-    grouped = first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header")
-    out = []
-    for row in grouped.collect():
-        sample = spark.read.options(**options).option("header", True).csv(row["files"][0])
-        out.append((sample.columns, row["files"]))
-    return out
+    encoding = options.get("encoding", options.get("charset", "UTF-8"))
+    with ThreadPoolExecutor(max_workers=HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: paths.first_line(spark, file, encoding), files))
+    grouped: dict[str, list[str]] = {}
+    for file, header in sorted(zip(files, headers, strict=True)):
+        if header is not None:
+            grouped.setdefault(header, []).append(file)
+    reader = spark.read.options(**options).option("header", True)
+    return [(reader.csv(grouped[header][0]).columns, grouped[header]) for header in sorted(grouped)]
 
 
 class FileBatch:
@@ -114,7 +114,12 @@ class FileBatch:
         if not self.add_new_columns:
             rescued = rescue_json(self.spark.read.text(files), schema)
             return self.checked(rescued, [*schema.names, RESCUED])
-        return self._typed(self._reader(), schema).json(files)
+        rows = self._typed(self._reader(), schema).json(files)
+        if self.mode != "PERMISSIVE":
+            return rows
+        is_object = F.json_object_keys(CORRUPT).isNotNull()
+        rescued = rescue_corrupt(rows, F.when(is_object, F.from_json(CORRUPT, "map<string,string>")), schema)
+        return rescued.select(*schema.names, RESCUED, CORRUPT)
 
     def _typed(self, reader, schema: T.StructType):
         """Spark's own policy; PERMISSIVE keeps the text of bad records."""
@@ -137,7 +142,7 @@ class FileBatch:
                     found = reader.option("samplingRatio", self.sampling_ratio).csv(members).schema
                 else:
                     found = self._as_text(names)
-                seen = T.StructType([*seen.fields, *[f for f in found.fields if f.name not in seen.names]])
+                seen = merge(seen, widest(found), or_text=True)
             return seen
 
         schema = self._schema(infer)
@@ -157,28 +162,75 @@ class FileBatch:
         in_file = T.StructType([schema[n] for n in names])
         rows = self._typed(reader, in_file).csv(members)
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in names]
-        extra = [CORRUPT] if self.mode == "PERMISSIVE" else []
-        return rows.select(*names, *missing, *extra).select(*schema.names, *extra)
+        if self.mode != "PERMISSIVE":
+            return rows.select(*names, *missing).select(*schema.names)
+        plain = {k: v for k, v in self.options.items() if k.lower() not in ("header", "inferschema", "samplingratio")}
+        texts = F.from_csv(CORRUPT, self._as_text(names).simpleString(), plain)
+        fields = F.create_map(*[x for n in names for x in (F.lit(n), texts.getField(n))])
+        return rescue_corrupt(rows, fields, in_file).select(*names, *missing, RESCUED, CORRUPT).select(*schema.names, RESCUED, CORRUPT)
 
     # -- Parquet and ORC: typed by their own footers ---------------------------
 
     def _by_name(self, files: list[str]) -> DataFrame:
+        """Files with the same types are read together, and their values raised to the logged types.
+
+        A value of a type that cannot be raised is converted where it fits, else rescued.
+        """
+        groups = self._footers(files)
+
         def infer() -> T.StructType:
-            return self.spark.read.format(self.fmt).option("mergeSchema", True).load(files).schema
+            seen = T.StructType()
+            for found, _ in groups:
+                seen = merge(seen, found)
+            return seen
 
         schema = self._schema(infer, widen=False)
-        if self.add_new_columns:
-            return self.spark.read.format(self.fmt).schema(schema).load(files)
-        rows = self.spark.read.format(self.fmt).option("mergeSchema", True).load(files)
-        unknown = [c for c in rows.columns if c not in schema.names]
+        together = None
+        for found, members in groups:
+            part = self._by_name_group(found, members, schema)
+            together = part if together is None else together.unionByName(part, allowMissingColumns=True)
+        return together
+
+    def _footers(self, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+        """(schema, files) of each set of files whose footers Spark can merge: one set, unless a type has changed."""
+        try:
+            return [(self.spark.read.format(self.fmt).option("mergeSchema", True).load(files).schema, files)]
+        except Exception as error:
+            if len(files) == 1 or "CANNOT_MERGE" not in str(error):
+                raise
+        middle = len(files) // 2
+        found: dict[str, tuple[T.StructType, list[str]]] = {}
+        for schema, members in [*self._footers(files[:middle]), *self._footers(files[middle:])]:
+            found.setdefault(schema.json(), (schema, []))[1].extend(members)
+        return list(found.values())
+
+    def _by_name_group(self, found: T.StructType, files: list[str], schema: T.StructType) -> DataFrame:
+        rows = self.spark.read.format(self.fmt).schema(found).load(files)
+        lost = {c: F.col(f"`{c}`") for c in found.names if c not in schema.names}
+        converted = {}
+        for field in found.fields:
+            if field.name not in schema.names or holds(schema[field.name].dataType, field.dataType):
+                continue
+            value, to = F.col(f"`{field.name}`"), schema[field.name].dataType
+            if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+                lost[field.name] = value  # as a whole, beside what fits of it
+            elif isinstance(field.dataType, T.NumericType) and isinstance(to, T.NumericType):
+                fresh = value.try_cast(to)
+                converted[field.name] = F.when(fresh.try_cast(field.dataType) == value, fresh)
+            else:
+                converted[field.name] = convert(value.cast("string"), to.simpleString())
+        for name, fresh in converted.items():
+            lost[name] = F.when(fresh.isNull(), F.col(f"`{name}`"))
         rescued = F.lit(None).cast("string")
-        if unknown:
-            present = F.lit(False)
-            for c in unknown:
-                present = present | F.col(c).isNotNull()
-            rescued = F.when(present, F.to_json(F.struct(*unknown)))
-        typed = [
-            (F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
-        return rows.select(*typed, rescued.alias(RESCUED))
+        if lost:
+            named = [x for c, v in lost.items() for x in (F.lit(c), F.when(v.isNotNull(), self._text(v, found[c].dataType)))]
+            texts = F.map_filter(F.create_map(*named), lambda _, v: v.isNotNull())
+            rescued = F.when(F.size(texts) > 0, F.to_json(texts))
+        wanted = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+        typed = raise_to(rows.withColumns({RESCUED: rescued, **converted}), wanted)
+        return typed if lost or not self.add_new_columns else typed.drop(RESCUED)
+
+    @staticmethod
+    def _text(value: Column, kind: T.DataType) -> Column:
+        nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+        return F.to_json(value) if nested else value.cast("string")

@@ -71,3 +71,16 @@ def rescue_strings(df: DataFrame, schema: T.StructType, carry: Sequence[str] = (
         kept += [F.lit(name), lost]
     everything = F.map_filter(F.create_map(*kept), lambda _, v: v.isNotNull())
     return converted.select(*typed, _rescued_json(everything).alias(RESCUED), *carry)
+
+
+def rescue_corrupt(df: DataFrame, fields: Column, schema: T.StructType) -> DataFrame:
+    """Add ``_rescued_data`` to typed rows: what a row with a corrupt record holds that its columns do not.
+
+    ``fields`` are the fields of the record as a map of text, NULL where it has none.
+    """
+    unread = [F.when(F.col(f"`{f.name}`").isNull(), F.lit(f.name)) for f in schema.fields]
+    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    lost = F.map_filter(
+        fields, lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | F.array_contains(F.array_compact(F.array(*unread)), k))
+    )
+    return df.withColumn(RESCUED, F.when(F.col(CORRUPT).isNotNull(), _rescued_json(lost)))

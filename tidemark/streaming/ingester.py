@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.quality import schema_findings
+from tidemark.sinks import paths
 from tidemark.sinks.batch import SchemaMismatch
 from tidemark.sinks.streams import append_to_path, append_to_table, checkpoint_for, each_batch
 from tidemark.sources.file_batches import FileBatch
 from tidemark.sources.rescue import rescue_json
-from tidemark.sources.schema_log import SchemaLog
+from tidemark.sources.schema_log import SchemaLog, holds, merge, promote, raise_to, retyped
 from tidemark.streaming import progress
 
 BATCH = "_batch_id"
@@ -132,11 +134,13 @@ class FileIngester:
         return df is None or df is self._rows
 
     def _accept(self, rows: DataFrame, known: T.StructType | None) -> None:
-        """Refuse new or changed columns of the target unless merging is on."""
+        """Refuse new columns and wider types of the target unless merging is on, and types that cannot be raised."""
         if known is None:
             return
         findings = schema_findings(rows.schema, known)
-        refused = [f for f in findings if f[1] == "mistyped" or (f[1] == "extra" and not self.config.merge_schema)]
+        merging = self.config.merge_schema
+        clashing = {f.name for f in rows.schema.fields if f.name in known.names and not holds(promote(known[f.name].dataType, f.dataType), f.dataType)}
+        refused = [f for f in findings if (f[1] == "mistyped" and (f[0] in clashing or not merging)) or (f[1] == "extra" and not merging)]
         if refused:
             raise SchemaMismatch("; ".join(f"{name}: {what} ({want} to {got})" for name, what, want, got in refused))
 
@@ -161,7 +165,8 @@ class FileIngester:
             rows = self._load(listing, number, transform)
             if rows is not None:
                 self._accept(rows, target.latest())
-                target.evolve(rows.schema, widen=False, reserved=True)
+                wanted = target.evolve(rows.schema, widen=False, reserved=True, since=number)
+                rows = raise_to(rows, T.StructType([wanted[c] for c in rows.columns]))
                 rows.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/{BATCH}={number}")
 
         self.query = each_batch(self.read_files(), write, "append", checkpoint, trigger_type, processing_time)
@@ -180,47 +185,84 @@ class FileIngester:
         self._only_append(mode)
         checkpoint = checkpoint_for(self.config.checkpoint_path, table_name)
         base = self.config.table_location or self.spark.conf.get("spark.sql.warehouse.dir")
-        location = f"{base.rstrip('/')}/{table_name}"
+        base = f"{base.rstrip('/')}/{table_name}"
         if not self._is_unchanged(df):
-            self.query = append_to_table(df, table_name, checkpoint, location, "parquet", trigger_type, processing_time)
+            self.query = append_to_table(df, table_name, checkpoint, base, "parquet", trigger_type, processing_time)
             return self.query
 
         def write(listing: DataFrame, number: int) -> None:
             rows = self._load(listing, number, transform)
             if rows is None:
                 return
+            fields = [f for f in rows.schema.fields if f.name != BATCH]
             if self.spark.catalog.tableExists(table_name):
-                known = self.spark.table(table_name).schema
-                self._accept(rows, T.StructType([f for f in known.fields if f.name != BATCH]))
-                fresh = [f for f in rows.schema.fields if f.name not in known.names]
-                if fresh:
+                known = T.StructType([f for f in self.spark.table(table_name).schema.fields if f.name != BATCH])
+                self._accept(rows, known)
+                wanted = merge(known, rows.schema)
+                if retyped(known, wanted):
+                    self._retype(table_name, base, wanted, number)
+                fresh = [f for f in fields if f.name not in known.names]
+                if fresh and not retyped(known, wanted):
                     added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh)
                     self.spark.sql(f"ALTER TABLE {table_name} ADD COLUMNS ({added})")
+                rows = raise_to(rows, T.StructType([wanted[f.name] for f in fields]))
             else:
-                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-                self.spark.sql(
-                    f"CREATE TABLE {table_name} ({columns}, {BATCH} BIGINT) USING parquet "
-                    f"PARTITIONED BY ({BATCH}) LOCATION '{location}'"
-                )
-            rows.write.mode("overwrite").parquet(f"{location}/{BATCH}={number}")
+                self._create(table_name, base, fields)
+            rows.write.mode("overwrite").parquet(f"{self._location(base)}/{BATCH}={number}")
             self.spark.sql(f"ALTER TABLE {table_name} ADD IF NOT EXISTS PARTITION ({BATCH}={number})")
             self.spark.catalog.refreshTable(table_name)
 
         self.query = each_batch(self.read_files(), write, "append", checkpoint, trigger_type, processing_time)
         return self.query
 
+    def _location(self, base: str) -> str:
+        """Where the rows of a table are: beside ``base`` once a type has changed."""
+        moved = f"{base}.moved"
+        return paths.read_small(self.spark, moved) if paths.exists(self.spark, moved) else base
+
+    def _create(self, name: str, base: str, fields: Sequence[T.StructField]) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        location = self._location(base)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}, {BATCH} BIGINT) USING parquet PARTITIONED BY ({BATCH}) LOCATION '{location}'"
+        )
+        if paths.children(self.spark, location):
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+    def _retype(self, name: str, base: str, wanted: T.StructType, number: int) -> None:
+        """Copy a table whose column gets a wider type; its old files stay until the new ones are named.
+
+        Files of two types cannot be one catalog table, so this costs a pass over the
+        table, once for each change. A path as target needs none.
+        """
+        location = f"{base}.from-batch-{number}"
+        rows = self.spark.table(name)
+        raised = raise_to(rows, T.StructType([*wanted.fields, rows.schema[BATCH]]))
+        raised.hint("rebalance", F.col(BATCH)).write.mode("overwrite").partitionBy(BATCH).parquet(location)
+        paths.put(self.spark, f"{base}.moved", location)
+        self.spark.sql(f"DROP TABLE {name}")
+        self._create(name, base, wanted.fields)
+
     @staticmethod
     def _only_append(mode: str) -> None:
         if mode != "append":
             raise ValueError(f"ingested files are appended; for {mode} output use tidemark.sinks.streams")
 
     def read_output(self, output_path: str) -> DataFrame:
-        """What was written to a path so far, in the widest schema, without the batch number."""
+        """What was written to a path so far, in the widest schema and types, without the batch number."""
         checkpoint = checkpoint_for(self.config.checkpoint_path, output_path)
-        schema = SchemaLog(self.spark, f"{checkpoint}-target-schema").latest()
-        if schema is None:
+        epochs = SchemaLog(self.spark, f"{checkpoint}-target-schema").epochs()
+        if not epochs:
             raise ValueError(f"nothing has been written to {output_path}")
-        return self.spark.read.schema(schema).parquet(output_path).drop(BATCH)
+        together = None
+        for (first, schema), (after, _) in zip(epochs, [*epochs[1:], (None, None)]):
+            # batches of other types than the newest are read with their own and raised
+            rows = self.spark.read.schema(schema).parquet(output_path).where(F.col(BATCH) >= first)
+            if after is not None:
+                rows = rows.where(F.col(BATCH) < after)
+            rows = raise_to(rows, epochs[-1][1])
+            together = rows if together is None else together.union(rows)
+        return together
 
     # -- the running query -----------------------------------------------------
 
