@@ -241,7 +241,7 @@ def test_phrases_equal_brute_force(session):
 
 
 def test_phrases_of_odd_rows(session, odd, monkeypatch):
-    monkeypatch.setattr(debruijn, "HELD", 200)
+    monkeypatch.setattr(debruijn, "HELD", 400)
     plain = [(r.lang, r.text) for r in odd.collect()]
     for least, longest in ((2, 4), (30, 3), (2, 5)):
         got = debruijn.collocations(odd, least, longest)

@@ -46,7 +46,7 @@ MOST = 2000
 INSIDE = 80
 SCALE = 2_000_000
 # Entries that a worker counts before it hands them on, and bytes of frequent words it may know.
-HELD = 1_000_000
+HELD = 3_000_000
 WORDS_BYTES = 48 * 1024 * 1024
 
 # Bytes: A-Z in lower case, the ends of pieces as line ends, tabs as blanks.
@@ -77,7 +77,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for words in pieces(text):
                     counts[lang].update(words)
-            if sum(map(len, counts.values())) > HELD // 4:
+            if sum(map(len, counts.values())) > HELD // 8:
                 yield rows(counts)
                 counts.clear()
         yield rows(counts)
@@ -98,14 +98,14 @@ class Numbers:
         spark = words.sparkSession
         frequent = words.where(F.col("c") >= least)
         size = frequent.agg(F.sum(F.octet_length("word") + 100)).first()[0] or 0
-        self.table, self.key = None, 0
+        self.table, self.key, self.most = None, 0, None
         if size <= words_bytes:
             rows = frequent.orderBy(F.desc("c"), "lang", "word").select("lang", "word").toPandas()
             rows["id"] = np.arange(1, len(rows) + 1)
             known: dict[str, dict[bytes, int]] = defaultdict(dict)
             for lang, word, number in rows.itertuples(index=False):
                 known[lang][word.encode()] = number
-            self.table = spark.sparkContext.broadcast(dict(known))
+            self.table, self.most = spark.sparkContext.broadcast(dict(known)), len(rows)
             self.words = spark.createDataFrame(rows, "lang string, word string, id long")
         else:
             while True:
@@ -117,19 +117,30 @@ class Numbers:
             self.words = stored(numbered.where(F.col("c") >= least).select("lang", "word", "id"), "phrase-numbers")
 
     def of(self):
-        """A function from language and words to their numbers, for use in a worker; 0 for a word without one."""
-        if self.table is not None:
-            known = self.table.value
-            return lambda lang, words: [known.get(lang, {}).get(w, 0) for w in words] if lang in known else [0] * len(words)
-        seen: dict[tuple, int] = {}
+        """What a worker calls for a function from language and words to their numbers; 0 for a word without one."""
+        table, key = self.table, self.key
 
-        def digests(lang: str, words: list[bytes]) -> list[int]:
-            if len(seen) > HELD:
-                seen.clear()
-            raw = lang.encode()
-            return [seen.get((raw, w)) or seen.setdefault((raw, w), _digest(raw, w, self.key)) for w in words]
+        def known():
+            numbers = table.value
 
-        return digests
+            def look(lang: str, words: list[bytes]) -> list[int]:
+                own = numbers.get(lang)
+                return [own.get(w, 0) for w in words] if own else [0] * len(words)
+
+            return look
+
+        def digests():
+            seen: dict[tuple, int] = {}
+
+            def digest(lang: str, words: list[bytes]) -> list[int]:
+                if len(seen) > HELD:
+                    seen.clear()
+                raw = lang.encode()
+                return [seen.get((raw, w)) or seen.setdefault((raw, w), _digest(raw, w, key)) for w in words]
+
+            return digest
+
+        return known if table is not None else digests
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[dict]:
@@ -139,37 +150,73 @@ def _numbered(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[dict]:
         yield out
 
 
-def _columns(longest: int) -> list[str]:
-    return [f"w{i + 1}" for i in range(longest)]
+class Packing:
+    """How the numbers of a gram's words lie in columns: three to a column if they are small, else one."""
+
+    def __init__(self, numbers: Numbers, longest: int) -> None:
+        self.longest = longest
+        self.bits = 0 if numbers.most is None else max(1, numbers.most.bit_length())
+        self.each = max(1, 63 // self.bits) if self.bits else 1
+        self.columns = [f"p{i}" for i in range(-(-longest // self.each))]
+
+    def pack(self, words: list[np.ndarray]) -> list[np.ndarray]:
+        out = []
+        for low in range(0, self.longest, self.each):
+            part = words[low : low + self.each]
+            packed = part[0]
+            for i in range(1, self.each):
+                packed = packed << self.bits | (part[i] if i < len(part) else 0)
+            out.append(packed)
+        return out
+
+    def unpack(self, columns: list[np.ndarray]) -> list[np.ndarray]:
+        if self.each == 1:
+            return columns
+        mask, out = (1 << self.bits) - 1, []
+        for i in range(self.longest):
+            which, place = divmod(i, self.each)
+            out.append(columns[which] >> (self.bits * (self.each - 1 - place)) & mask)
+        return out
+
+    def pair(self) -> list[Column]:
+        """The first two words, as what grams are dealt by."""
+        if self.each == 1:
+            return [F.col(c) for c in self.columns[:2]]
+        if self.each == 2:
+            return [F.col(self.columns[0])]
+        return [F.shiftright(F.col(self.columns[0]), self.bits * (self.each - 2))]
 
 
 def longest_grams(docs: DataFrame, numbers: Numbers, longest: int = LONGEST) -> DataFrame:
-    """``w1, w2, ..., c``: the longest gram from each word on, of two words or more, in numbers of words; 0 is none."""
-    names = _columns(longest)
-    table, key = numbers.table, numbers.key
-    numbered = Numbers.__new__(Numbers)  # without its DataFrame, which stays in the driver
-    numbered.table, numbered.key = table, key
+    """``p0, ..., c``: the longest gram from each word on, of two words or more, packed; number 0 is no word."""
+    packing = Packing(numbers, longest)
+    number_of, names = numbers.of(), packing.columns
 
     def summed(held: list[int]) -> dict:
         line = np.array([*held, *[0] * longest], np.int64)
-        columns = [line[: len(held)]]
+        words = [line[: len(held)]]
         for i in range(1, longest):
-            columns.append(np.where(columns[-1] != 0, line[i : len(held) + i], 0))
-        grams = np.stack(columns)[:, columns[1] != 0]
-        grams = grams[:, np.lexsort(grams[::-1])]
-        first = np.flatnonzero(np.concatenate([[True], (grams[:, 1:] != grams[:, :-1]).any(0)])) if grams.shape[1] else np.empty(0, np.int64)
-        counts = np.diff(np.append(first, grams.shape[1]))
-        return dict(zip(names, grams[:, first], strict=True)) | {"c": counts}
+            words.append(np.where(words[-1] != 0, line[i : len(held) + i], 0))
+        long = words[1] != 0
+        packed = packing.pack([w[long] for w in words])
+        order = np.lexsort(packed[::-1])
+        packed = [p[order] for p in packed]
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for p in packed:
+            new[1:] |= p[1:] != p[:-1]
+        first = np.flatnonzero(new)
+        return {n: p[first] for n, p in zip(names, packed, strict=True)} | {"c": np.diff(np.append(first, len(order)))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        number = numbered.of()
+        number = number_of()
         held: list[int] = []
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for words in pieces(text):
                     held += number(lang, words)
                     held.append(0)
-                if len(held) > 2 * HELD:
+                if len(held) > HELD:
                     yield summed(held)
                     held = []
         yield summed(held)
@@ -185,21 +232,49 @@ def node_flow(grams: DataFrame, numbers: Numbers, least: int = LEAST, longest: i
     """``lang, node, c, edges``: runs of two words up to ``longest - 1`` that occur ``least`` times or more.
 
     ``edges`` are the frequent continuations of a node of ``longest - 1`` words (next word, weight).
-    Grams meet once by the node that they begin with; what its edges and corrections
-    carry is summed there, and again for the shorter runs that the node begins with.
+    Grams meet once, by their first two words, and are read in order: a node is the run of grams
+    that begin with it, and occurs as often as its edges and the corrections among them
+    say; so do the shorter runs that nodes begin with. A hot pair is a longer run, never held as a whole.
     """
-    names = _columns(longest)
-    edges = grams.repartition(*names[:-1]).groupBy(*names).agg(F.sum("c").alias("c"))
-    flow = edges.groupBy(*names[:-1]).agg(F.sum("c").alias("c"))
-    # A run occurs where a node begins with it, or where its piece ends. Nothing but the sums is filtered
-    # here: a filter on words would move below the exchange, which could then not be shared.
-    levels = [edges, flow, *[flow.groupBy(*names[:words]).agg(F.sum("c").alias("c")) for words in range(longest - 2, 1, -1)]]
-    found = None
-    for level in levels:
-        size = len(level.columns) - 1
-        rest = [F.lit(0).cast("long").alias(n) for n in names[size:]]
-        level = level.where(F.col("c") >= least).select(*names[:size], *rest, F.lit(size).alias("size"), "c")
-        found = level if found is None else found.union(level)
+    packing = Packing(numbers, longest)
+    names = [f"w{i + 1}" for i in range(longest)]
+    sizes = range(longest, 1, -1)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        """Sums of the sorted grams that begin alike, for each length; the last of a batch waits for the next batch."""
+        held: dict[int, tuple[tuple, int]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = packing.unpack([batch.column(c).to_numpy() for c in packing.columns])
+            counts = batch.column("c").to_numpy()
+            new, ends = np.zeros(batch.num_rows, bool), {}
+            new[0] = True
+            for i, word in enumerate(words):
+                new[1:] |= word[1:] != word[:-1]
+                ends[i + 1] = np.flatnonzero(new)
+            out = []
+            for size in sizes:
+                first = ends[size]
+                total = np.add.reduceat(counts, first)
+                if size in held:
+                    key, before = held[size]
+                    if key == tuple(int(w[0]) for w in words[:size]):
+                        total[0] += before
+                    elif before >= least:
+                        out.append((key, size, before))
+                held[size] = tuple(int(w[first[-1]]) for w in words[:size]), int(total[-1])
+                for at in np.flatnonzero(total[:-1] >= least).tolist():
+                    out.append((tuple(int(w[first[at]]) for w in words[:size]), size, int(total[at])))
+            yield rows(out)
+        yield rows([(key, size, n) for size, (key, n) in held.items() if n >= least])
+
+    def rows(found: list[tuple]) -> dict:
+        columns = {name: [key[i] if i < size else 0 for key, size, _ in found] for i, name in enumerate(names)}
+        return columns | {"size": [size for _, size, _ in found], "c": [n for _, _, n in found]}
+
+    dealt = grams.repartition(*packing.pair()).sortWithinPartitions(*packing.columns)
+    found = scan(dealt, ", ".join(f"{n} long" for n in [*names, "size", "c"]), sums)
     found = stored(found, "phrase-flow")
     spelled = found
     for i, name in enumerate(names):  # a run that is shorter than its level ended there, and counts below
