@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.percentiles import exact_percentiles
-from tidemark.operators.sequences import KeySequence, position, ranks
+from tidemark.operators.sequences import KeySequence, ranks
 
 
 @pytest.fixture(scope="module")
@@ -49,21 +49,37 @@ def test_ranks_with_ties(skewed, keys, order):
     assert _rows(cut) == _rows(plain)
 
 
+def slice_sizes(cut):
+    return [r["count"] for r in cut.pieces.groupBy(*cut.keys, "_slice").count().collect()]
+
+
 def test_ties_are_cut_along_the_next_column(spark):
     rows = spark.createDataFrame([(0 if i % 3 else i % 5, f"{i * 7919 % 1000:04d}", i) for i in range(1000)], "a int, t string, v long")
-    cut = KeySequence(rows, [], ["a", "t"], plain_bytes=0, rows_per_task=40, fan=4)
-    assert cut.parts == ["_slice0", "_slice1"]
-    sizes = [r["count"] for r in cut.pieces.groupBy(*cut.parts).count().collect()]
-    assert max(sizes) < 250
+    cut = KeySequence(rows, [], ["a", "t"], plain_bytes=0, rows_per_task=40, fan=20)
+    assert max(slice_sizes(cut)) < 250
     plain = KeySequence(rows, [], ["a", "t"])
     assert _rows(cut.add(**ADD_SMALL)) == _rows(plain.add(**ADD_SMALL))
 
 
-def test_positions_never_fall(spark):
-    texts = ["", "a", "a\x00", "ab", "abcdefg", "abcdefh", "b", "é", "中"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r["p"] for r in df.orderBy("t").select(position(df, F.col("t")).alias("p")).collect()]
-    assert got == sorted(got) and got[0] == 0.0
+@pytest.mark.parametrize("order", [["t", "v"], ["one", "t"], ["none", "v"], ["flag", "t"]])
+def test_any_order_is_cut(spark, order):
+    """One short text beside many that begin alike, and a first column that is one value, NULL, or nearly so."""
+    rows = [("A", 1, None, True, -1)] + [(f"customer-with-a-long-name-{i:06d}", 1, None, i != 700, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "t string, one int, none date, flag boolean, v long").withColumn("k", F.lit("hot"))
+    cut = KeySequence(df, ["k"], order, plain_bytes=0, rows_per_task=200, fan=40)
+    sizes = slice_sizes(cut)
+    assert len(sizes) >= 12 and max(sizes) < 600 and sum(sizes) == 4001
+    plain = KeySequence(df, ["k"], order, plain_bytes=1 << 60)
+    assert _rows(cut.add(**ADD_SMALL)) == _rows(plain.add(**ADD_SMALL))
+
+
+def test_rows_equal_in_the_whole_order_are_cut_too(spark):
+    df = spark.range(3000).select(F.lit(1).alias("k"), F.lit(5).alias("at"), (F.col("id") % 7).alias("v"), F.col("id"))
+    cut = KeySequence(df, ["k"], ["at"], plain_bytes=0, rows_per_task=300, fan=40)
+    assert max(slice_sizes(cut)) < 900
+    got = cut.add(row_number="rn", prior_count={"c": "id"}, lag={"p": "id"}).collect()
+    assert sorted(r.rn for r in got) == list(range(1, 3001)) and all(r.c == r.rn - 1 for r in got)
+    assert len({r.p for r in got}) == 3000  # each row follows another one
 
 
 def test_no_hot_key_falls_back_to_plain_window(skewed):
@@ -75,10 +91,11 @@ def test_no_hot_key_falls_back_to_plain_window(skewed):
 
 
 def test_hot_key_gets_several_slices(skewed):
-    cut = KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=0, rows_per_task=100, fan=4)
-    hot = cut.pieces.where(F.col("k") == "hot").groupBy("_slice0").count().collect()
-    assert len(hot) > 5 and cut.parts == ["_slice0"]
-    assert cut.pieces.where("k = 'k1' and _slice0 is not null").isEmpty()
+    cut = KeySequence(skewed, ["k"], ["at", "id"], plain_bytes=0, rows_per_task=100, fan=20)
+    hot = cut.pieces.where(F.col("k") == "hot").groupBy("_slice").count().collect()
+    assert len(hot) > 5
+    # keys that fit a task are not stored
+    assert cut.pieces.where("k = 'k1'").isEmpty()
 
 
 @pytest.mark.parametrize("keys", [["k"], []])

@@ -3,18 +3,18 @@
 A window function sorts all rows of a key inside one task. That is fine until one
 key holds a third of a huge table. ``KeySequence`` keeps the plain window while
 the whole input is small enough for any one task. Beyond that, it cuts the rows
-of every key above ``rows_per_task`` into slices along the leading order column
-(and a slice of equal values along the next one), runs the window per slice, and
+of every key above ``rows_per_task`` into slices, as a sample sort does: splitters
+are drawn from a sample of the whole order, all order columns and NULLs included, with a
+digest of the row behind them for ties. It runs the window per slice, and
 carries counts, sums and edge rows between slices in a table with one row per
-slice. Slices are a monotone function of the order columns, so results equal
-those of the plain window exactly. Pieces, cut points and the carried table are
-written to the shared folder: later steps read them instead of computing the
-input again.
+slice. Slices are a monotone function of the order, so results equal those of
+the plain window. Rows of all other keys are neither placed nor stored; hot rows,
+splitters and the carried table are written to the shared folder: later steps
+read them instead of computing the input again.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +25,8 @@ from tidemark.operators.sizing import estimated_bytes, small_side, stored
 
 PLAIN_BYTES = 256 * 1024 * 1024
 ROWS_PER_TASK = 20_000_000
+# rows sampled for each slice: its size is off by about one part in the root of this
 FAN = 64
-# a slice may exceed its share by the error of the quantiles; only ties make it this large
-TIED = 4
 
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
@@ -49,25 +48,6 @@ def ascending(df: DataFrame, order: Sequence[str]) -> list[Column]:
     return terms
 
 
-def position(df: DataFrame, term: Column) -> Column:
-    """A double that never falls as ``term`` rises; for text, six bytes after the start that all rows share."""
-    kind = df.select(term.alias("t")).schema["t"].dataType
-    if isinstance(kind, T.NumericType):
-        return term.cast("double")
-    if isinstance(kind, T.BooleanType):
-        return term.cast("int").cast("double")
-    if isinstance(kind, _TIMES):
-        return F.unix_micros(term.cast("timestamp")).cast("double")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        raw = term.cast("binary")
-        ends = df.agg(F.min(raw).alias("low"), F.max(raw).alias("high")).first()
-        # whatever lies between two values shares their common start
-        same = len(os.path.commonprefix([bytes(ends.low or b""), bytes(ends.high or b"")]))
-        start = F.hex(F.substring(raw, same + 1, 6))
-        return F.conv(F.rpad(start, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot order by {kind.simpleString()}")
-
-
 def _same_key(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     condition = F.lit(True)
     for name in names:
@@ -82,7 +62,7 @@ def _prefixed(df: DataFrame, names: Sequence[str]) -> DataFrame:
 class KeySequence:
     """Rows of each key of ``df`` in one total order.
 
-    ``like`` reuses the cut points of another sequence with the same keys and
+    ``like`` reuses the splitters of another sequence with the same keys and
     order, for a subset of its rows.
     """
 
@@ -101,97 +81,57 @@ class KeySequence:
         self.order = list(order)
         self.rows_per_task = rows_per_task
         self.fan = fan
-        self.cuts: list[tuple[DataFrame, int]] = []
-        self.pieces = df
+        self.cuts: DataFrame | None = None
         if like is not None:
-            for cuts, number in like.cuts:
-                self._place(cuts, number)
+            self.cuts = like.cuts
         elif estimated_bytes(df) > plain_bytes:
-            self._cut()
+            self.cuts = self._cut_points()
+        self.pieces = self._placed() if self.sliced else None
 
     @property
     def sliced(self) -> bool:
-        return bool(self.cuts)
+        return self.cuts is not None
 
-    @property
-    def parts(self) -> list[str]:
-        """Names of the slice columns of ``pieces``; NULL where there was nothing to cut."""
-        return [f"_slice{i}" for i in range(len(self.cuts))]
-
-    def _cut(self) -> None:
-        """Cut hot keys along the first order column, twice if need be, then ties along the next."""
-        for number in range(len(self.order)):
-            for _ in range(2):
-                hot = self._hot_groups(number)
-                if hot.isEmpty():
-                    return
-                hot = hot.where("_cuttable")
-                if not hot.isEmpty():
-                    self._place(self._cut_points(hot, number), number)
-
-    def _hot_groups(self, number: int) -> DataFrame:
-        """Groups with too many rows for one task, and whether they can be cut along a column.
-
-        They can if the column varies and all columns before it do not. There are
-        at most rows / rows_per_task such groups.
-        """
-        keys = [*self.keys, *self.parts]
-        terms = ascending(self.df, self.order)
-        limit = self.rows_per_task * (TIED if self.cuts else 1)
-        rows = self.pieces.select(
-            *keys,
-            *[term.alias(f"_t{i}") for i, term in enumerate(terms[:number])],
-            position(self.df, terms[number]).alias("_p"),
-        )
-        tests = [F.min("_p") < F.max("_p")]
-        for i in range(number):
-            same = (F.count(f"_t{i}") == F.count(F.lit(1))) & (F.min(f"_t{i}") == F.max(f"_t{i}"))
-            tests.append((F.count(f"_t{i}") == 0) | same)
-        cuttable = tests[0]
-        for test in tests[1:]:
-            cuttable = cuttable & test
-        sizes = rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), F.coalesce(cuttable, F.lit(False)).alias("_cuttable")
-        )
-        return stored(_prefixed(sizes.where(F.col("_n") > limit), keys), "hot-keys")
-
-    def _cut_points(self, hot: DataFrame, number: int) -> DataFrame:
-        """About rows / rows_per_task cut points of each hot group along an order column.
-
-        They are stored, since approximate quantiles may differ from one run of a
-        plan to the next.
+    def _whole_order(self) -> list[Column]:
+        """The order terms, and a digest of the row that sets apart what they leave equal."""
+        terms = [term.alias(f"t{i}") for i, term in enumerate(ascending(self.df, self.order))]
+        return [*terms, F.xxhash64(*[F.col(f"`{c}`") for c in self.df.columns]).alias("tie")]
+
+    def _cut_points(self) -> DataFrame | None:
+        """The splitters of each key that has too many rows for one task; None if there is no such key.
+
+        There are at most rows / rows_per_task such keys, and as many splitters in all.
         """
-        keys = [*self.keys, *self.parts]
-        term = ascending(self.df, self.order)[number]
-        cells = self.fan * self.fan
-        grid = [i / cells for i in range(1, cells)]
-        rows = self.pieces.select(*keys, position(self.df, term).alias("_p"))
-        rows = rows.join(small_side(hot), _same_key(rows, hot, keys), "inner")
-        named = [f"_r_{k}" for k in keys]
-        measured = rows.groupBy(*named, "_n").agg(F.percentile_approx("_p", grid, 10 * cells).alias("_grid"))
-        step = F.greatest(F.lit(1), F.floor(F.lit(float(cells) * self.rows_per_task) / F.col("_n"))).cast("int")
-        cuts = measured.select(*named, F.filter("_grid", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
+        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > self.rows_per_task)
+        hot = stored(_prefixed(sizes, self.keys), "hot-keys")
+        if hot.isEmpty():
+            return None
+        rows = self.df.where(F.rand(17) < F.lit(self.fan / self.rows_per_task))
+        rows = rows.select(*self.keys, F.struct(*self._whole_order()).alias("_p"))
+        rows = rows.join(small_side(hot), _same_key(rows, hot, self.keys), "inner")
+        named = [f"_r_{k}" for k in self.keys]
+        sampled = rows.groupBy(*named, "_n").agg(F.sort_array(F.collect_list("_p")).alias("_sample"))
+        step = F.greatest(F.lit(1), F.round(F.lit(float(self.rows_per_task)) * F.size("_sample") / F.col("_n"))).cast("int")
+        cuts = sampled.select(*named, F.array_distinct(F.filter("_sample", lambda _, i: (i + 1) % step == 0)).alias("_cuts"))
         # a lookup first finds a block of cuts, then the place inside the block
         block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_cuts")))).cast("int")
         ends = F.filter("_cuts", lambda _, i: i % F.col("_block") == F.col("_block") - 1)
         return stored(cuts.withColumn("_block", block).withColumn("_ends", ends), "cuts")
 
-    def _place(self, cuts: DataFrame, number: int) -> None:
-        """Add the next slice column: a number in groups that have cuts, NULL in all others."""
-        keys = [*self.keys, *self.parts]
-        term = ascending(self.df, self.order)[number]
-        placed = self.pieces.withColumn("_p", position(self.df, term))
-        placed = placed.join(small_side(cuts), _same_key(placed, cuts, keys), "left")
+    def _placed(self) -> DataFrame:
+        """Rows of the keys that are cut, with the number of their slice."""
+        placed = self.df.withColumn("_p", F.struct(*self._whole_order()))
+        placed = placed.join(small_side(self.cuts), _same_key(placed, self.cuts, self.keys), "inner")
 
         def below(points):
             return F.size(F.filter(points, lambda point: point < F.col("_p")))
 
         blocks = below(F.col("_ends"))
         inside = below(F.slice("_cuts", blocks * F.col("_block") + 1, F.col("_block")))
-        place = F.when(F.col("_p").isNull(), F.lit(-1)).otherwise(blocks * F.col("_block") + inside)
-        slice_number = F.when(F.col("_cuts").isNotNull(), place).alias(f"_slice{len(self.cuts)}")
-        self.pieces = stored(placed.select(*self.pieces.columns, slice_number), "slices")
-        self.cuts.append((cuts, number))
+        return stored(placed.select(*self.df.columns, (blocks * F.col("_block") + inside).alias("_slice")), "slices")
+
+    def _uncut(self) -> DataFrame:
+        return self.df.join(small_side(self.cuts), _same_key(self.df, self.cuts, self.keys), "left_anti")
 
     def add(
         self,
@@ -217,11 +157,15 @@ class KeySequence:
             "last_known": dict(last_known or {}),
         }
         if not self.sliced:
-            return self.df.withColumns(self._windowed(self.keys, wanted))
-        return self._add_sliced(wanted)
-
-    def _windowed(self, keys: Sequence[str], wanted: dict) -> dict[str, Column]:
-        w = Window.partitionBy(*keys).orderBy(*ascending(self.df, self.order))
+            return self.df.withColumns(self._windowed(self.keys, ascending(self.df, self.order), wanted))
+        if not self.keys:  # one group, and it is cut
+            return self._add_sliced(wanted)
+        cold = self._uncut()
+        cold = cold.withColumns(self._windowed(self.keys, ascending(self.df, self.order), wanted))
+        return self._add_sliced(wanted).unionByName(cold)
+
+    def _windowed(self, keys: Sequence[str], order: Sequence[Column], wanted: dict) -> dict[str, Column]:
+        w = Window.partitionBy(*keys).orderBy(*order)
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out: dict[str, Column] = {}
@@ -236,8 +180,8 @@ class KeySequence:
 
     def _carry(self, wanted: dict) -> DataFrame:
         """What each slice of a hot key takes over from the slices around it."""
-        keys = [*self.keys, *self.parts]
-        order = F.struct(*ascending(self.df, self.order))
+        keys = [*self.keys, "_slice"]
+        order = F.struct(*self._whole_order())
         edges = sorted({*wanted["lag"].values(), *wanted["lead"].values()})
         edge = F.struct(*[F.col(c).alias(c) for c in edges], F.lit(0).alias("_pad"))
         measures = [F.count(F.lit(1)).alias("_n")]
@@ -248,9 +192,9 @@ class KeySequence:
         for new, old in wanted["last_known"].items():
             known = F.when(F.col(old).isNotNull(), order)
             measures.append(F.max_by(old, known).alias(f"_k_{new}"))
-        summary = self.pieces.where(F.coalesce(*self.parts).isNotNull()).groupBy(*keys).agg(*measures)
+        summary = self.pieces.groupBy(*keys).agg(*measures)
 
-        w = Window.partitionBy(*self.keys).orderBy(*self.parts)
+        w = Window.partitionBy(*self.keys).orderBy("_slice")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         carried = {"_size": F.col("_n"), "_o_n": F.sum("_n").over(before)}
         if edges:
@@ -261,8 +205,8 @@ class KeySequence:
         return stored(_prefixed(summary.withColumns(carried).select(*keys, *carried), keys), "carry")
 
     def _add_sliced(self, wanted: dict) -> DataFrame:
-        keys = [*self.keys, *self.parts]
-        local = self.pieces.withColumns(self._windowed(keys, wanted | {"row_number": "_rn"}))
+        keys = [*self.keys, "_slice"]
+        local = self.pieces.withColumns(self._windowed(keys, self._whole_order(), wanted | {"row_number": "_rn"}))
         carry = self._carry(wanted)
         joined = local.join(small_side(carry), _same_key(local, carry, keys), "left")
         out: dict[str, Column] = {}
