@@ -6,9 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.ride_kpis import KpiSinks, run_ride_kpis, run_ride_windows, start_ride_kpis
+from tidemark.plans import ride_kpis
+from tidemark.plans.ride_kpis import KpiSinks, add_up, run_ride_kpis, run_ride_windows, start_ride_kpis
+from tidemark.sinks.parts import PartTable
 from tidemark.sinks.snapshot import SnapshotTable
-from tidemark.sinks.streams import append_to_path, append_to_table, checkpoint_for, each_batch, replace_snapshot, upsert_snapshot
+from tidemark.sinks.streams import append_to_path, append_to_table, checkpoint_for, each_batch, replace_snapshot, upsert_parts, upsert_snapshot
 from tidemark.sources.event_log import EventLog, broker, decode_avro, read_event_log
 from tidemark.streaming import progress
 from tidemark.streaming.rides import parse_rides, vendor_revenue
@@ -45,7 +47,57 @@ def test_kpis_accumulate_over_restarts(spark, folder):
     assert run_ride_kpis(spark, log, sinks, timeout=120)  # nothing new
     assert rows(SnapshotTable(spark, sinks.vendor_revenue).read()) == [("v1", 15.0), ("v2", 1.0)]
     assert rows(SnapshotTable(spark, sinks.pickup_traffic).read()) == [("A", 3), ("B", 1)]
-    assert rows(spark.read.parquet(sinks.quarantine)) == [("broken {", "bad_json")]
+    assert rows(spark.read.parquet(sinks.quarantine).drop("_batch_id")) == [("broken {", "bad_json")]
+
+
+def test_the_log_is_read_once_for_all_sinks(spark, folder):
+    log, sinks = EventLog("text", f"{folder}/log"), KpiSinks(f"{folder}/kpis")
+    arrive(f"{folder}/log", "1", [ride("v1", "A", 10.5), "broken {", {"vendorID": "v1", "totalAmount": "x"}])
+    started = start_ride_kpis(spark, log, sinks)
+    progress.await_all(started)
+    assert len(started) == 1 and len(json.loads(started[0].lastProgress.json)["sources"]) == 1
+    read = sum(s["numInputRows"] for p in started[0].recentProgress for s in json.loads(p.json)["sources"])
+    assert read == 3
+    assert rows(spark.read.parquet(sinks.quarantine).select("error_code")) == [("bad_field",), ("bad_json",)]
+
+
+@pytest.mark.parametrize("stop_at", [1, 2])
+def test_a_crash_between_two_sinks_repeats_nothing(spark, folder, monkeypatch, stop_at):
+    log, sinks = EventLog("text", f"{folder}/log"), KpiSinks(f"{folder}/kpis")
+    arrive(f"{folder}/log", "1", [ride("v1", "A", 10.5), "broken {"])
+    assert run_ride_kpis(spark, log, sinks, timeout=120)
+    arrive(f"{folder}/log", "2", [ride("v1", "B", 4.5), "worse {"])
+    calls = []
+
+    def fails(*args):
+        calls.append(args)
+        if len(calls) == stop_at:
+            raise RuntimeError("lost")
+        return add_up(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ride_kpis, "add_up", fails)
+        with pytest.raises(Exception, match="lost"):
+            run_ride_kpis(spark, log, sinks, timeout=120)
+    for _ in range(2):
+        assert run_ride_kpis(spark, log, sinks, timeout=120)
+        assert rows(SnapshotTable(spark, sinks.vendor_revenue).read()) == [("v1", 15.0)]
+        assert rows(SnapshotTable(spark, sinks.pickup_traffic).read()) == [("A", 1), ("B", 1)]
+        assert rows(spark.read.parquet(sinks.quarantine).select("value")) == [("broken {",), ("worse {",)]
+
+
+def test_a_batch_with_one_key_writes_one_part(spark, folder):
+    table = PartTable(spark, f"{folder}/t", ["k"], parts=32)
+    schema = "k string, v int"
+    for number, records in enumerate(([{"k": f"k{i}", "v": 1} for i in range(200)], [{"k": "k7", "v": 5}], [{"k": None, "v": 2}])):
+        arrive(f"{folder}/in", str(number), records)
+        totals = spark.readStream.schema(schema).json(f"{folder}/in").groupBy("k").agg(F.sum("v").alias("v"))
+        upsert_parts(totals, table, ["k"], f"{folder}/c", trigger="availableNow").awaitTermination()
+        if number:
+            before, now = table.manifest(before=table.versions()[-1]).folders, table.manifest().folders
+            assert len({p for p in now if now[p] != before.get(p)}) == 1
+    got = dict(rows(table.read()))
+    assert len(got) == 201 and got["k7"] == 6 and got[None] == 2 and got["k8"] == 1
 
 
 def test_reference_behaviour_counts_malformed_under_null(spark, folder):

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.plans.ride_kpis import KpiSinks, run_ride_windows, start_ride_kpis
 from tidemark.queries import query
 from tidemark.session import scratch, table
+from tidemark.sinks import paths
+from tidemark.sinks.parts import PartTable
 from tidemark.sinks.snapshot import SnapshotTable
-from tidemark.sinks.streams import append_to_path, replace_snapshot, upsert_snapshot
+from tidemark.sinks.streams import append_to_path, replace_snapshot, upsert_parts
 from tidemark.sources.event_log import EventLog, read_event_log
 from tidemark.streaming.progress import await_all
 from tidemark.streaming.rides import RIDE_SCHEMA, parse_rides, pickup_traffic
@@ -194,21 +196,60 @@ def stream_min_max(spark, folder):
     return plain_times(drained(spark, windows, "min-max"))
 
 
-@query("stream_dedup", "select event_id, ts, user_id, event_type, value from events")
+def arrivals(spark, rows, load, name):
+    """Folders of ``rows`` by the number in ``load``, written at once; one after the other they may be moved to the source."""
+    staged = scratch(spark, f"{name}-staged")
+    rows.withColumn("_load", load).repartition("_load", F.pmod(F.xxhash64(*rows.columns), F.lit(4))).write.partitionBy("_load").parquet(staged)
+    source = scratch(spark, f"{name}-source")
+    folders = [(int(folder[6:]), folder) for folder in paths.children(spark, staged) if folder.startswith("_load=")]
+    return source, [(f"{staged}/{folder}", f"{source}/{number}") for number, folder in sorted(folders)]
+
+
+def drained_in_turn(spark, loads, source, make, schema, name):
+    """Run a stream to its end after each arrival; ``make`` is given the source."""
+    path = scratch(spark, name)
+    for staged, arrived in loads:
+        paths.rename(spark, staged, arrived)
+        stream = make(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source))
+        await_all([append_to_path(stream, path, f"{path}-checkpoint", "parquet", "availableNow")])
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query(
+    "stream_dedup",
+    """select event_id, case when event_id % 97 <> 0 then ts end as ts, user_id, event_type, value from events""",
+)
 def stream_dedup(spark, folder):
-    """Loads of a week of events, one per micro-batch, each with the load before it and the one before that again.
+    """Loads of a week of events, each with the load before it and the one before that again.
 
-    Copies of the last load are recognised by the state; the older ones come after the watermark.
+    Copies of the last load are recognised by the state; the older ones come after the
+    watermark. Some events have no time; they are in the first three loads.
     """
-    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    week = F.floor(F.datediff("ts", F.lit("2024-01-01")) / 7)
-    loads = events.agg(F.min(week).alias("first"), F.max(week).alias("last")).first()
-    path = scratch(spark, "event-loads")
-    for load in range(loads["first"] or 0, (loads["last"] or 0) + 1):  # in turn: the source reads files by age
-        events.where(week.between(load - 2, load)).coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    repeated = reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
-    return plain_times(drained(spark, deduplicate(repeated, ["event_id"], "ts", "8 days"), "deduplicated"))
+    timed = F.when(F.col("event_id") % 97 != 0, F.col("ts")).alias("ts")
+    events = table(spark, folder, "events").select("event_id", timed, "user_id", "event_type", "value")
+    first = events.agg(F.min("ts")).first()[0]
+    week = F.coalesce(F.floor(F.datediff("ts", F.lit(first)) / 7), F.lit(0)).cast("int")
+    copies = events.withColumn("_copy", F.explode(F.array([F.lit(i) for i in range(3)])))
+    source, loads = arrivals(spark, copies, week + F.col("_copy"), "event-loads")
+    unique = lambda s: deduplicate(s.drop("_copy").withColumn("ts", F.col("ts").cast("timestamp")), ["event_id"], "ts", "8 days", untimed=True)
+    return plain_times(drained_in_turn(spark, loads, source, unique, copies.schema, "deduplicated"))
+
+
+@query(
+    "stream_late_rows",
+    f"""with late as (select max(ts) - interval 10 minute as mark from events where event_type <> 'error'),
+            w as (select time_bucket(interval 1 hour, ts) as window_start, event_type from events),
+            kept as (select w.* from w, late where event_type <> 'error' or window_start + interval 1 hour > mark)
+       select window_start, window_start + interval 1 hour as window_end, count(*) as n from kept
+       group by 1, 2 having window_end <= {CLOSED_SQL}""",
+)
+def stream_late_rows(spark, folder):
+    """Errors arrive after everything else: those of windows that are closed by then do not count."""
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type")
+    load = F.when(F.col("event_type") == "error", 1).otherwise(0)
+    source, loads = arrivals(spark, events, load, "late-events")
+    hours = lambda s: tumbling(s.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", [], [F.count(F.lit(1)).alias("n")])
+    return plain_times(drained_in_turn(spark, loads, source, hours, events.schema, "late-windows"))
 
 
 @query(
@@ -219,8 +260,8 @@ def stream_dedup(spark, folder):
 def stream_update_upsert(spark, folder):
     events = event_stream(spark, folder, files=4)
     totals = events.groupBy("user_id").agg(*measures(), F.max("ts").alias("last_seen"))
-    target = SnapshotTable(spark, scratch(spark, "user-totals"))
-    await_all([upsert_snapshot(totals, target, ["user_id"], f"{target.path}-checkpoint", trigger="availableNow")])
+    target = PartTable(spark, scratch(spark, "user-totals"), ["user_id"])
+    await_all([upsert_parts(totals, target, ["user_id"], f"{target.path}-checkpoint", trigger="availableNow")])
     return plain_times(target.read()).withColumn("amount", F.col("amount").cast("double"))
 
 

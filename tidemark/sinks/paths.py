@@ -42,6 +42,15 @@ def delete(spark: SparkSession, uri: str) -> None:
     fs.delete(path, True)
 
 
+def rename(spark: SparkSession, uri: str, to: str) -> None:
+    """Move a file or folder; the parent of ``to`` is made."""
+    fs, path = _open(spark, uri)
+    _, target = _open(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(path, target):
+        raise OSError(f"cannot move {uri} to {to}")
+
+
 def write_once(spark: SparkSession, uri: str, text: str) -> None:
     """Create a small text file; fails if another writer already made it."""
     fs, path = _open(spark, uri)

@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.sinks.parts import PartTable, upsert_rows
 from tidemark.sinks.snapshot import SnapshotTable
 
 TRIGGERS = ("processingTime", "availableNow")
@@ -73,10 +74,27 @@ def replace_snapshot(df: DataFrame, table: SnapshotTable, checkpoint: str, **tri
     return each_batch(df, write, "complete", checkpoint, **trigger)
 
 
+def upsert_parts(df: DataFrame, table: PartTable, keys: Sequence[str], checkpoint: str, **trigger: str) -> StreamingQuery:
+    """Update mode: changed rows replace those of equal key, in the parts that their keys belong to.
+
+    Other parts are neither read nor written. A replayed batch starts from the
+    version before its number again, so it does not apply its rows twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # used for the parts and for the rows
+        try:
+            table.merge(batch, upsert_rows(keys), number)
+        finally:
+            batch.unpersist()
+
+    return each_batch(df, write, "update", checkpoint, **trigger)
+
+
 def upsert_snapshot(
     df: DataFrame, table: SnapshotTable, keys: Sequence[str], checkpoint: str, **trigger: str
 ) -> StreamingQuery:
-    """Update mode: changed rows replace those of equal key.
+    """Update mode for a small table, which is rewritten whole; ``upsert_parts`` is for others.
 
     A replayed batch starts from the version before its number again, so it does
     not apply its rows twice.

@@ -71,6 +71,23 @@ def parse_rides(raw: DataFrame, keep_malformed: bool = False, only: Collection[s
     return rides.withColumns(times) if times else rides
 
 
+CODE = "_error_code"
+TEXT = "_text"
+
+
+def checked_rides(raw: DataFrame, only: Collection[str]) -> DataFrame:
+    """``value`` to the named ride fields, good and bad records in one pass.
+
+    ``_error_code`` and ``_text`` are as in ``malformed_rides``, NULL for good records.
+    """
+    text = raw.select(decode_text(F.col("value")).alias(TEXT))
+    parsed = text.select(TEXT, F.when(is_record(F.col(TEXT)), _typed(F.col(TEXT))).alias("_ride"))
+    ride = F.col("_ride")
+    code = F.when(ride.isNull(), F.lit("bad_json")).when(ride.getField(MISFIT).isNotNull(), F.lit("bad_field"))
+    coded = parsed.withColumn(CODE, code)
+    return coded.select(*[ride.getField(name).alias(name) for name in only], CODE, F.when(F.col(CODE).isNotNull(), F.col(TEXT)).alias(TEXT))
+
+
 def malformed_rides(raw: DataFrame) -> DataFrame:
     """The raw text of records that cannot be parsed, for the quarantine sink.
 

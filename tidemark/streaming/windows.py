@@ -40,8 +40,16 @@ def sessions(
     return _windowed(df, ts, delay, F.session_window(ts, gap), keys, aggregates)
 
 
-def deduplicate(df: DataFrame, keys: Sequence[str], ts: str, delay: str = DELAY) -> DataFrame:
-    """One row per business key; state is kept only as long as copies may still arrive."""
+def deduplicate(df: DataFrame, keys: Sequence[str], ts: str, delay: str = DELAY, untimed: bool = False) -> DataFrame:
+    """One row per business key; state is kept only as long as copies may still arrive.
+
+    No watermark can tell when copies of a row without a time end. Such rows all
+    pass, unless ``untimed``: then their keys are remembered for good, by a second
+    reading of the source.
+    """
     if not df.isStreaming:
         return df.dropDuplicates(list(keys))
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    if not untimed:
+        return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = df.withWatermark(ts, delay).where(F.col(ts).isNotNull()).dropDuplicatesWithinWatermark(list(keys))
+    return timed.union(df.where(F.col(ts).isNull()).dropDuplicates(list(keys)))
