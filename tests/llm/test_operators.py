@@ -148,6 +148,14 @@ def test_one_of_each_group_stays(odd):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, [1, 2, 3, 4, 6, 7, 9, None, 10]))
 
 
+def test_columns_may_have_any_name(session, odd):
+    names = ["gone", "gone_hash", "key", "hash", "row", "own_key", "uid", "uid2", "raw", "runs"]
+    named = odd.select("doc_id", "text", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for left in (minhash.keep_one(named), suffix_dedup.without_repeats(named)):
+        assert left.columns == named.columns
+        assert {tuple(r)[2:] for r in left.collect()} == {tuple(range(len(names)))}
+
+
 def test_rows_are_told_apart_by_key_and_text(session):
     random = np.random.default_rng(6)
     one, two, three, four = (" ".join(f"{c}{x}" for x in random.integers(0, 500, 150)) for c in "abcd")

@@ -134,6 +134,8 @@ def bounded(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
 # A random 64-bit value for each byte, and an odd base: prefix sums of these give hashes of any slice.
 _RANDOM = np.random.default_rng(0x5EED)
 BYTE_VALUE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
+# A second value, of the byte before as well, makes a second hash that fails apart from the first.
+OTHER_VALUE = _RANDOM.integers(0, 2**64, 65536, dtype=np.uint64)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
@@ -176,6 +178,16 @@ def prefix_hashes(raw: np.ndarray) -> np.ndarray:
     return prefix
 
 
+def prefix_hashes_of_pairs(raw: np.ndarray) -> np.ndarray:
+    """As ``prefix_hashes``, over neighbouring bytes: P[j] - P[i + 1] belongs to raw[i:j]."""
+    up, _ = POWERS.upto(len(raw) + 1)
+    prefix = np.zeros(len(raw) + 1, np.uint64)
+    if len(raw) > 1:
+        pairs = raw[:-1].astype(np.uint16) << np.uint16(8) | raw[1:]
+        np.cumsum(OTHER_VALUE[pairs] * up[1 : len(raw)], out=prefix[2:])
+    return prefix
+
+
 def slice_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each slice start:end; equal bytes have equal hashes wherever they stand."""
     _, down = POWERS.upto(len(prefix))

@@ -367,16 +367,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """The rows of ``docs``, with all their columns, without near-duplicates: of each component one row with the smallest key stays."""
     found = stored(components(docs, key, text, size, similar), "minhash-found")
     stays = F.col("key").eqNullSafe(F.col("component_id")) & (F.col("hash") == F.col("component_hash"))
-    row = F.col("key").alias("gone"), F.col("hash").alias("gone_hash")
-    gone = found.where(~stays).select(*row).distinct()
+    identity = F.col("key"), F.col("hash")
+    gone = found.where(~stays).select(*identity).distinct()
     few = gone.count() <= BROADCAST_IDS
-    same = F.col(key).eqNullSafe(F.col("gone")) & (hash_of(text) == F.col("gone_hash"))
+    # whatever its columns are called, a row is one column here
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    docs = docs.select(row, F.col(f"`{key}`").alias("own_key"), hash_of(text).alias("own_hash"))
+    same = F.col("own_key").eqNullSafe(F.col("key")) & (F.col("own_hash") == F.col("hash"))
     left = docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
     # rows repeated as they are cannot be told from the one that stays
-    twice = found.where(stays & (F.col("n") > 0)).groupBy(*row).count().where("count > 1").drop("count")
+    twice = found.where(stays & (F.col("n") > 0)).groupBy(*identity).count().where("count > 1").drop("count")
     twice = stored(twice, "minhash-repeated")
     n = twice.count()
     if not n:
-        return left
+        return left.select("row.*")
     twice = F.broadcast(twice) if n <= BROADCAST_IDS else twice
-    return left.join(twice, same, "left_anti").union(left.join(twice, same, "left_semi").dropDuplicates([key, text]))
+    again = left.join(twice, same, "left_semi").withColumn("own_text", F.col("row").getField(text))
+    again = again.dropDuplicates(["own_key", "own_text"]).drop("own_text")
+    return left.join(twice, same, "left_anti").union(again).select("row.*")
