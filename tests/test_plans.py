@@ -100,3 +100,41 @@ def test_rides_prune(spark):
 def test_expressions_stay_in_the_jvm(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert "Python" not in text and "Arrow" not in text
+
+
+def jobs(spark, make):
+    """Number of Spark jobs that building a DataFrame starts; each file that is read takes one, for its schema."""
+    tracker, group = spark.sparkContext.statusTracker(), f"count-{make.__hash__()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        make()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_sources_are_not_run_to_be_measured(spark):
+    # the group values are computed once, into the copy that is joined; files were measured by the first run
+    for name, most in (("outlier_iqr", 3), ("outlier_zscore", 3), ("impute_group_mean", 3), ("cdc_apply", 2), ("scd1_product", 2)):
+        QUERIES[name](spark, SF)
+        assert jobs(spark, lambda: QUERIES[name](spark, SF)) <= most, name  # noqa: B023
+    QUERIES["star_join_sales"](spark, SF)
+    assert jobs(spark, lambda: QUERIES["star_join_sales"](spark, SF)) <= 6
+
+
+def test_a_stored_copy_knows_its_size(spark):
+    from tidemark.operators.sizing import known_small, stored
+
+    text = spark.range(20_000).select("id", F.repeat(F.lit("same text "), 20).alias("t"))
+    copy = stored(text, "sized")
+    assert jobs(spark, lambda: known_small(copy.withColumnRenamed("t", "u"), 2**20)) == 0
+    assert not known_small(copy, 2**20) and known_small(copy, 2**24) and known_small(copy.where("id < 9"), 2**24)
+    # nothing that computes is run to learn its size
+    assert jobs(spark, lambda: known_small(copy.groupBy("t").count(), 2**30)) == 0
+
+
+def test_changes_are_applied_in_one_shuffle(spark):
+    for name in ("cdc_apply", "scd1_product"):
+        text = plan(QUERIES[name](spark, SF))
+        assert text.count("FileScan") == 2, name
+        assert text.count("Exchange hashpartitioning") == 1 and "Window" not in text and "Join" not in text, name

@@ -37,6 +37,33 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]
     return first_per_key(changes, keys, [F.col(c).desc() for c in order])
 
 
+def _last_state(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], alive: Column | None = None
+) -> DataFrame:
+    """Rows of ``target`` and ``changes`` together, the last of each key, without those that are not ``alive``.
+
+    Both sides are read once and meet in one shuffle, after the last row of each
+    key has been picked in every task. Two target rows of one key are an error: no
+    change could tell which of them it is for.
+    """
+    values = [c for c in target.columns if c not in keys]
+    row = [F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    never = [F.lit(None).cast(changes.schema[c].dataType).alias(f"o{i}") for i, c in enumerate(order)]
+    when = [F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)]
+    old = target.select(*row, F.struct(F.lit(False).alias("new"), *never).alias("_at"), F.lit(True).alias("_alive"))
+    new = changes.select(
+        *row, F.struct(F.lit(True).alias("new"), *when).alias("_at"), (F.lit(True) if alive is None else alive).alias("_alive")
+    )
+    both = old.unionByName(new)
+    last = F.max_by(F.struct(*[F.col(f"`{c}`").alias(c) for c in values], F.col("_alive")), F.col("_at")).alias("_last")
+    twice = F.count_if(~F.col("_at.new")) > 1
+    found = both.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(last, twice.alias("_twice"))
+    message = F.concat(F.lit("a key of the target occurs twice: "), F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])))
+    sound = F.when(F.col("_twice"), F.raise_error(message).cast("boolean")).otherwise(F.col("_last._alive"))
+    picked = {c: F.col(f"_last.`{c}`") for c in values}
+    return found.where(sound).select(*[(picked[c] if c in picked else F.col(f"`{c}`")).alias(c) for c in target.columns])
+
+
 def cdc_apply(
     target: DataFrame,
     changes: DataFrame,
@@ -47,13 +74,10 @@ def cdc_apply(
 ) -> DataFrame:
     """Apply inserts, updates and deletes; only the last change of a key counts.
 
-    A change without a code says nothing: it is passed over, and ``uncoded`` has
-    it for quarantine.
+    ``target`` has one row per key, and NULL is a key like any other. A change
+    without a code says nothing: it is passed over, and ``uncoded`` has it for quarantine.
     """
-    last = latest_changes(changes.where(F.col(op).isNotNull()), keys, order)
-    kept = without_keys(target, last, keys)
-    alive = last.where(F.col(op) != delete).select(*target.columns)
-    return kept.unionByName(alive)
+    return _last_state(target, changes.where(F.col(op).isNotNull()), keys, order, F.col(op) != delete)
 
 
 def uncoded(changes: DataFrame, op: str = "op") -> DataFrame:
@@ -62,9 +86,8 @@ def uncoded(changes: DataFrame, op: str = "op") -> DataFrame:
 
 
 def scd1(dimension: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Type 1: the newest attributes overwrite the old ones."""
-    newest = latest_changes(changes, [key], order).select(*dimension.columns)
-    return upsert(dimension, newest, [key])
+    """Type 1: the newest attributes overwrite the old ones; ``dimension`` has one row per key."""
+    return _last_state(dimension, changes, [key], order)
 
 
 def surrogate_key(key: str, valid_from: str) -> Column:

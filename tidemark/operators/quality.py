@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.typing import convert, misfit
 from tidemark.operators.joins import orphans
+from tidemark.operators.sequences import KeySequence
+from tidemark.operators.sizing import settled
 from tidemark.sinks import paths
 
 
@@ -194,10 +196,11 @@ def quality_score(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = (),
 def scorecard(df: DataFrame, rules: Sequence[Rule], period: str) -> DataFrame:
     """Score per period and its change since the period before.
 
-    ``df`` carries the period as a column; the trend runs over one row per period.
+    ``df`` carries the period as a column; the trend runs over one row per period,
+    in slices where there are more periods than a task should sort.
     """
-    scores = quality_score(df, rules, [period])
-    trend = scores.withColumn("previous_score", F.lag("score").over(Window.orderBy(period)))
+    scores = settled(quality_score(df, rules, [period]), "scores")
+    trend = KeySequence(scores, [], [period]).add(lag={"previous_score": "score"})
     return trend.withColumn("trend", F.col("score") - F.col("previous_score"))
 
 
