@@ -174,7 +174,7 @@ def test_imputation_and_outliers(spark):
     )
     assert rows(impute(df, "v", ["g"])) == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 14 / 3), ("c", 10.0)]
     assert ("b", 3.0) in rows(impute(df, "v", ["g"], "median"))
-    assert rows(impute(df, "v", ["g"], "median", plain_bytes=0, rows_per_task=1, fan=2)) == rows(impute(df, "v", ["g"], "median"))
+    assert rows(impute(df, "v", ["g"], "median", few_rows=1, bins=2)) == rows(impute(df, "v", ["g"], "median"))
     spread = spark.createDataFrame([(float(i % 10),) for i in range(100)] + [(500.0,), (None,)], "v double")
     flagged = [r["v"] for r in zscore_outliers(spread, "v").where("is_outlier").collect()]
     assert flagged == [500.0]

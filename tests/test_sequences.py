@@ -102,7 +102,28 @@ def test_hot_key_gets_several_slices(skewed):
 def test_percentiles_both_ways(skewed, keys):
     ps = {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}
     df = skewed.withColumn("v", F.when(F.col("k") != "k3", F.col("v")))
-    plain = exact_percentiles(df, keys, "v", ps, plain_bytes=1 << 60)
-    cut = exact_percentiles(df, keys, "v", ps, plain_bytes=0, rows_per_task=20, fan=4)
+    plain = exact_percentiles(df, keys, "v", ps)
+    cut = exact_percentiles(df, keys, "v", ps, few_rows=5, bins=4)
     round_all = lambda d: d.select(*keys, *[F.round(p, 9).alias(p) for p in ps])
     assert _rows(round_all(cut)) == _rows(round_all(plain))
+
+
+@pytest.mark.parametrize("shape", ["long tails", "ties", "clusters", "infinite", "one value"])
+def test_percentiles_of_awkward_values(spark, shape):
+    rng = random.Random(3)
+    values = {
+        "long tails": [rng.choice((-1, 1)) * 10 ** rng.uniform(-300, 300) for _ in range(900)],
+        "ties": [float(rng.choice((0, 0, 0, 0, 7, 1e9))) for _ in range(900)],
+        "clusters": [1 + i * 2**-52 for i in range(300)] + [0.0] + [1e18 + 128 * i for i in range(300)],
+        "infinite": [float("inf"), float("-inf")] * 40 + [rng.gauss(0, 1) for _ in range(300)],
+        "one value": [4.5] * 50,
+    }[shape]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)] + [(7, None)], "k int, v double")
+    ps = {"p0": 0.0, "p31": 0.31, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    plain = exact_percentiles(df, ["k"], "v", ps, few_rows=10**6)
+    cut = exact_percentiles(df, ["k"], "v", ps, few_rows=2, bins=16)
+    near = lambda d: {r.k: [None if x is None else pytest.approx(x, rel=1e-12) for x in r[1:]] for r in d.collect()}
+    assert {r.k: list(r[1:]) for r in plain.collect() if shape != "infinite"} == {k: v for k, v in near(cut).items() if shape != "infinite"}
+    if shape == "infinite":  # between two infinite values there is no number to compare
+        assert {r.k: (r.p0, r.p50, r.p100) for r in plain.collect()} == {r.k: (r.p0, r.p50, r.p100) for r in cut.collect()}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.medallion import Lake, backfill, run_medallion
 from tidemark.session import table, unique_name
 from tidemark.sinks import batch, paths
+from tidemark.sinks.parts import PartTable
 from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sources import paged
 from tidemark.sources.readers import HighWaterMark, jdbc_options, read_files
@@ -110,6 +111,55 @@ def test_z_order_narrows_both_columns(spark, folder):
     assert worst[0] < 32 and worst[1] < 32
 
 
+def test_an_outlier_does_not_flatten_the_curve(spark, folder):
+    """Files still narrow each column by their min and max, though one value lies far out and text begins alike."""
+    value = F.when(F.col("id") == 77, F.lit(1e12)).otherwise(F.col("id") % 64).alias("x")
+    text = F.format_string("https://host.example/path/%05d", F.floor(F.col("id") / 64)).alias("t")
+    df = spark.range(64 * 64).select(value, text, F.when(F.col("id") % 9 > 0, F.col("id") % 50).alias("n"))
+    df.repartition(8).write.parquet(f"{folder}/in")
+    batch.clustered(df, ["x", "t"], files=16, z_order=True).write.parquet(f"{folder}/out")
+    files = spark.read.parquet(f"{folder}/out").where("x < 1e11").groupBy(F.input_file_name()).agg(
+        (F.max("x") - F.min("x")).alias("dx"), F.countDistinct("t").alias("dt")
+    )
+    assert files.count() >= 12
+    worst = files.agg(F.avg("dx"), F.avg("dt")).first()
+    assert worst[0] < 32 and worst[1] < 32
+    bounds = batch.cell_bounds(df, ["x", "t", "n"], bits=4)
+    assert len(bounds["x"]) == 15 and max(bounds["x"]) < 64 and len(bounds["t"]) == 15 and len(bounds["n"]) == 15
+    assert batch.cell_bounds(df.limit(0), ["x"]) == {"x": []}
+
+
+def test_writers_refuse_another_schema(spark, folder):
+    good = spark.createDataFrame([(1, "a", 2)], "k int, v string, p int")
+    wrong = [good.withColumn("k", F.col("k").cast("string")), good.drop("v"), good.withColumn("more", F.lit(1))]
+    name = unique_name("e")
+    batch.append_enforced(good, f"{folder}/a", partition_by=["p"])
+    batch.replace_partitions(good, f"{folder}/r", ["p"])
+    batch.overwrite_table(good, name, f"{folder}/t")
+    snapshot, parts = SnapshotTable(spark, f"{folder}/s"), PartTable(spark, f"{folder}/h", ["k"], parts=2)
+    snapshot.write(good)
+    parts.write(good)
+    for df in wrong:
+        with pytest.raises(batch.SchemaMismatch):
+            batch.append_enforced(df, f"{folder}/a", partition_by=["p"])
+        with pytest.raises(batch.SchemaMismatch):
+            batch.replace_partitions(df, f"{folder}/r", ["p"])
+        with pytest.raises(batch.SchemaMismatch):
+            batch.overwrite_table(df, name, f"{folder}/t")
+        with pytest.raises(batch.SchemaMismatch):
+            snapshot.write(df)
+    for df in wrong[:2]:  # columns may be added there
+        with pytest.raises(batch.SchemaMismatch):
+            parts.merge(df, lambda rows, source: source)
+    with pytest.raises(batch.SchemaMismatch, match="p: missing"):
+        batch.replace_partitions(good.drop("p"), f"{folder}/r", ["p"])
+    batch.replace_partitions(good.withColumn("more", F.lit(1)), f"{folder}/r", ["p"], merge_schema=True)
+    batch.overwrite_table(wrong[0], name, f"{folder}/t", replace_schema=True)
+    snapshot.write(wrong[0], replace_schema=True)
+    for path in ("a", "r", "s/v=1"):
+        assert spark.read.option("mergeSchema", True).parquet(f"{folder}/{path}").count() == 1
+
+
 def test_bucketed_pair_joins_without_exchange(spark, folder):
     lines, orders = table(spark, SF, "lineitem"), table(spark, SF, "orders")
     skewed = lines.select(F.when(F.col("l_orderkey") % 3 == 0, F.lit(3)).otherwise(F.col("l_orderkey")).alias("l_orderkey"), "l_linenumber", "l_quantity")

@@ -1,4 +1,4 @@
-"""Exact percentiles per group."""
+"""Exact percentiles per group, by rounds of counts around the wanted ranks."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import join_groups
-from tidemark.operators.sequences import PLAIN_BYTES, KeySequence
-from tidemark.operators.sizing import estimated_bytes, settled
+from tidemark.operators.sizing import small_side, stored
+
+BINS = 1024
+# An interval with no more rows is sorted; a row of it is a double.
+FEW_ROWS = 100_000
 
 
 def exact_percentiles(
@@ -17,52 +20,107 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     percentiles: Mapping[str, float],
-    plain_bytes: int = PLAIN_BYTES,
-    **slicing,
+    few_rows: int = FEW_ROWS,
+    bins: int = BINS,
 ) -> DataFrame:
-    """One row per group with linearly interpolated percentiles of ``value``.
+    """One row per group with linearly interpolated percentiles of ``value``; NULL for a group without values.
 
-    Spark's ``percentile`` holds every distinct value of a group in one task, so
-    it serves only inputs known to be small. Otherwise equal values are counted
-    first, each distinct value learns how many rows lie below it from a sliced
-    sequence, and the two values around each position are picked by aggregation.
+    A percentile needs the values at one or two ranks. Each rank starts with the
+    interval from the least to the greatest value of its group. Every round reads
+    the rows once, counts those of each open interval in ``bins`` bins, with the ends of
+    what is in them, and keeps the bin that holds the rank. Bins are equally wide, or equally wide in the exponent of the distance
+    from either end, in turn, so long tails come apart as well. An interval that has shrunk to one
+    value is done; one with at most ``few_rows`` rows is sorted. Counts combine
+    before the shuffle, so neither a hot group nor a common value meets in one task. Rows are
+    counted, not estimated, so nothing depends on how well files are compressed.
     """
     keys = list(keys)
-    if estimated_bytes(df) <= plain_bytes:
-        grouped = df.groupBy(*keys).agg(
-            F.percentile(value, list(percentiles.values())).alias("_all")
-        )
-        return grouped.select(
-            *keys, *[F.get("_all", i).alias(name) for i, name in enumerate(percentiles)]
-        )
-
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    placed = KeySequence(counted, keys, ["_v"], plain_bytes=plain_bytes, **slicing).add(
-        prior_sum={"_before": "_n"}
-    )
-    placed = placed.withColumn("_before", F.coalesce("_before", F.lit(0)))
-    totals = df.groupBy(*keys).agg(F.count(value).alias("_total"))
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    present = rows.where(F.col("_v").isNotNull())
+    measures = [F.count("_v").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    groups = stored(rows.groupBy(*keys).agg(*measures), "groups")
+    if (groups.agg(F.max("_total")).first()[0] or 0) <= few_rows:  # every interval is small from the start
+        everything = F.percentile("_v", list(percentiles.values())).alias("_all")
+        grouped = rows.groupBy(*keys).agg(everything)
+        return grouped.select(*keys, *[F.get("_all", i).alias(name) for i, name in enumerate(percentiles)])
 
-    def value_at(rank):
-        inside = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
-        return F.max(F.when(inside, F.col("_v")))
+    ends = []
+    for p in percentiles.values():
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        ends += [F.floor(at).cast("long"), F.ceil(at).cast("long")]
+    wanted = groups.where(F.col("_total") > 0).withColumn("_rank", F.explode(F.array_distinct(F.array(*ends))))
+    columns = [*keys, "_rank", "_low", "_high", "_before", "_n"]
+    state = stored(wanted.select(*keys, "_rank", "_low", "_high", F.lit(0).cast("long").alias("_before"), F.col("_total").alias("_n")), "ranks")
+    number = 0
+    while not state.where((F.col("_low") < F.col("_high")) & (F.col("_n") > few_rows)).isEmpty():
+        state = stored(_narrowed(present, state, keys, bins, number).select(*columns), "ranks")
+        number += 1
+    found = stored(_picked(present, state, keys).select(*keys, "_rank", "_value"), "values")
 
-    picks, out = [], []
+    values = F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_values")
+    answers = found.groupBy(*keys).agg(values)
+    joined = join_groups(groups, answers, keys) if keys else groups.join(small_side(answers), F.lit(True), "left")
+    out = []
     for name, p in percentiles.items():
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        share = position - F.floor(position)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        picks.append(value_at(F.floor(position)).alias(f"_lo_{name}"))
-        picks.append(value_at(F.ceil(position)).alias(f"_hi_{name}"))
-        out.append(F.when(share == 0, lo).otherwise(lo * (1 - share) + hi * share).alias(name))
-    if not keys:
-        picked = placed.withColumn("_total", totals.scalar()).agg(F.max("_total").alias("_total"), *picks)
-        return picked.select(*out)
-    totals = settled(totals, "group-sizes")
-    picked = join_groups(placed, totals, keys).groupBy(*keys).agg(*picks)
-    # from the totals outwards, so that groups of nothing but NULL stay
-    return join_groups(totals, picked, keys).select(*keys, *out)
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        share = at - F.floor(at)
+        low, high = F.col("_values")[F.floor(at).cast("long")], F.col("_values")[F.ceil(at).cast("long")]
+        out.append(F.when(share == 0, low).otherwise(low * (1 - share) + high * share).alias(name))
+    return joined.select(*keys, *out)
+
+
+def _members(rows: DataFrame, intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row once for every interval of its group that it lies in: at most two for each percentile."""
+    listed = intervals.groupBy(*keys).agg(F.collect_set(F.struct("_low", "_high")).alias("_open"))
+    joined = join_groups(rows, stored(listed, "intervals"), keys) if keys else rows.join(small_side(stored(listed, "intervals")), F.lit(True))
+    inside = F.filter("_open", lambda i: (i["_low"] <= F.col("_v")) & (F.col("_v") <= i["_high"]))
+    return joined.select(*keys, "_v", F.explode(inside).alias("_i")).select(*keys, "_v", "_i._low", "_i._high")
+
+
+def _narrowed(rows: DataFrame, state: DataFrame, keys: list[str], bins: int, number: int) -> DataFrame:
+    """``state`` with the intervals of one round closer around their ranks."""
+    open_ = state.where(F.col("_low") < F.col("_high"))
+    low, high, v = F.col("_low") / 2, F.col("_high") / 2, F.col("_v") / 2  # halves, whose difference is finite
+    share = (v - low) / (high - low)
+    if number % 3:  # by the exponent of the distance from the low or the high end
+        near = share if number % 3 == 1 else 1 - share
+        scale = F.when(near > 0, 1 + F.greatest(F.log2(near), F.lit(-1022.0)) / 1022).otherwise(F.lit(0.0))
+        share = scale if number % 3 == 1 else 1 - scale
+    # NaN is above all numbers and infinite ends leave no share: each gets an end of its own
+    place = F.when(F.col("_v") == F.col("_low"), -1).when(F.col("_v") == F.col("_high"), bins)
+    place = place.when(F.isnan(share), F.floor(F.lit(bins / 2))).otherwise(F.least(F.lit(bins - 1), F.floor(share * bins)))
+    interval = [*keys, "_low", "_high"]
+    counted = _members(rows, open_, keys).groupBy(*interval, place.cast("int").alias("_bin"))
+    counted = counted.agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    cells = F.sort_array(F.collect_list(F.struct("_bin", "_c", "_least", "_most"))).alias("_cells")
+    cells = stored(counted.groupBy(*interval).agg(cells), "bins")
+    right = cells.withColumnsRenamed({c: f"_r{c}" for c in interval})
+    same = F.lit(True)
+    for c in interval:
+        same &= F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    joined = state.join(small_side(right), same, "left")
+    start = F.struct(F.col("_before").alias("b"), F.lit(None).cast("double").alias("l"), F.lit(None).cast("double").alias("h"), F.lit(0).cast("long").alias("n"))
+    walked = F.aggregate(
+        "_cells",
+        start,
+        lambda a, c: F.when(a["l"].isNotNull(), a)
+        .when(F.col("_rank") < a["b"] + c["_c"], F.struct(a["b"].alias("b"), c["_least"].alias("l"), c["_most"].alias("h"), c["_c"].alias("n")))
+        .otherwise(F.struct((a["b"] + c["_c"]).alias("b"), a["l"].alias("l"), a["h"].alias("h"), a["n"].alias("n"))),
+    )
+    placed = joined.withColumn("_w", F.when(F.col("_cells").isNotNull(), walked))
+    fresh = lambda name, old: F.coalesce(F.col(f"_w.{name}"), F.col(old)).alias(old)
+    return placed.select(*keys, "_rank", fresh("l", "_low"), fresh("h", "_high"), fresh("b", "_before"), fresh("n", "_n"))
+
+
+def _picked(rows: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """The value at each rank: that of an interval of one value, or from the sorted rows of a small one."""
+    interval = [*keys, "_low", "_high"]
+    done = state.where(F.col("_low") >= F.col("_high")).withColumn("_value", F.col("_low"))
+    open_ = state.where(F.col("_low") < F.col("_high"))
+    values = _members(rows, open_, keys).groupBy(*interval).agg(F.sort_array(F.collect_list("_v")).alias("_sorted"))
+    right = values.withColumnsRenamed({c: f"_r{c}" for c in interval})
+    same = F.lit(True)
+    for c in interval:
+        same &= F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    sorted_ = open_.join(right, same).withColumn("_value", F.get("_sorted", (F.col("_rank") - F.col("_before")).cast("int")))
+    return done.select(*keys, "_rank", "_value").union(sorted_.select(*keys, "_rank", "_value"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,16 +30,37 @@ def enforce_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     return df
 
 
-def append_enforced(df: DataFrame, path: str, merge_schema: bool = False) -> None:
-    """Append to a parquet path; a different schema is refused unless it may be merged."""
+def enforce_target(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``df``, which must have the columns and types of the files at ``path``, if there are any.
+
+    Partition columns are compared by name only: their types are read off the folder names.
+    """
     spark = df.sparkSession
-    if not merge_schema and paths.exists(spark, path):
-        enforce_schema(df, spark.read.parquet(path).schema)
-    df.write.mode("append").parquet(path)
+    if not any(name[0] not in "_." for name in paths.children(spark, path)):
+        return df
+    plain = lambda schema: T.StructType([f for f in schema.fields if f.name not in partition_by])
+    there = spark.read.parquet(path).schema
+    lost = [c for c in partition_by if c not in df.columns]
+    if lost:
+        raise SchemaMismatch("; ".join(f"{c}: missing" for c in lost))
+    enforce_schema(df.select(*[F.col(f"`{f.name}`") for f in plain(df.schema).fields]), plain(there))
+    return df
+
+
+def append_enforced(df: DataFrame, path: str, merge_schema: bool = False, partition_by: Sequence[str] = ()) -> None:
+    """Append to a parquet path; a different schema is refused unless it may be merged."""
+    if not merge_schema:
+        enforce_target(df, path, partition_by)
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Replace a catalog table, external when a path is given."""
+def overwrite_table(
+    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (), replace_schema: bool = False
+) -> None:
+    """Replace the rows of a catalog table, external when a path is given; a new schema only if that is said."""
+    spark = df.sparkSession
+    if not replace_schema and spark.catalog.tableExists(name):
+        enforce_schema(df, spark.table(name).schema)
     writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
@@ -48,8 +68,9 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None, partition
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True, covers: Column | None = None
-) -> None:
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True, covers: Column | None = None,
+    merge_schema: bool = False,
+) -> None:
     """Write ``df`` over exactly the partitions it has rows for; others stay.
 
     ``covers`` is a condition on the partition columns that says what ``df`` is
@@ -57,8 +78,11 @@ def replace_partitions(
     write gives the same table even if rows are gone since, which makes replays
     and backfills safe.
     Rebalancing gathers the rows of each partition so that few files are written,
-    and AQE splits a partition that is too large for one task.
+    and AQE splits a partition that is too large for one task. Rows of another
+    schema than the table's are refused unless ``merge_schema``.
     """
+    if not merge_schema:
+        enforce_target(df, path, partition_by)
     spark = df.sparkSession
     before = _files(spark, path, covers) if covers is not None else {}
     if rebalance:
@@ -115,10 +139,10 @@ def analyze(spark: SparkSession, name: str) -> None:
 
 
 def land(df: DataFrame, path: str, load_date: str, source_system: str) -> None:
-    """Land raw rows by load date and source; landing the same day again replaces it."""
+    """Land raw rows by load date and source, in whatever schema they have; landing the same day again replaces it."""
     stamped = df.withColumns({"load_date": F.lit(load_date), "source_system": F.lit(source_system)})
     covers = (F.col("load_date").cast("string") == load_date) & (F.col("source_system") == source_system)
-    replace_partitions(stamped, path, ["load_date", "source_system"], rebalance=False, covers=covers)
+    replace_partitions(stamped, path, ["load_date", "source_system"], rebalance=False, covers=covers, merge_schema=True)
 
 
 def by_month(df: DataFrame, day: str) -> DataFrame:
@@ -145,48 +169,68 @@ def expire(spark: SparkSession, path: str, column: str, as_of: str, days: int) -
 # --- file layout ---------------------------------------------------------------
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 10) -> Column:
-    """Interleaved bits of the columns' positions between their minimum and maximum.
+Z_BITS = 10
+# Rows sampled for the boundaries of a column's cells, and characters of text that these keep.
+Z_SAMPLE = 65_536
+Z_TEXT = 64
+
+
+def _rankable(df: DataFrame, column: str) -> Column:
+    """The column in a type whose boundaries can stand in an expression; keeps its order."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.hex(F.substring(value.cast("binary"), 1, Z_TEXT))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(value.cast("timestamp"))
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return value.cast("double")
+    return value.cast("bigint")
+
+
+def cell_bounds(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> dict[str, list]:
+    """For each column at most 2**bits - 1 values that end equal counts of its rows.
 
-    Rows close in all columns get close values. Needs one aggregate for the ranges,
-    and another before it for text, whose position begins where its least and its
-    greatest value differ.
+    They come from one sample of about ``Z_SAMPLE`` rows, so an outlier is one row
+    among many and text that begins alike is told apart further on. NULL is below all.
     """
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    shared = dict.fromkeys(texts, 0)
-    if texts:
-        ends = df.agg(*[f(c).alias(f"{n}_{c}") for c in texts for n, f in (("lo", F.min), ("hi", F.max))]).first()
-        for c in texts:
-            pair = [(ends[f"{n}_{c}"] or "").encode() for n in ("lo", "hi")]
-            shared[c] = len(os.path.commonprefix(pair))
-
-    def position(c: str) -> Column:
-        if c in shared:  # six bytes as a number, after what all values have in common
-            part = F.substring(F.col(c).cast("binary"), shared[c] + 1, 6)
-            return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10)
-        return F.unix_micros(F.col(c).cast("timestamp")) if _is_time(df, c) else F.col(c)
-
-    number = {c: position(c) for c in columns}
-    ranges = df.agg(
-        *[F.min(n.cast("double")).alias(f"lo_{c}") for c, n in number.items()],
-        *[F.max(n.cast("double")).alias(f"hi_{c}") for c, n in number.items()],
-    ).first()
-    top = (1 << bits) - 1
+    rows = df.count()
+    chosen = df.where(F.rand(11) < Z_SAMPLE / rows) if rows > Z_SAMPLE else df
+    sorts = [F.sort_array(F.collect_list(_rankable(df, c))).alias(f"s{i}") for i, c in enumerate(columns)]
+    found = chosen.agg(*sorts).first()
+    cells = 1 << bits
+    out = {}
+    for c, sample in zip(columns, found, strict=True):
+        values = [v for v in sample if v == v]  # no NaN, which is above all bounds
+        out[c] = sorted({values[len(values) * i // cells] for i in range(1, cells)} - {values[-1]}) if values else []
+    return out
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> Column:
+    """Interleaved bits of the columns' ranks: rows close in all columns get close values."""
+    bounds = cell_bounds(df, columns, bits)
     z = F.lit(0).cast("bigint")
-    for i, (c, n) in enumerate(number.items()):
-        lo, hi = ranges[f"lo_{c}"], ranges[f"hi_{c}"]
-        if lo is None or hi == lo:
+    for i, c in enumerate(columns):
+        if not bounds[c]:
             continue
-        cell = F.floor((n.cast("double") - F.lit(lo)) / F.lit(hi - lo) * top)
-        cell = F.coalesce(cell, F.lit(0)).cast("bigint")
+        value, points = _rankable(df, c), bounds[c]
+        # the bounds in blocks: first the block, then the place in it
+        width = math.isqrt(len(points)) + 1
+        blocks = [points[at : at + width] for at in range(0, len(points), width)]
+        ends, inside = F.lit([block[-1] for block in blocks]), F.array(*[F.lit(block) for block in blocks])
+        block = F.size(F.filter(ends, lambda p: p < value))  # noqa: B023
+        place = F.size(F.filter(F.coalesce(F.get(inside, block), F.lit(points[:0]).cast(f"array<{_element(points)}>")), lambda p: p < value))  # noqa: B023
+        # past the last bound, which may end a shorter block
+        rank = F.when(value.isNull(), 0).otherwise(F.least(block * F.lit(width) + place, F.lit(len(points)))).cast("bigint")
+        # few values use the high bits too, so that no column decides alone
+        cell = F.floor(rank * F.lit(1 << bits) / F.lit(len(points) + 1)).cast("bigint")
         for bit in range(bits):
             picked = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
             z = z.bitwiseOR(F.shiftleft(picked, bit * len(columns) + i))
     return z
 
 
-def _is_time(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+def _element(points: list) -> str:
+    return "string" if isinstance(points[0], str) else "double" if isinstance(points[0], float) else "bigint"
 
 
 def clustered(
@@ -198,7 +242,7 @@ def clustered(
     third of the table is still split over many files.
     """
     spread = F.xxhash64(*df.columns)
-    if z_order:
+    if z_order:  # one more reading for the count and one for the sample
         keyed = df.withColumn("_z", z_value(df, columns))
         return keyed.repartitionByRange(files, *within, "_z", spread).sortWithinPartitions(*within, "_z").drop("_z")
     return df.repartitionByRange(files, *within, *columns, spread).sortWithinPartitions(*within, *columns)

@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.quality import schema_findings
 from tidemark.operators.sizing import estimated_bytes
 from tidemark.sinks import paths
+from tidemark.sinks.batch import SchemaMismatch
 
 PART_BYTES = 256 * 1024 * 1024
 # A table is dealt out anew, into more parts, once they have grown to so many times their size.
@@ -98,6 +100,9 @@ class PartTable:
             parts *= TOO_LARGE
         touched = set(self.touched(source, parts)) | set(also) if parts == current.parts else None
         merged = combine(self._read(current, touched), source)
+        clashing = [f for f in schema_findings(merged.schema, current.schema) if f[1] != "extra"]
+        if clashing:  # the linked parts are read with the new version's schema
+            raise SchemaMismatch("; ".join(f"{name}: {what} ({want} to {got})" for name, what, want, got in clashing))
         folders = self._store(merged, version, parts)
         linked = {} if touched is None else {p: folder for p, folder in current.folders.items() if p not in touched}
         return self._commit(version, parts, merged.schema, {**linked, **folders}, notes)

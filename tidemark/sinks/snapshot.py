@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.change_data import upsert
 from tidemark.sinks import paths
+from tidemark.sinks.batch import enforce_schema
 
 
 class SnapshotTable:
@@ -36,8 +37,12 @@ class SnapshotTable:
         usable = [v for v in self.versions() if before is None or v < before]
         return self.spark.read.parquet(f"{self.path}/v={usable[-1]}") if usable else None
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
+    def write(self, df: DataFrame, version: int | None = None, replace_schema: bool = False) -> int:
+        """Write a version; one with other columns or types than the one before only if that is said."""
         present = self.versions()
+        before = [v for v in present if version is None or v < version]
+        if before and not replace_schema:
+            enforce_schema(df, self.spark.read.parquet(f"{self.path}/v={before[-1]}").schema)
         if version is None:
             version = present[-1] + 1 if present else 0
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
