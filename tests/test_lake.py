@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityError
 from tidemark.plans import medallion as md
+from tidemark.plans.erasure import erase_everywhere
 from tidemark.plans.medallion import Lake, read_silver, run_medallion
 from tidemark.session import table
 from tidemark.sinks.parts import PartTable, Pointer, upsert_rows
@@ -166,3 +167,29 @@ def test_a_run_that_stopped_before_gold_is_finished_by_the_next(spark, folder, m
             run_medallion(spark, raw(spark, "o_orderkey % 2 = 1"), lake, "2024-01-02")
     run_medallion(spark, raw(spark, "o_orderkey in (1, 2)"), lake, "2024-01-03")
     assert gold(spark, lake) == whole(spark, f"{folder}/whole", raw(spark))
+
+
+def test_erasure_rewrites_only_what_holds_the_subject(spark, folder):
+    lake = Lake(f"{folder}/lake", 64)
+    run_medallion(spark, raw(spark, "o_orderkey % 2 = 0"), lake, "2024-01-01")
+    run_medallion(spark, raw(spark, "o_orderkey % 2 = 1"), lake, "2024-01-02")
+    person = table(spark, SF, "orders").where("o_orderkey = 1").select("o_custkey")
+    who = person.first()[0]
+    orders = table(spark, SF, "orders").where(F.col("o_custkey") == who)
+    report = {(r.layer, r.table): r for r in erase_everywhere(spark, lake, person).collect()}
+    assert all(r.rows_left == 0 for r in report.values())
+    assert report["silver", "customer"].parts_rewritten == 1
+    assert 0 < report["silver", "orders"].parts_rewritten <= orders.count() == report["silver", "orders"].rows_erased
+    months = orders.select(F.year("o_orderdate"), F.month("o_orderdate")).distinct().count()
+    assert report["gold", "fact_sales"].parts_rewritten == months
+    keep = {n: df for n, df in raw(spark).items()}
+    keep["customer"] = keep["customer"].where(F.col("c_custkey") != who)
+    keep["orders"] = keep["orders"].where(F.col("o_custkey") != who)
+    assert gold(spark, lake) == whole(spark, f"{folder}/whole", keep)
+    # nothing of the person is left in any file of the lake that names customers, old versions included
+    for name, column in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        for layer in ("bronze", "silver"):
+            assert files.parquet(f"{lake.root}/{layer}/{name}").where(F.col(column) == who).isEmpty()
+    # and loads go on
+    run_medallion(spark, raw(spark, "o_orderkey = 5"), lake, "2024-01-03")

@@ -121,7 +121,9 @@ def check_load(spark: SparkSession, lake: Lake, load_date: str, least_good: floa
 
 
 def quarantined(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    """Bad rows of all loads with the codes of the rules they break."""
+    """Bad rows of all loads with the codes of the rules they break; silver's columns and no row if there are none."""
+    if not paths.holds_data(spark, f"{lake.root}/checked/{name}"):
+        return read_silver(spark, lake, name).limit(0).withColumn("_errors", F.array().cast("array<string>"))
     rows = spark.read.option("basePath", f"{lake.root}/checked/{name}").parquet(f"{lake.root}/checked/{name}")
     return rows.where("checked = 'quarantined'").drop("checked", "load_date")
 

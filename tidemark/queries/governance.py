@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.masking import EMAIL, SSN, mask_for_role, mask_pii, tokenize
 from tidemark.operators.access import columns_for_role, reachable, rows_for_role
 from tidemark.operators.sizing import small_side
+from tidemark.plans.medallion import Lake, run_medallion
 from tidemark.queries import query
-from tidemark.session import table
+from tidemark.session import scratch, table
 
 
 @query(
@@ -78,3 +79,32 @@ def lineage_impact(spark, folder):
         to_nation.select(F.col("s_name").alias("source"), F.col("n_name").alias("target"))
     )
     return reachable(edges, "ASIA", upstream=True)
+
+
+@query(
+    "erase_subject_everywhere",
+    """with gone as (select c_custkey from customer where c_custkey % 50 = 0),
+            gone_orders as (select o_orderkey, o_orderdate from orders where o_custkey in (select c_custkey from gone)),
+            gone_lines as (select l_orderkey, l_linenumber from lineitem join gone_orders on l_orderkey = o_orderkey),
+            kept_lines as (select distinct l_orderkey, l_linenumber from gone_lines)
+       select 'bronze' as layer, 'customer' as "table", (select count(*) from gone) as rows_erased, 0 as rows_left
+       union all select 'bronze', 'orders', (select count(*) from gone_orders), 0
+       union all select 'bronze', 'lineitem', (select count(*) from gone_lines), 0
+       union all select 'quarantine', 'customer', 0, 0 union all select 'quarantine', 'lineitem', 0, 0
+       union all select 'quarantine', 'orders', (select count(*) from gone_orders where o_orderkey % 400 = 0), 0
+       union all select 'silver', 'customer', (select count(*) from gone), 0
+       union all select 'silver', 'orders', (select count(*) from gone_orders where o_orderkey % 400 <> 0), 0
+       union all select 'silver', 'lineitem', (select count(*) from kept_lines), 0
+       union all select 'gold', 'fact_sales', (select count(*) from kept_lines where l_orderkey % 400 <> 0), 0
+       union all select 'gold', 'fact_revenue_monthly', 0, 0""",
+)
+def erase_subject_everywhere(spark, folder):
+    """Some customers, with their orders, lines and sales, from a lake that has some of their orders in quarantine."""
+    from tidemark.plans.erasure import erase_everywhere
+
+    lake = Lake(scratch(spark, "erasure"))
+    raw = {name: table(spark, folder, name) for name in ("orders", "lineitem", "customer")}
+    raw["orders"] = raw["orders"].withColumn("o_orderdate", F.when(F.col("o_orderkey") % 400 != 0, F.col("o_orderdate")))
+    run_medallion(spark, raw, lake, "2024-04-01")
+    subjects = raw["customer"].where("c_custkey % 50 = 0").select("c_custkey")
+    return erase_everywhere(spark, lake, subjects).drop("parts_rewritten")

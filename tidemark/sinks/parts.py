@@ -138,12 +138,17 @@ class PartTable:
         self._forget(version)
         return Manifest(version, parts, schema, folders, told["notes"])
 
-    def _forget(self, version: int) -> None:
+    def forget(self, version: int) -> None:
+        """Delete all versions before ``version``, with the parts that only they hold."""
+        self._forget(version, 0)
+
+    def _forget(self, version: int, keep: int | None = None) -> None:
         """Delete manifests beyond ``keep`` before ``version``, and the part folders that no manifest links."""
+        keep = self.keep if keep is None else keep
         old = [v for v in self.versions() if v < version]
-        for gone in old[: -self.keep]:
+        for gone in old[: len(old) - keep]:
             paths.delete(self.spark, self._file(gone))
-        if len(old) <= self.keep:
+        if len(old) <= keep:
             return
         linked = {folder for v in self.versions() for folder in self.manifest(v).folders.values()}
         for written in paths.children(self.spark, f"{self.path}/data"):

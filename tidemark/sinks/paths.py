@@ -37,6 +37,18 @@ def empty_files(spark: SparkSession, uri: str) -> list[str]:
     return found
 
 
+def holds_data(spark: SparkSession, uri: str) -> bool:
+    """Whether any data file lies below ``uri``; markers and hidden files do not count."""
+    fs, path = _open(spark, uri)
+    if not fs.exists(path):
+        return False
+    every = fs.listFiles(path, True)
+    while every.hasNext():
+        if every.next().getPath().getName()[0] not in "_.":
+            return True
+    return False
+
+
 def delete(spark: SparkSession, uri: str) -> None:
     fs, path = _open(spark, uri)
     fs.delete(path, True)
