@@ -89,7 +89,7 @@ def test_index_levels_merge_geometrically(session):
     index = suffix_dedup.SuffixIndex()
     sizes = []
     for i in range(4):
-        index.add(session.range(i, i + 2).withColumnRenamed("id", "print"))
+        index.add(session.range(i, i + 2).select(F.col("id").alias("print"), (F.col("id") + 1).alias("print2")))
         sizes.append([x is not None for x in index.levels])
     assert sizes == [[True], [False, True], [True, True], [False, False, True]]
     assert sorted(r.print for r in index.levels[2].collect()) == [0, 1, 2, 3, 4]

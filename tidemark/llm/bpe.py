@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import scan
 
 LONGEST = 256
-CACHED = 50_000
-ROWS = 500
+CACHED = 20_000
+ROWS = 250
 NO_PAIR = np.iinfo(np.int32).max
 _WIDE_SPACE = re.compile(r"\s | \s")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -120,7 +120,7 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left, right] = rank
         self.pairs = PairTable(pairs)
-        self.pair_rank = pairs.get
+        del pairs
         self.first, self.spaced, self.pieces = Recent(CACHED // 10), Recent(CACHED), Recent(CACHED)
 
     def merge_rows(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
@@ -164,17 +164,31 @@ class Vocabulary:
                 ranks[some, where] = self.pairs.lookup(ids[some, where], ids[some, where + 1])
         return out
 
+    def pair_rank(self, pair: tuple[int, int]) -> int | None:
+        """Rank of one pair."""
+        rank = int(self.pairs.lookup(np.array(pair[:1], np.int32), np.array(pair[1:], np.int32))[0])
+        return None if rank == NO_PAIR else rank
+
     def merge_long(self, piece: bytes) -> tuple[int, ...]:
         """The same merges for one long piece, by a heap of pairs over a linked list."""
         ids = [int(x) for x in self.byte_ids[np.frombuffer(piece, np.uint8)]]
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := self.pair_rank((ids[i], ids[i + 1]))) is not None]
+        row = np.array(ids, np.int32)
+        first = self.pairs.lookup(row[:-1], row[1:]).tolist()
+        heap = [(r, i) for i, r in enumerate(first) if r != NO_PAIR]
         heapq.heapify(heap)
+        seen: dict[tuple[int, int], int | None] = {}  # the few pairs of this piece
+
+        def rank_of(pair: tuple[int, int]) -> int | None:
+            if pair not in seen:
+                seen[pair] = self.pair_rank(pair)
+            return seen[pair]
+
         while heap:
             rank, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j >= n or self.pair_rank((ids[i], ids[j])) != rank:
+            if ids[i] < 0 or j >= n or rank_of((ids[i], ids[j])) != rank:
                 continue  # one of the two has been merged since
             ids[i], ids[j] = rank, -1
             after[i] = after[j]
@@ -182,7 +196,7 @@ class Vocabulary:
                 before[after[j]] = i
             for a in (before[i], i):
                 b = after[a] if a >= 0 else n
-                if a >= 0 and b < n and (r := self.pair_rank((ids[a], ids[b]))) is not None:
+                if a >= 0 and b < n and (r := rank_of((ids[a], ids[b]))) is not None:
                     heapq.heappush(heap, (r, a))
         return tuple(x for x in ids if x >= 0)
 
