@@ -87,7 +87,7 @@ def lineage_impact(spark, folder):
             gone_orders as (select o_orderkey, o_orderdate from orders where o_custkey in (select c_custkey from gone)),
             gone_lines as (select l_orderkey, l_linenumber from lineitem join gone_orders on l_orderkey = o_orderkey),
             kept_lines as (select distinct l_orderkey, l_linenumber from gone_lines)
-       select 'bronze' as layer, 'customer' as "table", (select count(*) from gone) as rows_erased, 0 as rows_left
+       select 'bronze' as layer, 'customer' as "table", (select count(*) from gone) as rows_erased, 0::bigint as rows_left
        union all select 'bronze', 'orders', (select count(*) from gone_orders), 0
        union all select 'bronze', 'lineitem', (select count(*) from gone_lines), 0
        union all select 'quarantine', 'customer', 0, 0 union all select 'quarantine', 'lineitem', 0, 0
