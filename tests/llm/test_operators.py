@@ -465,6 +465,38 @@ def test_fewer_candidates_than_asked(session):
     assert [tuple(r) for r in neighbours.nearest(points, F.col("vec_id") % 100 == 0).collect()] == [(0, 1, 1, 1.0)]
 
 
+def test_vectors_of_each_length_are_answered(session):
+    random = np.random.default_rng(2)
+    rows = [(i, random.normal(size=3 + i % 3 % 2).tolist()) for i in range(300)] + [(400, [1.0]), (401, [2.0]), (402, [4.0]), (403, [1.0, 2.0])]
+    points = session.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in neighbours.nearest(points, F.col("vec_id") % 100 == 0).collect()]
+    for q in (0, 100, 200, 400):
+        own = np.array(dict(rows)[q])
+        want = sorted((float(np.sqrt(((np.array(v) - own) ** 2).sum())), i) for i, v in rows if i != q and len(v) == len(own))[:10]
+        mine = sorted((rank, i, score) for query, rank, i, score in found if query == q)
+        assert [i for _, i, _ in mine] == [i for _, i in want] and np.allclose([s for *_, s in mine], [d for d, _ in want])
+    assert len(found) == 32
+
+
+def test_leaves_in_parts_prune_and_find(session, monkeypatch):
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(40, 12)) * 4
+    vectors = (centres[np.arange(4000) % 40] + random.normal(size=(4000, 12))).astype(np.float32)
+    points = session.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    for name, value in (("LEAST_SEARCHED", 10), ("SEARCHED", 0.1), ("BLOCK", 8), ("FIT_ROWS", 1000)):
+        monkeypatch.setattr(neighbours, name, value)
+    counts = session.sparkContext.accumulator(0)
+    found = neighbours.nearest(points, F.col("vec_id") % 100 == 0, counts=counts).collect()
+    x, hits = vectors.astype(np.float64), 0
+    for q in range(0, 4000, 100):
+        distance = np.sqrt(((x - x[q]) ** 2).sum(1))
+        distance[q] = np.inf
+        mine = {r.vec_id: r.score for r in found if r.query_id == q}
+        assert len(mine) == 10 and all(abs(distance[i] - s) < 1e-12 for i, s in mine.items())
+        hits += len(set(np.argsort(distance, kind="stable")[:10].tolist()) & set(mine))
+    assert hits >= 0.9 * 400 and counts.value < 0.2 * 40 * 4000
+
+
 # empty tables
 
 

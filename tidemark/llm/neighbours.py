@@ -4,17 +4,22 @@ Trees are grown in the driver from a bounded sample (``FIT_ROWS`` distinct
 vectors by a hash): each node splits its rows at the median of their projection
 on the difference of two of them. Every vector of the table is then filed under
 one leaf of each tree. A query walks all trees at once through one priority
-queue, ordered by how far it is from the wrong side of the splits, until it has
-found leaves that hold ``SEARCHED`` of the sample's rows. Vectors and queries
-meet on (tree, leaf); every candidate gets its exact distance and the nearest
-are kept, first in each leaf and then over all.
+queue, ordered by the sum of the squared distances to the splits that a path is on
+the wrong side of, until it has found leaves that hold ``SEARCHED`` of the sample's rows, counted once
+for each tree. Vectors and queries meet on (tree, leaf); every candidate gets its exact
+distance and the nearest are kept, first in each leaf and then over all. So a query computes
+about ``SEARCHED`` times as many distances as there are vectors, ``LEAST_SEARCHED`` of the sample's at least.
 
 Equal vectors are one entry with its ``k + 1`` smallest ids: ties go to smaller
-ids, so more could never be returned. Leaves are joined block by block
-(``BLOCK`` vectors of a leaf at a time), so no leaf is gathered whole.
+ids, so more could never be returned. A leaf grows with the table; it is dealt
+into as many parts as keep one near ``BLOCK`` vectors, and only a part is gathered.
 
-Defined results: vectors that are NULL, empty, zero, of another length than most, or that hold
+Vectors of each length are a table of their own. Lengths with at most ``FEW``
+vectors have no forest: all their distances are computed.
+
+Defined results: vectors that are NULL, empty, zero, or that hold
 NULL or non-finite components take no part, neither as query nor as candidate;
+nor do vectors meet that have another length;
 repeated rows (same id, same vector) count once; with fewer candidates all are
 returned; an empty table gives an empty result.
 """
@@ -26,17 +31,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import bounded, scan, stored
 
 FIT_ROWS = 20_000
 LEAF_ROWS = 32
-TREES = 12
-SEARCHED = 0.27
-LEAST_SEARCHED = 400
+TREES = 24
+SEARCHED = 0.34
+LEAST_SEARCHED = 5000
 BLOCK = 4096
+FEW = LEAF_ROWS
 
 
 @dataclass(frozen=True)
@@ -108,7 +116,7 @@ def search(forest: list[Tree], q: np.ndarray, wanted: float) -> list[tuple[int,
         margin = float(products[t][node])
         near = 1 if margin > 0 else 0
         heapq.heappush(heap, (far, t, int(forest[t].child[node, near])))
-        heapq.heappush(heap, (max(far, abs(margin)), t, int(forest[t].child[node, 1 - near])))
+        heapq.heappush(heap, (far + margin * margin, t, int(forest[t].child[node, 1 - near])))
     return out
 
 
@@ -133,52 +141,82 @@ def _matrix(column) -> np.ndarray:
     return values.reshape(len(column), -1).astype(np.float64, copy=False)
 
 
+RESULT = "query_id long, rank int, vec_id long, score double"
+
+
 def nearest(
-    table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", seed: int = 3
+    table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", seed: int = 3, counts=None
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the ``k`` nearest others of each query row."""
-    empty = "query_id long, rank int, vec_id long, score double"
-    spark = table.sparkSession
-    points = usable(table, vector, key)
-    common = points.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if common is None:
-        return spark.createDataFrame([], empty)
-    points = points.where(F.size("vector") == common.n)
+    """``query_id, rank, vec_id, score`` of the ``k`` nearest others of each query row.
+
+    ``counts``, an accumulator, adds up the distances that were computed in leaves.
+    """
+    points = usable(table, vector, key).withColumn("n", F.size("vector"))
+    sizes = points.groupBy("n").count()
+    many = sorted(r.n for r in sizes.where(F.col("count") > FEW).collect())
+    asked = points.where(is_query if isinstance(is_query, Column) else F.expr(is_query))
+    # components that come as floats travel as floats
+    kind = "float" if isinstance(table.schema[vector].dataType.elementType, T.FloatType) else "double"
+    out = _all_distances(points.where(~F.col("n").isin(many)), asked, k)
+    for n in many:
+        part = points.where(F.col("n") == n).select("id", "vector")
+        out = out.union(_by_forest(part, asked.where(F.col("n") == n).select("id", "vector"), k, seed, kind, counts))
+    return out
+
+
+def _all_distances(points: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The nearest among vectors of the same length, of which there are few."""
+    queries = asked.select(F.col("id").alias("query_id"), F.col("vector").alias("q"), "n").distinct()
+    pairs = queries.join(points.distinct(), "n").where(F.col("id") != F.col("query_id"))
+    squares = F.zip_with("q", "vector", lambda a, b: (a - b) * (a - b))
+    score = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
+    each = pairs.groupBy("query_id", F.col("id").alias("vec_id")).agg(F.min(score).alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _by_forest(points: DataFrame, asked: DataFrame, k: int, seed: int, kind: str, counts) -> DataFrame:
+    spark = points.sparkSession
     entries = stored(distinct_vectors(points, k + 1), "distinct-vectors")
     total = entries.count()
     sample = bounded(entries, F.col("vector"), FIT_ROWS, total).select("vector").collect()  # bounded by FIT_ROWS
     random, x = np.random.default_rng(seed), np.array(sorted(r.vector for r in sample))
-    forest = [grow(x, random) for _ in range(TREES)]
-    wanted = max(LEAST_SEARCHED, SEARCHED * len(x)) * TREES ** 0.5
+    wanted = max(LEAST_SEARCHED, SEARCHED * len(x))
+    # where a query would compute as many distances as there are vectors, one tree has them all once
+    forest = [grow(x, random) for _ in range(TREES if wanted < len(x) else 1)]
+    parts = max(1, -(-total * LEAF_ROWS // (len(x) * BLOCK)))
     shared = spark.sparkContext.broadcast(forest)
+    stored_as = pa.list_(pa.float32() if kind == "float" else pa.float64())
 
     def file(batches):
         for batch in batches:
             rows = _matrix(batch.column(0))
+            first = batch.column(1).flatten().to_numpy()[np.concatenate([[0], np.cumsum(batch.column(1).value_lengths().to_numpy())[:-1]])]
             for t, tree in enumerate(shared.value):
                 leaves = tree.leaves(rows)
-                yield {"tree": [t] * len(rows), "leaf": leaves, "vector": batch.column(0), "ids": batch.column(1)}
+                yield {"tree": [t] * len(rows), "leaf": leaves, "part": first % parts, "vector": batch.column(0).cast(stored_as), "ids": batch.column(1)}
 
     def ask(batches):
         for batch in batches:
             for first, q in zip(*(c.to_pylist() for c in batch.columns)):
-                pairs = search(shared.value, np.array(q), wanted)
-                trees, leaves_ = map(list, zip(*pairs))
-                yield {"tree": trees, "leaf": leaves_, "q": [q] * len(pairs), "first": [first] * len(pairs)}
+                pairs = [(t, leaf, part) for t, leaf in search(shared.value, np.array(q), wanted) for part in range(parts)]
+                trees, leaves_, parts_ = map(list, zip(*pairs))
+                yield {"tree": trees, "leaf": leaves_, "part": parts_, "q": [q] * len(pairs), "first": [first] * len(pairs)}
 
-    filed = scan(entries.select("vector", "ids"), "tree int, leaf long, vector array<double>, ids array<long>", file)
-    asked = points.where(is_query if isinstance(is_query, Column) else F.expr(is_query))
-    queries = asked.select("id", "vector").distinct()
+    some = entries.where(F.size("ids") > 0).select("vector", "ids")
+    filed = scan(some, f"tree int, leaf long, part long, vector array<{kind}>, ids array<long>", file)
     # equal queries are asked once, known by their first id
-    queries = stored(queries, "queries")
+    queries = stored(asked.distinct(), "queries")
     vectors = queries.groupBy("vector").agg(F.min("id").alias("first"))
     vectors = stored(vectors, "query-vectors")
-    leaves = scan(vectors.select("first", "vector"), "tree int, leaf long, q array<double>, first long", ask)
+    leaves = scan(vectors.select("first", "vector"), "tree int, leaf long, part long, q array<double>, first long", ask)
 
     def meet(key_: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"first": [], "ids": [], "score": []}
         if len(left) and len(right):
-            c, ids = np.stack(left["vector"].to_numpy()), left["ids"].to_numpy()
+            c, ids = np.stack(left["vector"].to_numpy()).astype(np.float64), left["ids"].to_numpy()
+            if counts is not None:
+                counts.add(len(left) * len(right))
             for first, q in zip(right["first"], right["q"]):
                 distance = np.sqrt(((c - q) ** 2).sum(1))
                 for at in range(0, len(c), BLOCK):
@@ -193,7 +231,8 @@ def nearest(
         kinds = {"first": "int64", "ids": object, "score": float}
         return pd.DataFrame({name: pd.Series(out[name], dtype=kind) for name, kind in kinds.items()})
 
-    found = filed.groupBy("tree", "leaf").cogroup(leaves.groupBy("tree", "leaf"))
+    where = ["tree", "leaf", "part"]
+    found = filed.groupBy(*where).cogroup(leaves.groupBy(*where))
     found = found.applyInPandas(meet, "first long, ids array<long>, score double")
     # an entry found in several trees counts once
     each = found.select("first", "score", F.explode("ids").alias("vec_id"))
