@@ -1,5 +1,6 @@
 """Small literal cases for sums, counts, filters and joins."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -86,14 +87,34 @@ def test_malformed_count(spark):
     assert parse_rides(raw).count() == 2
 
 
-def test_sum_ignores_null_and_keeps_null_groups(spark):
-    rows = [("vendor1", 100.0), ("vendor1", None), ("vendor2", 50.0), ("vendor3", None)]
-    assert as_map(vendor_revenue(amounts(spark, rows))) == {"vendor1": 100.0, "vendor2": 50.0, "vendor3": None}
+# Sums and counts are worked out from generated bookings: seeded amounts in cents, some refunds, some unknown.
 
 
-def test_refunds_reduce_the_sum(spark):
-    rows = [("vendor1", 100.0), ("vendor1", -10.0), ("vendor2", 50.0)]
-    assert as_map(vendor_revenue(amounts(spark, rows))) == {"vendor1": 90.0, "vendor2": 50.0}
+def bookings(seed, companies=7, size=90):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(size):
+        cents = None if rng.random() < 0.15 else rng.randint(-900, 4_000)
+        rows.append((f"company-{rng.randrange(companies)}", None if cents is None else cents / 100))
+    return rows
+
+
+def totals(rows):
+    """Sum of the known amounts of each company; None where none is known."""
+    known = {}
+    for company, amount in rows:
+        before = known.setdefault(company, None)
+        if amount is not None:
+            known[company] = amount if before is None else before + amount
+    return {company: None if total is None else pytest.approx(total) for company, total in known.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sums_take_known_amounts_and_refunds(spark, seed):
+    rows = [*bookings(seed), ("company-silent", None), ("company-silent", None)]
+    found = as_map(vendor_revenue(amounts(spark, rows)))
+    assert found == totals(rows) and found["company-silent"] is None
+    assert any(amount is not None and amount < 0 for _, amount in rows)
 
 
 def test_empty_input_has_no_groups(spark):
@@ -102,38 +123,51 @@ def test_empty_input_has_no_groups(spark):
     assert pickup_traffic(empty).count() == 0
 
 
-def test_single_vendor(spark):
-    assert as_map(vendor_revenue(amounts(spark, [("v", 1.0), ("v", 2.0)]))) == {"v": 3.0}
+def test_one_company_is_one_group(spark):
+    rows = bookings(3, companies=1)
+    assert as_map(vendor_revenue(amounts(spark, rows))) == totals(rows)
 
 
-def test_filter_then_sum_leaves_one_group(spark):
-    rows = amounts(spark, [("v1", 100.0), ("v1", 50.0), ("v2", 30.0), ("v2", 20.0)])
-    assert as_map(vendor_revenue(rows.where("totalAmount > 40"))) == {"v1": 150.0}
+def test_a_filter_below_the_sum_removes_groups(spark):
+    rows = bookings(4)
+    bar = sorted(amount for _, amount in rows if amount is not None)[-6]
+    kept = [(company, amount) for company, amount in rows if amount is not None and amount >= bar]
+    found = as_map(vendor_revenue(amounts(spark, rows).where(F.col("totalAmount") >= bar)))
+    assert found == totals(kept) and len(found) < len(totals(rows))
 
 
-def test_counts_by_location(spark):
-    places = spark.createDataFrame([("A",), ("B",), ("A",), ("C",)], "puLocationId string")
-    assert as_map(pickup_traffic(places)) == {"A": 2, "B": 1, "C": 1}
+def test_trips_per_place(spark):
+    rng = random.Random(5)
+    places = [None if rng.random() < 0.1 else f"stop {rng.randrange(9)}" for _ in range(150)]
+    frame = spark.createDataFrame([(place,) for place in places], "puLocationId string")
+    assert as_map(pickup_traffic(frame)) == Counter(places)
 
 
-def test_two_keys(spark):
-    rows = spark.createDataFrame(
-        [("v1", "A", 60.0), ("v1", "A", 40.0), ("v1", "B", 50.0), ("v2", "A", 200.0)], "v string, l string, a double"
-    )
-    got = {(r["v"], r["l"]): r["s"] for r in rows.groupBy("v", "l").agg(F.sum("a").alias("s")).collect()}
-    assert got == {("v1", "A"): 100.0, ("v1", "B"): 50.0, ("v2", "A"): 200.0}
+def test_sums_by_two_keys(spark):
+    rng = random.Random(6)
+    rows = [(company, rng.choice("NESW"), amount) for company, amount in bookings(6)]
+    expected = totals([((company, side), amount) for company, side, amount in rows])
+    frame = spark.createDataFrame(rows, "company string, side string, amount double")
+    got = {(r.company, r.side): r.total for r in frame.groupBy("company", "side").agg(F.sum("amount").alias("total")).collect()}
+    assert got == expected
 
 
-def test_inner_and_left_join(spark):
-    names = spark.createDataFrame([("v1", "One"), ("v2", "Two")], "vendor_id string, vendor_name string")
-    sums = spark.createDataFrame([("v1", 10.0)], "vendor_id string, amount double")
-    assert [tuple(r) for r in names.join(sums, "vendor_id", "inner").collect()] == [("v1", "One", 10.0)]
-    left = sorted(tuple(r) for r in names.join(sums, "vendor_id", "left").collect())
-    assert left == [("v1", "One", 10.0), ("v2", "Two", None)]
+def test_joins_with_and_without_partners(spark):
+    rows = bookings(7, companies=4)
+    frame = spark.createDataFrame(rows, "company string, amount double")
+    depots = [(f"company-{i}", f"depot {i * i}") for i in (0, 2, 9)]
+    joined = frame.join(spark.createDataFrame(depots, "company string, depot string"), "company", "inner")
+    partner = dict(depots)
+    assert Counter(tuple(r) for r in joined.collect()) == Counter((c, a, partner[c]) for c, a in rows if c in partner)
+    left = spark.createDataFrame(depots, "company string, depot string").join(frame.groupBy("company").count(), "company", "left")
+    trips = Counter(c for c, _ in rows)
+    assert {r.company: r["count"] for r in left.collect()} == {c: trips.get(c) for c, _ in depots}
 
 
 def test_null_filters_and_distinct(spark):
-    rows = amounts(spark, [("a", 1.0), ("a", None), ("b", 1.0)])
-    assert rows.where(F.col("totalAmount").isNull()).count() == 1
-    assert rows.where(F.col("totalAmount").isNotNull()).count() == 2
-    assert rows.select("vendorID").distinct().count() == 2
+    rows = bookings(8)
+    frame = amounts(spark, rows)
+    unknown = sum(amount is None for _, amount in rows)
+    assert frame.where(F.col("totalAmount").isNull()).count() == unknown > 0
+    assert frame.where(F.col("totalAmount").isNotNull()).count() == len(rows) - unknown
+    assert {r.vendorID for r in frame.select("vendorID").distinct().collect()} == {company for company, _ in rows}

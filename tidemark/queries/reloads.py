@@ -119,3 +119,101 @@ def incremental_ties(spark, folder):
     rest = mark.read(orders, "o_orderdate", first, ["o_orderkey"])
     found = first.union(rest).withColumn("undated", F.lit(False))
     return found.union(undated(orders, "o_orderdate").withColumn("undated", F.lit(True)))
+
+
+@query("encoding_utf8", "select doc_id, text as from_utf8, text as from_utf16, length(text) as characters from documents")
+def encoding_utf8(spark, folder):
+    """Texts written in two encodings come back as they were."""
+    from tidemark.functions.encoding import to_utf8
+
+    raw = table(spark, folder, "documents").select(
+        "doc_id", F.encode("text", "UTF-8").alias("utf8"), F.encode("text", "UTF-16LE").alias("utf16")
+    )
+    text = raw.select("doc_id", to_utf8(F.col("utf8")).alias("from_utf8"), to_utf8(F.col("utf16"), "UTF-16LE").alias("from_utf16"))
+    return text.withColumn("characters", F.length("from_utf8").cast("long"))
+
+
+@query(
+    "schema_enforced_append",
+    """select o_orderpriority as part, count(*) as n, sum(o_orderkey)::bigint as keys from orders group by 1""",
+)
+def schema_enforced_append(spark, folder):
+    """Batches of orders, of which those with another schema are refused, whole and without a trace."""
+    from tidemark.sinks.batch import SchemaMismatch, append_enforced
+
+    path = scratch(spark, "enforced")
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderpriority").alias("part"))
+    bad = [orders.withColumn("o_orderkey", F.col("o_orderkey").cast("string")), orders.withColumn("more", F.lit(1)), orders.select("part")]
+    for rest in range(3):
+        append_enforced(orders.where(F.col("o_orderkey") % 3 == rest), path, partition_by=["part"])
+        try:
+            append_enforced(bad[rest], path, partition_by=["part"])
+        except SchemaMismatch:
+            continue
+        raise AssertionError("a batch of another schema was taken")
+    rows = spark.read.parquet(path)
+    return rows.groupBy(F.col("part").cast("string").alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query(
+    "schema_history",
+    """select * from (values (1, 'user_id', 'added', null, 'bigint'), (2, 'value', 'retyped', 'bigint', 'double'))
+       as t(version, column_name, change, old_type, new_type) where (select count(*) from events) > 0""",
+)
+def schema_history(spark, folder):
+    """What the log of an ingest says after three arrivals of events."""
+    from tidemark.queries.ingest import drain, ingester
+
+    root = scratch(spark, "history")
+    events = table(spark, folder, "events")
+    whole = F.floor("value").alias("value")
+    arrivals = [events.select("event_id", whole), events.select("event_id", whole, "user_id"), events.select("event_id", "value", "user_id")]
+    for number, rows in enumerate(arrivals):
+        rows.write.json(f"{root}/in/{number}")
+        ingest = ingester(spark, root, "json")
+        drain(ingest, root)
+    return ingest.log.history().where("version > 0")
+
+
+@query(
+    "returns_by_region",
+    """select n_name as region, l_shipmode_kind as return_reason, count(*) as returns, sum(l_quantity)::bigint as returned_qty,
+              sum(l_extendedprice::decimal(18,2))::double as refund_total
+       from (select *, case when l_linenumber % 2 = 0 then 'even' else 'odd' end as l_shipmode_kind from lineitem where l_returnflag = 'R')
+            join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey group by 1, 2""",
+)
+def returns_by_region(spark, folder):
+    """Returned lines as facts; ship days, suppliers and parts as their dimensions."""
+    from tidemark.operators.marts import returns_analysis
+
+    lines = table(spark, folder, "lineitem").where("l_returnflag = 'R'")
+    reason = F.when(F.col("l_linenumber") % 2 == 0, "even").otherwise("odd")
+    returns = lines.select(
+        F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("date_sk"), F.col("l_suppkey").alias("store_sk"),
+        F.col("l_partkey").alias("product_sk"), F.col("l_quantity").cast("long").alias("returned_qty"),
+        F.col("l_extendedprice").alias("refund_amount"), reason.alias("return_reason"),
+    )
+    dates = returns.select("date_sk").distinct().withColumn("month", F.floor(F.col("date_sk") / 100))
+    nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("region"))
+    supplier = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("store_sk"), "s_nationkey")
+    stores = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select("store_sk", "region")
+    products = table(spark, folder, "part").select(F.col("p_partkey").alias("product_sk"))
+    return returns_analysis(returns, dates, stores, products, ["region", "return_reason"])
+
+
+@query(
+    "file_ingest_run",
+    """select event_type, count(*) as n, sum(event_id)::bigint as ids from events group by 1""",
+)
+def file_ingest_run(spark, folder):
+    """The ingest job as the command line runs it: files to a catalog table, twice, the second time with more files."""
+    from tidemark.plans.file_ingest import run_file_ingest
+    from tidemark.queries.ingest import ingester
+    from tidemark.session import unique_name
+
+    root, name = scratch(spark, "ingest-run"), unique_name("ingest_run")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for rest in range(2):
+        events.where(F.col("event_id") % 2 == rest).write.json(f"{root}/in/{rest}")
+        run_file_ingest(spark, ingester(spark, root, "json").config, name)
+    return spark.table(name).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
