@@ -216,7 +216,7 @@ def test_bpe_equals_tiktoken(vocabulary, reference, some):
 
 
 def test_bpe_of_long_pieces(vocabulary, reference):
-    some = ["a" * 3000, "ab" * 700, " " * 2000, "é" * 300, "xyz\n \n" * 200, LONG[:20000], "q" * 256, "q" * 257]
+    some = ["a" * 3000, "ab" * 700, " " * 2000, "é" * 300, "xyz\n \n" * 200, LONG[:20000], "q" * 256, "q" * 257, "ab" * 2600]
     assert vocabulary.encode_batch(some) == [reference.encode_ordinary(t) for t in some]
 
 

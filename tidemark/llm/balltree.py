@@ -13,7 +13,8 @@ matter to any score, so vectors are kept in these dimensions.
    a node is split at the median of the projection on the line between two far
    documents, and has a centroid and the largest distance from it.
 4. A tree is searched best-first for every query. No document below a node scores
-   more than <q, centroid> + |q| * radius, rounded up; a node whose bound is less than
+   more than <q, centroid> + |q| * radius, rounded up, nor more than <q, greatest entries below the
+   node>; the lesser is its bound, and a node whose bound is less than
    the k-th best score so far is never opened. Leaves are scored exactly, in 64-bit
    integers.
 5. One document of ``PROBE`` is searched first; the k-th best scores found there are
@@ -96,6 +97,7 @@ class Tree:
     def __init__(self, rows: Sparse, dimensions: int, leaf: int = LEAF) -> None:
         self.order = np.arange(len(rows))
         self.centroids: list[tuple[np.ndarray, np.ndarray]] = []
+        self.greatest: list[np.ndarray] = []
         self.radius: list[float] = []
         self.span: list[tuple[int, int]] = []
         self.children: list[tuple[int, int] | None] = []
@@ -117,14 +119,18 @@ class Tree:
 
     def _node(self, low: int, high: int) -> int:
         self.centroids.append((np.empty(0, np.int64), np.empty(0)))
+        self.greatest.append(np.empty(0))
         self.radius.append(0.0)
         self.span.append((low, high))
         self.children.append(None)
         return len(self.span) - 1
 
     def _ball(self, node: int, part: Sparse, scratch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        index, place = np.unique(part.index, return_inverse=True)
-        value = np.bincount(place, part.value, len(index)) / len(part)
+        order = np.argsort(part.index, kind="stable")
+        at = part.index[order]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        index, value = at[first], np.add.reduceat(part.value[order], first) / len(part)
+        self.greatest[node] = np.maximum.reduceat(part.value[order], first).astype(float)
         scratch[index] = value
         own = np.add.reduceat(part.value.astype(float) ** 2, part.starts[:-1])
         centre = float(value @ value)
@@ -162,7 +168,9 @@ class Tree:
         dense, out = np.zeros(dimensions), np.empty((len(self.span), len(queries)))
         for node, (index, value) in enumerate(self.centroids):
             dense[index] = value
-            out[node] = rows.dot(dense) + norms * self.radius[node]
+            ball = rows.dot(dense) + norms * self.radius[node]
+            dense[index] = self.greatest[node]
+            out[node] = np.minimum(ball, rows.dot(dense))
             dense[index] = 0
         return out * (1 + 1e-9) + 1
 

@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import scan
 
-LONGEST = 256
+LONGEST = 4096
+# Cells of one matrix.
+CELLS = 2_000_000
 CACHED = 20_000
 ROWS = 250
 NO_PAIR = np.iinfo(np.int32).max
@@ -213,9 +215,10 @@ class Vocabulary:
             else:  # buckets of 1, 2, 3, 4, 6, 8, 12, 16 ... bytes
                 step = max(1, 1 << (len(raw).bit_length() - 2))
                 buckets.setdefault(-(-len(raw) // step) * step, []).append((piece, raw))
-        for rows in buckets.values():
-            for at in range(0, len(rows), 20_000):
-                part = rows[at : at + 20_000]
+        for width, rows in buckets.items():
+            most = max(1, CELLS // width)
+            for at in range(0, len(rows), most):
+                part = rows[at : at + most]
                 out.update(zip((p for p, _ in part), self.merge_rows([r for _, r in part])))
         return out
 
