@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import scan
 
-LONGEST = 4096
+LONGEST = 256
 # Cells of one matrix.
 CELLS = 2_000_000
-CACHED = 20_000
-ROWS = 250
+CACHED = 50_000
+ROWS = 500
 NO_PAIR = np.iinfo(np.int32).max
 _WIDE_SPACE = re.compile(r"\s | \s")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)

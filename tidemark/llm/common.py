@@ -72,6 +72,13 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A DataFrame of a few rows that the driver holds, by way of Arrow: no Python worker has to unpack them."""
+    fields = schema_of(ddl).fields
+    columns = [pa.array([row[i] for row in rows], type=arrow_type(f.dataType)) for i, f in enumerate(fields)]
+    return spark.createDataFrame(pa.table(columns, names=[f.name for f in fields]), schema_of(ddl))
+
+
 def scan(df: DataFrame, ddl: str, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """Apply ``function`` to the Arrow batches of each partition; it yields dicts of columns."""
     schema = schema_of(ddl)

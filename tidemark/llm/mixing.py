@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import n_words, stored
+from tidemark.llm.common import local_rows, n_words, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -117,7 +117,7 @@ def _boundaries(sizes: DataFrame, rest: dict[int, float]) -> dict[int, tuple[int
     width = (1 << 32) // BINS
     state = {p: (0, r) for p, r in rest.items()}
     for _ in range(LEVELS if state else 0):
-        bounds = spark.createDataFrame([(p, low) for p, (low, _) in state.items()], "pattern long, low long")
+        bounds = local_rows(spark, [(p, low) for p, (low, _) in state.items()], "pattern long, low long")
         bin_ = F.floor((F.col("place") - F.col("low")) / width)
         inside = sizes.join(F.broadcast(bounds), "pattern").withColumn("bin", bin_).where((F.col("bin") >= 0) & (F.col("bin") < BINS))
         filled: dict[int, np.ndarray] = {}
@@ -176,10 +176,10 @@ def plan(sizes: DataFrame) -> Mix:
         rows.append((list(row.sources), i, times))
         rest[i] = wanted - times * row.n
     ddl = f"sources {sizes.schema['sources'].dataType.simpleString()}, pattern long, times long"
-    named = F.broadcast(spark.createDataFrame(rows, ddl).withColumnRenamed("sources", "s"))
+    named = F.broadcast(local_rows(spark, rows, ddl).withColumnRenamed("sources", "s"))
     marked = sizes.join(named, F.col("sources").eqNullSafe(F.col("s"))).select("pattern", "place", "size")
     state = _boundaries(marked, rest)
-    bounds = spark.createDataFrame([(*row, state[row[1]][0]) for row in rows], f"{ddl}, low long")
+    bounds = local_rows(spark, [(*row, state[row[1]][0]) for row in rows], f"{ddl}, low long")
     # the documents that fill what is left: the largest that fits, a few times over; those of one place and size go together
     left = {p: r for p, (_, r) in state.items() if r >= max(1, NEAR * rest[p])}
     fill: list[tuple[int, int, int]] = []
@@ -188,13 +188,13 @@ def plan(sizes: DataFrame) -> Mix:
     for _ in range(FILL_ROUNDS):
         if not left:
             break
-        room = F.broadcast(spark.createDataFrame(list(left.items()), "pattern long, room double"))
-        chosen = F.broadcast(spark.createDataFrame(fill, "pattern long, place long, size long"))
+        room = F.broadcast(local_rows(spark, list(left.items()), "pattern long, room double"))
+        chosen = F.broadcast(local_rows(spark, fill, "pattern long, place long, size long"))
         free = groups.join(chosen, ["pattern", "place", "size"], "left_anti").join(room, "pattern").where("n <= room")
         best = free.groupBy("pattern").agg(F.max(F.struct("n", "place", "size")).alias("b")).collect()  # a row for each pattern
         fill += [(r.pattern, r.b.place, r.b["size"]) for r in best]
         left = {r.pattern: left[r.pattern] - r.b.n for r in best if left[r.pattern] - r.b.n >= NEAR * rest[r.pattern]}
-    filled = spark.createDataFrame([(*x, True) for x in fill], "pattern long, place long, size long, filled boolean")
+    filled = local_rows(spark, [(*x, True) for x in fill], "pattern long, place long, size long, filled boolean")
     return Mix(bounds, filled, source_sizes, quota)
 
 
@@ -212,7 +212,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     sizes = stored(sizes.select(key, "size", "sources", "place"), "mix-sizes")
     mixed = plan(sizes)
     rows = [(s, n, float(mixed.targets[s])) for s, n in mixed.source_sizes.items()]
-    names = docs.sparkSession.createDataFrame(rows, f"source {docs.schema[source].dataType.simpleString()}, source_size long, target double")
+    names = local_rows(docs.sparkSession, rows, f"source {docs.schema[source].dataType.simpleString()}, source_size long, target double")
     joined = mixed.take(sizes).join(F.broadcast(names), F.col("sources")[0].eqNullSafe(F.col("source")))
     return joined.select(key, "size", "source_size", "target", "taken")
 
