@@ -59,7 +59,7 @@ def exact_percentiles(
 
     values = F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_values")
     answers = found.groupBy(*keys).agg(values)
-    joined = join_groups(groups, answers, keys) if keys else groups.join(small_side(answers), F.lit(True), "left")
+    joined = join_groups(groups, answers, keys) if keys else groups.withColumn("_values", answers.scalar())
     out = []
     for name, p in percentiles.items():
         at = F.lit(float(p)) * (F.col("_total") - 1)
@@ -72,7 +72,8 @@ def exact_percentiles(
 def _members(rows: DataFrame, intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each row once for every interval of its group that it lies in: at most two for each percentile."""
     listed = intervals.groupBy(*keys).agg(F.collect_set(F.struct("_low", "_high")).alias("_open"))
-    joined = join_groups(rows, stored(listed, "intervals"), keys) if keys else rows.join(small_side(stored(listed, "intervals")), F.lit(True))
+    listed = stored(listed, "intervals")
+    joined = join_groups(rows, listed, keys) if keys else rows.withColumn("_open", listed.scalar())
     inside = F.filter("_open", lambda i: (i["_low"] <= F.col("_v")) & (F.col("_v") <= i["_high"]))
     return joined.select(*keys, "_v", F.explode(inside).alias("_i")).select(*keys, "_v", "_i._low", "_i._high")
 
