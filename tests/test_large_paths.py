@@ -30,7 +30,7 @@ def everything_is_large(spark, monkeypatch):
     monkeypatch.setattr(sizing.settled, "__defaults__", (0,))
     monkeypatch.setattr(sequences.KeySequence.__init__, "__defaults__", (0, 40, 4, None))
     monkeypatch.setattr(sequences.ranks, "__defaults__", (None, None, 0))
-    monkeypatch.setattr(percentiles.exact_percentiles, "__defaults__", (5, 16))
+    monkeypatch.setattr(percentiles.exact_percentiles, "__defaults__", (40, 64))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield

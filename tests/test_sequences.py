@@ -103,7 +103,7 @@ def test_percentiles_both_ways(skewed, keys):
     ps = {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}
     df = skewed.withColumn("v", F.when(F.col("k") != "k3", F.col("v")))
     plain = exact_percentiles(df, keys, "v", ps)
-    cut = exact_percentiles(df, keys, "v", ps, few_rows=5, bins=4)
+    cut = exact_percentiles(df, keys, "v", ps, few_rows=40, bins=16)
     round_all = lambda d: d.select(*keys, *[F.round(p, 9).alias(p) for p in ps])
     assert _rows(round_all(cut)) == _rows(round_all(plain))
 
@@ -122,7 +122,7 @@ def test_percentiles_of_awkward_values(spark, shape):
     df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)] + [(7, None)], "k int, v double")
     ps = {"p0": 0.0, "p31": 0.31, "p50": 0.5, "p99": 0.99, "p100": 1.0}
     plain = exact_percentiles(df, ["k"], "v", ps, few_rows=10**6)
-    cut = exact_percentiles(df, ["k"], "v", ps, few_rows=2, bins=16)
+    cut = exact_percentiles(df, ["k"], "v", ps, few_rows=20, bins=128)
     near = lambda d: {r.k: [None if x is None else pytest.approx(x, rel=1e-12) for x in r[1:]] for r in d.collect()}
     assert {r.k: list(r[1:]) for r in plain.collect() if shape != "infinite"} == {k: v for k, v in near(cut).items() if shape != "infinite"}
     if shape == "infinite":  # between two infinite values there is no number to compare
