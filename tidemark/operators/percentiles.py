@@ -28,8 +28,8 @@ def exact_percentiles(
     A percentile needs the values at one or two ranks. Each rank starts with the
     interval from the least to the greatest value of its group. Every round reads
     the rows once, counts those of each open interval in ``bins`` bins, with the ends of
-    what is in them, and keeps the bin that holds the rank. Bins are equally wide, or equally wide in the exponent of the distance
-    from either end, in turn, so long tails come apart as well. An interval that has shrunk to one
+    what is in them, and keeps the bin that holds the rank. Bins are equally wide, or equally wide in the exponent of the value or
+    of its distance from the low end, in turn, so long tails come apart as well. An interval that has shrunk to one
     value is done; one with at most ``few_rows`` rows is sorted. Counts combine
     before the shuffle, so neither a hot group nor a common value meets in one task. Rows are
     counted, not estimated, so nothing depends on how well files are compressed.
@@ -83,10 +83,14 @@ def _narrowed(rows: DataFrame, state: DataFrame, keys: list[str], bins: int, num
     open_ = state.where(F.col("_low") < F.col("_high"))
     low, high, v = F.col("_low") / 2, F.col("_high") / 2, F.col("_v") / 2  # halves, whose difference is finite
     share = (v - low) / (high - low)
-    if number % 3:  # by the exponent of the distance from the low or the high end
-        near = share if number % 3 == 1 else 1 - share
-        scale = F.when(near > 0, 1 + F.greatest(F.log2(near), F.lit(-1022.0)) / 1022).otherwise(F.lit(0.0))
-        share = scale if number % 3 == 1 else 1 - scale
+    if number % 3 == 1:  # by sign and exponent of the value
+        def power(x):
+            return F.signum(x) * F.when(x == 0, 0.0).otherwise(F.log2(F.abs(x)) + 1080)
+
+        share = (power(F.col("_v")) - power(F.col("_low"))) / F.nullif(power(F.col("_high")) - power(F.col("_low")), F.lit(0.0))
+        share = F.coalesce(share, F.lit(0.0))
+    elif number % 3 == 2:  # by the exponent of the distance from the low end
+        share = F.when(share > 0, 1 + F.greatest(F.log2(share), F.lit(-1022.0)) / 1022).otherwise(F.lit(0.0))
     # NaN is above all numbers and infinite ends leave no share: each gets an end of its own
     place = F.when(F.col("_v") == F.col("_low"), -1).when(F.col("_v") == F.col("_high"), bins)
     place = place.when(F.isnan(share), F.floor(F.lit(bins / 2))).otherwise(F.least(F.lit(bins - 1), F.floor(share * bins)))
