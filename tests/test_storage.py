@@ -101,6 +101,20 @@ def test_compaction_keeps_partitions_and_clusters_text(spark, folder):
     assert cells == sorted(cells) and len(set(cells)) > 10
 
 
+def test_compaction_gives_a_task_what_it_can_sort(spark, folder, monkeypatch):
+    """Rows that compress well count by their size in memory, with partitions and without."""
+    monkeypatch.setattr(batch, "SORT_BYTES", 200_000, raising=False)
+    df = spark.range(4000).select(F.col("id").alias("n"), F.repeat(F.lit("x"), 200).alias("t"), (F.col("id") % 2).cast("int").alias("p"))
+    df.repartition(12).write.parquet(f"{folder}/small")
+    df.repartition(4).write.partitionBy("p").parquet(f"{folder}/small-parts")
+    for name, z_order in (("small", False), ("small", True), ("small-parts", True)):
+        batch.compact(spark, f"{folder}/{name}", f"{folder}/large", ["n", "t"], z_order=z_order)
+        large = spark.read.parquet(f"{folder}/large")
+        assert rows(large) == rows(df)
+        files = large.groupBy(F.input_file_name()).count().collect()
+        assert 4 <= len(files) <= 7 and max(r["count"] for r in files) < 1500
+
+
 def test_z_order_narrows_both_columns(spark, folder):
     df = spark.range(64 * 64).select((F.col("id") % 64).alias("x"), F.floor(F.col("id") / 64).alias("y"))
     curve = batch.clustered(df, ["x", "y"], files=16, z_order=True)

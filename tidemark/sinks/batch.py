@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.change_data import upsert
 from tidemark.operators.quality import schema_findings
-from tidemark.operators.sizing import estimated_bytes, small_side, stored
+from tidemark.operators.sizing import estimated_bytes, measured_bytes, small_side, stored
 from tidemark.sinks import paths
 
 
@@ -169,6 +169,15 @@ def expire(spark: SparkSession, path: str, column: str, as_of: str, days: int) -
 # --- file layout ---------------------------------------------------------------
 
 
+# Rows, by their size in memory, that one task sorts; files may hold many times that when they compress well.
+SORT_BYTES = 512 * 1024 * 1024
+
+
+def sort_tasks(df: DataFrame, least: int = 1) -> int:
+    """Tasks among which ``df`` is dealt so that each sorts ``SORT_BYTES`` at most, by one measuring pass."""
+    return max(least, math.ceil(measured_bytes(df) / SORT_BYTES))
+
+
 Z_BITS = 10
 # Rows sampled for the boundaries of a column's cells, and characters of text that these keep.
 Z_SAMPLE = 65_536
@@ -265,10 +274,13 @@ def compact(
     file_bytes: int = 512 * 1024 * 1024,
     z_order: bool = False,
 ) -> None:
-    """Rewrite small files as few large ones, clustered for the common filters; partitions stay as they are."""
+    """Rewrite small files as few large ones, clustered for the common filters; partitions stay as they are.
+
+    A file has ``file_bytes`` at most, and no more rows than its task can sort in memory.
+    """
     df = spark.read.parquet(source)
     parts = partition_columns(spark, source)
-    files = max(1, math.ceil(estimated_bytes(df) / file_bytes))
+    files = sort_tasks(df, math.ceil(estimated_bytes(df) / file_bytes) or 1)
     rows = clustered(df, columns, files, z_order, parts)
     rows.write.mode("overwrite").partitionBy(*parts).parquet(target)
 
