@@ -154,7 +154,7 @@ def compact_partitioned(spark, folder):
     """A partitioned table stays one, here clustered along a text column as well."""
     root = scratch(spark, "compaction-parts")
     lines = table(spark, folder, "lineitem").select(*LINES.split(", "), "l_returnflag", F.col("l_linestatus").alias("status"))
-    lines.repartition(8).write.partitionBy("l_returnflag").parquet(f"{root}/small")
+    lines.repartition(batch.sort_tasks(lines, 8)).write.partitionBy("l_returnflag").parquet(f"{root}/small")
     batch.compact(spark, f"{root}/small", f"{root}/large", ["status", "l_partkey"], z_order=True)
     folder_of = F.regexp_extract("_metadata.file_path", "/l_returnflag=([^/]*)/", 1)
     return spark.read.parquet(f"{root}/large").select(*LINES.split(", "), folder_of.alias("stored_under"))
