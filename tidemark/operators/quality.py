@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,14 @@ def write_checked(df: DataFrame, rules: Sequence[Rule], path: str, mode: str = "
     tag(df, rules).withColumn("checked", state).write.mode(mode).partitionBy("checked").parquet(path)
 
 
+def write_quarantined(df: DataFrame, rules: Sequence[Rule], path: str, mode: str = "overwrite") -> tuple[int, int]:
+    """Write only the rows that violate a rule, where ``read_quarantined`` finds them; counts of all rows and of these."""
+    seen, bad = Observation(), F.size("_errors") > 0
+    tagged = tag(df, rules).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
+    tagged.where(bad).withColumn("checked", F.lit("quarantined")).write.mode(mode).partitionBy("checked").parquet(path)
+    return seen.get["rows"], seen.get["bad"]
+
+
 def read_valid(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).where("checked = 'valid'").drop("checked", "_errors")
 
@@ -342,10 +350,14 @@ def assert_share(checked: DataFrame, least_good: float, min_rows: int = 1, name:
     Counts come from the footers of the files, by the folder that a row is in.
     """
     counts = {state: n for state, n in checked.groupBy("checked").count().collect()}
-    rows = sum(counts.values())
+    return assert_good(sum(counts.values()), counts.get("quarantined", 0), least_good, min_rows, name)
+
+
+def assert_good(rows: int, bad: int, least_good: float, min_rows: int = 1, name: str = "input") -> float:
+    """Stop the job if too few of ``rows`` are good; returns the share."""
     if rows < min_rows:
         raise QualityError(f"{name}: {rows} rows, at least {min_rows} required")
-    share = counts.get("valid", 0) / rows if rows else 1.0
+    share = (rows - bad) / rows if rows else 1.0
     if share < least_good:
-        raise QualityError(f"{name}: {counts.get('quarantined', 0)} of {rows} rows are bad, a share of {least_good} must be good")
+        raise QualityError(f"{name}: {bad} of {rows} rows are bad, a share of {least_good} must be good")
     return share

@@ -15,17 +15,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as dq
-from tidemark.operators.cleanse import fill_defaults, first_per_key
+from tidemark.operators.cleanse import fill_defaults
 from tidemark.operators.joins import Dimension, star_join
 from tidemark.operators.marts import monthly_revenue
+from tidemark.operators.sizing import measured_bytes
 from tidemark.session import scratch, size_shuffles, table, together
 from tidemark.sinks import paths
 from tidemark.sinks.batch import by_month, land, replace_partitions
-from tidemark.sinks.parts import PartTable, Pointer
+from tidemark.sinks.parts import PLACE, PartTable, Pointer
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = [
@@ -101,7 +102,7 @@ def _landed(spark: SparkSession, lake: Lake, name: str, loads: Sequence[str]) ->
 
 
 def check_load(spark: SparkSession, lake: Lake, load_date: str, least_good: float = LEAST_GOOD, min_rows: int = 1) -> None:
-    """Write good and bad rows of a load apart, and stop if too few are good.
+    """Write the bad rows of a load apart, and stop if too few are good.
 
     The score is the share of good rows among all rows that were checked, table by
     table. A load that fails has changed nothing that readers of silver or gold
@@ -110,14 +111,14 @@ def check_load(spark: SparkSession, lake: Lake, load_date: str, least_good: floa
     for name in SILVER:
         if min_rows and not paths.exists(spark, f"{lake.bronze(name)}/load_date={load_date}"):
             raise dq.QualityError(f"{name}: 0 rows, at least {min_rows} required")
-    together(
-        *[
-            partial(dq.write_checked, _landed(spark, lake, name, [load_date]), kept.rules, lake.checked(name, load_date))
-            for name, kept in SILVER.items()
-        ]
-    )
+    counts: dict[str, tuple[int, int]] = {}
+
+    def check(name: str) -> None:
+        counts[name] = dq.write_quarantined(_landed(spark, lake, name, [load_date]), SILVER[name].rules, lake.checked(name, load_date))
+
+    together(*[partial(check, name) for name in SILVER])
     for name in SILVER:
-        dq.assert_share(spark.read.parquet(lake.checked(name, load_date)), least_good, min_rows, name)
+        dq.assert_good(*counts[name], least_good, min_rows, name)
 
 
 def quarantined(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
@@ -128,21 +129,34 @@ def quarantined(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return rows.where("checked = 'quarantined'").drop("checked", "load_date")
 
 
-def _newest(old: DataFrame | None, new: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
-    """One row per key, that of the newest load, the new one at a tie; ``VERSION`` moves only where a value differs."""
-    values = [c for c in new.columns if c not in (*keys, LOAD)]
-    new = new.withColumns({VERSION: F.lit(version).cast("long"), "_new": F.lit(True)})
+def _both(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Rows of silver and of loads together, told apart by ``_new``."""
+    new = new.withColumn("_new", F.lit(True))
     if old is None:
-        return new.drop("_new")
-    both = old.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
-    row = F.struct(LOAD, "_new", VERSION, *values)
-    # the load date and the flag come first: the greatest struct is the newest row
-    last = both.groupBy(*keys).agg(F.max(row).alias("row"), F.max(F.when(~F.col("_new"), row)).alias("old"))
-    same = F.lit(True)
+        return new.withColumn(VERSION, F.lit(None).cast("long"))
+    return old.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+
+
+def _newest(both: DataFrame, columns: Sequence[str], kept: Silver, version: int, again: str | None = None) -> DataFrame:
+    """One row per key of what was placed: that of the newest load, a new one at a tie, of these the first by ``kept.order``.
+
+    ``VERSION`` moves only where a value differs. Rows that silver has of the load
+    ``again`` count for that, but do not stay. One sort answers it all.
+    """
+    values = [c for c in columns if c not in (*kept.keys, LOAD)]
+    out = ~F.col("_new") & (F.col(LOAD) == again) if again else F.lit(False)
+    key = Window.partitionBy(*PLACE, *kept.keys).orderBy(F.col("_out"), F.desc(LOAD), F.desc("_new"), *kept.order)
+    whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = both.withColumn("_out", out).withColumns({
+        "_rn": F.row_number().over(key),
+        "_stood": F.max(F.when(~F.col("_new"), F.struct(VERSION, *values))).over(whole),
+    })
+    last = ranked.where("_rn = 1 and not _out")
+    same = F.col("_stood").isNotNull()
     for value in values:
-        same &= F.col(f"row.{value}").eqNullSafe(F.col(f"old.{value}"))
-    moved = F.when(same & F.col("old").isNotNull(), F.col(f"old.{VERSION}")).otherwise(F.col(f"row.{VERSION}"))
-    return last.select(*keys, *[F.col(f"row.{v}").alias(v) for v in values], F.col(f"row.{LOAD}").alias(LOAD), moved.alias(VERSION))
+        same &= F.col(value).eqNullSafe(F.col(f"_stood.{value}"))
+    moved = F.when(same, F.col(f"_stood.{VERSION}")).otherwise(F.lit(version)).cast("long")
+    return last.select(*kept.keys, *values, LOAD, moved.alias(VERSION), *PLACE)
 
 
 def to_silver(spark: SparkSession, lake: Lake, load_date: str) -> dict[str, int]:
@@ -150,7 +164,8 @@ def to_silver(spark: SparkSession, lake: Lake, load_date: str) -> dict[str, int]
 
     A key keeps the row of its newest load. Loads may come late. One that was
     merged before is taken back first: its rows leave the parts they are in, and what
-    retained bronze has of other merged loads for these parts takes their place.
+    retained bronze has of other merged loads for these parts takes their place. Rows
+    are shuffled once, to where they are stored.
     """
     published = lake.pointer(spark).get()
     versions: dict[str, int] = {}
@@ -160,31 +175,21 @@ def to_silver(spark: SparkSession, lake: Lake, load_date: str) -> dict[str, int]
         before = silver.manifest(published[name]) if name in published else None
         version = before.version + 1 if before else 0
         loads = list(before.notes["loads"]) if before else []
-        good = dq.read_valid(spark, lake.checked(name, load_date))
-        new = first_per_key(good, kept.keys, kept.order)
+        good = dq.remove_invalid(_landed(spark, lake, name, [load_date]), kept.rules)
+        new, also, again = good, [], None
+        if load_date in loads:
+            again = load_date
+            taken = silver.read(before.version).where(F.col(LOAD) == load_date)
+            also = sorted({*silver.touched(taken, before.parts), *silver.touched(good, before.parts)})
+            others = _landed(spark, lake, name, [x for x in loads if x != load_date])
+            others = dq.remove_invalid(others, kept.rules).where(silver.part(before.parts).isin(also))
+            new = good.unionByName(others, allowMissingColumns=True)
+        settle = partial(_newest, columns=new.columns, kept=kept, version=version, again=again)
         notes = {"loads": sorted({*loads, load_date})}
         if before is None:
-            silver.write(_newest(None, new, kept.keys, version), version, notes)
-        elif load_date not in loads:
-            silver.merge(new, lambda old, rows: _newest(old, rows, kept.keys, version), version, notes)
+            silver.write(_both(None, new), version, notes, settle)
         else:
-            present = silver.read(before.version)
-            again = present.where(F.col(LOAD) == load_date)
-            parts = set(silver.touched(again, before.parts)) | set(silver.touched(good, before.parts))
-            others = _landed(spark, lake, name, [x for x in loads if x != load_date])
-            others = dq.remove_invalid(others, kept.rules).where(silver.part(before.parts).isin(sorted(parts)))
-            every = first_per_key(good.unionByName(others, allowMissingColumns=True), kept.keys, [F.desc(LOAD), *kept.order])
-
-            def rebuilt(old: DataFrame, rows: DataFrame) -> DataFrame:
-                left = old.where(F.col(LOAD) != load_date)
-                merged = _newest(left, rows, kept.keys, version)
-                # against the rows that were there: what is as before keeps its version
-                stood = old.select(*kept.keys, F.struct(*rows.columns).alias("_stood"), F.col(VERSION).alias("_was"))
-                as_before = F.struct(*rows.columns).eqNullSafe(F.col("_stood"))
-                joined = merged.join(stood, list(kept.keys), "left")
-                return joined.withColumn(VERSION, F.when(as_before, F.col("_was")).otherwise(F.col(VERSION))).drop("_stood", "_was")
-
-            silver.merge(every, rebuilt, version, notes, also=sorted(parts))
+            silver.merge(new, _both, version, notes, also, settle)
         versions[name] = version
 
     together(*[partial(merge, name) for name in SILVER])
@@ -316,8 +321,8 @@ def run_medallion(
     """
     to_bronze(raw, lake, load_date, source_system)
     check_load(spark, lake, load_date, least_good)
-    size_shuffles(spark, sum(paths.total_bytes(spark, f"{lake.bronze(n)}/load_date={load_date}") for n in SILVER))
     before = lake.pointer(spark).get()
+    size_shuffles(spark, _moved_bytes(spark, lake, load_date, before))
     after = to_silver(spark, lake, load_date)
     months = changed_months(spark, lake, before, after) if before else None
     due = _due(spark, lake)
@@ -326,11 +331,20 @@ def run_medallion(
     publish(spark, lake, after)
     to_gold(spark, lake, months=due)
     paths.put(spark, f"{lake.root}/silver/due.json", json.dumps({"months": []}))
-    for name in SILVER:
-        paths.delete(spark, f"{lake.checked(name, load_date)}/checked=valid")
     return due
 
 
+def _moved_bytes(spark: SparkSession, lake: Lake, load_date: str, before: Mapping[str, int]) -> int:
+    """Bytes in memory of a load and of the silver tables, as if these were packed like the load."""
+    total = 0
+    for name in SILVER:
+        folder = f"{lake.bronze(name)}/load_date={load_date}"
+        packed = max(1, paths.total_bytes(spark, folder))
+        stands = lake.silver(spark, name).bytes(before[name]) if name in before else 0
+        total += round(measured_bytes(spark.read.parquet(folder)) * (1 + stands / packed))
+    return total
+
+
 def _due(spark: SparkSession, lake: Lake) -> list[int] | None:
     """Months of gold that an earlier run has left to do; None for all."""
     file = f"{lake.root}/silver/due.json"

