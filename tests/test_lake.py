@@ -193,3 +193,45 @@ def test_erasure_rewrites_only_what_holds_the_subject(spark, folder):
             assert files.parquet(f"{lake.root}/{layer}/{name}").where(F.col(column) == who).isEmpty()
     # and loads go on
     run_medallion(spark, raw(spark, "o_orderkey = 5"), lake, "2024-01-03")
+
+
+def stored_plans(monkeypatch):
+    """Plans of what ``PartTable`` stores from now on."""
+    plans, store = [], PartTable._store
+
+    def seen(self, df, version, parts):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(self, df, version, parts)
+
+    monkeypatch.setattr(PartTable, "_store", seen)
+    return plans
+
+
+def test_a_merge_shuffles_rows_once(spark, folder, monkeypatch):
+    lake = Lake(f"{folder}/lake", 8)
+    plans = stored_plans(monkeypatch)
+    run_medallion(spark, raw(spark, "o_orderkey % 2 = 0"), lake, "2024-01-01")
+    run_medallion(spark, raw(spark, "o_orderkey % 2 = 1"), lake, "2024-01-02")
+    assert len(plans) == 6 and all(text.count("Exchange ") == 1 for text in plans)
+    assert gold(spark, lake) == whole(spark, f"{folder}/whole", raw(spark))
+
+
+def test_erasure_shuffles_rows_once(spark, folder, monkeypatch):
+    from tidemark.plans import erasure
+
+    lake = Lake(f"{folder}/lake", 8)
+    run_medallion(spark, raw(spark), lake, "2024-01-01")
+    plans, gathered, replace = stored_plans(monkeypatch), [], erasure.replace_partitions
+
+    def seen(df, path, parts, rebalance=True, **kwargs):
+        gathered.append(rebalance)
+        replace(df, path, parts, rebalance=rebalance, **kwargs)
+
+    monkeypatch.setattr(erasure, "replace_partitions", seen)
+    subjects = table(spark, SF, "customer").where("c_custkey % 10 = 0").select("c_custkey")
+    report = erase_everywhere(spark, lake, subjects).collect()
+    assert len(plans) == 3 and all(text.count("Exchange ") == 1 and "Join" not in text for text in plans)
+    assert gathered == [False] * 3  # one load: one partition of each bronze table
+    assert all(r.rows_left == 0 for r in report)
+    customers = read_silver(spark, lake, "customer")
+    assert rows(customers) == rows(table(spark, SF, "customer").where("c_custkey % 10 <> 0").select(customers.columns))

@@ -123,3 +123,10 @@ def test_lineage_with_a_diamond_and_a_cycle(spark, folder):
     assert down == {"silver": 1, "fact": 2, "dim": 2, "mart": 3, "report": 4}
     up = {r["table"] for r in reachable(edges, "mart", upstream=True, folder=f"{folder}/up").collect()}
     assert up == {"fact", "dim", "silver", "raw", "report"}
+
+
+def test_only_bad_rows_are_written_and_all_counted(spark, folder):
+    df = spark.range(10).select(F.when(F.col("id") > 2, F.col("id")).alias("k"))
+    assert dq.write_quarantined(df, [dq.required("k")], f"{folder}/q") == (10, 3)
+    bad = spark.read.parquet(f"{folder}/q")
+    assert bad.count() == 3 and {r.checked for r in bad.collect()} == {"quarantined"}

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.access import reachable
@@ -14,6 +15,10 @@ from tidemark.operators.sizing import small_side, stored
 from tidemark.plans.medallion import SILVER, Lake, read_silver, to_gold
 from tidemark.sinks import paths
 from tidemark.sinks.batch import partition_columns, replace_partitions
+from tidemark.sinks.parts import PLACE
+
+# Partitions that a task may write side by side before rows are gathered by partition first.
+FEW = 4
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,16 @@ def _without(df: DataFrame, key: str, subjects: DataFrame) -> DataFrame:
     return df.join(small_side(named), df[key] == named["_subject"], "left_anti")
 
 
+def _marked(old: DataFrame, gone: DataFrame) -> DataFrame:
+    return old.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+
+
+def _unmarked(both: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of placed keys that are not among the marked ones; no join, so they are shuffled once for any number of subjects."""
+    key = Window.partitionBy(*PLACE, *keys)
+    return both.withColumn("_gone", F.max("_gone").over(key)).where(~F.col("_gone")).drop("_gone")
+
+
 def erase_in_folder(spark: SparkSession, path: str, key: str, subjects: DataFrame) -> tuple[int, int]:
     """Rewrite the partitions of a table folder that hold subjects; (rows erased, partitions rewritten).
 
@@ -67,7 +82,7 @@ def erase_in_folder(spark: SparkSession, path: str, key: str, subjects: DataFram
         affected = affected | same
     kept = stored(_without(df.where(affected), key, subjects), "kept")
     if parts:
-        replace_partitions(kept, path, parts, covers=affected)
+        replace_partitions(kept, path, parts, rebalance=len(found) > FEW, covers=affected)
     else:
         kept.write.mode("overwrite").parquet(path)
     for folder in {unquote(file.rsplit("/", 1)[0]) for file in kept.inputFiles()}:
@@ -136,13 +151,13 @@ def erase_everywhere(
                 report.append((layer, name, *erase_in_folder(spark, path, column, of[name])))
         if name in SILVER and name in versions:
             silver = lake.silver(spark, name)
-            lost = _matching(silver.read(versions[name]), column, of[name])
-            count = lost.count()
+            row_keys = list(SILVER[name].keys)
+            named = silver.read(versions[name]).select(*dict.fromkeys([*row_keys, column]))
+            gone = stored(_matching(named, column, of[name]).select(*row_keys), "lost")
+            count = gone.count()
             if count:
                 before = silver.manifest(versions[name])
-                gone = stored(lost, "lost")
-                drop = lambda old, rows, c=column, n=name: _without(old, c, of[n])
-                after = silver.merge(gone, drop, version=before.version + 1, notes=before.notes)
+                after = silver.merge(gone, _marked, before.version + 1, before.notes, settle=partial(_unmarked, keys=row_keys))
                 versions[name] = after.version
                 parts = sum(before.folders.get(p) != after.folders.get(p) for p in set(before.folders) | set(after.folders))
                 report.append(("silver", name, count, parts))
