@@ -220,6 +220,36 @@ def test_bpe_of_long_pieces(vocabulary, reference):
     assert vocabulary.encode_batch(some) == [reference.encode_ordinary(t) for t in some]
 
 
+def test_bpe_cuts_the_words_of_a_batch_at_once(vocabulary, reference, monkeypatch):
+    calls = []
+
+    class Counting:
+        def findall(self, text, pattern=vocabulary.pattern):
+            calls.append(text)
+            return pattern.findall(text)
+
+    monkeypatch.setattr(vocabulary, "pattern", Counting())
+    some = [" ".join(f"Wörter{i}x{j}." for j in range(50)) + " zwei\nZeilen" for i in range(40)]
+    assert vocabulary.encode_batch(some) == [reference.encode_ordinary(t) for t in some]
+    assert len(calls) <= 1 + len(some) + 1  # all parts after a space, each first part, the one with a line break
+
+
+def test_bpe_of_every_white_space(vocabulary, reference):
+    spaces = [chr(i) for i in range(0x3001) if chr(i).isspace()] + ["\u180e", "\u200b", "\ufeff"]
+    some = [f"{a}x{b} y {a}{b}z {a} {b}" for a in spaces for b in spaces] + spaces + ["", " ", "  ", " a", "a ", None]
+    assert vocabulary.encode_batch(some) == [reference.encode_ordinary(t or "") for t in some]
+
+
+@pytest.mark.parametrize(("pieces", "size"), [(30, 16_000_000), (200_000, 0)])
+def test_bpe_remembers_only_so_many_pieces(vocabulary, reference, monkeypatch, pieces, size):
+    monkeypatch.setattr(bpe, "CACHED", pieces)
+    monkeypatch.setattr(bpe, "CACHED_BYTES", size)
+    for i in range(12):
+        some = [f"qwx{i % 5}zvbn qx{j}vk{i % 7}zz" for j in range(4)] + ["q" * 300]
+        assert vocabulary.encode_batch(some) == [reference.encode_ordinary(t) for t in some]
+        assert len(vocabulary.known) <= len(vocabulary.tokens) + (pieces if size else 0)
+
+
 def test_bpe_of_odd_rows(odd, reference):
     rows = bpe.digest(odd, *rank_file(), ["doc_id", "text"]).collect()
     assert len(rows) == odd.count()
