@@ -122,6 +122,15 @@ def test_sources_are_not_run_to_be_measured(spark):
     assert jobs(spark, lambda: QUERIES["star_join_sales"](spark, SF)) <= 6
 
 
+def test_many_rows_in_a_small_file_are_not_taken_for_few(spark, folder):
+    from tidemark.operators.sizing import known_few
+
+    spark.range(50_000).select(F.lit("same").alias("k")).coalesce(1).write.parquet(f"{folder}/t")
+    small = spark.read.parquet(f"{folder}/t")
+    assert known_few(small, 100_000) and not known_few(small, 49_999)
+    assert not known_few(small.groupBy("k").count(), 10**9)
+
+
 def test_a_stored_copy_knows_its_size(spark):
     from tidemark.operators.sizing import known_small, stored
 

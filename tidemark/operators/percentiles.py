@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import join_groups
-from tidemark.operators.sizing import small_side, stored
+from tidemark.operators.sizing import known_few, small_side, stored
 
 BINS = 1024
 # An interval with no more rows is sorted; a row of it is a double.
@@ -32,17 +32,20 @@ def exact_percentiles(
     of its distance from the low end, in turn, so long tails come apart as well. An interval that has shrunk to one
     value is done; one with at most ``few_rows`` rows is sorted. Counts combine
     before the shuffle, so neither a hot group nor a common value meets in one task. Rows are
-    counted, not estimated, so nothing depends on how well files are compressed.
+    counted, not estimated, so nothing depends on how well files are compressed; a count is spared where ``known_few``
+    tells it, and of small files of numbers, however many rows they hold, ``percentile`` keeps each distinct value once.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    everything = F.percentile("_v", list(percentiles.values())).alias("_all")
+    grouped = rows.groupBy(*keys).agg(everything).select(*keys, *[F.get("_all", i).alias(name) for i, name in enumerate(percentiles)])
+    if known_few(rows, few_rows):  # files measured before: not run to be counted
+        return grouped
     present = rows.where(F.col("_v").isNotNull())
     measures = [F.count("_v").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
     groups = stored(rows.groupBy(*keys).agg(*measures), "groups")
     if (groups.agg(F.max("_total")).first()[0] or 0) <= few_rows:  # every interval is small from the start
-        everything = F.percentile("_v", list(percentiles.values())).alias("_all")
-        grouped = rows.groupBy(*keys).agg(everything)
-        return grouped.select(*keys, *[F.get("_all", i).alias(name) for i, name in enumerate(percentiles)])
+        return grouped
 
     ends = []
     for p in percentiles.values():

@@ -80,6 +80,11 @@ def known_small(df: DataFrame, limit: int) -> bool:
     return _MEASURED[key] <= limit
 
 
+def known_few(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` is known to have no more than ``rows`` rows, by the least bytes that each row counts for."""
+    return known_small(df, rows * 16 * (1 + len(df.columns)))
+
+
 def _written_bytes(df: DataFrame) -> int | None:
     """Measured bytes of the copy that ``df`` reads columns and rows of; None if it reads anything else."""
     folders = {file.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for file in df.inputFiles()}
