@@ -235,3 +235,49 @@ def test_erasure_shuffles_rows_once(spark, folder, monkeypatch):
     assert all(r.rows_left == 0 for r in report)
     customers = read_silver(spark, lake, "customer")
     assert rows(customers) == rows(table(spark, SF, "customer").where("c_custkey % 10 <> 0").select(customers.columns))
+
+
+def test_months_of_customers_that_move_without_a_broadcast(spark, folder, monkeypatch):
+    """Nothing small enough to broadcast: customers of both versions are compared by shuffles alone."""
+    monkeypatch.setattr(md, "size_shuffles", lambda *_: None)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "7"}
+    was = {name: spark.conf.get(name, None) for name in settings}
+
+    def frames(days, segments):
+        """One order with two lines per customer and day."""
+        orders = [(c * 100 + d, c, "O", 10.0, f"1997-{d:02d}-05", "1-URGENT") for c in range(9) for d in days]
+        lines = [(o[0], n, 1, 1, 2.0, 10.0, 0.1, 0.0, "N", "O", o[4]) for o in orders for n in (1, 2)]
+        customers = [(c, f"C{c}", 1, 1.0, s) for c, s in segments.items()]
+        named = {
+            "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"),
+            "lineitem": (lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                         "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"),
+            "customer": (customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        }
+        out = {name: spark.createDataFrame(*told) for name, told in named.items()}
+        out["orders"] = out["orders"].withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+        return out
+
+    def segment_of(month, customer):
+        facts = spark.read.parquet(lake.gold("fact_sales")).where((F.col("month") == month) & (F.col("customer_id") == customer))
+        return {r[0] for r in facts.select("customer_segment").collect()}
+
+    number = lambda month: 1997 * 12 + month - 1
+    lake, all_a = Lake(folder, 4), dict.fromkeys(range(9), "A")
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert run_medallion(spark, frames([1, 2], all_a), lake, "2024-01-01") is None
+        # days 1 and 2 change only by the segment, and one customer has lost theirs
+        assert run_medallion(spark, frames([3], all_a | {4: "B", 6: None}), lake, "2024-01-02") == [number(m) for m in (1, 2, 3)]
+        assert segment_of(1, 4) == {"B"} and segment_of(2, 6) == {None} and segment_of(3, 5) == {"A"}
+        # the same again changes nothing
+        assert run_medallion(spark, frames([1, 2], all_a), lake, "2024-01-01") == []
+        # customer 5 is in neither load any more
+        left = {c: s for c, s in all_a.items() if c != 5}
+        assert run_medallion(spark, frames([3], left | {4: "B", 6: None}), lake, "2024-01-02") == []
+        assert run_medallion(spark, frames([1, 2], left), lake, "2024-01-01") == [number(m) for m in (1, 2, 3)]
+        assert segment_of(1, 5) == {None} and segment_of(3, 4) == {"B"}
+    finally:
+        for name, value in was.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
